@@ -13,14 +13,28 @@ def order_year():
     return F.year("o_orderdate").alias("yr")
 
 
-def nation_sales(t: Tables):
-    """Order value by region, nation and year: the stand-in for a published area table."""
+def customer_sales(t: Tables, *keys):
+    """Order value per customer, year and further keys.
+
+    Summed before any join, so a customer with a large part of all orders reaches it as a few rows.
+    """
+    return t.orders.groupBy("o_custkey", order_year(), *keys).agg(
+        F.sum(numbers.money("o_totalprice")).alias("estimate"), F.count("*").alias("n")
+    )
+
+
+def with_place(t: Tables, sales):
+    """Customer, nation and region of each row."""
     areas = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     homes = t.customer.join(areas, F.col("c_nationkey") == F.col("n_nationkey"))
-    return (
-        t.orders.join(homes, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy("r_name", "n_name", order_year())
-        .agg(F.sum(numbers.money("o_totalprice")).alias("estimate"), F.count("*").alias("n"))
+    return sales.join(homes, F.col("o_custkey") == F.col("c_custkey"))
+
+
+def nation_sales(t: Tables, *keys: str):
+    """Order value by region, nation and year: the stand-in for a published area table."""
+    rows = with_place(t, customer_sales(t, *keys))
+    return rows.groupBy("r_name", "n_name", "yr", *keys).agg(
+        F.sum("estimate").alias("estimate"), F.sum("n").alias("n")
     )
 
 
@@ -183,9 +197,8 @@ def unique_transactions(t: Tables):
        union all select yr, 'Total', sum(amount)::double from s group by 1""",
 )
 def union_totals(t: Tables):
-    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
-        order_year(), "c_mktsegment", numbers.money("o_totalprice").alias("amount")
-    )
+    sales = customer_sales(t).join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    rows = sales.select("yr", "c_mktsegment", F.col("estimate").alias("amount"))
     return as_double(totals.add_total(rows, ["yr"], "c_mktsegment", ["amount"]), "amount")
 
 
@@ -218,10 +231,7 @@ LEVEL_LABELS = {1: "Region", 2: "Unincorporated Region", 3: "Incorporated Region
 )
 def region_rollup_levels(t: Tables):
     level = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 2).otherwise(3)
-    homes = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    rows = t.orders.join(homes, F.col("o_custkey") == F.col("c_custkey")).select(
-        level.alias("level"), "n_name", order_year(), numbers.money("o_totalprice").alias("estimate")
-    )
+    rows = with_place(t, customer_sales(t, level.alias("level"))).select("level", "n_name", "yr", "estimate")
     return as_double(
         totals.add_region_levels(rows, "level", "n_name", ["yr"], ["estimate"], LEVEL_LABELS), "estimate"
     )
@@ -249,10 +259,7 @@ def merge_parts(t: Tables):
     name = F.when(F.col("c_mktsegment") == "BUILDING", F.col("n_name")).otherwise(
         F.concat(F.col("n_name"), F.lit(" (part)"))
     )
-    homes = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    rows = t.orders.join(homes, F.col("o_custkey") == F.col("c_custkey")).select(
-        name.alias("place"), order_year(), numbers.money("o_totalprice").alias("estimate")
-    )
+    rows = with_place(t, customer_sales(t)).select(name.alias("place"), "yr", "estimate")
     return as_double(totals.merge_parts(rows, "place", ["yr"], ["estimate"]), "estimate")
 
 
@@ -299,10 +306,6 @@ def share_of_group(t: Tables):
        from orders join customer on o_custkey = c_custkey group by 1""",
 )
 def ratio_of_sums(t: Tables):
-    price, year = numbers.money("o_totalprice"), F.year("o_orderdate")
-    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return rows.groupBy("c_mktsegment").agg(
-        numbers.ratio(
-            aggregate.sum_when(year == 2000, price).cast("double"), aggregate.sum_when(year == 1996, price).cast("double")
-        ).alias("ratio")
-    )
+    rows = customer_sales(t).join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    new, base = (aggregate.sum_when(F.col("yr") == y, "estimate").cast("double") for y in (2000, 1996))
+    return rows.groupBy("c_mktsegment").agg(numbers.ratio(new, base).alias("ratio"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from regiolume.catalog.aggregates import customer_sales
 from regiolume.catalog.registry import Tables, query
 from regiolume.functions import dates, numbers, recode, text
 
@@ -344,14 +345,11 @@ def unit_scale(t: Tables):
        select c_nationkey, abs(b - a) as diff, (b - a) * 100 / nullif(a, 0) as pct, b * 100 / nullif(a, 0) as pct_of from y""",
 )
 def pct_change(t: Tables):
-    sums = (
-        t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy("c_nationkey")
-        .agg(
-            numbers.money_sum(F.when(F.year("o_orderdate") == 1996, F.col("o_totalprice"))).alias("a"),
-            numbers.money_sum(F.when(F.year("o_orderdate") == 2000, F.col("o_totalprice"))).alias("b"),
-        )
-    )
+    rows = customer_sales(t).join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    sums = rows.groupBy("c_nationkey").agg(*[
+        F.sum(F.when(F.col("yr") == year, F.col("estimate"))).cast("double").alias(name)
+        for name, year in (("a", 1996), ("b", 2000))
+    ])
     return sums.select(
         "c_nationkey",
         F.abs(F.col("b") - F.col("a")).alias("diff"),

@@ -57,8 +57,7 @@ def at_extreme(df: DataFrame, c: str, kind: str = "max", within: DataFrame | Non
 
 def year_to_date(df: DataFrame, d: str, first_year: int | None = None) -> DataFrame:
     """Keep in every year only the months the latest year has reached."""
-    month = F.max(F.struct(F.year(d).alias("y"), F.month(d).alias("m")))["m"]
-    out = df.filter(F.month(d) <= df.agg(month).scalar())
+    out = df.filter(F.month(d) <= df.agg(F.month(F.max(d))).scalar())
     if first_year is not None:
         out = out.filter(F.col(d) >= F.lit(f"{first_year}-01-01").cast("date"))
     return out

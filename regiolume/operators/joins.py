@@ -13,7 +13,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiolume.session import scratch_folder
+from regiolume.session import stage
 from regiolume.sources.tables import inline_lookup
 
 
@@ -61,9 +61,7 @@ def sized(df: DataFrame) -> DataFrame:
     facts would shuffle them. A written table has a known size: Spark broadcasts it when it is below
     the threshold and sorts and merges when it is not. Runs the aggregate once, now.
     """
-    folder = scratch_folder(df.sparkSession, "side")
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return stage(df, "side")
 
 
 def left_join_suffixed(

@@ -122,20 +122,17 @@ def forward_fill(
         F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias("__tail")
     )
     earlier = Window.partitionBy(*series).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = tails.select(
-        *[F.col(s).alias(f"__key_{i}") for i, s in enumerate(series)],
-        F.col("__block").alias("__to"),
-        F.last("__tail", True).over(earlier).alias("__carry"),
+    # What a piece inherits goes in front of it as one more row, so no join is needed.
+    heads = tails.select(
+        *series, "__block", F.last("__tail", True).over(earlier).alias(c), F.lit(0).alias("__real")
     )
-    same = F.col("__block").eqNullSafe(F.col("__to"))
-    for i, s in enumerate(series):
-        same = same & F.col(s).eqNullSafe(F.col(f"__key_{i}"))
+    both = keyed.withColumn("__real", F.lit(1)).unionByName(heads, allowMissingColumns=True)
     inside = (
-        Window.partitionBy(*series, "__block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*series, "__block")
+        .orderBy("__real", order)
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    filled = keyed.withColumn("__own", F.last(c, True).over(inside))
-    out = filled.join(carried, same, "left")
-    return out.withColumn(c, F.coalesce("__own", "__carry")).select(*df.columns)
+    return both.withColumn(c, F.last(c, True).over(inside)).filter(F.col("__real") == 1).select(*df.columns)
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans rely on; sizes of shuffles are left to adaptive execution.
 SETTINGS = {
@@ -43,3 +43,11 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="regiolume-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """A table written to the shared folder and read back: it runs once, survives the loss of
+    executors, and Spark knows its size when it plans what comes after."""
+    folder = scratch_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -15,26 +15,31 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from regiolume.functions.text import squeeze
+from regiolume.session import stage
 
 
 def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Lines as ``(file, pos, line)`` with ``pos`` counted from 0 in each file."""
-    raw = (
-        spark.read.option("recursiveFileLookup", True)
-        .text(paths)
-        .select(
+    """Lines as ``(file, pos, line)`` with ``pos`` counted from 0 in each file.
+
+    The lines are staged once in the shared folder with their place in the split: how Spark cuts
+    files into splits may change with the cluster between two scans, a written number does not.
+    """
+    scan = spark.read.option("recursiveFileLookup", True).text(paths)
+    staged = stage(
+        scan.select(
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("seq"),
             F.regexp_replace("value", "\r$", "").alias("line"),
-        )
+        ),
+        "lines",
     )
-    per_split = raw.groupBy("file", "split").agg(
+    per_split = staged.groupBy("file", "split").agg(
         F.min("seq").alias("first_seq"), F.count(F.lit(1)).alias("lines")
     )
     before = F.sum("lines").over(Window.partitionBy("file").orderBy("split")) - F.col("lines")
     starts = per_split.select("file", "split", (before - F.col("first_seq")).alias("shift"))
-    return raw.join(starts, ["file", "split"]).select(
+    return staged.join(stage(starts, "splits"), ["file", "split"]).select(
         "file", (F.col("seq") + F.col("shift")).alias("pos"), "line"
     )
 

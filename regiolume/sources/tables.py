@@ -33,6 +33,8 @@ def inline_lookup(
     spark: SparkSession, mapping: Mapping[str, Any], key: str = "name", value: str = "value"
 ) -> DataFrame:
     """A mapping written in the program as a two-column table."""
-    rows = ", ".join(["(?, ?)"] * len(mapping))
-    flat = [x for pair in mapping.items() for x in pair]
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(`{key}`, `{value}`)", args=flat)
+    rows = ", ".join(f"(:k{i}, :v{i})" for i in range(len(mapping)))
+    args = {}
+    for i, (k, v) in enumerate(mapping.items()):
+        args |= {f"k{i}": k, f"v{i}": v}
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(`{key}`, `{value}`)", args=args)
