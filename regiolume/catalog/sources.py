@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from regiolume import sources
 from regiolume.catalog.registry import Tables, query
@@ -20,8 +19,9 @@ def src_csv(t: Tables):
     folder = scratch_folder(t.spark, "csv")
     rows = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice", F.col("o_orderdate").cast("date").alias("day"))
     sources.write_csv(rows.withColumnRenamed("o_orderkey", MARK + "o_orderkey"), folder)
-    schema = StructType.fromDDL("o_orderkey BIGINT, o_orderpriority STRING, o_totalprice DOUBLE, day DATE")
-    return sources.read_csv(t.spark, folder, schema)
+    return sources.read_csv(
+        t.spark, folder, "o_orderkey BIGINT, o_orderpriority STRING, o_totalprice DOUBLE, day DATE"
+    )
 
 
 @query(
@@ -55,8 +55,9 @@ def src_files_tagged(t: Tables):
     t.orders.select(
         "o_orderkey", "o_totalprice", F.year("o_orderdate").alias("data"), F.col("o_orderpriority").alias("tab")
     ).write.partitionBy("data", "tab").option("header", True).csv(folder)
-    schema = StructType.fromDDL("o_orderkey BIGINT, o_totalprice DOUBLE")
-    rows = sources.read_tagged(t.spark, folder, schema, "year", r"data=(\d{4})", "int")
+    rows = sources.read_tagged(
+        t.spark, folder, "o_orderkey BIGINT, o_totalprice DOUBLE", "year", r"data=(\d{4})", "int"
+    )
     area = F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), "tab=([^/]+)", 1))
     return rows.withColumn("area", area)
 

@@ -70,12 +70,19 @@ def bands(c: ColumnLike, upper: Sequence[tuple[float, str]], above: str) -> Colu
     return out.when(c > upper[-1][0], above)
 
 
-def unit_scale(value: ColumnLike, unit_class: ColumnLike, factors: Mapping[str, float]) -> Column:
-    """Multiply by the factor of the row's class; a class without a factor gives NULL."""
+def unit_scale(
+    value: ColumnLike,
+    unit_class: ColumnLike,
+    times: Mapping[str, float],
+    over: Mapping[str, float] | None = None,
+) -> Column:
+    """Multiply (or divide) by the number of the row's class; a class without one gives NULL."""
     value, unit_class = as_col(value), as_col(unit_class)
     out = F.when(F.lit(False), value)
-    for name, factor in factors.items():
+    for name, factor in times.items():
         out = out.when(unit_class == name, value * F.lit(float(factor)))
+    for name, divisor in (over or {}).items():
+        out = out.when(unit_class == name, value / F.lit(float(divisor)))
     return out
 
 

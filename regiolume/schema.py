@@ -1,13 +1,12 @@
-"""Schemas: the long indicator form and the source layouts the jobs accept."""
+"""Schemas as DDL text: the long indicator form and the source layouts the jobs accept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 # One row per geography, variable and period; the form nearly every job ends in.
-INDICATOR = StructType.fromDDL(
+INDICATOR = (
     "geography STRING, variable STRING, period DATE, estimate DOUBLE"
 )
 
@@ -23,33 +22,33 @@ def indicator(df: DataFrame, geography: str, variable: str, period: str, estimat
 
 
 # Bundled dashboard tables.
-SHARE_TABLE = StructType.fromDDL(
+SHARE_TABLE = (
     "year INT, geography STRING, grouping STRING, variable STRING, estimate DOUBLE, "
     "count_moe DOUBLE, share DOUBLE, share_moe DOUBLE"
 )
-VEHICLE_MAKES = StructType.fromDDL(
+VEHICLE_MAKES = (
     "year INT, variable STRING, metric STRING, estimate INT, share DOUBLE"
 )
-HOME_SALES = StructType.fromDDL(
+HOME_SALES = (
     "region STRING, period STRING, price INT, sales INT, listings INT, inventory INT"
 )
 
 # Assessor extracts; keys stay text so that leading zeros survive.
-KING_SALES = StructType.fromDDL(
+KING_SALES = (
     "major STRING, minor STRING, documentdate STRING, saleprice DOUBLE, buyername STRING, "
     "propertytype INT, principaluse INT"
 )
-KING_BUILDINGS = StructType.fromDDL(
+KING_BUILDINGS = (
     "major STRING, minor STRING, nbrlivingunits INT, sqfttotliving INT, zipcode STRING"
 )
-KING_CONDO_UNITS = StructType.fromDDL("major STRING, minor STRING, unittype INT")
-KING_CONDO_COMPLEXES = StructType.fromDDL("major STRING, constrclass INT")
-KITSAP_SALES_EARLY = StructType.fromDDL("acct_no STRING, sale_dt STRING, price DOUBLE")
-KITSAP_SALES_LATE = StructType.fromDDL(
+KING_CONDO_UNITS = "major STRING, minor STRING, unittype INT"
+KING_CONDO_COMPLEXES = "major STRING, constrclass INT"
+KITSAP_SALES_EARLY = "acct_no STRING, sale_dt STRING, price DOUBLE"
+KITSAP_SALES_LATE = (
     "`tax parcel no.` STRING, `sale dt` STRING, price STRING"
 )
-KITSAP_PARCELS = StructType.fromDDL("acct_no STRING, property_class INT")
-SNOHOMISH_SALES = StructType.fromDDL(
+KITSAP_PARCELS = "acct_no STRING, property_class INT"
+SNOHOMISH_SALES = (
     "parcel_id STRING, prop_class INT, propertystreet STRING, sale_date STRING, "
     "sale_price STRING, ownername1 STRING"
 )
@@ -68,7 +67,12 @@ PIERCE_IMPROVEMENT_COLUMNS = (
 )
 
 # One schema for the four assessor layouts.
-REGIONAL_SALES = StructType.fromDDL(
-    "parcel_number STRING, month INT, year INT, sale_price DOUBLE, price_bin INT, "
-    "housing_type INT, county STRING"
-)
+REGIONAL_SALES = {
+    "parcel_number": "string",
+    "month": "int",
+    "year": "int",
+    "sale_price": "double",
+    "price_bin": "int",
+    "housing_type": "int",
+    "county": "string",
+}

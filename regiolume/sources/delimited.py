@@ -14,7 +14,7 @@ def text_schema(names: Sequence[str]) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
-def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType) -> DataFrame:
+def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str) -> DataFrame:
     """Comma file with a header row; a byte-order mark before the header is ignored."""
     return spark.read.schema(schema).option("header", True).option("escape", '"').csv(paths)
 
@@ -22,17 +22,17 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType
 def read_delimited(
     spark: SparkSession,
     paths: str | Sequence[str],
-    names: Sequence[str] | StructType,
+    names: Sequence[str] | StructType | str,
     sep: str = "|",
     encoding: str = "UTF-8",
     header: bool = False,
 ) -> DataFrame:
     """Tab, pipe or comma file named by position.
 
-    Plain names give text columns, so keys keep their leading zeros. Two-byte encodings need their
+    A list of names gives text columns, so keys keep their leading zeros; a text is a DDL schema. Two-byte encodings need their
     byte order (``UTF-16LE``): with it the file can still be split between tasks.
     """
-    schema = names if isinstance(names, StructType) else text_schema(names)
+    schema = names if isinstance(names, (StructType, str)) else text_schema(names)
     reader = (
         spark.read.schema(schema)
         .option("sep", sep)
@@ -48,7 +48,7 @@ def read_delimited(
 def read_tagged(
     spark: SparkSession,
     paths: str | Sequence[str],
-    schema: StructType,
+    schema: StructType | str,
     tag: str,
     pattern: str = r"(\d{4})",
     tag_type: str = "string",

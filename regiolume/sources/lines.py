@@ -12,10 +12,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from regiolume.functions.text import squeeze
 from regiolume.session import stage
+from regiolume.sources.delimited import text_schema
 
 
 def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -58,16 +59,17 @@ def read_header(spark: SparkSession, path: str | Sequence[str], skip: int, sep:
 
 
 def parse_lines(
-    lines: DataFrame, names: Sequence[str] | StructType, skip: int, sep: str = ",", keep: Sequence[str] = ()
+    lines: DataFrame, names: Sequence[str] | StructType | str, skip: int, sep: str = ",", keep: Sequence[str] = ()
 ) -> DataFrame:
     """Rows below the header on line ``skip`` as columns, with ``pos`` counted from 1 below the header.
 
     Blank rows are dropped but keep their place in the numbering.
     """
-    schema = names if isinstance(names, StructType) else StructType(
-        [StructField(n, StringType()) for n in names]
-    )
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    if isinstance(names, str):
+        ddl = names
+    else:
+        fields = names.fields if isinstance(names, StructType) else text_schema(names).fields
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     body = lines.filter(F.col("pos") > skip).filter(
         F.regexp_replace("line", f"[\\s{sep}]", "") != ""
     )
@@ -81,7 +83,7 @@ def read_below_titles(
     spark: SparkSession,
     paths: str | Sequence[str],
     skip: int,
-    schema: StructType | None = None,
+    schema: StructType | str | None = None,
     sep: str = ",",
 ) -> DataFrame:
     """Table whose header stands below ``skip`` title rows. Without a schema all columns are text
