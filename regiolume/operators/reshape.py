@@ -14,10 +14,12 @@ def _melt(df: DataFrame, cols: Sequence[str], names_to: str, values_to: str, cas
     ids = [c for c in df.columns if c not in set(cols)]
     if not cols:
         raise ValueError("no column to turn into rows")
-    wide = df.select(*quoted(ids), *[
-        (F.col(f"`{c}`").cast(cast) if cast else F.col(f"`{c}`")).alias(c) for c in cols
-    ])
-    return wide.unpivot(quoted(ids), quoted(cols), names_to, values_to)
+    # Values travel as one array per row and names as one constant: the generated code stays small
+    # for hundreds of columns, where one projection per column outgrows code generation.
+    values = F.array(*[F.col(f"`{c}`").cast(cast) if cast else F.col(f"`{c}`") for c in cols])
+    long = df.select(*quoted(ids), F.posexplode(values).alias("__at", "__value"))
+    name = F.get(F.array(*[F.lit(c) for c in cols]), F.col("__at"))
+    return long.select(*quoted(ids), name.alias(names_to), F.col("__value").alias(values_to))
 
 
 def unpivot_like(
