@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -31,7 +31,10 @@ def exclude_pairs(df: DataFrame, a: str, b: str, pairs: Sequence[tuple[Any, Any]
 
 def drop_any_null(df: DataFrame) -> DataFrame:
     """Drop a row when any of its columns is missing."""
-    return df.na.drop("any")
+    filled = F.lit(True)
+    for c in df.columns:
+        filled = filled & F.col(f"`{c}`").isNotNull()
+    return df.filter(filled)
 
 
 def clip_rows(df: DataFrame, c: ColumnLike, low: float | None = None, high: float | None = None) -> DataFrame:
@@ -63,10 +66,6 @@ def year_to_date(df: DataFrame, d: str, first_year: int | None = None) -> DataFr
     return out
 
 
-def keys_in(df: DataFrame, mapping: Mapping[str, Any], c: str) -> DataFrame:
-    return df.filter(F.col(c).isin(*mapping))
-
-
 def any_of(tests: Sequence[Column]) -> Column:
     out = tests[0]
     for test in tests[1:]:

@@ -2,6 +2,9 @@
 
 Each group of numbers comes from one conditional aggregation. Dates are given as numbers: a year, a
 month, or ``yyyymm``. A "most similar" metric has one row per tie.
+
+The small yearly or monthly table a group of numbers needs is staged first: the facts behind it are
+read once, and everything after works on a few rows.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from regiolume.operators.aggregate import metric_rows
 from regiolume.operators.series import nearest_period
 from regiolume.operators.setops import stack
 from regiolume.plans import rules
+from regiolume.session import stage
 
 
 def one_row(df: DataFrame, cells: Mapping[str, Column], value: str) -> DataFrame:
@@ -35,9 +39,9 @@ def growth_headlines(change: DataFrame, after: int = 2010) -> DataFrame:
     def of(variable: str) -> Column:
         return F.max(F.when(F.col("variable") == variable, F.col("estimate")))
 
-    years = change.filter(F.col("place") == "Region").groupBy("year").agg(
+    years = stage(change.filter(F.col("place") == "Region").groupBy("year").agg(
         of("Migration").alias("migration"), of("Natural Increase").alias("natural"), of("Total Change").alias("total")
-    )
+    ), "years")
     latest = years.agg(F.max("year")).scalar()
     earlier = (F.col("year") > after) & (F.col("year") != latest)
     now = F.col("year") == latest
@@ -124,6 +128,8 @@ def job_headlines(
     outside: str = rules.STATE_AREA, after: int = 2010,
 ) -> DataFrame:
     """Latest month against the same month of earlier years, lowest month, most similar months, sectors."""
+    kept = jobs.filter(F.col("geography").isin("Region", outside) & F.col("sector").isin(total, *sectors))
+    jobs = stage(kept.select("geography", "sector", "month", "jobs"), "jobs")
     latest = F.month(jobs.agg(F.max("month")).scalar())
     region, state = F.col("geography") == "Region", F.col("geography") == outside
     year, same = F.year("month"), F.month("month") == latest
@@ -171,7 +177,7 @@ def airport_headlines(weekly: DataFrame, base: int, last: int) -> DataFrame:
     ``weekly`` holds ``(year, day, passenger_screenings)`` with all years on one calendar.
     """
     seen = F.col("passenger_screenings")
-    filled = weekly.filter(seen.isNotNull())
+    filled = stage(weekly.filter(seen.isNotNull()).select("year", "day", "passenger_screenings"), "weeks")
     latest = filled.filter(F.col("year") == str(last)).agg(F.max("day")).scalar()
     there = F.col("day") == latest
     one = filled.agg(
