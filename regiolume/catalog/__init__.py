@@ -1,5 +1,6 @@
 from regiolume.catalog import (  # noqa: F401  (each module registers its queries)
     aggregates,
+    dashboard,
     filters,
     jobs_market,
     jobs_people,

@@ -30,6 +30,8 @@ def exact_quantile(
         .groupBy(*keys, v.alias("__v"))
         .agg(F.count(F.lit(1)).alias("__n"))
         .withColumn("__b", F.floor(F.signum("__v") * F.log1p(F.abs("__v")) * RESOLUTION))
+        # Said here so that both uses below are the same plan and the counts are computed once.
+        .filter(F.col("__b").isNotNull())
     )
     by_bucket = Window.partitionBy(*keys).orderBy("__b")
     whole = Window.partitionBy(*keys)
