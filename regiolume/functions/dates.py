@@ -9,33 +9,42 @@ from regiolume.functions.text import ColumnLike, as_col
 
 SECONDS_PER_YEAR = 31_536_000
 
-# Accepted spellings per field order, tried left to right.
-FORMS = {
-    "mdy": ("M/d/yyyy", "M/d/yy", "MMM/d/yyyy", "MMMM/d/yyyy"),
-    "ymd": ("yyyy/M/d",),
-    "ym": ("yyyy/M/d",),
-    "my": ("d/MMM/yyyy", "d/MMM/yy", "d/MMMyy", "d/MMMM/yyyy", "d/M/yyyy"),
+MONTHS = ",jan,feb,mar,apr,may,jun,jul,aug,sep,oct,nov,dec"
+_SEP = r"[/\-., ]+"
+_TWO = r"(\d{1,2})"
+# Shape of each field order and the parts in year-month-day order. Two-digit years from
+# 69 on belong to the last century.
+_SHAPES = {
+    "mdy": (
+        (rf"^{_TWO}{_SEP}{_TWO}{_SEP}(\d{{4}})$", "=$3-$1-$2"),
+        (rf"^{_TWO}{_SEP}{_TWO}{_SEP}([0-5]\d|6[0-8])$", "=20$3-$1-$2"),
+        (rf"^{_TWO}{_SEP}{_TWO}{_SEP}(69|[7-9]\d)$", "=19$3-$1-$2"),
+    ),
+    "ymd": ((rf"^(\d{{4}}){_SEP}{_TWO}{_SEP}{_TWO}$", "=$1-$2-$3"),),
+    "ym": ((rf"^(\d{{4}}){_SEP}{_TWO}$", "=$1-$2-1"),),
+    "my": (
+        (rf"^{_TWO}{_SEP}(\d{{4}})$", "=$2-$1-1"),
+        (rf"^{_TWO}{_SEP}([0-5]\d|6[0-8])$", "=20$2-$1-1"),
+        (rf"^{_TWO}{_SEP}(69|[7-9]\d)$", "=19$2-$1-1"),
+    ),
 }
 
 
-def pivot_year(d: Column) -> Column:
-    """Two-digit years 69-99 belong to the last century; Spark reads them as 20xx."""
-    return F.add_months(d, F.when(F.year(d) > 2068, -1200).otherwise(0))
-
-
 def parse_date(c: ColumnLike, order: str) -> Column:
     """Text to date; ``order`` is the field order ``mdy``, ``ymd``, ``ym`` or ``my``.
 
-    Any run of slashes, dashes, dots, commas or blanks separates the fields; a form without a day
-    gets day 1; text that fits no form gives NULL.
+    Any run of slashes, dashes, dots, commas or blanks separates the fields, months may be names, a
+    form without a day gets day 1, and text that fits no form gives NULL. The text is brought into
+    one form and cast: trying formats one after the other costs an exception per row that fails.
     """
-    body = F.regexp_replace(F.initcap(F.lower(F.trim(as_col(c)))), r"[/\-., ]+", "/")
-    if order == "ym":
-        body = F.concat(body, F.lit("/1"))
-    elif order == "my":
-        body = F.concat(F.lit("1/"), body)
-    parsed = [F.try_to_date(body, form) for form in FORMS[order]]
-    return pivot_year(F.coalesce(*parsed))
+    body = F.trim(as_col(c).cast("string"))
+    if order in ("mdy", "my"):
+        first = F.concat(F.lit(","), F.lower(F.left(body, F.lit(3))))
+        number = ((F.position(first, F.lit(MONTHS)) + 3) / 4).cast("int").cast("string")
+        body = F.regexp_replace(body, F.lit("^[A-Za-z]{3,9}"), F.concat(number, F.lit("/")))
+    for shape, parts in _SHAPES[order]:
+        body = F.regexp_replace(body, shape, parts)
+    return F.regexp_extract(body, r"^=(.*)$", 1).try_cast("date")
 
 
 def parse_quarter(c: ColumnLike) -> Column:
@@ -63,7 +72,7 @@ def week_to_date(week: ColumnLike, base: str = "2021-01-01") -> Column:
 
 def common_year(d: ColumnLike, year: int = 2021) -> Column:
     """Same month and day in one year, to lay years over each other; 29 February gives NULL."""
-    return F.try_to_date(F.concat(F.lit(f"{year}-"), F.date_format(as_col(d), "MM-dd")), "yyyy-MM-dd")
+    return F.date_format(as_col(d), f"'{year}'-MM-dd").try_cast("date")
 
 
 def anchor_date(year: ColumnLike, month: int = 4, day: int = 1) -> Column:
