@@ -30,6 +30,9 @@ def local_session(app: str, cores: int | str = 8, **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the shared one the cluster names in ``spark.checkpoint.dir``.
 
@@ -40,8 +43,10 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="regiolume-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="regiolume-")
+        root = _LOCAL_ROOTS[app]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
