@@ -12,22 +12,16 @@ SECONDS_PER_YEAR = 31_536_000
 MONTHS = ",jan,feb,mar,apr,may,jun,jul,aug,sep,oct,nov,dec"
 _SEP = r"[/\-., ]+"
 _TWO = r"(\d{1,2})"
-# Shape of each field order and the parts in year-month-day order. Two-digit years from
-# 69 on belong to the last century.
+_YEAR = r"(\d{4}|\d{2})"
+# Shape of each field order and the parts in year-month-day order.
 _SHAPES = {
-    "mdy": (
-        (rf"^{_TWO}{_SEP}{_TWO}{_SEP}(\d{{4}})$", "=$3-$1-$2"),
-        (rf"^{_TWO}{_SEP}{_TWO}{_SEP}([0-5]\d|6[0-8])$", "=20$3-$1-$2"),
-        (rf"^{_TWO}{_SEP}{_TWO}{_SEP}(69|[7-9]\d)$", "=19$3-$1-$2"),
-    ),
-    "ymd": ((rf"^(\d{{4}}){_SEP}{_TWO}{_SEP}{_TWO}$", "=$1-$2-$3"),),
-    "ym": ((rf"^(\d{{4}}){_SEP}{_TWO}$", "=$1-$2-1"),),
-    "my": (
-        (rf"^{_TWO}{_SEP}(\d{{4}})$", "=$2-$1-1"),
-        (rf"^{_TWO}{_SEP}([0-5]\d|6[0-8])$", "=20$2-$1-1"),
-        (rf"^{_TWO}{_SEP}(69|[7-9]\d)$", "=19$2-$1-1"),
-    ),
+    "mdy": (rf"^{_TWO}{_SEP}{_TWO}{_SEP}{_YEAR}$", "=$3-$1-$2"),
+    "ymd": (rf"^(\d{{4}}){_SEP}{_TWO}{_SEP}{_TWO}$", "=$1-$2-$3"),
+    "ym": (rf"^(\d{{4}}){_SEP}{_TWO}$", "=$1-$2-1"),
+    "my": (rf"^{_TWO}{_SEP}{_YEAR}$", "=$2-$1-1"),
 }
+# Two-digit years from this one on belong to the last century.
+_FIRST_OLD_YEAR = "69"
 
 
 def parse_date(c: ColumnLike, order: str) -> Column:
@@ -37,14 +31,20 @@ def parse_date(c: ColumnLike, order: str) -> Column:
     form without a day gets day 1, and text that fits no form gives NULL. The text is brought into
     one form and cast: trying formats one after the other costs an exception per row that fails.
     """
+    shape, parts = _SHAPES[order]
     body = F.trim(as_col(c).cast("string"))
     if order in ("mdy", "my"):
         first = F.concat(F.lit(","), F.lower(F.left(body, F.lit(3))))
         number = ((F.position(first, F.lit(MONTHS)) + 3) / 4).cast("int").cast("string")
         body = F.regexp_replace(body, F.lit("^[A-Za-z]{3,9}"), F.concat(number, F.lit("/")))
-    for shape, parts in _SHAPES[order]:
-        body = F.regexp_replace(body, shape, parts)
-    return F.regexp_extract(body, r"^=(.*)$", 1).try_cast("date")
+    # A match starts with "="; a two-digit year is then followed by a dash in the fourth place.
+    fitted = F.regexp_replace(body, shape, parts)
+    iso = F.regexp_extract(fitted, "^=(.*)$", 1)
+    if order in ("mdy", "my"):
+        century = F.when(F.substring(fitted, 2, 2) >= _FIRST_OLD_YEAR, "19").otherwise("20")
+        short = F.concat(F.substring(fitted, 1, 1), F.substring(fitted, 4, 1)) == "=-"
+        iso = F.concat(F.when(short, century).otherwise(""), iso)
+    return iso.try_cast("date")
 
 
 def parse_quarter(c: ColumnLike) -> Column:

@@ -92,14 +92,23 @@ def initial_claims_by(
     return sums.withColumn("category", F.lit(category))
 
 
-def initial_claims(tabs: Mapping[str, DataFrame], workforce: DataFrame, width: int = 10, **options) -> DataFrame:
-    """Initial claims of all demographics with their share of the workforce, labels wrapped for display."""
+def initial_claims_raw(tabs: Mapping[str, DataFrame], workforce: DataFrame, **options) -> DataFrame:
+    """Initial claims of all demographics with their share of the workforce."""
     claims = stack(*[initial_claims_by(df, category, **options) for category, df in tabs.items()])
     people = workforce.filter(F.col("demographic") != "Total").select("demographic", "workforce")
-    joined = left_join(claims, people, "demographic")
-    return joined.withColumns({
-        "share": ratio("initial_claims", "workforce"), "demographic": wrap_text("demographic", width)
-    })
+    return left_join(claims, people, "demographic").withColumn("share", ratio("initial_claims", "workforce"))
+
+
+def initial_claims(tabs: Mapping[str, DataFrame], workforce: DataFrame, width: int = 10, **options) -> DataFrame:
+    """The same with the labels wrapped for display."""
+    rows = initial_claims_raw(tabs, workforce, **options)
+    return rows.withColumn("demographic", wrap_text("demographic", width))
+
+
+def with_titles(rows: DataFrame, width: int = 10, dropped: Sequence[str] = ("Under age 24",)) -> DataFrame:
+    """Keep the label and add a short wrapped title next to it; some groups are not shown."""
+    title = recode_chain(wrap_text("demographic", width), rules.TITLE_STEPS)
+    return rows.filter(~F.col("demographic").isin(*dropped)).withColumn("demographic_titles", title)
 
 
 def weekly_claims(lines: DataFrame, first: int = rules.WEEKLY_CLAIM_LINES[0], last: int | None = rules.WEEKLY_CLAIM_LINES[1]) -> DataFrame:

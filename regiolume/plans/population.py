@@ -231,6 +231,19 @@ def fastest_places_by_county(growth: DataFrame, target: int, n: int = 10, level:
     return top_n_per_group(rows, ["county_name"], "delta", n, ["place"])
 
 
+def counts_by_county(top: DataFrame) -> DataFrame:
+    """How many of the fastest places lie in each county."""
+    return top.groupBy("county_name").agg(F.count(F.lit(1)).alias("places"))
+
+
+def place_years(rows: DataFrame, variable: str, places: Sequence[str], years: Sequence[int]) -> DataFrame:
+    """Chosen places and years of one variable, with the places in the order they are named."""
+    kept = rows.filter(
+        (F.col("variable") == variable) & F.col("place").isin(*places) & F.col("year").isin(*years)
+    )
+    return kept.withColumns({"year": F.col("year").cast("string"), "place_in_order": category_rank("place", places)})
+
+
 def place_table(growth: DataFrame, first: int, last: int, level: int = 4) -> DataFrame:
     """Two years side by side per place with the change, each rounded to ten."""
     rows = growth.filter((F.col("level") == level) & F.col("year").isin(first, last))

@@ -127,6 +127,7 @@ RACE_STEPS = (
     ("Pacific Islander", "Native Hawaiian or Other Pacific Islander Alone"),
     ("Two or More Races", "Two or More Race Groups"),
 )
+TITLE_STEPS = (("Alone", ""), ("Latino", "Latinx"))
 GENDER_STEPS = (("Nonbinary/Other", "Nonbinary"),)
 INITIAL_CLAIM_ROWS = {"Gender": (1, 3), "Race": (3, 9), "Age": (2, 9), "Education": (2, 11)}
 INITIAL_CLAIM_DROPPED = {

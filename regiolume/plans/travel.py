@@ -104,6 +104,18 @@ def highway_volumes(table: DataFrame, counties: Sequence[str] = rules.COUNTIES,
     return _recent(rows, year).withColumn("ratio", ratio("current", "baseline"))
 
 
+def location_volumes(table: DataFrame, counties: Sequence[str] = rules.COUNTIES) -> DataFrame:
+    """The named layout of the same counts: the date stands inside its text, the base year in its own column."""
+    rows = table.filter(F.col("Counties").isin(*counties) & (F.col("`Measure Names`") == "Current"))
+    out = rows.select(
+        F.col("Highway1").alias("highway"), F.col("Counties").alias("county"),
+        F.col("`Traffic Count Locations`").alias("location"),
+        parse_date(sub_text("`Day of 2020Date`", 6, 13), "mdy").alias("date"),
+        F.col("`Measure Values`").cast("double").alias("current"), F.col("`2019 Volume`").cast("double").alias("baseline"),
+    )
+    return out.withColumn("ratio", ratio("current", "baseline"))
+
+
 def corridor_ratios(
     volumes: DataFrame, corridors: Mapping[str, Sequence[str]] = rules.CORRIDORS, all_label: str = "All highways"
 ) -> DataFrame:
@@ -154,6 +166,9 @@ def ferry_ratio(table: DataFrame, routes: Sequence[str] = rules.FERRY_ROUTES, ye
     return rows.agg(current.alias("current"), base.alias("baseline"), ratio(current, base).alias("ratio"))
 
 
-def clipped_index(volumes: DataFrame, low: float | None = 0.1, high: float | None = 2.0) -> DataFrame:
-    """Volume index without outliers; both bounds are kept."""
-    return clip_rows(volumes, "ratio", low, high).select("location", "date", "ratio")
+def clipped_index(
+    volumes: DataFrame, low: float | None = 0.1, high: float | None = 2.0, locations: Sequence[str] | None = None
+) -> DataFrame:
+    """Volume index without outliers, of all or of some locations; both bounds are kept."""
+    rows = volumes if locations is None else volumes.filter(F.col("location").isin(*locations))
+    return clip_rows(rows, "ratio", low, high).select("location", "date", "ratio")

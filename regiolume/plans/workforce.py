@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from regiolume.functions.dates import parse_quarter
 from regiolume.functions.text import replace_all
+from regiolume.operators.aggregate import strict_sum
+from regiolume.operators.joins import lookup
 from regiolume.operators.project import drop_like, names_like
 from regiolume.operators.reshape import unpivot_except, unpivot_like
 from regiolume.operators.setops import stack
@@ -62,11 +64,21 @@ def by_age(
     return ages.withColumn("demographic", shown).filter(F.col("demographic").isin(*levels))
 
 
-def by_education(table: DataFrame, quarter: str = rules.WORKFORCE_QUARTER) -> DataFrame:
-    return at_quarter(workers_long(table, r"\."), quarter)
+def by_education(
+    table: DataFrame, quarter: str = rules.WORKFORCE_QUARTER, classes: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Education as published, or under the names of ``classes``."""
+    rows = at_quarter(workers_long(table, r"\."), quarter)
+    if classes is None:
+        return rows
+    return lookup(rows, classes, "demographic", "demographic").groupBy("demographic").agg(
+        strict_sum("workforce").alias("workforce")
+    )
 
 
-def workforce(tables: Mapping[str, DataFrame], quarter: str = rules.WORKFORCE_QUARTER) -> DataFrame:
+def workforce(
+    tables: Mapping[str, DataFrame], quarter: str = rules.WORKFORCE_QUARTER, classes: Mapping[str, str] | None = None
+) -> DataFrame:
     """All four dimensions: ``(category, demographic, workforce)``.
 
     ``tables`` holds ``gender``, ``not_hispanic``, ``hispanic``, ``age`` and ``education``.
@@ -75,6 +87,6 @@ def workforce(tables: Mapping[str, DataFrame], quarter: str = rules.WORKFORCE_QU
         "Gender": by_gender(tables["gender"], quarter),
         "Race": by_race(tables["not_hispanic"], tables["hispanic"], quarter),
         "Age": by_age(tables["age"], quarter),
-        "Education": by_education(tables["education"], quarter),
+        "Education": by_education(tables["education"], quarter, classes),
     }
     return stack(*[df.withColumn("category", F.lit(name)) for name, df in parts.items()])

@@ -368,3 +368,20 @@ def test_views(spark):
     assert rows(views.home_sales(sales, "listings"), "year", "geography", "estimate") == [("February-2012", "r", 7)]
     with pytest.raises(ValueError):
         views.home_sales(sales, "region")
+
+
+def test_recuts(spark, pop_table):
+    school = spark.createDataFrame([("2020 Q1", 3.0, 4.0, 5.0)], "X1 string, `Less.than.high.school` double, `High.school.or.equivalent,.no.college` double, `Flags.x` double")
+    assert rows(workforce.by_education(school, classes=rules.EDUCATION_CLASSES_SHORT)) == [("High School", 4.0), ("Less than high school", 3.0), ("Total", 7.0)]
+    titled = claims.with_titles(spark.createDataFrame([("Asian Alone",), ("Under age 24",), ("Hispanic or Latino",)], "demographic string"))
+    assert rows(titled) == [("Asian Alone", "Asian\n"), ("Hispanic or Latino", "Hispanic\nor Latinx")]
+    people = population.population(pop_table, rules.COUNTIES)
+    assert rows(population.place_years(people, "Total Population", ["Kent", "Auburn"], [2020]), "place", "year", "estimate", "place_in_order") == [
+        ("Auburn", "2020", 45.0, 2), ("Kent", "2020", 20.0, 1)]
+    top = spark.createDataFrame([("a", "King County"), ("b", "King County")], "place string, county_name string")
+    assert rows(population.counts_by_county(top)) == [("King County", 2)]
+    named = spark.createDataFrame([("I-5", "King", "Current", "Mon, 01/04/21 x", "I-5 at A", 30.0, 10.0), ("I-5", "King", "Current", "Tue, 01/05/21 x", "I-5 at A", 5.0, 10.0), ("I-5", "King", "Other", "Mon, 01/04/21 x", "I-5 at A", 1.0, 1.0)],
+                                  "Highway1 string, Counties string, `Measure Names` string, `Day of 2020Date` string, `Traffic Count Locations` string, `Measure Values` double, `2019 Volume` double")
+    volumes = travel.location_volumes(named)
+    assert rows(travel.clipped_index(volumes, locations=["I-5 at A"])) == [("I-5 at A", date(2021, 1, 5), 0.5)]
+    assert travel.clipped_index(volumes, locations=["elsewhere"]).count() == 0
