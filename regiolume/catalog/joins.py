@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from regiolume.catalog.registry import Tables, query
-from regiolume.functions.numbers import money_sum
+from regiolume.functions.numbers import money_sum, ratio
 from regiolume.functions.recode import null_if
 from regiolume.operators import joins
 
@@ -49,6 +49,7 @@ def left_join_renamed(t: Tables):
         t.orders.select("o_orderkey", "o_custkey"),
         t.customer.select("c_custkey", "c_name", "c_mktsegment"),
         {"o_custkey": "c_custkey"},
+        null_keys_match=False,  # customer numbers are never missing
     )
 
 
@@ -76,6 +77,21 @@ def left_join_nullsafe(t: Tables):
     return joins.left_join(rows, joins.sized(sizes), "status")
 
 
+@query(
+    "join_aggregate_back",
+    """select l_orderkey, l_linenumber, l_quantity, total, lines, l_quantity / nullif(total, 0) as share
+       from lineitem join (select l_returnflag as f, l_linestatus as s, sum(l_quantity) as total, count(*) as lines
+                           from lineitem group by 1, 2) on l_returnflag = f and l_linestatus = s""",
+)
+def join_aggregate_back(t: Tables):
+    """Every row next to the total and the count of its group; a few groups hold all rows."""
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
+    both = joins.with_totals(
+        rows, ["l_returnflag", "l_linestatus"], {"total": F.sum("l_quantity"), "lines": F.count("*")}
+    )
+    return both.drop("l_returnflag", "l_linestatus").withColumn("share", ratio("l_quantity", "total"))
+
+
 @query(
     "join_suffixes",
     """with a as (select o_custkey, count(*) as n, max(o_totalprice) as top from orders

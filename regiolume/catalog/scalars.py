@@ -71,7 +71,7 @@ def str_trim(t: Tables):
 @query(
     "str_sub",
     """select c_custkey, substr(c_name, 1, 4) as head, right(c_name, 8) as tail, substr(c_name, 6) as rest,
-              length(c_name) as size
+              length(c_name)::int as size
        from customer""",
 )
 def str_sub(t: Tables):

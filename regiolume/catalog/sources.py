@@ -92,7 +92,7 @@ def src_skip_rows(t: Tables):
 
 @query(
     "text_report_table",
-    """select c_custkey as id, (c_custkey * 1000)::bigint as claims, c_custkey % 2 as block from customer""",
+    """select c_custkey as id, (c_custkey * 1000)::bigint as claims, (c_custkey % 2)::int as block from customer""",
 )
 def text_report_table(t: Tables):
     """Report text: title lines, runs of blanks, separators, two blocks side by side."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regiolume.session import stage
@@ -64,6 +64,16 @@ def sized(df: DataFrame) -> DataFrame:
     return stage(df, "side")
 
 
+def with_totals(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column]) -> DataFrame:
+    """Every row next to aggregates of its group.
+
+    A window would move each group into one task. The aggregates combine on the map side, and while
+    they are small the rows are not moved at all.
+    """
+    totals = df.groupBy(*keys).agg(*[c.alias(name) for name, c in aggregates.items()])
+    return left_join(df, sized(totals), list(keys))
+
+
 def left_join_suffixed(
     left: DataFrame, right: DataFrame, on: Sequence[str], suffixes: tuple[str, str] = ("_x", "_y")
 ) -> DataFrame:

@@ -19,12 +19,17 @@ from regiolume.operators.series import forward_fill
 from regiolume.plans import rules
 
 
+# Rows of a file that are filled together.
+BLOCK_ROWS = 100_000
+
+
 def quarterly_sales(table: DataFrame, order: str = "pos", per: Sequence[str] = (), block: Column | None = None) -> DataFrame:
     """Label rows mixed with quarter rows to ``(geography, quarter, tax_type, total)``.
 
     A row whose first column holds no quarter names the place of the rows below it. ``order`` is the
     row's place in its file and ``block`` cuts long files into pieces for the fill.
     """
+    block = F.floor(F.col(order) / BLOCK_ROWS) if block is None else block
     label = null_if(remove_all("Year", r"Quarter [1-4]|\b20(?:1[5-9]|2[01])\b"), " ")
     rows = table.select(
         *per, order, label.alias("geography"), replace_first("Year", " Quarter ", ":Q").alias("quarter"),
