@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from regiolume.functions.dates import month_label, parse_date
 from regiolume.functions.numbers import half_even
 from regiolume.functions.text import replace_first
-from regiolume.operators.reshape import metric_series, unpivot_except, unpivot_like
+from regiolume.operators.reshape import metric_series, unpivot_except
 
 
 def home_sales(table: DataFrame, period: str = "Month.of.Period.End") -> DataFrame:
@@ -38,11 +38,3 @@ def rents_labelled(table: DataFrame, region: str) -> DataFrame:
         half_even("estimate", 0).alias("estimate"),
     )
 
-
-def rents_by_pattern(table: DataFrame, region: str, pattern: str = "^X") -> DataFrame:
-    """Rents where the month columns are told apart by a pattern instead of by exclusion."""
-    rows = table.filter(F.col("RegionName") == region)
-    long = unpivot_like(rows, pattern, "month", "estimate", "double")
-    return long.select(
-        F.col("RegionName").alias("region"), parse_date(replace_first("month", "^X", ""), "ym").alias("month"), "estimate"
-    )

@@ -27,7 +27,7 @@ from regiolume.operators.reshape import split_into, unpivot_like
 from regiolume.operators.series import class_growth, delta_prev, delta_target
 from regiolume.operators.setops import stack
 from regiolume.operators.topk import top_n, top_n_per_group
-from regiolume.operators.totals import add_region, add_region_levels, merge_parts
+from regiolume.operators.totals import add_region_levels, merge_parts
 from regiolume.plans import rules
 
 STATE = "State"
@@ -294,8 +294,3 @@ def class_of_place(place: str, cls: str) -> Column:
         (p.contains("Region"), "Region"), (p.contains("Unincorporated"), "Unincorporated"), (p.isNotNull(), F.col(cls)),
     ])
 
-
-def region_population(people: DataFrame, counties: Sequence[str]) -> DataFrame:
-    """County rows plus the region from county rows alone."""
-    rows = people.filter(F.col("place").isin(*counties))
-    return add_region(rows, "place", ["year", "variable"], ["estimate"])

@@ -60,7 +60,9 @@ def _class_type(c: str, ranges: Mapping[int, Sequence[tuple[int, int]]]) -> Colu
 def king_parcel(legacy: bool = False) -> list[Column]:
     """Key of a parcel: the pair of numbers; ``legacy`` adds them up, so different parcels can meet."""
     major, minor = F.col("major").try_cast("double"), F.col("minor").try_cast("double")
-    return [(major + minor).alias("pin")] if legacy else [F.col("major"), F.col("minor")]
+    return [(major + minor).alias("pin")] if legacy else [
+        F.trim("major").alias("major"), F.trim("minor").alias("minor")
+    ]
 
 
 def king_buildings(buildings: DataFrame, legacy: bool = False) -> DataFrame:
@@ -96,8 +98,7 @@ def king_sales(
     condos = condos.select(*pins, F.col("unittype").alias("condo_type")).groupBy(*names).agg(
         F.max("condo_type").alias("condo_type")
     )
-    if legacy:
-        single = single.withColumn("pin", pins[0])
+    single = single.withColumns(dict(zip(names, pins)))
     rows = left_join(single, condos, names, defaults={"condo_type": 0})
     dense = (F.col("constrclass") <= rules.HIGH_DENSITY_CLASS).cast("int")
     density = complexes.select(F.col("major").try_cast("double").alias("m"), fill_null(dense, 0).alias("high_density"))

@@ -1,4 +1,4 @@
-"""Schemas as DDL text: the long indicator form and the source layouts the jobs accept."""
+"""Schemas: the long indicator form and the source layouts the jobs accept."""
 
 from __future__ import annotations
 
@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # One row per geography, variable and period; the form nearly every job ends in.
-INDICATOR = (
-    "geography STRING, variable STRING, period DATE, estimate DOUBLE"
-)
+INDICATOR = "geography STRING, variable STRING, period DATE, estimate DOUBLE"
 
 
 def indicator(df: DataFrame, geography: str, variable: str, period: str, estimate: str) -> DataFrame:
@@ -26,32 +24,28 @@ SHARE_TABLE = (
     "year INT, geography STRING, grouping STRING, variable STRING, estimate DOUBLE, "
     "count_moe DOUBLE, share DOUBLE, share_moe DOUBLE"
 )
-VEHICLE_MAKES = (
-    "year INT, variable STRING, metric STRING, estimate INT, share DOUBLE"
-)
-HOME_SALES = (
-    "region STRING, period STRING, price INT, sales INT, listings INT, inventory INT"
-)
+VEHICLE_MAKES = "year INT, variable STRING, metric STRING, estimate INT, share DOUBLE"
+HOME_SALES = "region STRING, period STRING, price INT, sales INT, listings INT, inventory INT"
 
-# Assessor extracts; keys stay text so that leading zeros survive.
-KING_SALES = (
-    "major STRING, minor STRING, documentdate STRING, saleprice DOUBLE, buyername STRING, "
-    "propertytype INT, principaluse INT"
-)
-KING_BUILDINGS = (
-    "major STRING, minor STRING, nbrlivingunits INT, sqfttotliving INT, zipcode STRING"
-)
-KING_CONDO_UNITS = "major STRING, minor STRING, unittype INT"
-KING_CONDO_COMPLEXES = "major STRING, constrclass INT"
-KITSAP_SALES_EARLY = "acct_no STRING, sale_dt STRING, price DOUBLE"
-KITSAP_SALES_LATE = (
-    "`tax parcel no.` STRING, `sale dt` STRING, price STRING"
-)
-KITSAP_PARCELS = "acct_no STRING, property_class INT"
-SNOHOMISH_SALES = (
-    "parcel_id STRING, prop_class INT, propertystreet STRING, sale_date STRING, "
-    "sale_price STRING, ownername1 STRING"
-)
+# Assessor extracts, for ``read_named``: the columns the jobs use, out of many more in the files. Keys
+# stay text so that leading zeros survive.
+KING_SALES = {
+    "major": "string", "minor": "string", "documentdate": "string", "saleprice": "double",
+    "buyername": "string", "propertytype": "int", "principaluse": "int",
+}
+KING_BUILDINGS = {
+    "major": "string", "minor": "string", "nbrlivingunits": "int", "sqfttotliving": "int",
+    "zipcode": "string",
+}
+KING_CONDO_UNITS = {"major": "string", "minor": "string", "unittype": "int"}
+KING_CONDO_COMPLEXES = {"major": "string", "constrclass": "int"}
+KITSAP_SALES_EARLY = {"acct_no": "string", "sale_dt": "string", "price": "double"}
+KITSAP_SALES_LATE = {"tax parcel no.": "string", "sale dt": "string", "price": "string"}
+KITSAP_PARCELS = {"acct_no": "string", "property_class": "int"}
+SNOHOMISH_SALES = {
+    "parcel_id": "string", "prop_class": "int", "propertystreet": "string", "sale_date": "string",
+    "sale_price": "string", "ownername1": "string",
+}
 
 # Column order of the headerless pipe-delimited extracts.
 PIERCE_SALES_COLUMNS = (

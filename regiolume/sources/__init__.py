@@ -2,6 +2,7 @@ from regiolume.sources.delimited import (
     lower_names,
     read_csv,
     read_delimited,
+    read_named,
     read_tagged,
     rename_by_position,
     text_schema,
@@ -19,6 +20,6 @@ from regiolume.sources.tables import inline_lookup, read_table
 
 __all__ = [
     "inline_lookup", "lower_names", "numbered_lines", "parse_lines", "read_below_titles",
-    "read_csv", "read_delimited", "read_header", "read_table", "read_tabs", "read_tagged",
+    "read_csv", "read_delimited", "read_header", "read_named", "read_table", "read_tabs", "read_tagged",
     "rename_by_position", "report_blocks", "text_schema", "write_csv", "write_report",
 ]

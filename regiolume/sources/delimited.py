@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,29 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType
     return spark.read.schema(schema).option("header", True).option("escape", '"').csv(paths)
 
 
+def read_named(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    columns: Mapping[str, str],
+    sep: str = ",",
+    encoding: str = "UTF-8",
+) -> DataFrame:
+    """Some columns of a wide file, found by the names in its header whatever their case.
+
+    Every file of the read must have the same header. Text that does not fit a column's type gives
+    NULL. Only the named columns are parsed.
+    """
+    table = (
+        spark.read.option("header", True)
+        .option("sep", sep)
+        .option("encoding", encoding)
+        .option("escape", '"')
+        .csv(paths)
+    )
+    table = table.toDF(*[c.strip().lower() for c in table.columns])
+    return table.select(*[F.col(f"`{name}`").try_cast(kind).alias(name) for name, kind in columns.items()])
+
+
 def read_delimited(
     spark: SparkSession,
     paths: str | Sequence[str],

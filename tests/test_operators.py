@@ -116,6 +116,19 @@ def test_share_rounds_the_operands_first(spark):
     assert rows(out) == [("a", "x", 1.0, 3.0, 1 / 3), ("a", "y", 1.0, 3.0, 1 / 3)]
 
 
+@FEW
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.sampled_from("pqr"), st.integers(1, 50)), min_size=1, max_size=30))
+def test_shares_add_up_to_one(spark, data):
+    df = spark.createDataFrame(data, "k string, p string, v int")
+    out = aggregate.share_within(df, ["k"], ["p"], F.col("v"))
+    for total in out.groupBy("k").agg(F.sum("share").alias("s")).collect():
+        assert total.s == pytest.approx(1.0)
+    back = joins.with_totals(df, ["k"], {"t": F.sum("v")})
+    assert back.count() == len(data) and {(r.k, r.t) for r in back.collect()} == {
+        (k, sum(v for kk, _, v in data if kk == k)) for k, _, _ in data
+    }
+
+
 @FEW
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.sampled_from([None, "p", "q"]), st.integers(0, 3)), max_size=30))
 def test_unique_rows_are_those_seen_once(spark, data):

@@ -2,9 +2,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from regiolume import sources
-from regiolume.plans import claims
+from regiolume import schema, sources
 from regiolume.operators.topk import slice_rows
+from regiolume.plans import claims, residential
 
 
 def put(path, body, encoding="utf-8"):
@@ -105,3 +105,24 @@ def test_tables_read_only_the_columns_asked_for(spark, tmp_path):
     spark.createDataFrame([(1, "x", "shape")], ["k", "name", "geometry"]).write.parquet(path)
     assert sources.read_table(spark, path, ["k", "name"]).columns == ["k", "name"]
     assert rows(sources.inline_lookup(spark, {"a": 1, "b": 2})) == [("a", 1), ("b", 2)]
+
+
+def test_assessor_extract_from_file_to_regional_schema(spark, tmp_path):
+    sales = put(tmp_path / "s.csv", 'ExciseTaxNbr,Major,Minor,DocumentDate,SalePrice,BuyerName,PropertyType,PrincipalUse,Note\n'
+                                    '1,"000001 ","0010",01/05/2020,350000,"PEÑA, A",3,6,x\n2,000002,0010,01/05/2020,0,B,3,6,x\n', "latin-1")
+    condos = put(tmp_path / "c.csv", "Major,Minor,UnitType\n000001,0010,1\n")
+    complexes = put(tmp_path / "x.csv", "Major,ConstrClass\n000009,1\n")
+    got = residential.king_sales(
+        sources.read_named(spark, sales, schema.KING_SALES, encoding="ISO-8859-1"),
+        sources.read_named(spark, condos, schema.KING_CONDO_UNITS),
+        sources.read_named(spark, complexes, schema.KING_CONDO_COMPLEXES),
+    )
+    assert rows(got) == [("000001-0010", 1, 2020, 350_000.0, 8, 5, "king")]
+
+
+def test_headerless_extract(spark, tmp_path):
+    line = ["e", "1", "0100", "01/05/2020", "350000", "d", "g", "BUYER", "1", "1", "", "", ""]
+    path = put(tmp_path / "sale.txt", "|".join(line) + "\n")
+    got = sources.read_delimited(spark, path, schema.PIERCE_SALES_COLUMNS, "|", "ISO-8859-1")
+    assert rows(got, "parcel_number", "sale_price", "grantee") == [("0100", "350000", "BUYER")]
+    assert len(schema.PIERCE_IMPROVEMENT_COLUMNS) == 25
