@@ -307,5 +307,5 @@ def share_of_group(t: Tables):
 )
 def ratio_of_sums(t: Tables):
     rows = customer_sales(t).join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    new, base = (aggregate.sum_when(F.col("yr") == y, "estimate").cast("double") for y in (2000, 1996))
-    return rows.groupBy("c_mktsegment").agg(numbers.ratio(new, base).alias("ratio"))
+    new, base = (F.when(F.col("yr") == y, F.col("estimate")) for y in (2000, 1996))
+    return rows.groupBy("c_mktsegment").agg(aggregate.ratio_of_sums(new, base).alias("ratio"))

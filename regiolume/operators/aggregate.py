@@ -46,7 +46,8 @@ def sum_when(test: Column, c: ColumnLike) -> Column:
 
 
 def ratio_of_sums(num: Column, den: Column) -> Column:
-    return ratio(F.sum(num), F.sum(den))
+    """Quotient of two sums, exact sums divided as doubles."""
+    return ratio(F.sum(num).cast("double"), F.sum(den).cast("double"))
 
 
 def unique_rows(df: DataFrame, keys: Sequence[ColumnLike]) -> DataFrame:
