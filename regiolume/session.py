@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Building long plans is faster when the call site of every column is not recorded.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
