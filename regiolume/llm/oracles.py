@@ -21,3 +21,50 @@ select doc_id, count(*) as n_lines, cast(sum(case when gone then 1 else 0 end) a
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
 from marked group by doc_id
 """
+
+DECONTAMINATION = r"""
+with d as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\x{80}-\x{10FFFF}]+') as w from documents
+), b as (
+  select item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\x{80}-\x{10FFFF}]+') as w from benchmark where item_id is not null
+), starts as (
+  select item_id, w, least(10, len(w)) as k, unnest(range(1, greatest(1, len(w) - 9) + 1)) as i from b where len(w) > 0
+), windows as (
+  select distinct item_id, k, array_to_string(w[i : i + k - 1], ' ') as s from starts
+), sizes as (
+  select distinct k from windows
+), places as (
+  select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as i from d, sizes where len(w) >= k
+), spots as (
+  select doc_id, i, k, array_to_string(w[i : i + k - 1], ' ') as s from places
+), hits as (
+  select p.doc_id, p.i, p.k, x.item_id from spots p join windows x on p.k = x.k and p.s = x.s
+), words as (
+  select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(range(i, i + k)) as j from hits) group by doc_id
+), items as (
+  select doc_id, count(*) as n_items, string_agg(s, ',' order by s) as ids
+  from (select distinct doc_id, cast(item_id as varchar) as s from hits) group by doc_id
+)
+select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join words using (doc_id) left join items using (doc_id)
+"""
+
+CHAT = r"""
+with turns as (
+  select conv_id, turn, role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn) filter (where role = 'assistant'), '')) as loss_sha256,
+       cast(sum(length('### ' || role || ': ' || '</turn>' || chr(10)) + length(text)
+         + length(regexp_replace(text, '[^\\#<]', '', 'g'))) as bigint) as formatted_chars
+from turns group by conv_id
+"""

@@ -6,11 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiolume.llm import oracles
+from regiolume.llm.chat import digests, events_of, format_conversations
 from regiolume.llm.common import table
+from regiolume.llm.decontam import find_contamination
 from regiolume.llm.line_dedup import dedup_lines
 from regiolume.llm.sharding import shuffle_into_shards
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -29,10 +41,23 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = r"\### Assistant: </turn> ok"
+    planted = spark.createDataFrame(
+        [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string"
+    )
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return digests(format_conversations(events_of(given.unionByName(planted))))
+
+
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op6_line_dedup": op6_line_dedup,
     "op8_sharding": op8_sharding,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 SQL = {
+    "op2_decontamination": oracles.DECONTAMINATION,
     "op6_line_dedup": oracles.LINE_DEDUP,
+    "op10_chat_formatting": oracles.CHAT,
 }
