@@ -68,3 +68,21 @@ select conv_id, count(*) as n_turns,
          + length(regexp_replace(text, '[^\\#<]', '', 'g'))) as bigint) as formatted_chars
 from turns group by conv_id
 """
+
+TOP_K = r"""
+with v as (
+  select distinct vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e
+  from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+), scored as (
+  select q.vec_id as query_id, c.vec_id,
+         max(cast(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) as bigint)) as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e)
+  where q.vec_id % 50 = 0 group by all
+), ranked as (
+  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
+         vec_id, score from scored
+)
+select * from ranked where rank <= 5
+"""

@@ -10,7 +10,13 @@ from regiolume.llm.chat import digests, events_of, format_conversations
 from regiolume.llm.common import table
 from regiolume.llm.decontam import find_contamination
 from regiolume.llm.line_dedup import dedup_lines
+from regiolume.llm.packing import pack_documents, token_lengths
 from regiolume.llm.sharding import shuffle_into_shards
+from regiolume.llm.topk import exact_top_k
+
+
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +34,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(token_lengths(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.coalesce(F.col("text"), F.lit(""))
     return shuffle_into_shards(table(spark, sf_dir, "documents")).select(
@@ -51,12 +61,15 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_top_k": op1_top_k,
     "op2_decontamination": op2_decontamination,
     "op6_line_dedup": op6_line_dedup,
+    "op7_packing": op7_packing,
     "op8_sharding": op8_sharding,
     "op10_chat_formatting": op10_chat_formatting,
 }
 SQL = {
+    "op1_top_k": oracles.TOP_K,
     "op2_decontamination": oracles.DECONTAMINATION,
     "op6_line_dedup": oracles.LINE_DEDUP,
     "op10_chat_formatting": oracles.CHAT,
