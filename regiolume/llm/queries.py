@@ -9,6 +9,7 @@ from regiolume.llm import oracles
 from regiolume.llm.chat import digests, events_of, format_conversations
 from regiolume.llm.common import table
 from regiolume.llm.decontam import find_contamination
+from regiolume.llm.language import identify, markup_language, markup_text, train, url_host, url_language
 from regiolume.llm.line_dedup import dedup_lines
 from regiolume.llm.packing import pack_documents, token_lengths
 from regiolume.llm.sharding import shuffle_into_shards
@@ -51,6 +52,23 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages, and documents with their label as the declared language and their source as the host."""
+    documents, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = train(documents.select(F.col("doc_id").alias("key"), "text", "lang"))
+    none = F.lit(None)
+    rows = documents.select(
+        "doc_id", none.cast("long").alias("page_id"), "text", F.col("lang").alias("declared"),
+        none.cast("string").alias("suffix"), F.col("source").alias("host"),
+    ).unionByName(pages.select(
+        none.cast("long").alias("doc_id"), "page_id", markup_text(F.col("html")).alias("text"),
+        markup_language(F.col("html")).alias("declared"), url_language(F.col("url")).alias("suffix"),
+        url_host(F.col("url")).alias("host"),
+    ))
+    evidence = [F.col(c) for c in ("text", "declared", "suffix", "host")]
+    return identify(rows, model, *evidence, keep=["doc_id", "page_id"])
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = r"\### Assistant: </turn> ok"
     planted = spark.createDataFrame(
@@ -66,6 +84,7 @@ QUERIES = {
     "op6_line_dedup": op6_line_dedup,
     "op7_packing": op7_packing,
     "op8_sharding": op8_sharding,
+    "op9_language_id": op9_language_id,
     "op10_chat_formatting": op10_chat_formatting,
 }
 SQL = {
