@@ -86,3 +86,31 @@ with v as (
 )
 select * from ranked where rank <= 5
 """
+
+JACCARD = r"""
+with recursive d as (
+  select doc_id, list_filter(str_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') as w from documents
+), places as (
+  select doc_id, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) as i from d where len(w) > 0
+), s as (
+  select distinct doc_id, array_to_string(w[i : i + 2], ' ') as sh from places
+), sizes as (
+  select doc_id, count(*) as n from s group by doc_id
+), common as (
+  select a.doc_id as x, b.doc_id as y, count(*) as n_both from s a join s b on a.sh = b.sh and a.doc_id < b.doc_id
+  group by all
+), links as (
+  select x, y from common join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+  where 100 * n_both >= 90 * (p.n + q.n - n_both)
+), near as (
+  select x, y from links union all select y, x from links
+), reach(doc_id, root) as (
+  select doc_id, doc_id from d
+  union
+  select n.y, r.root from reach r join near n on r.doc_id = n.x
+)
+select d.doc_id, coalesce(any_value(n), 0) as n_shingles, min(root) as component_id
+from d left join sizes using (doc_id) join reach using (doc_id) group by d.doc_id
+"""

@@ -9,6 +9,7 @@ from regiolume.llm import oracles
 from regiolume.llm.chat import digests, events_of, format_conversations
 from regiolume.llm.common import table
 from regiolume.llm.decontam import find_contamination
+from regiolume.llm.jaccard import jaccard_components
 from regiolume.llm.language import identify, markup_language, markup_text, train, url_host, url_language
 from regiolume.llm.line_dedup import dedup_lines
 from regiolume.llm.packing import pack_documents, token_lengths
@@ -30,6 +31,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_components(docs, width=3, percent=90).withColumnRenamed("id", "doc_id")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -81,6 +87,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_decontamination": op2_decontamination,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_line_dedup": op6_line_dedup,
     "op7_packing": op7_packing,
     "op8_sharding": op8_sharding,
@@ -90,6 +97,7 @@ QUERIES = {
 SQL = {
     "op1_top_k": oracles.TOP_K,
     "op2_decontamination": oracles.DECONTAMINATION,
+    "op5_jaccard_join": oracles.JACCARD,
     "op6_line_dedup": oracles.LINE_DEDUP,
     "op10_chat_formatting": oracles.CHAT,
 }
