@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from regiolume.llm.language import identify, markup_language, markup_text, train
 from regiolume.llm.line_dedup import dedup_lines
 from regiolume.llm.packing import pack_documents, token_lengths
 from regiolume.llm.sharding import shuffle_into_shards
+from regiolume.llm.token_output import read_token_ids, write_token_ids
 from regiolume.llm.topk import exact_top_k
 
 
@@ -31,6 +33,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return read_token_ids(write_token_ids(table(spark, sf_dir, "documents"), vocabulary))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_components(docs, width=3, percent=90).withColumnRenamed("id", "doc_id")
@@ -87,6 +94,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_decontamination": op2_decontamination,
+    "op4_token_output": op4_token_output,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_line_dedup": op6_line_dedup,
     "op7_packing": op7_packing,
