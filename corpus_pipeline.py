@@ -1,14 +1,73 @@
-"""The corpus pipeline: stages that each apply one operator to what the stage before kept."""
+"""The corpus pipeline: stages that each apply one operator to what the stage before kept.
+
+Each stage takes ``(spark, docs, sf_dir)``; ``docs`` has the columns of ``documents``. NULL values, empty and very long
+texts, repeated rows and empty tables have the results that the operators define; further columns pass through.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from regiolume.llm.common import table
+from regiolume.llm.common import id_or_least, table
+from regiolume.llm.decontam import find_contamination
+from regiolume.llm.jaccard import jaccard_components
+from regiolume.llm.language import identify, train
+from regiolume.llm.line_dedup import dedup_lines
+from regiolume.llm.packing import pack_documents, token_lengths
 from regiolume.session import stage
 
-STAGES: list = []
-#: Language scores and packing have no SQL; the tests hold the stages against brute force.
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language. The label is the declared language, the source the host. What the operator rejects
+    (text without letters, or in no language of the model) goes; the few rejected ids are staged, so that
+    Spark knows their size when it joins."""
+    given = docs.select(
+        id_or_least("doc_id").alias("id"), F.xxhash64("text").alias("mark"), "text", "lang", "source"
+    )
+    model = train(given.select(F.col("id").alias("key"), "text", "lang"))
+    found = identify(
+        given, model, F.col("text"), F.col("lang"), F.lit(None).cast("string"), F.col("source"), keep=["id", "mark"]
+    )
+    rejected = stage(found.where(~F.col("accepted")).select("id", "mark").distinct(), "rejected")
+    same = (id_or_least("doc_id") == F.col("id")) & (F.xxhash64("text") == F.col("mark"))
+    return docs.join(rejected, same, "left_anti")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that an earlier document has; ``n_chars`` follows the text."""
+    kept = dedup_lines(docs)
+    columns = [F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
+    return kept.select(columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by a similarity of 0.8 on shingles of five words, the document of the smallest id."""
+    found = jaccard_components(docs, width=5, percent=80)
+    first = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(id_or_least("id").alias("__first"))
+    return docs.join(stage(first, "first"), id_or_least("doc_id") == F.col("__first"), "left_semi")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a test item occurs."""
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.where(F.col("n_hit") == 0).select([F.col(f"`{c}`") for c in docs.columns])
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every remaining document, or of its pieces, in a training sequence."""
+    return pack_documents(token_lengths(docs)).withColumnRenamed("id", "doc_id")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
+#: Language scores, the order of packing and the connected components of a whole corpus have no usable SQL; the tests
+#: hold every stage against brute force.
 ORACLE_SQL = None
 
 
