@@ -112,33 +112,62 @@ def text_scores(column: pa.Array, model: np.ndarray) -> tuple[np.ndarray, np.nda
     return total[:, :-1] / np.maximum(n, 1)[:, None], n.astype(np.int64)
 
 
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    odds = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return odds / odds.sum(axis=1, keepdims=True)
+
+
 def _scorer(names: list[str], model):
+    """Scores of the text and the probabilities they give on their own."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             mean, n = text_scores(batch.column("__text"), model.value)
             scores = mean * (3 * np.sqrt(n))[:, None]  # trigrams overlap and repeat: evidence grows with the root
-            added = [pa.array(n), *(pa.array(np.ascontiguousarray(s)) for s in scores.T)]
+            both = np.concatenate([scores, _softmax(scores) if len(scores) else scores], axis=1)
+            added = [pa.array(n), *(pa.array(np.ascontiguousarray(c)) for c in both.T)]
+            kinds = [f"__{kind}{i}" for kind in "lp" for i in range(scores.shape[1])]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in names], *added], [*names, "__n", *(f"__l{i}" for i in range(scores.shape[1]))]
+                [*[batch.column(c) for c in names], *added], [*names, "__n", *kinds]
             )
 
     return run
 
 
-def _softmax(scores: list[Column], at: int) -> Column:
-    top = F.greatest(*scores)
-    return F.exp(scores[at] - top) / sum((F.exp(s - top) for s in scores[1:]), F.exp(scores[0] - top))
+def _fuser(names: list[str], known: tuple[str, ...], share: np.ndarray, smooth: float, least: float, by_label, by_suffix):
+    """Scores of the text, host priors without the row itself, and the evidence of label and suffix, added up."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column = lambda name: batch.column(name).to_numpy(zero_copy_only=False)
+            many = lambda kind: np.stack([column(f"__{kind}{i}") for i in range(len(known))], axis=1)
+            text, own, n = many("l"), many("p"), column("__n")
+            prior = share[None, :]
+            for kind in "dh":  # the domain is smoothed towards all rows, the host towards its domain
+                others = np.maximum(many(kind) - own, 0) + smooth * prior
+                prior = others / others.sum(axis=1, keepdims=True)
+            label = np.stack([by_label[x] for x in batch.column("__declared").to_pylist()])
+            suffix = np.stack([by_suffix[x] for x in batch.column("__suffix").to_pylist()])
+            found = _softmax(text + np.log(prior) + label + suffix)
+            best = found.argmax(axis=1)
+            top = found[np.arange(len(best)), best]
+            good = (best < len(known) - 1) & (top >= least) & (n > 0)
+            results = [pa.array([known[i] for i in best]), pa.array(top), pa.array(good)]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in names], *results], [*names, "language", "probability", "accepted"]
+            )
 
-def _evidence(ev: DataFrame, column: str, n: int, smooth: float) -> Column:
-    """Array of log P(value of the column | language), from counts over all rows; the column has a few values at most."""
+    return run
+
+
+def _evidence(ev: DataFrame, column: str, n: int, smooth: float = 1.0) -> dict[str, np.ndarray]:
+    """Log P(value of the column | language) for its few values, from counts over all rows."""
     rows = ev.groupBy(column).agg(*[F.sum(f"__p{i}").alias(f"s{i}") for i in range(n)]).collect()
-    total = [sum(r[f"s{i}"] for r in rows) + smooth * max(1, len(rows)) for i in range(n)]
-    found = F.lit(None).cast("array<double>")
-    for r in rows:
-        logs = [math.log((r[f"s{i}"] + smooth) / total[i]) for i in range(n)]
-        found = F.when(F.col(column) == r[column], F.array(*map(F.lit, logs))).otherwise(found)
-    return F.coalesce(found, F.array(*[F.lit(0.0)] * n))
+    counts = np.array([[r[f"s{i}"] for i in range(n)] for r in rows]).reshape(-1, n) + smooth
+    logs = np.log(counts / counts.sum(axis=0))
+    return {r[column]: logs[i] for i, r in enumerate(rows)}
 
 
 def identify(
@@ -178,43 +207,23 @@ def identify(
     )
     names = [*keep, "__declared", "__suffix", "__host", "__domain"]
     fields = [given.schema[c] for c in names] + [T.StructField("__n", T.LongType())]
-    fields += [T.StructField(f"__l{i}", T.DoubleType()) for i in range(n)]
+    fields += [T.StructField(f"__{kind}{i}", T.DoubleType()) for kind in "lp" for i in range(n)]
     shared = rows.sparkSession.sparkContext.broadcast(model)
     ev = stage(given.mapInArrow(_scorer(names, shared), T.StructType(fields)), "language-evidence")
-    by_text = [F.col(f"__l{i}") for i in range(n)]
-    ev = ev.withColumns({f"__p{i}": _softmax(by_text, i) for i in range(n)})
-
-    hosts = ev.groupBy("__host", "__domain").agg(
-        F.count(F.lit(1)).alias("__hn"), *[F.sum(f"__p{i}").alias(f"__h{i}") for i in range(n)]
-    )
-    hosts = stage(hosts, "hosts")
-    domains = hosts.groupBy("__domain").agg(
-        F.sum("__hn").alias("__dn"), *[F.sum(f"__h{i}").alias(f"__d{i}") for i in range(n)]
-    )
-    whole = hosts.agg(F.sum("__hn").alias("n"), *[F.sum(f"__h{i}").alias(f"s{i}") for i in range(n)]).first()
-    share = [((whole[f"s{i}"] or 0.0) + 1) / ((whole["n"] or 0) + n) for i in range(n)]
+    sums = lambda old, new: [F.sum(f"__{old}{i}").alias(f"__{new}{i}") for i in range(n)]
+    hosts = stage(ev.groupBy("__host", "__domain").agg(*sums("p", "h")), "hosts")
+    domains = hosts.groupBy("__domain").agg(*sums("h", "d"))
+    whole = hosts.agg(*sums("h", "s")).first()
+    share = np.array([(whole[f"__s{i}"] or 0.0) + 1 for i in range(n)])
     priors = stage(hosts.join(domains, "__domain").drop("__domain"), "priors")
-    met = ev.join(priors, "__host")
-    own = lambda kind, i: F.greatest(F.col(f"__{kind}{i}") - F.col(f"__p{i}"), F.lit(0.0))
-    others = lambda kind: F.col(f"__{kind}n") - 1
-    domain = [(own("d", i) + smooth * share[i]) / (others("d") + smooth) for i in range(n)]
-    prior = [(own("h", i) + smooth * domain[i]) / (others("h") + smooth) for i in range(n)]
-    met = met.withColumns({
-        "__by_label": _evidence(ev, "__declared", n, 1.0), "__by_suffix": _evidence(ev, "__suffix", n, 1.0)
-    })
-    met = met.withColumns({
-        f"__s{i}": by_text[i] + F.log(prior[i]) + F.col("__by_label")[i] + F.col("__by_suffix")[i] for i in range(n)
-    })
-    fused = [F.col(f"__s{i}") for i in range(n)]
-    met = met.withColumns({f"__q{i}": _softmax(fused, i) for i in range(n)})
-    best = F.greatest(*[F.struct(F.col(f"__q{i}").alias("p"), F.lit(known[i]).alias("language")) for i in range(n)])
-    met = met.withColumn("__best", best)
-    return met.select(
-        *[F.col(f"`{c}`") for c in keep],
-        F.col("__best.language").alias("language"),
-        F.col("__best.p").alias("probability"),
-        ((F.col("__best.language") != UNKNOWN) & (F.col("__best.p") >= least) & (F.col("__n") > 0)).alias("accepted"),
+    fuse = _fuser(
+        keep, known, share / share.sum(), smooth, least, _evidence(ev, "__declared", n), _evidence(ev, "__suffix", n)
     )
+    schema = [given.schema[c] for c in keep] + [
+        T.StructField("language", T.StringType()), T.StructField("probability", T.DoubleType()),
+        T.StructField("accepted", T.BooleanType()),
+    ]
+    return ev.join(priors, "__host").mapInArrow(fuse, T.StructType(schema))
 
 
 def markup_text(html: Column) -> Column:
