@@ -72,10 +72,16 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte ranges, by prefix sums of a polynomial in a random value for each byte."""
-    powers, back = _powers(len(data) + 1)
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """Sums of a polynomial in a random value for each byte, up to every place."""
     sums = np.empty(len(data) + 1, np.uint64)
     sums[0] = 0
-    np.cumsum(_RANDOM[:256][data] * powers[: len(data)], out=sums[1:])
+    np.cumsum(_RANDOM[:256][data] * _powers(len(data) + 1)[0][: len(data)], out=sums[1:])
+    return sums
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of byte ranges; equal ranges have equal hashes wherever they stand."""
+    sums = prefix_sums(data) if sums is None else sums
+    back = _powers(len(data) + 1)[1]
     return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))

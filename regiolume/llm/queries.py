@@ -14,6 +14,7 @@ from regiolume.llm.jaccard import jaccard_components
 from regiolume.llm.language import identify, markup_language, markup_text, train, url_host, url_language
 from regiolume.llm.line_dedup import dedup_lines
 from regiolume.llm.packing import pack_documents, token_lengths
+from regiolume.llm.repeats import remove_repeats
 from regiolume.llm.sharding import shuffle_into_shards
 from regiolume.llm.token_output import read_token_ids, write_token_ids
 from regiolume.llm.topk import exact_top_k
@@ -33,6 +34,13 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return read_token_ids(write_token_ids(table(spark, sf_dir, "documents"), vocabulary))
@@ -94,6 +102,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_decontamination": op2_decontamination,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_token_output": op4_token_output,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_line_dedup": op6_line_dedup,
