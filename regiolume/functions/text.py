@@ -69,7 +69,9 @@ def concat_key(cols: Sequence[ColumnLike], sep: str = "_") -> Column:
 
 
 def title_case(c: ColumnLike) -> Column:
-    return F.initcap(F.lower(as_col(c)))
+    """Every word with a capital; a word starts after a blank and after a hyphen."""
+    words = F.initcap(F.replace(F.lower(as_col(c)), F.lit("-"), F.lit("- ")))
+    return F.replace(words, F.lit("- "), F.lit("-"))
 
 
 def wrap_text(c: ColumnLike, width: int) -> Column:

@@ -53,17 +53,15 @@ def ratio_of_sums(num: Column, den: Column) -> Column:
 def unique_rows(df: DataFrame, keys: Sequence[ColumnLike]) -> DataFrame:
     """Rows whose key occurs exactly once; bulk transactions with a repeated key vanish altogether.
 
-    One aggregation: a key of one row needs no choice between rows, and repeated keys shrink to one
-    row per map task before the shuffle.
+    Only the keys are counted, in a hash aggregation that shrinks repeated keys to one row per map task; the rows of
+    the keys that stand alone are then found by a semi join. A missing key equals a missing key.
     """
     named = [as_col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
-    record = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    return (
-        df.groupBy(*named)
-        .agg(F.count(F.lit(1)).alias("__n"), F.first(record).alias("__row"))
-        .filter(F.col("__n") == 1)
-        .select("__row.*")
-    )
+    counts = df.groupBy(*named).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") == 1)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & as_col(k).eqNullSafe(F.col(f"__k{i}"))
+    return df.join(counts, same, "left_semi")
 
 
 def share_within(

@@ -30,10 +30,12 @@ def exclude_pairs(df: DataFrame, a: str, b: str, pairs: Sequence[tuple[Any, Any]
 
 
 def drop_any_null(df: DataFrame) -> DataFrame:
-    """Drop a row when any of its columns is missing."""
+    """Drop a row when any of its columns is missing; a number that is NaN is missing."""
     filled = F.lit(True)
-    for c in df.columns:
+    for c, kind in df.dtypes:
         filled = filled & F.col(f"`{c}`").isNotNull()
+        if kind in ("double", "float"):
+            filled = filled & ~F.isnan(f"`{c}`")
     return df.filter(filled)
 
 

@@ -91,6 +91,8 @@ def lookup(
 
     The table is a local relation, so Spark knows its size and decides about a broadcast by itself.
     """
+    if not table:
+        return df.withColumn(into, F.lit(default))
     side = inline_lookup(df.sparkSession, table, "__from", "__to")
     out = df.join(side, F.col(c) == F.col("__from"), "left")
     found = F.col("__to") if default is None else F.coalesce(F.col("__to"), F.lit(default))

@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiolume.operators.joins import left_join
 
 # Buckets per unit of log1p(|value|): neighbours differ by about half a per mille.
 RESOLUTION = 2000
+# Pieces that the bucket with the wanted rank is cut into.
+PIECES = 4096
+
+
+def _same(keys: Sequence[str]) -> Column:
+    """Join test of a group with its own row on the other side."""
+    test = F.lit(True)
+    for i, k in enumerate(keys):
+        test = test & F.col(k).eqNullSafe(F.col(f"__key_{i}"))
+    return test
 
 
 def exact_quantile(
@@ -20,41 +30,51 @@ def exact_quantile(
 
     Spark's own ``percentile`` holds all distinct values of a group in one buffer. Here equal values
     are counted first, spread by (group, value); a histogram over fixed monotone buckets, at most a
-    few ten thousand rows per group, tells which bucket holds the wanted ranks; only the values of
-    that bucket are put in order. Missing values are left out; a group without values has no row.
+    few ten thousand rows per group, tells which bucket holds the wanted ranks. That bucket is cut again into
+    ``PIECES`` of equal width between its own smallest and largest value, and only the values of the wanted
+    piece are put in order. Missing values and NaN are left out; a group without values has no row. Values
+    are doubles: whole numbers beyond 2**53 lose their last digits.
     """
     keys = list(keys)
     v = F.col(value).cast("double")
     counts = (
-        df.filter(F.col(value).isNotNull())
+        df.filter(F.col(value).isNotNull() & ~F.isnan(v))
         .groupBy(*keys, v.alias("__v"))
         .agg(F.count(F.lit(1)).alias("__n"))
         .withColumn("__b", F.floor(F.signum("__v") * F.log1p(F.abs("__v")) * RESOLUTION))
         # Said here so that both uses below are the same plan and the counts are computed once.
         .filter(F.col("__b").isNotNull())
     )
-    by_bucket = Window.partitionBy(*keys).orderBy("__b")
-    whole = Window.partitionBy(*keys)
     rank = (F.col("__size") - 1) * F.lit(float(q))
-    buckets = (
-        counts.groupBy(*keys, "__b")
-        .agg(F.sum("__n").alias("__bn"))
-        .withColumn("__before", F.sum("__bn").over(by_bucket) - F.col("__bn"))
-        .withColumn("__size", F.sum("__bn").over(whole))
-        .withColumn("__lo", F.floor(rank))
-        .withColumn("__hi", F.ceil(rank))
-        .filter((F.col("__before") <= F.col("__hi")) & (F.col("__before") + F.col("__bn") > F.col("__lo")))
-        .select(
-            *[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)],
-            F.col("__b").alias("__bucket"), "__before", "__lo", "__hi", (rank - F.col("__lo")).alias("__f"),
-        )
+    by_bucket = Window.partitionBy(*keys).orderBy("__b")
+    buckets = counts.groupBy(*keys, "__b").agg(
+        F.sum("__n").alias("__pn"), F.min("__v").alias("__least"), F.max("__v").alias("__most")
     )
-    same = F.col("__b") == F.col("__bucket")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"__key_{i}"))
-    in_bucket = Window.partitionBy(*keys, "__b").orderBy("__v")
-    upto = F.col("__before") + F.sum("__n").over(in_bucket)
-    ranked = counts.join(buckets, same).withColumn("__upto", upto)
+    buckets = buckets.withColumn("__before", F.sum("__pn").over(by_bucket) - F.col("__pn"))
+    buckets = buckets.withColumn("__size", F.sum("__pn").over(Window.partitionBy(*keys)))
+    buckets = buckets.withColumn("__lo", F.floor(rank)).withColumn("__hi", F.ceil(rank))
+    held = (F.col("__before") <= F.col("__hi")) & (F.col("__before") + F.col("__pn") > F.col("__lo"))
+    buckets = buckets.filter(held).select(
+        *[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)], F.col("__b").alias("__bucket"),
+        "__before", "__lo", "__hi", (rank - F.col("__lo")).alias("__f"), "__least", "__most",
+    )
+    wide = F.col("__most") - F.col("__least")
+    piece = F.when(wide > 0, F.floor((F.col("__v") - F.col("__least")) / wide * PIECES)).otherwise(0)
+    inner = counts.join(buckets, _same(keys) & (F.col("__b") == F.col("__bucket"))).select(
+        *keys, "__b", "__v", "__n", "__before", "__lo", "__hi", "__f", piece.alias("__piece")
+    )
+    pieces = inner.groupBy(*keys, "__b", "__piece").agg(
+        F.sum("__n").alias("__pn"), F.max("__before").alias("__base"), F.max("__lo").alias("__l"), F.max("__hi").alias("__h")
+    )
+    earlier = F.sum("__pn").over(Window.partitionBy(*keys, "__b").orderBy("__piece")) - F.col("__pn")
+    pieces = pieces.withColumn("__start", F.col("__base") + earlier)
+    pieces = pieces.filter((F.col("__start") <= F.col("__h")) & (F.col("__start") + F.col("__pn") > F.col("__l"))).select(
+        *[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)],
+        F.col("__b").alias("__bucket"), F.col("__piece").alias("__part"), "__start",
+    )
+    same = _same(keys) & (F.col("__b") == F.col("__bucket")) & (F.col("__piece") == F.col("__part"))
+    in_piece = Window.partitionBy(*keys, "__b", "__piece").orderBy("__v")
+    ranked = inner.join(pieces, same).withColumn("__upto", F.col("__start") + F.sum("__n").over(in_piece))
 
     def at(rank_name: str):
         r = F.col(rank_name)

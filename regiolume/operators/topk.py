@@ -36,10 +36,21 @@ def order_by_measure(df: DataFrame, measure: str, *then: str) -> DataFrame:
 def slice_rows(df: DataFrame, first: int, last: int | None, order: str = "pos", per: Sequence[str] = ("file",)) -> DataFrame:
     """Rows ``first``..``last`` of each file by position, counted from 1 over the rows that are left.
 
-    With a last row Spark keeps at most that many rows per file in each task.
+    Spark keeps at most ``last`` rows per file in each task. Without a last row only the position of row ``first`` is
+    looked for in that way, one row per file, and the rows from there on are kept where they are.
     """
+    if last is None and first <= 1:
+        return df
     place = F.row_number().over(Window.partitionBy(*per).orderBy(order))
-    out = df.withColumn("__place", place)
     if last is not None:
-        out = out.filter(F.col("__place") <= last)
-    return out.filter(F.col("__place") >= first).drop("__place")
+        out = df.withColumn("__place", place).filter(F.col("__place") <= last)
+        return out.filter(F.col("__place") >= first).drop("__place")
+    named = {k: f"__file_{i}" for i, k in enumerate(per)}
+    starts = df.select(*per, order).withColumn("__place", place).filter(F.col("__place") <= first)
+    starts = starts.filter(F.col("__place") == first).select(
+        *[F.col(k).alias(name) for k, name in named.items()], F.col(order).alias("__start")
+    )
+    test = F.col(order) >= F.col("__start")
+    for k, name in named.items():
+        test = F.col(k).eqNullSafe(F.col(name)) & test
+    return df.join(starts, test).select(df.columns)

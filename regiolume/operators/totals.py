@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from regiolume.functions.recode import not_in_keep_null
 from regiolume.functions.text import strip_part_suffix
 from regiolume.operators.aggregate import strict_sum
+from regiolume.operators.setops import stack
 
 
 def _sums(values: Sequence[str], is_strict: bool) -> list[Column]:
@@ -31,23 +32,17 @@ def add_rollup(
 ) -> DataFrame:
     """Sum per key plus, for rows that pass ``members``, sums under changed keys.
 
-    ``into`` gives the keys of the derived rows: a constant or an expression over the keys.
+    ``into`` gives the keys of the derived rows: a constant or an expression over the keys. Derived rows are added below the
+    others: a row that already has such a key stays as it is, beside the derived one.
     """
     base = df.groupBy(*keys).agg(*_sums(values, is_strict))
-    own = F.struct(*[F.col(k) for k in keys])
     moved = F.struct(*[
         (into[k] if isinstance(into[k], Column) else F.lit(into[k])).alias(k) if k in into else F.col(k)
         for k in keys
     ])
-    if members is not None:
-        moved = F.when(members, moved)
-    both = F.array_compact(F.array(own, moved))
-    return (
-        base.select(F.explode(both).alias("__key"), *values)
-        .select("__key.*", *values)
-        .groupBy(*keys)
-        .agg(*_sums(values, is_strict))
-    )
+    parts = base if members is None else base.filter(members)
+    derived = parts.select(moved.alias("__key"), *values).select("__key.*", *values)
+    return stack(base, derived.groupBy(*keys).agg(*_sums(values, is_strict)).select(base.columns))
 
 
 def add_total(

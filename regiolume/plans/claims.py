@@ -111,10 +111,11 @@ def with_titles(rows: DataFrame, width: int = 10, dropped: Sequence[str] = ("Und
     return rows.filter(~F.col("demographic").isin(*dropped)).withColumn("demographic_titles", title)
 
 
-def weekly_claims(lines: DataFrame, first: int = rules.WEEKLY_CLAIM_LINES[0], last: int | None = rules.WEEKLY_CLAIM_LINES[1]) -> DataFrame:
+def weekly_claims(lines: DataFrame, first: int = rules.WEEKLY_CLAIM_FIRST_LINE, last: int | None = None) -> DataFrame:
     """Weekly claims from report text: two years side by side become ``(date, day, variable, value)``.
 
-    ``day`` is the date in the later year's calendar, so that both years can be laid over each other.
+    ``day`` is the date in the later year's calendar, so that both years can be laid over each other. Lines that are no
+    week of the report are dropped; ``first`` and ``last`` narrow the lines that are looked at.
     """
     names = ["date", "Initial Claims", "Weekly Change", "Percent Change", "4 Week Average"]
     earlier = [(i, n) for i, n in enumerate(names)] + [(5, "day")]

@@ -19,7 +19,7 @@ RATIO_COLUMN = "_ratio$"
 def hourly_ratios(segments: DataFrame, year: str = "year", missing: float | None = 1.0, ratio_digits: int | None = 2) -> DataFrame:
     """Wide segment table (one column per hour) to one row per segment and hour.
 
-    A missing number counts as ``missing`` (a free road); pass ``None`` to drop missing ratios.
+    A missing number counts as ``missing`` (a free road); pass ``None`` to leave it missing.
     """
     hours = names_like(segments, RATIO_COLUMN)
     width = F.col("miles") if missing is None else fill_null("miles", missing)
@@ -27,9 +27,7 @@ def hourly_ratios(segments: DataFrame, year: str = "year", missing: float | None
     narrow = segments.select(F.col(year).alias("year"), (width * lanes).alias("lane_miles"), *quoted(hours))
     long = unpivot_like(narrow, RATIO_COLUMN, "label", "ratio", cast="double")
     value: Column = F.col("ratio")
-    if missing is None:
-        long = long.filter(value.isNotNull())
-    else:
+    if missing is not None:
         value = fill_null(value, missing)
     if ratio_digits is not None:
         value = F.bround(value, ratio_digits)
@@ -74,19 +72,18 @@ def heavy_share_by_hour(
 ) -> DataFrame:
     """Lane-miles at or under the threshold per year and hour, and their share of the year's lane-miles.
 
-    Missing ratios are dropped. ``legacy`` sums the ratios instead of the lane-miles and divides
-    every year by the lane-miles of ``divisor_year``.
+    Missing ratios count as not congested, so an hour without ratios has 0. Every segment stands once under each hour,
+    so the lane-miles of an hour are those of the year, and one aggregation gives both. ``legacy`` sums the ratios instead of the
+    lane-miles and divides every year by the lane-miles of ``divisor_year``.
     """
     long = hourly_ratios(segments, year, missing=None, ratio_digits=None)
     measure = F.col("ratio") if legacy else F.col("lane_miles")
     congested = long.groupBy("year", "hour").agg(
-        F.coalesce(F.sum(F.when(F.col("ratio") <= threshold, measure)), F.lit(0.0)).alias("congested_miles")
+        F.coalesce(F.sum(F.when(F.col("ratio") <= threshold, measure)), F.lit(0.0)).alias("congested_miles"),
+        F.sum("lane_miles").alias("total"),
     )
-    lane_miles = F.sum(F.col("miles") * F.col("thrulanes"))
     if legacy:
+        lane_miles = F.sum(F.col("miles") * F.col("thrulanes"))
         total = segments.filter(F.col(year) == divisor_year).agg(lane_miles).scalar()
-        return congested.withColumn("share", ratio("congested_miles", total))
-    totals = segments.groupBy(F.col(year).alias("year")).agg(lane_miles.alias("total"))
-    return congested.join(totals, "year").select(
-        "year", "hour", "congested_miles", ratio("congested_miles", "total").alias("share")
-    )
+        return congested.drop("total").withColumn("share", ratio("congested_miles", total))
+    return congested.select("year", "hour", "congested_miles", ratio("congested_miles", "total").alias("share"))

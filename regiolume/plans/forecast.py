@@ -10,14 +10,11 @@ from pyspark.sql import functions as F
 from regiolume.functions.dates import quarter_start
 from regiolume.functions.numbers import unit_scale
 from regiolume.functions.recode import case_when
-from regiolume.functions.text import recode_chain
 from regiolume.operators.filters import drop_any_null
-from regiolume.operators.reshape import split_into, unpivot_except
+from regiolume.operators.reshape import unpivot_except
 from regiolume.operators.series import Event, event_curves, return_to_peak
 from regiolume.plans import rules
 
-# What is left of a quarter number in the heads after a binary round trip.
-HEAD_REPAIRS = (("0999999999999\\d*", "1"), ("4000000000001\\d*", "4"))
 TIMES = {"thousands": 1_000, "billions": 1_000_000_000, "as is": 1}
 OVER = {"shares": 100}
 
@@ -41,10 +38,12 @@ def forecast(table: DataFrame) -> DataFrame:
     metric, _, *quarters = table.columns
     rows = drop_any_null(table).select(F.col(f"`{metric}`").alias("metric"), *[F.col(f"`{q}`") for q in quarters])
     long = unpivot_except(rows, ["metric"], "head", "value", "double")
-    parts = split_into(long, "head", ["year", "q"], r"\.")
-    quarter = quarter_start(F.col("year").try_cast("int"), recode_chain("q", HEAD_REPAIRS).try_cast("int"))
+    # Heads are years with the quarter as tenths; a binary round trip leaves 1996.2999999999999 for 1996.3.
+    tenths = F.round(F.col("head").try_cast("double") * 10).cast("long")
+    q = F.pmod(tenths, F.lit(10)).cast("int")
+    quarter = quarter_start(F.floor(tenths / 10).cast("int"), F.when(q.between(1, 4), q))
     estimate = unit_scale("value", unit_class("metric"), TIMES, OVER)
-    return parts.select("metric", quarter.alias("quarter"), estimate.alias("estimate"))
+    return long.select("metric", quarter.alias("quarter"), estimate.alias("estimate"))
 
 
 def recession_curves(data: DataFrame, events: Sequence[Event] = rules.RECESSIONS, metric: str = rules.FORECAST_JOBS) -> DataFrame:

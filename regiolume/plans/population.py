@@ -161,7 +161,7 @@ def postcensal_population(table: DataFrame, counties: Sequence[str] = rules.COUN
     named = table.select(*[F.col(f"`{c}`") for c in table.columns if "." not in c and c != "Line"])
     rows = _postcensal(named, "Population", counties)
     doubled = [f"{y} Postcensal Estimate of Total Population" for y in rules.CENSUS_YEARS]
-    rows = rows.filter(not_in_keep_null("head", doubled)).withColumn("variable", F.substring("head", 6, 1000)).drop("head")
+    rows = rows.filter(not_in_keep_null("head", doubled)).withColumn("variable", sub_text("head", 6)).drop("head")
     return _with_levels(rows).withColumn("variable", F.lit("Population"))
 
 

@@ -137,7 +137,7 @@ INITIAL_CLAIM_DROPPED = {
     "Education": (),
 }
 
-WEEKLY_CLAIM_LINES = (6, 57)
+WEEKLY_CLAIM_FIRST_LINE = 6
 WEEKLY_CLAIM_SERIES = ("Initial Claims", "Weekly Change", "4 Week Average")
 
 TRANSIT_REPORTERS = ("1", "3", "5", "20", "23", "29", "35", "40", "54")

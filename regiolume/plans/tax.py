@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from regiolume.functions.dates import parse_quarter
 from regiolume.functions.numbers import ratio
 from regiolume.functions.recode import category_rank, null_if
-from regiolume.functions.text import remove_all, replace_first
+from regiolume.functions.text import replace_first
 from regiolume.operators.aggregate import strict_sum
 from regiolume.operators.filters import drop_any_null
-from regiolume.operators.joins import left_join
+from regiolume.operators.joins import assert_unique, left_join
 from regiolume.operators.reshape import pivot_periods
 from regiolume.operators.series import forward_fill
 from regiolume.plans import rules
@@ -23,21 +23,27 @@ from regiolume.plans import rules
 BLOCK_ROWS = 100_000
 
 
-def quarterly_sales(table: DataFrame, order: str = "pos", per: Sequence[str] = (), block: Column | None = None) -> DataFrame:
+def quarterly_sales(
+    table: DataFrame, order: str = "pos", per: Sequence[str] | None = None, block: Column | None = None
+) -> DataFrame:
     """Label rows mixed with quarter rows to ``(geography, quarter, tax_type, total)``.
 
-    A row whose first column holds no quarter names the place of the rows below it. ``order`` is the
-    row's place in its file and ``block`` cuts long files into pieces for the fill.
+    A row whose first column holds no quarter, of whatever year, names the place of the rows below it. ``order`` is the
+    row's place in its file and ``block`` cuts long files into pieces for the fill. ``per`` tells files
+    apart, by default the column ``file`` where there is one; a place that occurs twice is an error.
     """
+    if per is None:
+        per = ("file",) if "file" in table.columns else ()
     block = F.floor(F.col(order) / BLOCK_ROWS) if block is None else block
-    label = null_if(remove_all("Year", r"Quarter [1-4]|\b20(?:1[5-9]|2[01])\b"), " ")
+    assert_unique(table, [*per, order])
+    quarter = parse_quarter("Year")
     rows = table.select(
-        *per, order, label.alias("geography"), replace_first("Year", " Quarter ", ":Q").alias("quarter"),
+        *per, order, F.when(quarter.isNull(), null_if("Year", " ")).alias("geography"), quarter.alias("quarter"),
         null_if("`Tax.Type`", " ").alias("tax_type"),
         null_if(F.col("`Total.Taxable`").cast("string"), " ").try_cast("double").alias("total"),
     )
     filled = forward_fill(rows, "geography", order, list(per), block)
-    typed = filled.select("geography", parse_quarter("quarter").alias("quarter"), "tax_type", "total")
+    typed = filled.select("geography", "quarter", "tax_type", "total")
     return drop_any_null(typed)
 
 

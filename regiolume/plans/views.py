@@ -6,6 +6,8 @@ literal in the plan, so the filter and the choice of column reach the file scan.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +25,6 @@ INJURY_STEPS = (("Fatality", "Traffic Related Deaths"), ("Serious Injury", "Seri
 COLLISION_MEASURES = ("injuries", "collisions", "injury_rate_per_100k", "collision_rate_per_100k")
 SALES_MEASURES = ("price", "sales", "listings", "inventory")
 OBSERVED_TRAVEL = "Observed VMT"
-UNFINISHED_MONTH = "May-2023"
 PASSENGERS = ("Subtotal - Domestic Passengers", "Subtotal - International Passengers")
 FREIGHT = ("Subtotal - Domestic Air Freight", "Subtotal - International Air Freight")
 
@@ -39,10 +40,11 @@ def clean_collisions(table: DataFrame) -> DataFrame:
     })
 
 
-def clean_jobs(table: DataFrame, first_year: int = 2015) -> DataFrame:
+def clean_jobs(table: DataFrame, first_year: int = 2015, unfinished: Sequence[str] = ()) -> DataFrame:
+    """Months from ``first_year`` on; months named ``unfinished`` (``May-2023``) are left out."""
     rows = table.withColumn("date", parse_date(F.col("date").cast("string"), "ymd"))
     rows = rows.filter(F.year("date") >= first_year).withColumn("year", month_label("date"))
-    return rows.filter(F.col("year") != UNFINISHED_MONTH)
+    return rows.filter(not_in_keep_null("year", list(unfinished))) if unfinished else rows
 
 
 def clean_unemployment(table: DataFrame) -> DataFrame:
@@ -158,18 +160,18 @@ def airport_freight(table: DataFrame) -> DataFrame:
     return _airport_by_year(table, FREIGHT, "cargo")
 
 
-def jobs_total(table: DataFrame) -> DataFrame:
-    return clean_jobs(table).filter(F.col("variable") == "Total Nonfarm")
+def jobs_total(table: DataFrame, unfinished: Sequence[str] = ()) -> DataFrame:
+    return clean_jobs(table, unfinished=unfinished).filter(F.col("variable") == "Total Nonfarm")
 
 
-def industries(table: DataFrame) -> DataFrame:
+def industries(table: DataFrame, unfinished: Sequence[str] = ()) -> DataFrame:
     """The choices of the industry view."""
-    rows = clean_jobs(table).filter((F.col("geography") == "Region") & not_in_keep_null("variable", ["Total Nonfarm"]))
+    rows = clean_jobs(table, unfinished=unfinished).filter((F.col("geography") == "Region") & not_in_keep_null("variable", ["Total Nonfarm"]))
     return distinct_values(rows, "variable")
 
 
-def jobs_by_industry(table: DataFrame, industry: str) -> DataFrame:
-    return clean_jobs(table).filter((F.col("geography") == "Region") & (F.col("variable") == industry))
+def jobs_by_industry(table: DataFrame, industry: str, unfinished: Sequence[str] = ()) -> DataFrame:
+    return clean_jobs(table, unfinished=unfinished).filter((F.col("geography") == "Region") & (F.col("variable") == industry))
 
 
 def unemployment(table: DataFrame) -> DataFrame:

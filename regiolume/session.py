@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,23 +34,35 @@ def local_session(app: str, cores: int | str = 8, **extra: str) -> SparkSession:
 
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_STAGED: dict[str, list[str]] = {}
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the shared one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to the machine's own temporary folder: on a cluster the
-    executors would not see it.
+    Only a session whose tasks run in this one process may fall back to the machine's own temporary folder, or use a
+    folder without a scheme: elsewhere the executors would not see it, or each would take its own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    one_process = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+    if not one_process and not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:/", root or ""):
+        raise RuntimeError("set spark.checkpoint.dir to a folder, with its scheme, that all executors can reach")
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         app = spark.sparkContext.applicationId
         if app not in _LOCAL_ROOTS:
             _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="regiolume-")
         root = _LOCAL_ROOTS[app]
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the tables that this application has staged, when none of its results is read any more."""
+    jvm = spark.sparkContext._jvm
+    for folder in _STAGED.pop(spark.sparkContext.applicationId, []):
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:

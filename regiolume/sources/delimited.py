@@ -14,9 +14,13 @@ def text_schema(names: Sequence[str]) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
+#: A separator inside quotes belongs to the value, and a doubled quote there is one quote.
+QUOTED = {"quote": '"', "escape": '"'}
+
+
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str) -> DataFrame:
     """Comma file with a header row; a byte-order mark before the header is ignored."""
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(paths)
+    return spark.read.schema(schema).options(**QUOTED).option("header", True).csv(paths)
 
 
 def read_named(
@@ -28,16 +32,12 @@ def read_named(
 ) -> DataFrame:
     """Some columns of a wide file, found by the names in its header whatever their case.
 
-    Every file of the read must have the same header. Text that does not fit a column's type gives
-    NULL. Only the named columns are parsed.
+    Every file of the read must have the same header: where a named column stands under another name,
+    the read fails. Text that does not fit a column's type gives NULL. Only the named columns are parsed.
     """
-    table = (
-        spark.read.option("header", True)
-        .option("sep", sep)
-        .option("encoding", encoding)
-        .option("escape", '"')
-        .csv(paths)
-    )
+    reader = spark.read.options(**QUOTED).option("header", True).option("sep", sep).option("encoding", encoding)
+    found = reader.csv(paths).schema
+    table = reader.schema(found).option("enforceSchema", False).csv(paths)
     table = table.toDF(*[c.strip().lower() for c in table.columns])
     return table.select(*[F.col(f"`{name}`").try_cast(kind).alias(name) for name, kind in columns.items()])
 
@@ -58,6 +58,7 @@ def read_delimited(
     schema = names if isinstance(names, (StructType, str)) else text_schema(names)
     reader = (
         spark.read.schema(schema)
+        .options(**QUOTED)
         .option("sep", sep)
         .option("header", header)
         .option("encoding", encoding)
@@ -83,6 +84,7 @@ def read_tagged(
     """
     df = (
         spark.read.schema(schema)
+        .options(**QUOTED)
         .option("header", header)
         .option("recursiveFileLookup", True)
         .csv(paths)

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from regiolume.functions.text import squeeze
 from regiolume.session import stage
-from regiolume.sources.delimited import text_schema
+from regiolume.sources.delimited import QUOTED, text_schema
 
 
 def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -73,7 +73,7 @@ def parse_lines(
     body = lines.filter(F.col("pos") > skip).filter(
         F.regexp_replace("line", f"[\\s{sep}]", "") != ""
     )
-    cells = F.from_csv("line", ddl, {"sep": sep})
+    cells = F.from_csv("line", ddl, {"sep": sep} | QUOTED)
     return body.select("file", (F.col("pos") - skip).alias("pos"), *keep, cells.alias("c")).select(
         "file", "pos", *keep, "c.*"
     )

@@ -10,10 +10,12 @@ import pytest
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry
+from regiolume.catalog import ENTRIES
 from tools.check import verdict_of
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: e.run for name, e in ENTRIES.items()}
+SQL = entry.oracle_sql()
 
 # The fill of a file without series puts one row per block of the file into one task.
 BLOCK_ROWS_IN_ONE_TASK = {"job_sales_tax", "job_sales_tax_region", "job_sales_tax_city"}

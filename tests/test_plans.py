@@ -362,7 +362,8 @@ def test_views(spark):
     assert views.work_from_home(shares, 2019).count() == 0
     jobs = spark.createDataFrame([("2014-12-01", "Region", "Total Nonfarm", 1.0), ("2023-05-01", "Region", "Total Nonfarm", 2.0), ("2023-04-01", "Region", "Information", 3.0), ("2015-01-01", "Region", "Total Nonfarm", 4.0)],
                                  "date string, geography string, variable string, estimate double")
-    assert rows(views.jobs_total(jobs), "estimate") == [(4.0,)]
+    assert rows(views.jobs_total(jobs), "estimate") == [(2.0,), (4.0,)]
+    assert rows(views.jobs_total(jobs, unfinished=["May-2023"]), "estimate") == [(4.0,)]
     assert rows(views.industries(jobs)) == [("Information",)]
     sales = spark.createDataFrame([("r", "Feb-12", 5, 6, 7, 8)], "region string, period string, price int, sales int, listings int, inventory int")
     assert rows(views.home_sales(sales, "listings"), "year", "geography", "estimate") == [("February-2012", "r", 7)]
