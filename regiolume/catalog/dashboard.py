@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from regiolume.catalog.jobs_market import rent_table
 from regiolume.catalog.jobs_people import pick, sql_list, wrap_sql
-from regiolume.catalog.registry import Tables, query
+from regiolume.catalog.registry import YEARS_SQL, Tables, query
 from regiolume.plans import views
 
 
@@ -315,9 +315,9 @@ def view_home_sales(t: Tables):
 
 @query(
     "view_rents",
-    """with r as (select date_trunc('month', o_orderdate)::date as date, max(o_totalprice) as estimate
+    f"""with r as (select date_trunc('month', o_orderdate)::date as date, max(o_totalprice) as estimate
                   from orders join customer on o_custkey = c_custkey where c_nationkey = 7 group by 1),
-            m as (select make_date(y, m, 1) as date from (select unnest(range(1995, 2002)) as y), (select unnest(range(1, 13)) as m))
+            m as (select make_date(y, m, 1) as date from (select unnest({YEARS_SQL}) as y), (select unnest(range(1, 13)) as m))
        select 'Town 7' as geography, date, strftime(date, '%B-%Y') as year, round_even(estimate, 0) as estimate from m left join r using (date)""",
 )
 def view_rents(t: Tables):

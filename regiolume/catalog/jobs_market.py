@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from regiolume.catalog import jobs_people, jobs_travel
 from regiolume.catalog.jobs_people import pick, sql_list
-from regiolume.catalog.registry import Tables, query
+from regiolume.catalog.registry import YEARS_SQL, Tables, query
 from regiolume.operators.series import Event
 from regiolume.operators.setops import stack
 from regiolume.plans import employment, forecast, headlines, market, population, residential, rules, tax, travel
@@ -31,7 +31,7 @@ def job_market_series(t: Tables):
 
 
 def rent_table(t: Tables) -> DataFrame:
-    heads = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)]
+    heads = [f"{y}-{m:02d}" for y in t.years() for m in range(1, 13)]
     sales = t.orders.groupBy("o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("head")).agg(
         F.max("o_totalprice").alias("top")
     )
@@ -45,9 +45,9 @@ def rent_table(t: Tables) -> DataFrame:
 
 @query(
     "job_rents",
-    """with r as (select date_trunc('month', o_orderdate)::date as month, max(o_totalprice) as estimate
+    f"""with r as (select date_trunc('month', o_orderdate)::date as month, max(o_totalprice) as estimate
                   from orders join customer on o_custkey = c_custkey where c_nationkey = 3 group by 1),
-            m as (select make_date(y, m, 1) as month from (select unnest(range(1995, 2002)) as y), (select unnest(range(1, 13)) as m))
+            m as (select make_date(y, m, 1) as month from (select unnest({YEARS_SQL}) as y), (select unnest(range(1, 13)) as m))
        select 'Town 3' as region, month, estimate from m left join r using (month)""",
 )
 def job_rents(t: Tables):
@@ -136,7 +136,7 @@ BROKEN_HEADS = {"1996.1": "1996.0999999999999", "1997.4": "1997.4000000000001"}
 
 def forecast_table(t: Tables) -> DataFrame:
     """One row per metric, one column per quarter."""
-    heads = [f"{y}.{q}" for y in range(1995, 2002) for q in (1, 2, 3, 4)]
+    heads = [f"{y}.{q}" for y in t.years() for q in (1, 2, 3, 4)]
     rows = t.orders.groupBy(
         "o_orderpriority", F.concat(F.year("o_orderdate"), F.lit("."), F.quarter("o_orderdate")).alias("head")
     ).agg(F.sum(F.col("o_custkey")).alias("n"))
@@ -153,7 +153,7 @@ def forecast_table(t: Tables) -> DataFrame:
 FORECAST_SQL = f"""
   fo as (select {sql_list(METRICS)}[substr(o_orderpriority, 1, 1)::int] as metric, date_trunc('quarter', o_orderdate)::date as quarter,
                 sum(o_custkey)::double as v from orders group by 1, 2),
-  fg as (select metric, make_date(y, q * 3 - 2, 1) as quarter from (select distinct metric from fo), (select unnest(range(1995, 2002)) as y),
+  fg as (select metric, make_date(y, q * 3 - 2, 1) as quarter from (select distinct metric from fo), (select unnest({YEARS_SQL}) as y),
                 (select unnest(range(1, 5)) as q)),
   fv as (select metric, quarter, coalesce(v, 0) as v from fg left join fo using (metric, quarter)),
   forecast as (select metric, quarter, case metric when 'Employment (thous.)' then v * 1000 when 'Unemployment rate (%)' then v / 100
@@ -448,7 +448,7 @@ def job_headlines_jobs(t: Tables):
 @query(
     "job_headlines_airport",
     """with w as (select year(o_orderdate)::varchar as year, ((dayofyear(o_orderdate) - 1) // 7 + 1)::int as week, sum(o_custkey + 1)::double as v
-                  from orders where year(o_orderdate) between 1998 and 2000 group by 1, 2),
+                  from orders group by 1, 2),
             d as (select *, (date '2021-01-01' + ((week - 1) * 7)::int)::date as day from w),
             l as (select max(day) as day from d where year = '2000'),
             x as (select max(v) filter (year = '1998') as b, max(v) filter (year = '2000') as c, any_value(l.day) as day from d join l on d.day = l.day)

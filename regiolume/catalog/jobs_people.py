@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiolume.catalog.registry import Tables, query
+from regiolume.catalog.registry import YEARS_SQL, Tables, query
 from regiolume.operators.setops import stack
 from regiolume.operators.totals import add_total, merge_buckets
 from regiolume.plans import claims, employment, population, rules, workforce
@@ -39,9 +39,9 @@ def placed_counts(t: Tables, *keys: Column) -> DataFrame:
     return sales.join(homes, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey", "c_custkey")
 
 
-def month_columns() -> list[str]:
+def month_columns(t: Tables) -> list[str]:
     """First months of the quarters: the columns of the published table."""
-    return [f"{y}-{m:02d}-01" for y in range(1995, 2002) for m in (1, 4, 7, 10)]
+    return [f"{y}-{m:02d}-01" for y in t.years() for m in (1, 4, 7, 10)]
 
 
 def sector_tabs(t: Tables) -> DataFrame:
@@ -60,10 +60,10 @@ def sector_tabs(t: Tables) -> DataFrame:
         (F.col("geography") == "Bremerton MSA") & (F.col("sector") == "Construction"), "Mining, Logging, and Construction"
     ).otherwise(F.col("sector"))
     shown = rows.filter(~hidden).select("geography", merged.alias("sector"), "month", "n")
-    wide = shown.groupBy("geography", "sector").pivot("month", month_columns()).agg(F.sum("n"))
+    wide = shown.groupBy("geography", "sector").pivot("month", month_columns(t)).agg(F.sum("n"))
     return wide.select(
         "geography", F.lit(0).alias("NAICS.CELL"), F.concat(F.lit("   "), F.col("sector"), F.lit(" ")).alias("NAICS.INDUSTRY"),
-        *[F.coalesce(F.col(f"`{m}`"), F.lit(0)).alias(m) for m in month_columns()],
+        *[F.coalesce(F.col(f"`{m}`"), F.lit(0)).alias(m) for m in month_columns(t)],
     )
 
 
@@ -77,7 +77,7 @@ SECTOR_SQL = f"""
         union all select geography, 'Private Service Providing', month from f where sector <> 'Construction'),
   c as (select geography, sector, month, count(*)::double as n from u group by 1, 2, 3),
   grid as (select geography, sector, make_date(y, m, 1) as month
-           from (select distinct geography, sector from c), (select unnest(range(1995, 2002)) as y), (select unnest([1, 4, 7, 10]) as m)),
+           from (select distinct geography, sector from c), (select unnest({YEARS_SQL}) as y), (select unnest([1, 4, 7, 10]) as m)),
   j as (select geography, sector, month, coalesce(n, 0) as jobs from grid left join c using (geography, sector, month)),
   jobs as (select * from j union all
            select 'Region', sector, month, sum(jobs) from j where geography <> 'Washington State' group by 2, 3)"""
@@ -178,7 +178,6 @@ CLAIM_LABELS = (
     "Not Latino/Hispanic:", "  Pacific Islander", "  Two or More Races", "  Unknown", "Not Disclosed",
     "Total, All Unduplicated Claimants", "Later block",
 )
-CLAIM_YEARS = (1997, 1998, 1999, 2000)
 
 
 def claim_tabs(t: Tables) -> DataFrame:
@@ -186,7 +185,7 @@ def claim_tabs(t: Tables) -> DataFrame:
     slot = F.col("o_orderkey") % len(CLAIM_LABELS)
     weeks = [
         F.count_if(F.year("o_orderdate") == y).cast("string").alias(f"Week.{i}.ending.March.{7 + i},.{y}")
-        for i, y in enumerate(CLAIM_YEARS)
+        for i, y in enumerate(t.years())
     ]
     rows = t.orders.groupBy((F.col("o_custkey") % 4).alias("c"), (slot + 1).alias("pos")).agg(*weeks)
     return rows.select(
@@ -197,8 +196,8 @@ def claim_tabs(t: Tables) -> DataFrame:
 
 CLAIMS_SQL = f"""
   w as (select {sql_list(CLAIM_LABELS)}[(o_orderkey % 18 + 1)::int] as raw, (o_orderkey % 18 + 1)::int as pos,
-               make_date(year(o_orderdate), 3, (7 + year(o_orderdate) - 1997)::int) as date
-        from orders where year(o_orderdate) between 1997 and 2000),
+               make_date(year(o_orderdate), 3, (7 + year(o_orderdate) - (select min(year(o_orderdate)) from orders))::int) as date
+        from orders),
   d as (select distinct date from w),
   labels as (select distinct (o_orderkey % 18 + 1)::int as pos, {sql_list(CLAIM_LABELS)}[(o_orderkey % 18 + 1)::int] as raw from orders),
   g as (select pos, raw, date, (select count(*) from w where w.pos = labels.pos and w.date = d.date)::double as estimate
@@ -297,7 +296,11 @@ def job_initial_claims(t: Tables):
 # Population ------------------------------------------------------------------------------------
 
 COUNTY_OF_REGION = (*rules.COUNTIES, "Skagit")
-POP_YEARS = range(2015, 2022)
+
+
+def pop_years(t: Tables) -> range:
+    years = t.years()
+    return range(years.start + 20, years.stop + 20)
 
 
 def place_counts(t: Tables, *keys: Column) -> DataFrame:
@@ -315,7 +318,7 @@ def place_counts(t: Tables, *keys: Column) -> DataFrame:
 def population_table(t: Tables) -> DataFrame:
     """One text column per year; ``.`` stands for a missing number."""
     head = F.concat(F.col("year"), F.lit(".Population.Estimate"))
-    heads = [f"{y}.Population.Estimate" for y in POP_YEARS]
+    heads = [f"{y}.Population.Estimate" for y in pop_years(t)]
     rows = place_counts(t).withColumn("head", head)
     wide = rows.groupBy("Filter", "County", "Jurisdiction").pivot("head", heads).agg(F.sum("n"))
     cells = []
@@ -335,7 +338,7 @@ POPULATION_SQL = f"""{PLACE_SQL},
   px as (select c.level, c.county, c.place, c.part, y::int as year,
                 (select sum(n) from pc where pc.level = c.level and pc.county = c.county and pc.place = c.place
                  and pc.part = c.part and pc.year = y) as n
-         from (select distinct level, county, place, part from pc) c cross join (select unnest(range(2015, 2022)) as y)),
+         from (select distinct level, county, place, part from pc) c cross join (select unnest({YEARS_SQL}) + 20 as y)),
   pv as (select level, place, year, case when n is null or n % 11 = 0 then null else n::double end as v
          from px where county <> 'Skagit'),
   pm as (select level, place, year, case when count(v) = count(*) then sum(v) end as estimate from pv group by 1, 2, 3),
@@ -357,9 +360,10 @@ def component_tables(t: Tables) -> dict[str, DataFrame]:
     rows = place_counts(t, F.col("o_orderstatus"))
     out = {}
     for component, kinds in status.items():
-        heads = {y: f"{component}.{y - 1}-{y}" + ("1" if y == 2021 else "") for y in POP_YEARS}
+        years = pop_years(t)
+        heads = {y: f"{component}.{y - 1}-{y}" + ("1" if y == years[-1] else "") for y in years}
         wide = rows.filter(F.col("o_orderstatus").isin(*kinds)).groupBy("County", "Jurisdiction").pivot(
-            "year", list(POP_YEARS)
+            "year", list(years)
         ).agg(F.sum("n"))
         out[component] = wide.select(
             F.lit("").alias("Spacer"), "County", "Jurisdiction",
@@ -375,7 +379,7 @@ CHANGE_SQL = f"""{PLACE_SQL},
                 coalesce((select sum(n) from pc join cn on o_orderstatus = s
                           where cn.variable = cp.variable and pc.county = cp.county and pc.place = cp.place and pc.part = cp.part
                             and pc.year = y), 0)::double as estimate
-         from cp cross join (select unnest(range(2015, 2022)) as y)),
+         from cp cross join (select unnest({YEARS_SQL}) + 20 as y)),
   change as (
     select 4 as level, place, year, estimate, variable from cg
     union all select 5, 'Region', year, sum(estimate), variable from cg group by year, variable)"""
@@ -411,7 +415,7 @@ def housing_table(t: Tables) -> DataFrame:
     spelling = {2020: "Census.Count.of", 2016: "Census-Based.Estimate.of"}
     heads = [
         f"{y}.{spelling.get(y, 'Postcensal.Estimate.of')}.{k.replace(' ', '.')}.Housing.Units"
-        for y in POP_YEARS for k in ("Total", *UNIT_OF.values())
+        for y in pop_years(t) for k in ("Total", *UNIT_OF.values())
     ]
     middle = F.when(F.col("year") == 2020, "Census.Count.of").when(F.col("year") == 2016, "Census-Based.Estimate.of").otherwise(
         "Postcensal.Estimate.of"
@@ -430,7 +434,7 @@ HOUSING_SQL = f"""{PLACE_SQL},
                              ('Total Housing Units', 'O'), ('Total Housing Units', 'P')),
   hp as (select distinct level, place, variable, y::int as year
          from (select distinct level, place, county from pc where county <> 'Skagit'), (select distinct variable from hk),
-              (select unnest(range(2015, 2022)) as y)),
+              (select unnest({YEARS_SQL}) + 20 as y)),
   hu as (select level, place, year, variable,
                 coalesce((select sum(n) from pc join hk on o_orderstatus = s where hk.variable = hp.variable and pc.level = hp.level
                           and pc.place = hp.place and pc.year = hp.year and pc.county <> 'Skagit'), 0)::double as estimate
@@ -462,7 +466,7 @@ def job_housing_change(t: Tables):
 def postcensal_population_table(t: Tables) -> DataFrame:
     """Yearly series whose heads hold line breaks; full-count years come twice."""
     rows = place_counts(t)
-    years = list(POP_YEARS)
+    years = list(pop_years(t))
     wide = rows.groupBy("Filter", "County", "Jurisdiction").pivot("year", years).agg(F.sum("n"))
 
     def text(y: int) -> Column:
@@ -492,7 +496,7 @@ def postcensal_housing_table(t: Tables) -> DataFrame:
     for status, name in UNIT_OF.items():
         kind = F.when(F.col("o_orderstatus") == status, name).otherwise(kind)
     head = F.concat(F.col("year"), F.lit("\r\n Postcensal Estimate of "), kind, F.lit(" Housing Units"))
-    heads = [f"{y}\r\n Postcensal Estimate of {k} Housing Units" for y in POP_YEARS for k in UNIT_OF.values()]
+    heads = [f"{y}\r\n Postcensal Estimate of {k} Housing Units" for y in pop_years(t) for k in UNIT_OF.values()]
     rows = place_counts(t, F.col("o_orderstatus")).withColumn("head", head)
     wide = rows.groupBy("Filter", "County", "Jurisdiction").pivot("head", heads).agg(F.sum("n"))
     return wide.select(

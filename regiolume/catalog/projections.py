@@ -128,7 +128,7 @@ def union_by_name(t: Tables):
        where o_orderdate < timestamp '1998-01-01'
        union all
        select o_orderkey, o_orderdate::date, 'late' from orders
-       where o_orderdate >= timestamp '1998-01-01' and o_orderdate < timestamp '2001-01-01'""",
+       where o_orderdate >= timestamp '1998-01-01'""",
 )
 def union_cutover(t: Tables):
     """Two deliveries that overlap from 1997 on; the early one ends where the late one takes over."""
@@ -136,8 +136,8 @@ def union_cutover(t: Tables):
     rows = t.orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
     early = rows.filter(day < F.lit("2000-01-01").cast("date")).withColumn("delivery", F.lit("early"))
     late = rows.filter(day >= F.lit("1997-01-01").cast("date")).withColumn("delivery", F.lit("late"))
-    cut, end = F.lit("1998-01-01").cast("date"), F.lit("2001-01-01").cast("date")
-    return setops.cut_over(early, late, day < cut, (day >= cut) & (day < end))
+    cut = F.lit("1998-01-01").cast("date")
+    return setops.cut_over(early, late, day < cut, day >= cut)
 
 
 def _status_by_year(t: Tables):

@@ -6,6 +6,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: SQL list of the years that orders were placed in, for the grids of the stand-ins.
+YEARS_SQL = "range((select min(year(o_orderdate)) from orders), (select max(year(o_orderdate)) + 1 from orders))"
 
 
 class Tables:
@@ -18,6 +22,12 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
+    def years(self) -> range:
+        """The years that orders were placed in: the calendar of the wide stand-ins."""
+        day = F.year("o_orderdate")
+        first, last = self.orders.agg(F.min(day), F.max(day)).first()
+        return range(first, last + 1) if first is not None else range(0)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
