@@ -30,6 +30,15 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def release(spark: SparkSession) -> None:
+    """Let the shuffle files of finished steps go.
+
+    Spark deletes them when the driver's garbage collector finds that no plan needs them any more. A driver that only
+    plans collects rarely, so an operator of many steps asks for it after those that moved much.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def replace_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns; those of the same name go, whatever their case."""
     gone = {name.lower() for name in columns}

@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiolume.llm.bytes_view import LOWERED, as_bytes, mix, slices, word_hashes, words
-from regiolume.llm.common import id_or_least
+from regiolume.llm.common import id_or_least, release
 from regiolume.llm.components import components
 from regiolume.session import stage
 
 #: Bits of the table that tells frequent shingles from rare ones, and the parts it is added up in.
 TABLE_BITS, TABLE_PARTS = 18, 16
 #: Pivot coordinates of a set: its shingles counted in so many fixed parts of all shingles.
-COORDINATES = 64
+COORDINATES = 32
 #: Pivot documents that a region is joined with in one round.
 PIVOTS = 128
 
@@ -123,7 +123,7 @@ def _place(width: int, percent: int, classes):
                 order = np.lexsort((found, classes.value[(found >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]))
                 near = found[order[: n - -(-percent * n // 100) + 1]].view(np.int64)
                 parts = np.bincount((found % np.uint64(COORDINATES)).astype(np.int64), minlength=COORDINATES)
-                coordinates = np.minimum(parts, 65535).astype(np.uint16).tobytes()
+                coordinates = np.minimum(parts, 255).astype(np.uint8).tobytes()
                 rows.append((ids[row], _signature(found)[0], n, near, coordinates))
             if rows:
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
@@ -133,75 +133,124 @@ def _place(width: int, percent: int, classes):
     return run
 
 
-def _sets(width: int):
+def _wanted_texts(width: int):
+    """The texts whose sets are compared, compressed: a text takes a third of the room of its hashed shingles."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
         for batch in batches:
             ids, marks = batch.column("id").to_pylist(), batch.column("mark").to_pylist()
-            found = shingle_sets(batch.column("text"), width)
-            rows = [(ids[row], x.tobytes()) for row, x in found if _signature(x)[0] == marks[row]]
+            texts = batch.column("text").cast(pa.binary())
+            rows = []
+            for row, found in shingle_sets(batch.column("text"), width):
+                if _signature(found)[0] == marks[row]:
+                    text = texts[row].as_py()
+                    rows.append((ids[row], len(text), codec.compress(text, asbytes=True)))
             if rows:
-                a, b = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.binary())], ["rep", "found"])
+                types = (pa.int64(), pa.int64(), pa.binary())
+                columns = zip(zip(*rows, strict=True), types, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["rep", "raw", "packed"])
 
     return run
 
 
-def _near_coordinates(percent: int):
-    """Keep pairs whose coordinates differ by no more than the sets of a link can differ."""
+#: Pairs that a task holds at once.
+_AT_ONCE = 1 << 20
+
+
+def _near_pairs(percent: int, a: tuple, b: tuple, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Of pairs of rows those whose sizes and coordinates differ by no more than the sets of a link can differ."""
+    na, nb = a[1][left], b[1][right]
+    good = (100 * na >= percent * nb) & (100 * nb >= percent * na)
+    left, right = left[good], right[good]
+    apart = np.abs(a[2][left].astype(np.int16) - b[2][right]).sum(axis=1)
+    good = apart * (100 + percent) <= (a[1][left] + b[1][right]) * (100 - percent)
+    x, y = a[0][left[good]], b[0][right[good]]
+    return np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)[x != y], axis=0)
+
+
+def _members(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, sizes and coordinates of a column of structs."""
+    rep, n, found = (column.field(i) for i in range(3))
+    packed = np.frombuffer(b"".join(found.to_pylist()), np.uint8).reshape(-1, COORDINATES)
+    return rep.to_numpy(zero_copy_only=False), n.to_numpy(zero_copy_only=False), packed
+
+
+def _paired(percent: int, within: bool):
+    """Pairs of each list of members; or of each row (``rep, n, coordinates``) with its list of pivots."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, COORDINATES).astype(np.int32)
-                for c in ("ca", "cb")
-            )
-            apart = np.abs(a - b).sum(axis=1)
-            sizes = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-            good = apart * (100 + percent) <= sizes * (100 - percent)
-            yield batch.select(["a", "b"]).filter(pa.array(good))
+            lists = batch.column("members")
+            if not batch.num_rows:
+                continue
+            offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            many = _members(lists.flatten())
+            if within:  # each member with those that follow it
+                one, first = many, np.arange(1, len(many[0]) + 1)
+                size = np.repeat(offsets[1:], np.diff(offsets)) - first
+            else:
+                one, first, size = _members(batch.column("one")), offsets[:-1], np.diff(offsets)
+            total = np.concatenate(([0], np.cumsum(size)))
+            at = 0
+            while at < len(size):
+                to = max(at + 1, int(np.searchsorted(total, total[at] + _AT_ONCE, side="right")) - 1)
+                left = np.repeat(np.arange(at, to), size[at:to])
+                right = first[left] + np.arange(len(left)) - (total[left] - total[at])
+                found = _near_pairs(percent, one, many, left, right)
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+                at = to
 
     return run
 
 
-def _linked(percent: int):
+#: Bytes of text whose sets a task builds at once; one pair, if its texts are longer.
+_COMPARED = 4 << 20
+
+
+def _linked(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
+
+        def sets(part: pa.RecordBatch, side: str) -> list[np.ndarray]:
+            packed = zip(part.column(f"p{side}").to_pylist(), part.column(f"r{side}").to_pylist(), strict=True)
+            texts = pa.array([codec.decompress(p, n, asbytes=True) for p, n in packed], pa.binary())
+            return [found for _, found in shingle_sets(texts, width)]
+
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column("fa"), batch.column("fb"), strict=True):
-                a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                good.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            size = batch.column("ra").to_numpy() + batch.column("rb").to_numpy()
+            total, at = np.concatenate(([0], np.cumsum(size))), 0
+            while at < batch.num_rows:
+                to = max(at + 1, int(np.searchsorted(total, total[at] + _COMPARED, side="right")) - 1)
+                part, good, at = batch.slice(at, to - at), [], to
+                for a, b in zip(sets(part, "a"), sets(part, "b"), strict=True):
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                    good.append(100 * both >= percent * (len(a) + len(b) - both))
+                yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return run
 
 
 class _Join:
-    """What the rounds share: places and sets of the representatives."""
+    """What the rounds share: the texts of the representatives."""
 
-    def __init__(self, texts: DataFrame, placed: DataFrame, marks: DataFrame, width: int, percent: int):
+    def __init__(self, texts: DataFrame, marks: DataFrame, width: int, percent: int):
         self.texts, self.marks, self.width, self.percent = texts, marks, width, percent
-        self.info = placed.select("rep", "n", "coordinates")
-
-    def candidates(self, pairs: DataFrame) -> DataFrame:
-        """Distinct pairs that the triangle inequality on pivot coordinates leaves."""
-        side = lambda x: self.info.select(
-            F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("coordinates").alias(f"c{x}")
-        )
-        met = pairs.distinct().join(side("a"), "a").where(F.col("na") > 0).join(side("b"), "b")
-        sized = (F.col("na") * 100 >= F.col("nb") * self.percent) & (F.col("nb") * 100 >= F.col("na") * self.percent)
-        near = met.where(sized).select("a", "b", "na", "nb", "ca", "cb")
-        return near.mapInArrow(_near_coordinates(self.percent), "a long, b long")
 
-    def load_sets(self, reps: DataFrame) -> None:
+    def load(self, reps: DataFrame) -> None:
         wanted = stage(reps.join(self.marks, "rep"), "wanted")
         texts = self.texts.join(wanted, F.col("id") == F.col("rep")).select("id", "mark", "text")
-        self.sets = stage(texts.mapInArrow(_sets(self.width), "rep long, found binary"), "sets")
+        self.packed = stage(texts.mapInArrow(_wanted_texts(self.width), "rep long, raw long, packed binary"), "compared")
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        side = lambda x: self.sets.select(F.col("rep").alias(x), F.col("found").alias(f"f{x}"))
-        met = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "fa", "fb")
-        return stage(met.mapInArrow(_linked(self.percent), "a long, b long"), "links")
+        side = lambda x: self.packed.select(
+            F.col("rep").alias(x), F.col("raw").alias(f"r{x}"), F.col("packed").alias(f"p{x}")
+        )
+        met = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ra", "rb", "pa", "pb")
+        return stage(met.mapInArrow(_linked(self.width, self.percent), "a long, b long"), "links")
+
+
+_MEMBER = ("rep", "n", "coordinates")
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -211,13 +260,17 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return met.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def _with_pivots(members: DataFrame, pivots: int) -> tuple[DataFrame, DataFrame]:
-    """Each region's smallest members, and the pairs of one of them with a larger member."""
+def _chosen(members: DataFrame) -> DataFrame:
+    """Each region's pivots: its smallest members."""
     order = Window.partitionBy("token").orderBy("rep")
-    first = members.withColumn("k", F.row_number().over(order)).where(F.col("k") <= pivots)
-    chosen = stage(first.groupBy("token").agg(F.collect_list("rep").alias("pivots")), "pivots")
-    pairs = members.join(chosen, "token").select(F.explode("pivots").alias("a"), F.col("rep").alias("b")).where("a < b")
-    return chosen, pairs
+    first = members.withColumn("k", F.row_number().over(order)).where(F.col("k") <= PIVOTS)
+    return stage(first.groupBy("token").agg(F.collect_list(F.struct(*_MEMBER)).alias("members")), "pivots")
+
+
+def _with_pivots(members: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
+    """The near pairs of pivots and members of their regions."""
+    met = members.select("token", F.struct(*_MEMBER).alias("one")).join(chosen, "token").select("one", "members")
+    return met.mapInArrow(_paired(percent, False), "a long, b long").distinct()
 
 
 def jaccard_components(
@@ -258,29 +311,34 @@ def jaccard_components(
     marks = classes.select("rep", F.col("s1").alias("mark"))
     placed = placed.join(marks, (F.col("id") == F.col("rep")) & (F.col("s1") == F.col("mark")))
     placed = stage(placed.select("rep", "n", "regions", "coordinates"), "placed")
+    release(spark)
 
     members = placed.select("rep", F.explode("regions").alias("token"))
     regions = members.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("a"), F.max("rep").alias("b"))
-    regions = stage(regions.where("a < b"), "regions")
-    larger = regions.where("size > 2").select("token", "size")
-    members = stage(members.join(larger, "token"), "members")
-    _, pairs = _with_pivots(members, PIVOTS)
-    join = _Join(texts, placed, marks, width, percent)
-    found = stage(join.candidates(pairs.unionByName(regions.where("size = 2").select("a", "b"))), "candidates")
-
-    members = members.where(F.col("size") > PIVOTS).select("token", "rep")
+    regions = stage(regions.where("a < b").select("token", "size"), "regions")
+    members = stage(members.join(regions, "token"), "members")
+    release(spark)
+    members = members.join(placed.drop("regions"), "rep")
+    small = members.where(F.col("size") <= PIVOTS).groupBy("token").agg(F.collect_list(F.struct(*_MEMBER)).alias("members"))
+    near = small.select("members").mapInArrow(_paired(percent, True), "a long, b long").distinct()
+    members = stage(members.where(F.col("size") > PIVOTS).drop("size"), "large")
+    chosen = _chosen(members)
+    found = stage(near.unionByName(_with_pivots(members, chosen, percent)).distinct(), "candidates")
+    join = _Join(texts, marks, width, percent)
     ends = found.select(F.explode(F.array("a", "b")).alias("rep"))
-    join.load_sets(ends.unionByName(members.select("rep")).distinct())
+    release(spark)
+    join.load(ends.unionByName(members.select("rep")).distinct())
     # First each document with its smallest candidate; most other pairs are then of one component.
     nearest = found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    release(spark)
     links = join.links(nearest)
     roots = stage(components(links), "roots")
+    release(spark)
     links = links.unionByName(join.links(_apart(found, roots)))
     roots = stage(components(links), "roots")
 
-    chosen, _ = _with_pivots(members, PIVOTS)
     while True:
-        done = chosen.select("token", F.explode("pivots").alias("rep"))
+        done = chosen.select("token", F.explode("members.rep").alias("rep"))
         members = stage(members.join(done, ["token", "rep"], "left_anti"), "rest")
         met = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
         root = F.coalesce("root", "rep")
@@ -288,9 +346,8 @@ def jaccard_components(
         members = stage(members.join(stage(several.select("token"), "several"), "token"), "rest")
         if members.isEmpty():
             break
-        chosen, pairs = _with_pivots(members, PIVOTS)
-        found = stage(join.candidates(_apart(pairs.distinct(), roots)), "candidates")
-        links = links.unionByName(join.links(found))
+        chosen = _chosen(members)
+        links = links.unionByName(join.links(_apart(_with_pivots(members, chosen, percent), roots)))
         roots = stage(components(links), "roots")
 
     reach = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
