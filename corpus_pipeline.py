@@ -23,14 +23,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     (text without letters, or in no language of the model) goes; the few rejected ids are staged, so that
     Spark knows their size when it joins."""
     given = docs.select(
-        id_or_least("doc_id").alias("id"), F.xxhash64("text").alias("mark"), "text", "lang", "source"
+        id_or_least("doc_id").alias("__id"), F.xxhash64("text").alias("__mark"), "text", "lang", "source"
     )
-    model = train(given.select(F.col("id").alias("key"), "text", "lang"))
+    model = train(given.select(F.col("__id").alias("key"), "text", "lang"))
     found = identify(
-        given, model, F.col("text"), F.col("lang"), F.lit(None).cast("string"), F.col("source"), keep=["id", "mark"]
+        given, model, F.col("text"), F.col("lang"), F.lit(None).cast("string"), F.col("source"), keep=["__id", "__mark"]
     )
-    rejected = stage(found.where(~F.col("accepted")).select("id", "mark").distinct(), "rejected")
-    same = (id_or_least("doc_id") == F.col("id")) & (F.xxhash64("text") == F.col("mark"))
+    rejected = stage(found.where(~F.col("accepted")).select("__id", "__mark").distinct(), "rejected")
+    same = (id_or_least("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__mark"))
     return docs.join(rejected, same, "left_anti")
 
 
