@@ -11,6 +11,8 @@ from regiolume.catalog.registry import YEARS_SQL, Tables, query
 from regiolume.operators.series import Event
 from regiolume.operators.setops import stack
 from regiolume.plans import employment, forecast, headlines, market, population, residential, rules, tax, travel
+from regiolume.session import scratch_folder
+from regiolume.sources import write_report
 
 # Home sales and rents --------------------------------------------------------------------------
 
@@ -355,6 +357,24 @@ def job_sales_summaries(t: Tables):
     return residential.median_price_by_type(all_sales(t))
 
 
+@query(
+    "job_sales_report",
+    f"""with {SALES_SQL}
+       select 'total_residential_sales_transactions_region' as sheet, count(*) as n from sales
+       union all select 'summarized_transactions_by_year_type_region', count(*) from (select distinct year, housing_type, county from sales)
+       union all select 'summarized_transactions_by_year_type_price_region', count(*)
+                 from (select distinct year, housing_type, price_bin, county from sales)
+       union all select 'median_price_by_type_region', count(*) from (select distinct year, housing_type, county from sales where sale_price is not null)""",
+)
+def job_sales_report(t: Tables):
+    """The four tables of the report, written below one root and read back."""
+    folders = write_report(residential.sales_report(all_sales(t)), scratch_folder(t.spark, "sales-report"))
+    return stack(*[
+        t.spark.read.parquet(folder).agg(F.count("*").alias("n")).select(F.lit(name).alias("sheet"), "n")
+        for name, folder in folders.items()
+    ])
+
+
 # Headline numbers ------------------------------------------------------------------------------
 
 HEADLINE_SQL = f"""

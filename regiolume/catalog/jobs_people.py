@@ -111,6 +111,35 @@ def job_sector_change(t: Tables):
     return employment.yearly_change(employment.sector_jobs(sector_tabs(t)), 7, 1996)
 
 
+@query(
+    "job_total_jobs",
+    f"""with {SECTOR_SQL}
+       select geography, sector, month, jobs, year(month)::varchar as year, strftime(month, '%B-%Y') as date
+       from jobs where geography in ('Region', 'Washington State') and sector = 'Total Nonfarm'""",
+)
+def job_total_jobs(t: Tables):
+    """The region next to the state, over all months."""
+    return employment.total_jobs(employment.sector_jobs(sector_tabs(t)), t.years().start)
+
+
+@query(
+    "job_monthly_change",
+    f"""with {SECTOR_SQL}, r as (select * from jobs where geography = 'Region' and sector = 'Total Nonfarm')
+       select geography, sector, month, jobs, jobs - lag(jobs) over (order by month) as delta from r""",
+)
+def job_monthly_change(t: Tables):
+    return employment.monthly_change(employment.sector_jobs(sector_tabs(t)), t.years().start)
+
+
+@query(
+    "job_lowest_month",
+    f"""with {SECTOR_SQL}, r as (select * from jobs where geography = 'Region' and sector = 'Total Nonfarm' and year(month) = 1999)
+       select * from r where jobs = (select min(jobs) from r)""",
+)
+def job_lowest_month(t: Tables):
+    return employment.lowest_month(employment.sector_jobs(sector_tabs(t)), 1999)
+
+
 # Workforce -------------------------------------------------------------------------------------
 
 QUARTER = "1998-01-01"

@@ -166,6 +166,17 @@ def job_transit_ytd(t: Tables):
     return travel.transit_ytd(travel.transit_months(transit_table(t)), 1996, 2000)
 
 
+@query(
+    "job_transit_year_ratio",
+    f"""with {TRANSIT_SQL}, y as (select year(month) as year, sum(estimate) as v from m
+                                  where month(month) <= (select month(max(month)) from m) group by 1)
+       select max(v) filter (year = 2000) / max(v) filter (year = 1996) as ratio from y""",
+)
+def job_transit_year_ratio(t: Tables):
+    totals = travel.transit_ytd(travel.transit_months(transit_table(t)), t.years().start)
+    return travel.year_ratio(totals, 2000, 1996)
+
+
 @query(
     "job_transit_months",
     f"""with {TRANSIT_SQL}

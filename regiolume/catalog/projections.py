@@ -122,6 +122,12 @@ def union_by_name(t: Tables):
     return setops.stack(customers, suppliers)
 
 
+@query("sort_measure", "select c_custkey, c_acctbal from customer")
+def sort_measure(t: Tables):
+    """Largest first; the order itself is held by a test."""
+    return topk.order_by_measure(t.customer.select("c_custkey", "c_acctbal"), "c_acctbal", "c_custkey")
+
+
 @query(
     "union_cutover",
     """select o_orderkey, o_orderdate::date as day, 'early' as delivery from orders

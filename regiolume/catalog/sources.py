@@ -8,6 +8,7 @@ from regiolume import sources
 from regiolume.catalog.registry import Tables, query
 from regiolume.functions.numbers import money_sum
 from regiolume.operators import setops
+from regiolume.plans import claims
 from regiolume.session import scratch_folder
 
 MARK = "\ufeff"
@@ -62,6 +63,21 @@ def src_files_tagged(t: Tables):
     return rows.withColumn("area", area)
 
 
+@query(
+    "src_named",
+    """select s_suppkey, 'say "' || s_name || '", ok' as name, s_acctbal as balance from supplier""",
+)
+def src_named(t: Tables):
+    """Some columns of a wide file by the names in its header; a value holds separators and doubled quotes."""
+    folder = scratch_folder(t.spark, "named")
+    wide = t.supplier.select(
+        F.lit("x").alias("Unused"), F.col("s_acctbal").alias("BALANCE"),
+        F.concat(F.lit('say "'), F.col("s_name"), F.lit('", ok')).alias("Name"), F.col("s_suppkey").alias("S_SuppKey"),
+    )
+    sources.write_csv(wide, folder)
+    return sources.read_named(t.spark, folder, {"s_suppkey": "bigint", "name": "string", "balance": "double"})
+
+
 def write_titled(df, lines, folder: str, titles: list[str], part) -> None:
     """Text files of bounded size that each start with title rows."""
     body = df.select(part.alias("part"), F.lit(len(titles)).alias("at"), lines.alias("line"))
@@ -90,6 +106,24 @@ def src_skip_rows(t: Tables):
     )
 
 
+@query(
+    "src_tabs",
+    """select 'customers' as tab, lpad(c_custkey::varchar, 6, '0') as id, c_mktsegment as segment, c_acctbal as balance from customer
+       union all select 'suppliers', lpad(s_suppkey::varchar, 6, '0'), null, s_acctbal from supplier""",
+)
+def src_tabs(t: Tables):
+    """Tabs staged as files: title rows above the header, one tab without a column of the other."""
+    people, sellers = scratch_folder(t.spark, "tab-customers"), scratch_folder(t.spark, "tab-suppliers")
+    line = F.concat_ws(",", F.lpad("c_custkey", 6, "0"), "c_mktsegment", "c_acctbal")
+    write_titled(t.customer, line, people, ["Customers,,", ",,", "Id,Segment,Balance"], F.floor(F.col("c_custkey") / 400))
+    line = F.concat_ws(",", F.lpad("s_suppkey", 6, "0"), "s_acctbal")
+    write_titled(t.supplier, line, sellers, ["Suppliers,", ",", "Id,Balance"], F.floor(F.col("s_suppkey") / 400))
+    rows = sources.read_tabs(t.spark, {"customers": people, "suppliers": sellers}, 2, "tab")
+    return rows.select(
+        "tab", F.col("Id").alias("id"), F.col("Segment").alias("segment"), F.col("Balance").try_cast("double").alias("balance")
+    )
+
+
 @query(
     "text_report_table",
     """select c_custkey as id, (c_custkey * 1000)::bigint as claims, (c_custkey % 2)::int as block from customer""",
@@ -111,6 +145,35 @@ def text_report_table(t: Tables):
     )
 
 
+@query(
+    "job_weekly_claims",
+    """with w as (select c_custkey as k, (date '2019-01-01' + (c_custkey % 360)::int)::date as old,
+                         (date '2020-01-01' + (c_custkey % 360)::int)::date as new from customer),
+            v as (select old as date, new as day, 'Initial Claims' as variable, (k * 1000)::double as value from w
+                  union all select old, new, 'Weekly Change', -k from w union all select old, new, '4 Week Average', k * 10 from w
+                  union all select new, new, 'Initial Claims', k * 1001 from w
+                  union all select new, new, 'Weekly Change', k from w union all select new, new, '4 Week Average', k * 20 from w)
+       select date, day, variable, value, year(date)::int as year from v""",
+)
+def job_weekly_claims(t: Tables):
+    """Report text of two years side by side, longer than a page, with title and foot lines that are no week."""
+    folder = scratch_folder(t.spark, "claims")
+    k = F.col("c_custkey").cast("long")
+    day = F.date_format(F.date_add(F.lit("2019-01-01").cast("date"), (k % 360).cast("int")), "M/d/yyyy")
+    later = F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (k % 360).cast("int")), "M/d/yyyy")
+    cells = [day, F.format_number(k * 1000, 0), F.format_number(-k, 0), F.lit("0.5"), F.format_number(k * 10, 0),
+             later, F.format_number(k * 1001, 0), F.format_number(k, 0), F.lit("-0.5"), F.format_number(k * 20, 0)]
+    line = F.concat(F.lit("   "), F.concat_ws("   ", *cells))
+    body = t.customer.select((k % 3).alias("part"), line.alias("line"), F.lit(1).alias("at"))
+    ends = body.select("part").distinct().select("part", F.explode(F.array(
+        F.struct(F.lit("  Weekly claims, page of the report").alias("line"), F.lit(0).alias("at")),
+        F.struct(F.lit(" footnote 1 2 3 4").alias("line"), F.lit(2).alias("at")),
+    )).alias("e")).select("part", "e.line", "e.at")
+    both = body.unionByName(ends).repartition("part").sortWithinPartitions("part", "at", "line")
+    both.select("part", "line").write.partitionBy("part").text(folder)
+    return claims.weekly_claims(sources.numbered_lines(t.spark, folder), first=0)
+
+
 @query("src_table", "select c_custkey, c_mktsegment from customer")
 def src_table(t: Tables):
     """A table cut to the attribute columns asked for; the others are never read."""

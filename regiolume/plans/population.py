@@ -29,6 +29,7 @@ from regiolume.operators.setops import stack
 from regiolume.operators.topk import top_n, top_n_per_group
 from regiolume.operators.totals import add_region_levels, merge_parts
 from regiolume.plans import rules
+from regiolume.session import stage
 
 STATE = "State"
 
@@ -258,7 +259,8 @@ def place_table(growth: DataFrame, first: int, last: int, level: int = 4) -> Dat
 
 
 def growth_report(growth: DataFrame, target: int) -> dict[str, DataFrame]:
-    """The nine tables of the population report, ready for ``write_report``."""
+    """The nine tables of the population report, ready for ``write_report``; their common input is staged once."""
+    growth = stage(growth, "growth")
     year = growth.filter(F.col("year") == target)
     counties = fastest_places_by_county(growth, target).drop("level")
     out = {

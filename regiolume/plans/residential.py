@@ -20,6 +20,7 @@ from regiolume.operators.quantile import exact_median
 from regiolume.operators.setops import cut_over, stack
 from regiolume.plans import rules
 from regiolume.schema import REGIONAL_SALES
+from regiolume.session import stage
 
 
 def _with_date_parts(df: DataFrame, c: str, sep: str = "/", century: int = 0) -> DataFrame:
@@ -183,7 +184,9 @@ def median_price_by_type(sales: DataFrame) -> DataFrame:
 
 
 def sales_report(sales: DataFrame) -> dict[str, DataFrame]:
-    """Transactions and the three summaries, ready for ``write_report``."""
+    """Transactions and the three summaries, ready for ``write_report``. The transactions are staged, so that the counties are
+    read and joined once."""
+    sales = stage(sales, "sales")
     return {
         "total_residential_sales_transactions_region": sales,
         "summarized_transactions_by_year_type_region": transactions_by_type(sales),

@@ -6,9 +6,11 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from regiolume.sources.delimited import QUOTED
+
 
 def write_csv(df: DataFrame, path: str, **options: str) -> None:
-    df.write.mode("errorifexists").option("header", True).options(**options).csv(path)
+    df.write.mode("errorifexists").option("header", True).options(**QUOTED | options).csv(path)
 
 
 def write_report(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -> dict[str, str]:
