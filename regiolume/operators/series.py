@@ -13,6 +13,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampType
 
 from regiolume.functions.dates import years_between
 from regiolume.functions.numbers import pct_change, ratio
@@ -101,6 +102,10 @@ def class_growth(
     ).withColumn(name, F.col("last") - F.col("first"))
 
 
+#: Length of the pieces that a long series is filled in.
+BLOCK = 100_000
+
+
 def forward_fill(
     df: DataFrame,
     c: str,
@@ -110,10 +115,16 @@ def forward_fill(
 ) -> DataFrame:
     """Fill missing values of a column with the last filled one before them.
 
-    ``block`` cuts a series into pieces that follow each other in the order (for example
-    ``floor(pos / 100_000)``). Each piece is filled on its own; what a piece inherits comes from one
-    row per earlier piece. Leave it out only where a series is short.
+    ``block`` cuts a series into pieces that follow each other in the order. Each piece is filled on its own; what a
+    piece inherits comes from one row per earlier piece. By default a piece is ``BLOCK`` numbers of the order, or a year of
+    it; only a series ordered by text stays in one piece.
     """
+    if block is None:
+        kind = df.schema[order].dataType
+        if isinstance(kind, NumericType):
+            block = F.floor(F.col(order) / BLOCK)
+        elif isinstance(kind, (DateType, TimestampType)):
+            block = F.year(order)
     if block is None:
         w = Window.partitionBy(*series).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(c, F.last(c, True).over(w))
