@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 18
 #: Per byte: A-Z become a-z, nothing else changes.
 LOWERED = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 #: Per byte: part of a word, words being what stands between ``[\x20\x09-\x0D]``.
