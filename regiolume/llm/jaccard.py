@@ -20,6 +20,8 @@ TABLE_BITS, TABLE_PARTS = 18, 16
 COORDINATES = 32
 #: Pivot documents that a region is joined with in one round.
 PIVOTS = 128
+#: Members of a large region that one share of it holds.
+SHARE = 4096
 
 
 def shingle_sets(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -155,7 +157,7 @@ def _wanted_texts(width: int):
 
 
 #: Pairs that a task holds at once.
-_AT_ONCE = 1 << 20
+_AT_ONCE = 1 << 17
 
 
 def _near_pairs(percent: int, a: tuple, b: tuple, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -169,37 +171,72 @@ def _near_pairs(percent: int, a: tuple, b: tuple, left: np.ndarray, right: np.nd
     return np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)[x != y], axis=0)
 
 
-def _members(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, sizes and coordinates of a column of structs."""
-    rep, n, found = (column.field(i) for i in range(3))
-    packed = np.frombuffer(b"".join(found.to_pylist()), np.uint8).reshape(-1, COORDINATES)
+def _unpacked(rep: pa.Array, n: pa.Array, coordinates: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, sizes and coordinates of members as arrays."""
+    packed = np.frombuffer(b"".join(coordinates.to_pylist()), np.uint8).reshape(-1, COORDINATES)
     return rep.to_numpy(zero_copy_only=False), n.to_numpy(zero_copy_only=False), packed
 
 
-def _paired(percent: int, within: bool):
-    """Pairs of each list of members; or of each row (``rep, n, coordinates``) with its list of pivots."""
+def _met(percent: int, one: tuple, many: tuple, first: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Near pairs of each row of ``one`` with ``size`` rows of ``many`` from ``first`` on, a bounded number at once."""
+    total, at = np.concatenate(([0], np.cumsum(size))), 0
+    while at < len(size):
+        to = max(at + 1, int(np.searchsorted(total, total[at] + _AT_ONCE, side="right")) - 1)
+        left = np.repeat(np.arange(at, to), size[at:to])
+        right = first[left] + np.arange(len(left)) - (total[left] - total[at])
+        found = _near_pairs(percent, one, many, left, right)
+        if len(found):
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+        at = to
+
+
+def _within(percent: int):
+    """Near pairs of the members of each region; rows come sorted by region, and a region has few."""
+
+    def pairs(token: np.ndarray, members: tuple) -> Iterator[pa.RecordBatch]:
+        first = np.arange(1, len(token) + 1)
+        return _met(percent, members, members, first, np.searchsorted(token, token, side="right") - first)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token, held = np.empty(0, np.int64), None
         for batch in batches:
-            lists = batch.column("members")
             if not batch.num_rows:
                 continue
-            offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            many = _members(lists.flatten())
-            if within:  # each member with those that follow it
-                one, first = many, np.arange(1, len(many[0]) + 1)
-                size = np.repeat(offsets[1:], np.diff(offsets)) - first
-            else:
-                one, first, size = _members(batch.column("one")), offsets[:-1], np.diff(offsets)
-            total = np.concatenate(([0], np.cumsum(size)))
-            at = 0
-            while at < len(size):
-                to = max(at + 1, int(np.searchsorted(total, total[at] + _AT_ONCE, side="right")) - 1)
-                left = np.repeat(np.arange(at, to), size[at:to])
-                right = first[left] + np.arange(len(left)) - (total[left] - total[at])
-                found = _near_pairs(percent, one, many, left, right)
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
-                at = to
+            new = _unpacked(*(batch.column(c) for c in _MEMBER))
+            token = np.concatenate([token, batch.column("token").to_numpy()])
+            held = new if held is None else tuple(np.concatenate(x) for x in zip(held, new, strict=True))
+            cut = int(np.searchsorted(token, token[-1], side="left"))  # the last region may go on
+            yield from pairs(token[:cut], tuple(x[:cut] for x in held))
+            token, held = token[cut:], tuple(x[cut:] for x in held)
+        if held is not None:
+            yield from pairs(token, held)
+
+    return run
+
+
+def _across(percent: int):
+    """Near pairs of the pivots and the members of each share of a region; rows come sorted by region, share and kind."""
+
+    def pairs(region: np.ndarray, kind: np.ndarray, rows: tuple) -> Iterator[pa.RecordBatch]:
+        begin = np.searchsorted(region, region, side="left")
+        pivots = np.searchsorted(region * 2 + kind, region * 2 + 1, side="left") - begin
+        return _met(percent, rows, rows, begin, np.where(kind == 1, pivots, 0))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, keys, kind = None, np.empty((0, 2), np.int64), np.empty(0, np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = _unpacked(*(batch.column(c) for c in _MEMBER))
+            held = new if held is None else tuple(np.concatenate(x) for x in zip(held, new, strict=True))
+            keys = np.concatenate([keys, np.stack([batch.column(c).to_numpy() for c in ("token", "share")], axis=1)])
+            kind = np.concatenate([kind, batch.column("kind").to_numpy()])
+            region = np.cumsum(np.concatenate(([0], (keys[1:] != keys[:-1]).any(axis=1))))
+            cut = int(np.searchsorted(region, region[-1], side="left"))  # the last share may go on
+            yield from pairs(region[:cut], kind[:cut], tuple(x[:cut] for x in held))
+            held, keys, kind = tuple(x[cut:] for x in held), keys[cut:], kind[cut:]
+        if held is not None:
+            yield from pairs(np.zeros(len(kind), np.int64), kind, held)
 
     return run
 
@@ -264,13 +301,21 @@ def _chosen(members: DataFrame) -> DataFrame:
     """Each region's pivots: its smallest members."""
     order = Window.partitionBy("token").orderBy("rep")
     first = members.withColumn("k", F.row_number().over(order)).where(F.col("k") <= PIVOTS)
-    return stage(first.groupBy("token").agg(F.collect_list(F.struct(*_MEMBER)).alias("members")), "pivots")
+    return stage(first.drop("k"), "pivots")
 
 
 def _with_pivots(members: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
-    """The near pairs of pivots and members of their regions."""
-    met = members.select("token", F.struct(*_MEMBER).alias("one")).join(chosen, "token").select("one", "members")
-    return met.mapInArrow(_paired(percent, False), "a long, b long").distinct()
+    """The near pairs of pivots and members of their regions.
+
+    A region is dealt to shares of about ``SHARE`` members by a hash; its pivots go to every share.
+    """
+    shares = F.ceil(F.col("size") / SHARE).cast("long")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)).alias("share")
+    pivots = chosen.select("token", every, F.lit(0).cast("long").alias("kind"), *_MEMBER)
+    own = F.pmod(F.xxhash64("rep"), shares).alias("share")
+    rows = members.select("token", own, F.lit(1).cast("long").alias("kind"), *_MEMBER).unionByName(pivots)
+    rows = rows.repartition("token", "share").sortWithinPartitions("token", "share", "kind")
+    return rows.mapInArrow(_across(percent), "a long, b long").distinct()
 
 
 def jaccard_components(
@@ -319,9 +364,10 @@ def jaccard_components(
     members = stage(members.join(regions, "token"), "members")
     release(spark)
     members = members.join(placed.drop("regions"), "rep")
-    small = members.where(F.col("size") <= PIVOTS).groupBy("token").agg(F.collect_list(F.struct(*_MEMBER)).alias("members"))
-    near = small.select("members").mapInArrow(_paired(percent, True), "a long, b long").distinct()
-    members = stage(members.where(F.col("size") > PIVOTS).drop("size"), "large")
+    small = members.where(F.col("size") <= PIVOTS).select("token", *_MEMBER)
+    small = small.repartition("token").sortWithinPartitions("token")
+    near = small.mapInArrow(_within(percent), "a long, b long").distinct()
+    members = stage(members.where(F.col("size") > PIVOTS), "large")
     chosen = _chosen(members)
     found = stage(near.unionByName(_with_pivots(members, chosen, percent)).distinct(), "candidates")
     join = _Join(texts, marks, width, percent)
@@ -338,7 +384,7 @@ def jaccard_components(
     roots = stage(components(links), "roots")
 
     while True:
-        done = chosen.select("token", F.explode("members.rep").alias("rep"))
+        done = chosen.select("token", "rep")
         members = stage(members.join(done, ["token", "rep"], "left_anti"), "rest")
         met = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
         root = F.coalesce("root", "rep")
