@@ -16,8 +16,8 @@ import zlib
 
 import numpy as np
 
-BLOCK = 4096
-_SLOTS = 12  # bits of the prediction tables of a block
+BLOCK = 1024
+_SLOTS = 10  # bits of the prediction tables of a block
 _ONE = 12  # bits of a probability
 _BITS = np.array([int(i).bit_length() for i in range(1 << 15)], np.int32)
 _TOP, _BOTTOM, _LOW = np.uint64(1 << 48), np.uint64(1 << 40), np.uint64((1 << 40) - 1)

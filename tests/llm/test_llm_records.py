@@ -98,7 +98,7 @@ def test_id_coder(block):
             ids[n // 2 :] = ids[: n - n // 2]  # something to predict
             payload, lengths, checks = id_coder.encode(ids, bits, block)
             assert (id_coder.decode(payload, lengths, checks, n, bits, block) == ids).all()
-    same = id_coder.encode(np.full(4096, 7), 16)[0]
+    same = id_coder.encode(np.full(4096, 7), 16, 4096)[0]
     assert len(same) < 200  # predicted ids cost next to nothing
     damaged = bytes([payload[0] ^ 1]) + payload[1:]
     with pytest.raises(ValueError, match="damaged"):
