@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiolume.llm.common import id_or_least, table
+from regiolume.llm.common import id_or_least, ship, table
 from regiolume.llm.decontam import find_contamination
 from regiolume.llm.jaccard import jaccard_components
 from regiolume.llm.language import identify, train
@@ -22,6 +22,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language. The label is the declared language, the source the host. What the operator rejects
     (text without letters, or in no language of the model) goes; the few rejected ids are staged, so that
     Spark knows their size when it joins."""
+    ship(spark)
     given = docs.select(
         id_or_least("doc_id").alias("__id"), F.xxhash64("text").alias("__mark"), "text", "lang", "source"
     )
@@ -36,6 +37,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that an earlier document has; ``n_chars`` follows the text."""
+    ship(spark)
     kept = dedup_lines(docs)
     columns = [F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
     return kept.select(columns)
@@ -43,6 +45,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by a similarity of 0.8 on shingles of five words, the document of the smallest id."""
+    ship(spark)
     found = jaccard_components(docs, width=5, percent=80)
     first = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(id_or_least("id").alias("__first"))
     return docs.join(stage(first, "first"), id_or_least("doc_id") == F.col("__first"), "left_semi")
@@ -50,12 +53,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a test item occurs."""
+    ship(spark)
     found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
     return found.where(F.col("n_hit") == 0).select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every remaining document, or of its pieces, in a training sequence."""
+    ship(spark)
     return pack_documents(token_lengths(docs)).withColumnRenamed("id", "doc_id")
 
 

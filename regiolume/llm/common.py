@@ -7,6 +7,10 @@ disturb it; where it adds columns to its input, they replace input columns of th
 
 from __future__ import annotations
 
+import pathlib
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +20,21 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the tasks' Python this package, once for each application, wherever the executors run."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        top = pathlib.Path(__file__).resolve().parents[2]
+        folder = tempfile.mkdtemp(prefix="package-")
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/regiolume", "zip", top, "regiolume"))
+        _SHIPPED.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
