@@ -20,6 +20,7 @@ TABLE_BITS, TABLE_PARTS = 18, 16
 COORDINATES = 32
 #: Pivot documents that a region is joined with in one round.
 PIVOTS = 128
+MET = "a long, b long, wanted long, met long"
 #: Members of a large region that one share of it holds.
 SHARE = 4096
 
@@ -112,6 +113,15 @@ def _frequency_classes(signed: DataFrame) -> np.ndarray:
     return np.log2(np.maximum(1, counts / max(1.0, counts.mean()))).astype(np.uint8)
 
 
+def wanted_meetings(n):
+    """In how many regions a document of ``n`` shingles has to meet a linked one of its size or more.
+
+    With so many regions beyond the first floor(n * (1 - t)) ones, two linked sets have this many of theirs in common; long
+    texts, which meet by chance here and there, are told apart by it.
+    """
+    return 1 + n // 100
+
+
 def _place(width: int, percent: int, classes):
     """The regions of each document, and its pivot coordinates."""
     names = ["id", "s1", "n", "regions", "coordinates"]
@@ -123,9 +133,9 @@ def _place(width: int, percent: int, classes):
             for row, found in shingle_sets(batch.column("text"), width):
                 n = len(found)
                 order = np.lexsort((found, classes.value[(found >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]))
-                near = found[order[: n - -(-percent * n // 100) + 1]].view(np.int64)
+                near = found[order[: n - -(-percent * n // 100) + int(wanted_meetings(n))]].view(np.int64)
                 parts = np.bincount((found % np.uint64(COORDINATES)).astype(np.int64), minlength=COORDINATES)
-                coordinates = np.minimum(parts, 255).astype(np.uint8).tobytes()
+                coordinates = np.minimum(parts, 65535).astype(np.uint16).tobytes()
                 rows.append((ids[row], _signature(found)[0], n, near, coordinates))
             if rows:
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
@@ -165,15 +175,19 @@ def _near_pairs(percent: int, a: tuple, b: tuple, left: np.ndarray, right: np.nd
     na, nb = a[1][left], b[1][right]
     good = (100 * na >= percent * nb) & (100 * nb >= percent * na)
     left, right = left[good], right[good]
-    apart = np.abs(a[2][left].astype(np.int16) - b[2][right]).sum(axis=1)
+    apart = np.abs(a[2][left].astype(np.int32) - b[2][right]).sum(axis=1)
     good = apart * (100 + percent) <= (a[1][left] + b[1][right]) * (100 - percent)
-    x, y = a[0][left[good]], b[0][right[good]]
-    return np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)[x != y], axis=0)
+    left, right = left[good], right[good]
+    x, y = a[0][left], b[0][right]
+    wanted = wanted_meetings(np.minimum(a[1][left], b[1][right]))
+    rows = np.stack([np.minimum(x, y), np.maximum(x, y), wanted], axis=1)[x != y]
+    found, met = np.unique(rows, axis=0, return_counts=True)
+    return np.concatenate([found, met[:, None]], axis=1)
 
 
 def _unpacked(rep: pa.Array, n: pa.Array, coordinates: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids, sizes and coordinates of members as arrays."""
-    packed = np.frombuffer(b"".join(coordinates.to_pylist()), np.uint8).reshape(-1, COORDINATES)
+    packed = np.frombuffer(b"".join(coordinates.to_pylist()), np.uint16).reshape(-1, COORDINATES)
     return rep.to_numpy(zero_copy_only=False), n.to_numpy(zero_copy_only=False), packed
 
 
@@ -186,7 +200,7 @@ def _met(percent: int, one: tuple, many: tuple, first: np.ndarray, size: np.ndar
         right = first[left] + np.arange(len(left)) - (total[left] - total[at])
         found = _near_pairs(percent, one, many, left, right)
         if len(found):
-            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in found.T.copy()], ["a", "b", "wanted", "met"])
         at = to
 
 
@@ -315,7 +329,7 @@ def _with_pivots(members: DataFrame, chosen: DataFrame, percent: int) -> DataFra
     own = F.pmod(F.xxhash64("rep"), shares).alias("share")
     rows = members.select("token", own, F.lit(1).cast("long").alias("kind"), *_MEMBER).unionByName(pivots)
     rows = rows.repartition("token", "share").sortWithinPartitions("token", "share", "kind")
-    return rows.mapInArrow(_across(percent), "a long, b long").distinct()
+    return rows.mapInArrow(_across(percent), MET).select("a", "b").distinct()
 
 
 def jaccard_components(
@@ -332,7 +346,8 @@ def jaccard_components(
     * Regions. The pivots of the partition are the sets of one shingle: a document is nearest to those it holds, and
       among them, in one order of all shingles (rare ones first, by hashed counts over all documents), its region is
       the first. A set within the wanted distance misses at most so many of its shingles, so the document is replicated to
-      the regions of its first floor(n * (1 - t)) + 1 shingles: two linked documents meet in at least one of them.
+      the regions of its first floor(n * (1 - t)) + m shingles: two linked documents meet in at least m of them, m being
+      ``wanted_meetings``.
     * Windows. In a region, pairs are dropped by the triangle inequality on the size of the symmetric difference, with
       the empty set (sizes) and with the parts of a fixed partition of all shingles (counts in them) as pivots.
     * Recursion. A region is joined with its first members as pivot documents, a bounded number; small
@@ -366,7 +381,9 @@ def jaccard_components(
     members = members.join(placed.drop("regions"), "rep")
     small = members.where(F.col("size") <= PIVOTS).select("token", *_MEMBER)
     small = small.repartition("token").sortWithinPartitions("token")
-    near = small.mapInArrow(_within(percent), "a long, b long").distinct()
+    near = small.mapInArrow(_within(percent), MET).groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("wanted").alias("wanted"))
+    # Linked documents that meet less often in small regions share a large one, whose rounds find them.
+    near = near.where("met >= wanted").select("a", "b")
     members = stage(members.where(F.col("size") > PIVOTS), "large")
     chosen = _chosen(members)
     found = stage(near.unionByName(_with_pivots(members, chosen, percent)).distinct(), "candidates")
