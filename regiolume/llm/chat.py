@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from regiolume.llm.common import LEAST_ID
 from regiolume.session import stage
 
 #: A message is ``### role: text</turn>`` and a line end. In texts and roles ``\``, ``#`` and ``<`` (in roles ``:``
@@ -86,15 +87,31 @@ def render(messages: DataFrame, learn: str = "assistant") -> DataFrame:
     )
 
 
+def number_copies(conversations: DataFrame) -> DataFrame:
+    """Whole turns (``conv_id, turn, role, text``) with ``copy``, 0, 1, ... for rows that agree in all four, NULL and empty
+    roles and texts being alike. Equal rows are counted before they meet, so a row that is repeated often is one row of a
+    task until it is dealt out again."""
+    empty = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
+    counted = conversations.groupBy(F.col("conv_id"), F.col("turn"), empty("role"), empty("text"))
+    counted = counted.agg(F.count(F.lit(1)).alias("copies"))
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy")
+    return counted.select("conv_id", "turn", "role", "text", copy)
+
+
 def events_of(conversations: DataFrame) -> DataFrame:
     """A table of whole turns (``conv_id, turn, role, text``) as the log of a streamed chat: each row opens a message
     and delivers its text in two pieces. A message's name is its turn, role and a hash, so a repeated row repeats events
-    and counts once, and different rows of one turn stay apart."""
+    and counts once, and different rows of one turn stay apart; with a column ``copy`` (see ``number_copies``) it is part of
+    the name, and each copy counts. A NULL turn comes before all others and is none of them."""
     text = F.coalesce(F.col("text"), F.lit(""))
     role = F.coalesce(F.col("role"), F.lit(""))
     half = (F.length(text) / 2).cast("int")
-    name = F.concat_ws("/", F.format_string("%020d", F.coalesce("turn", F.lit(-1))), role, F.hex(F.xxhash64(text)))
-    seq = F.col("turn").cast("long") * 3
+    turn = F.when(F.col("turn").isNotNull(), F.format_string("%020d", "turn")).otherwise("")
+    name = [turn, role, F.hex(F.xxhash64(text))]
+    if "copy" in conversations.columns:
+        name.append(F.format_string("%020d", "copy"))
+    name = F.concat_ws("/", *name)
+    seq = F.coalesce(F.col("turn").cast("long") * 3, F.lit(LEAST_ID))
     none = F.lit(None).cast("string")
     event = lambda i, kind, role, text: F.struct(
         (seq + i).alias("seq"), F.lit(kind).alias("kind"), role.alias("role"), text.alias("text")

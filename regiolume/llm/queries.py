@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiolume.llm import oracles
-from regiolume.llm.chat import digests, events_of, format_conversations
+from regiolume.llm.chat import digests, events_of, format_conversations, number_copies
 from regiolume.llm.common import table
 from regiolume.llm.decontam import find_contamination
 from regiolume.llm.jaccard import jaccard_components
@@ -96,7 +96,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string"
     )
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return digests(format_conversations(events_of(given.unionByName(planted))))
+    return digests(format_conversations(events_of(number_copies(given.unionByName(planted)))))
 
 
 QUERIES = {

@@ -196,6 +196,29 @@ def test_chat_round_trip(spark):
         assert (got[c].loss_chars, got[c].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
 
 
+def test_chat_counts_every_row(spark, tmp_path):
+    """Texts of NULL turns stay whole, and repeated rows each count, as in the SQL of the query."""
+    import duckdb
+
+    from regiolume.llm.oracles import CHAT
+    from regiolume.llm.queries import op10_chat_formatting
+
+    turns = [(1, 0, "user", "world hello"), (1, 1, "assistant", "abab"), (1, 1, "assistant", "abab"), (2, 3, "assistant", "x")] + [(2, 3, "assistant", "x")] * 4
+    turns += [(3, None, "assistant", "world hello"), (4, None, "assistant", "abab"), (5, None, "user", "xyxy"), (5, None, "user", "xyxy")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    got = sorted(tuple(r) for r in op10_chat_formatting(spark, str(tmp_path)).collect())
+    with duckdb.connect() as db:
+        db.execute(f"create view conversations as from read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+        assert got == sorted(db.execute(CHAT).fetchall())
+    assert [r[1] for r in got if r[0] > 0] == [3, 5, 1, 1, 2]
+    # A NULL turn is before, and apart from, every turn that a table can hold.
+    odd = spark.createDataFrame([(1, -1, "user", "zxzx"), (1, None, "user", "zxzx"), (1, None, "user", "b long a")], df.schema)
+    pieces = chat.render(chat.fold_messages(chat.events_of(chat.number_copies(odd)))).orderBy("opened", "message").collect()
+    assert sorted(r.piece for r in pieces[:2]) == ["### user: b long a</turn>\n", "### user: zxzx</turn>\n"]
+    assert [r.piece for r in pieces[2:]] == ["### user: zxzx</turn>\n"]
+
+
 def test_language_held_out(spark):
     """Labels of rows that were not learned from, on text alone; then the weight of the other evidence."""
     from pyspark.sql import functions as F
