@@ -6,6 +6,7 @@ texts, repeated rows and empty tables have the results that the operators define
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from regiolume.llm.decontam import find_contamination
 from regiolume.llm.jaccard import jaccard_components
 from regiolume.llm.language import identify, train
 from regiolume.llm.line_dedup import dedup_lines
-from regiolume.llm.packing import pack_documents, token_lengths
+from regiolume.llm.packing import id_lengths, pack_documents
 from regiolume.session import stage
 
 
@@ -61,7 +62,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every remaining document, or of its pieces, in a training sequence."""
     ship(spark)
-    return pack_documents(token_lengths(docs)).withColumnRenamed("id", "doc_id")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(id_lengths(docs, vocabulary)).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [

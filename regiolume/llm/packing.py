@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_left, insort
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regiolume.llm.bytes_view import as_bytes, slices
 from regiolume.llm.common import BLANKS
+from regiolume.llm.token_output import piece_tokenizer
 from regiolume.session import stage
 
 CAPACITIES = (512, 1024, 2048, 4096)
@@ -74,7 +77,8 @@ def _packer(costs: dict[int, float]):
 
 
 def token_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, mark`` (a hash of the text) and ``n_tokens``: words between blanks, and one end mark."""
+    """``id, mark`` (a hash of the text) and ``n_tokens``: words between blanks, and one end mark. For tables whose words are
+    the tokens; a sequence of a model with a vocabulary is packed by ``id_lengths``."""
     whole = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     words = F.size(F.split(F.btrim(whole, F.lit(BLANKS)), r"[ \t\n\x0B\f\r]+", -1)).cast("long")
     words = F.when(F.btrim(whole, F.lit(BLANKS)) == "", 0).otherwise(words)
@@ -83,6 +87,29 @@ def token_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
+def _counter(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = piece_tokenizer(path)
+        for batch in batches:
+            data = slices(*as_bytes(batch.column("text")))
+            n = [tokenizer.lengths(part, offsets) + 1 for _, part, offsets in data]
+            sizes = pa.array(np.concatenate([np.empty(0, np.int64), *n]))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("mark"), sizes], ["id", "mark", "n_tokens"])
+
+    return run
+
+
+def id_lengths(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, mark`` (a hash of the text) and ``n_tokens``: the ids that ``write_token_ids`` writes for the text, with the end id.
+
+    Each task encodes the texts as it reads them and keeps the lengths only. ``tokenizer`` is the path of a vocabulary file
+    that all executors have, of a kind that ``PieceTokenizer`` supports.
+    """
+    whole = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    given = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(whole).alias("mark"), whole.alias("text"))
+    return given.mapInArrow(_counter(tokenizer), "id long, mark long, n_tokens long")
+
+
 def pack_documents(
     lengths: DataFrame,
     capacities: tuple[int, ...] = CAPACITIES,

@@ -13,7 +13,7 @@ from regiolume.llm.decontam import find_contamination
 from regiolume.llm.jaccard import jaccard_components
 from regiolume.llm.language import identify, markup_language, markup_text, train, url_host, url_language
 from regiolume.llm.line_dedup import dedup_lines
-from regiolume.llm.packing import pack_documents, token_lengths
+from regiolume.llm.packing import id_lengths, pack_documents
 from regiolume.llm.repeats import remove_repeats
 from regiolume.llm.sharding import shuffle_into_shards
 from regiolume.llm.token_output import read_token_ids, write_token_ids
@@ -57,7 +57,8 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(token_lengths(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(id_lengths(table(spark, sf_dir, "documents"), vocabulary)).withColumnRenamed("id", "doc_id")
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,24 +58,48 @@ class PieceTokenizer:
         place = np.searchsorted(self.hashes, hashes)
         self.hashes, self.where = np.insert(self.hashes, place, hashes), np.insert(self.where, place, new)
 
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all rows one after another, and how many each row has."""
-        starts, ends, row = words(data, offsets, _IN_PIECE)
-        unique, first, index = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    def _known(self, unique: np.ndarray, texts) -> np.ndarray:
+        """The places of pieces by their ascending hashes; ``texts`` gives the pieces that are new."""
         while True:
             place = np.searchsorted(self.hashes, unique)
             known = np.zeros(len(unique), bool)
             inside = place < len(self.hashes)
             known[inside] = self.hashes[place[inside]] == unique[inside]
             if known.all():
-                break
+                return self.where[place]
             missing = np.flatnonzero(~known)
-            raw = data.tobytes()
             if len(unique) + len(self.hashes) > _KNOWN_PIECES:
                 self.forget()
                 missing = np.arange(len(unique))
-            self._learn(unique[missing], [raw[starts[i] : ends[i]].decode() for i in first[missing]])
-        piece = self.where[place][index]
+            self._learn(unique[missing], texts(missing))
+
+    @staticmethod
+    def _cut(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> list[str]:
+        raw = data.tobytes()
+        return [raw[starts[i] : ends[i]].decode() for i in at]
+
+    def lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """How many ids each row has, as ``encode`` counts them, without the ids; equal pieces are gathered in a hash table."""
+        starts, ends, row = words(data, offsets, _IN_PIECE)
+        coded = pa.array(word_hashes(data, starts, ends)).dictionary_encode()
+        hashes, index = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        order = np.argsort(hashes)
+
+        def texts(missing: np.ndarray) -> list[str]:
+            first = np.empty(len(hashes), np.int64)
+            first[index[::-1]] = np.arange(len(index))[::-1]
+            return self._cut(data, starts, ends, first[order[missing]])
+
+        piece = np.empty(len(hashes), np.int64)
+        piece[order] = self._known(hashes[order], texts)
+        size = (self.at[piece + 1] - self.at[piece])[index]
+        return np.bincount(row, weights=size, minlength=len(offsets) - 1).astype(np.int64)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows one after another, and how many each row has."""
+        starts, ends, row = words(data, offsets, _IN_PIECE)
+        unique, first, index = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        piece = self._known(unique, lambda missing: self._cut(data, starts, ends, first[missing]))[index]
         begin, size = self.at[piece], self.at[piece + 1] - self.at[piece]
         total = np.cumsum(size)
         source = np.repeat(begin - (total - size), size) + np.arange(total[-1] if len(total) else 0)
@@ -86,9 +110,16 @@ class PieceTokenizer:
 _TOKENIZERS: dict[str, PieceTokenizer] = {}
 
 
+def piece_tokenizer(path: str) -> PieceTokenizer:
+    """The tokenizer of a vocabulary file, read once for each worker."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = PieceTokenizer(path)
+    return _TOKENIZERS[path]
+
+
 def _frames(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _TOKENIZERS.setdefault(path, PieceTokenizer(path)) if path not in _TOKENIZERS else _TOKENIZERS[path]
+        tokenizer = piece_tokenizer(path)
         part, number = TaskContext.get().partitionId(), 0
         held: list[np.ndarray] = []
         docs: list[int | None] = []

@@ -219,6 +219,27 @@ def test_chat_counts_every_row(spark, tmp_path):
     assert [r.piece for r in pieces[2:]] == ["### user: zxzx</turn>\n"]
 
 
+def test_packing_counts_ids(spark, tmp_path):
+    """Sequences are packed by the ids of the vocabulary; a text without blanks is cut like any other."""
+    from regiolume.llm.queries import op7_packing
+
+    plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows = awkward() + [(300, "日本語の文章" * 3000, "ja", "a"), (301, "x9" * 9000, None, None), (302, "don't; can't!" * 40, "en", "a")]
+    docs = table(spark, rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    size = lambda t: len(plain.encode(t or "", add_special_tokens=False).ids) + 1
+    want = Counter()
+    for i, t, *_ in rows:
+        want[i] += size(t)
+    for out in (op7_packing(spark, str(tmp_path)), corpus_pipeline.packing(spark, docs, str(tmp_path))):
+        got, used = Counter(), Counter()
+        for r in out.collect():
+            got[r.doc_id] += r.n_tokens
+            used[r.bucket, r.bin, r.capacity] += r.n_tokens
+        assert got == want and want[300] > 4096 and want[301] > 4096
+        assert all(n <= capacity for (_, _, capacity), n in used.items())
+
+
 def test_language_held_out(spark):
     """Labels of rows that were not learned from, on text alone; then the weight of the other evidence."""
     from pyspark.sql import functions as F
