@@ -258,3 +258,42 @@ def test_hash_of_kept_text(spark):
     rows = [(1, "é" * 60), (2, "é" * 60 + "z")]
     out = {r.id: bytes(r.kept) for r in remove_repeats(table(spark, rows)).collect()}
     assert hashlib.sha256(out[2]).hexdigest() == hashlib.sha256(b"z").hexdigest()
+
+
+def hot_rows():
+    """A phrase and a passage with other neighbours in every document, some of them alike."""
+    r = random.Random(8)
+    noise = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
+    rows = [(k, noise(r.randrange(20, 60)) + " all rights reserved by us " + noise(40)) for k in range(300)]
+    rows += [(300 + k, noise(30) + "x" * k + " no warranty of any kind is given with this software, use it as it is" + noise(30)) for k in range(60)]
+    return rows + [(400 + k, "z" * k + rows[k * 5][1][10:] + noise(9)) for k in range(40)] + [(None, rows[7][1]), rows[3], (3, noise(70))]
+
+
+@pytest.mark.parametrize("hot", [1, 20, 1 << 15])
+def test_hot_repeats(spark, hot):
+    rows = hot_rows()
+    out = remove_repeats(table(spark, rows), chunk_bytes=2000, hot=hot).collect()
+    got = Counter((r.id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in out)
+    assert got == repeats_by_hand(rows)
+
+
+def test_hot_contexts_are_spread():
+    """However many neighbours a phrase has, no bucket gets more than a share of its contexts."""
+    import pyarrow as pa
+
+    from regiolume.llm import repeats
+
+    texts, bits, every = [t.encode() for _, t in hot_rows()[:300]], 6, []
+    for c in range(0, 300, 10):
+        part = texts[c : c + 10]
+        every.append({"chunk": c, "ids": list(range(c, c + 10)), "marks": [0] * 10, "sizes": [len(t) for t in part], "data": b"".join(part), "copies": None})
+    by_bucket = lambda out: {b: [r for r in out if r["bucket"] == b] for b in {r["bucket"] for r in out}}
+    run = lambda f, rows: [r for batch in f(iter([pa.RecordBatch.from_pylist(rows)])) for r in batch.to_pylist()]
+    found = [r for group in by_bucket(run(repeats._anchors(50, bits), every)).values() for r in run(repeats._shared(20), group)]
+    for row in every:
+        row["found"] = [{k: f[k] for k in ("bucket", "found", "hot")} for f in found if f["chunk"] == row["chunk"]]
+    groups = by_bucket(run(repeats._contexts(50, bits), every))
+    sizes = {b: sum(len(r["doc"]) for r in group) for b, group in groups.items()}
+    assert max(n for b, n in sizes.items() if b < 1 << bits) <= 60
+    strings = [n for b, n in sizes.items() if b >= 1 << bits]
+    assert len(strings) == 1 << bits and max(strings) < 0.05 * sum(strings)
