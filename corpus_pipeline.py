@@ -22,12 +22,14 @@ from regiolume.session import stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language. The label is the declared language, the source the host. What the operator rejects
     (text without letters, or in no language of the model) goes; the few rejected ids are staged, so that
-    Spark knows their size when it joins."""
+    Spark knows their size when it joins. Where no document has a label there is nothing to learn from, and all stay."""
     ship(spark)
     given = docs.select(
         id_or_least("doc_id").alias("__id"), F.xxhash64("text").alias("__mark"), "text", "lang", "source"
     )
     model = train(given.select(F.col("__id").alias("key"), "text", "lang"))
+    if not model.languages:
+        return docs
     found = identify(
         given, model, F.col("text"), F.col("lang"), F.lit(None).cast("string"), F.col("source"), keep=["__id", "__mark"]
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +15,11 @@ from pyspark.sql import types as T
 from regiolume.llm.bytes_view import LOWERED, as_bytes, slices
 from regiolume.session import stage
 
-LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
+#: Labels that name no language: the class of unknown text, and the codes of ``identify`` for other and missing labels.
+NO_LANGUAGE = (UNKNOWN, "other", "none", "")
+#: Labels from which a model is made at most; its size grows with them.
+MOST_LANGUAGES = 256
 #: Country suffixes that speak for a language.
 SUFFIXES = {"de": "de", "at": "de", "es": "es", "mx": "es", "fr": "fr", "uk": "en", "us": "en", "ie": "en"}
 FEATURES = 1 << 16
@@ -40,36 +44,63 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES, rows: int = 20_000) -> np.ndarray:
-    """Log-probabilities of trigrams by language from about ``rows`` labelled rows (``key, text, lang``).
+class Model(NamedTuple):
+    """The languages, and log-probabilities of trigrams: a row for each feature and columns for the languages, for text of
+    no known language (all features alike), and 1."""
 
-    The rows are those whose hashed key falls below a share of all rows, so the sample is spread over the table
-    and its size does not grow. The result has a row for each feature and columns for the languages, for text of
-    no known language (all features alike), and 1.
+    languages: tuple[str, ...]
+    table: np.ndarray
+
+
+def quotas(counts: dict[str, int], rows: int) -> dict[str, int]:
+    """How many rows each language gives to a sample of ``rows``: an equal part each, and what rare ones lack goes to the others."""
+    out, left = {}, rows
+    for done, name in enumerate(sorted(counts, key=lambda x: (counts[x], x))):
+        out[name] = min(counts[name], math.ceil(left / (len(counts) - done)))
+        left -= out[name]
+    return out
+
+
+def train(labelled: DataFrame, languages: tuple[str, ...] | None = None, rows: int = 20_000) -> Model:
+    """The model of the languages that the labels name, from about ``rows`` labelled rows (``key, text, lang``).
+
+    Rows count that have a label, in any case of letters, and a text. Of each language those are learned from whose hashed
+    key falls below its share, so the sample is spread over the table and its size does not grow; a language of few rows is
+    learned from all of them. ``languages`` restricts the labels. Without any labelled row the model has no language; more
+    than ``MOST_LANGUAGES`` labels are an error.
     """
-    n = labelled.count()
-    share = int(1_000_000 * min(1.0, rows / max(1, n)))
-    sample = labelled.where(F.col("lang").isin(*languages) & F.col("text").isNotNull()).where(
-        F.pmod(F.xxhash64(F.lit("sample"), "key"), F.lit(1_000_000)) < share
-    )
+    label = F.lower(F.btrim("lang"))
+    given = labelled.select("key", "text", label.alias("lang")).where("text <> ''")
+    given = given.where(~F.col("lang").isin(*NO_LANGUAGE) if languages is None else F.col("lang").isin(*languages))
+    found = given.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} different labels: name the languages to learn")
+    counts = {r["lang"]: r["n"] for r in found}
+    languages = tuple(sorted(counts))
+    wanted, place, share = quotas(counts, rows), F.pmod(F.xxhash64(F.lit("sample"), "key"), F.lit(1 << 40)), F.lit(0)
+    for name in languages:
+        share = F.when(F.col("lang") == name, F.lit((wanted[name] << 40) // counts[name])).otherwise(share)
+    sample = given.where(place < share)
     counted = sample.select("text", "lang").mapInArrow(_counter(languages), "lang int, part int, counts binary")
     summed = counted.groupBy("lang", "part").applyInArrow(_adder, "lang int, part int, counts binary")
     counts = np.full((FEATURES, len(languages)), 0.5)
     for r in summed.toLocalIterator():
         part = np.frombuffer(r["counts"], np.int64)
         counts[r["part"] * len(part) : (r["part"] + 1) * len(part), r["lang"]] += part
-    model = np.zeros((FEATURES + 1, len(languages) + 2), np.float32)
+    model = np.zeros((FEATURES + 1, len(languages) + 2), np.float32)  # the last row is text without letters
     model[:-1, : len(languages)] = np.log(counts / counts.sum(axis=0))
     model[:-1, -2] = -math.log(FEATURES)
     model[:-1, -1] = 1
-    return model
+    return Model(languages, model)
 
 
 def _counter(languages: tuple[str, ...], parts: int = 16):
+    place = {name: i for i, name in enumerate(languages)}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(languages), FEATURES + 1), np.int64)
         for batch in batches:
-            labels = np.array([languages.index(x) for x in batch.column("lang").to_pylist()], np.int64)
+            labels = np.array([place[x] for x in batch.column("lang").to_pylist()], np.int64)
             for first, data, offsets in slices(*as_bytes(batch.column("text"))):
                 row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
                 found = labels[first + row] * (FEATURES + 1) + trigrams(data, offsets)
@@ -172,17 +203,16 @@ def _evidence(ev: DataFrame, column: str, n: int, smooth: float = 1.0) -> dict[s
 
 def identify(
     rows: DataFrame,
-    model: np.ndarray,
+    model: Model,
     text: Column,
     declared: Column,
     suffix: Column,
     host: Column,
     keep: list[str],
-    languages: tuple[str, ...] = LANGUAGES,
     smooth: float = 20.0,
     least: float = 0.5,
 ) -> DataFrame:
-    """The most probable language of each row, from four kinds of evidence.
+    """The most probable language of each row, of those of the model, from four kinds of evidence.
 
     * text: hashed byte trigrams against ``model`` (see ``train``), with a class ``und`` for text that none explains;
     * declared: the language the row itself names; how far to trust it is counted over all rows, against
@@ -196,6 +226,7 @@ def identify(
     NULL or empty text is not accepted; NULL declarations, suffixes and hosts are values of their own, each counted as
     such. Repeated rows each get their result; an empty table is fine.
     """
+    languages = model.languages
     n, known = len(languages) + 1, (*languages, UNKNOWN)
     code = lambda c: F.coalesce(
         F.when(F.lower(c).isin(*languages), F.lower(c)).when(c.isNotNull() & (c != ""), "other"), F.lit("none")
@@ -208,7 +239,7 @@ def identify(
     names = [*keep, "__declared", "__suffix", "__host", "__domain"]
     fields = [given.schema[c] for c in names] + [T.StructField("__n", T.LongType())]
     fields += [T.StructField(f"__{kind}{i}", T.DoubleType()) for kind in "lp" for i in range(n)]
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = rows.sparkSession.sparkContext.broadcast(model.table)
     ev = stage(given.mapInArrow(_scorer(names, shared), T.StructType(fields)), "language-evidence")
     sums = lambda old, new: [F.sum(f"__{old}{i}").alias(f"__{new}{i}") for i in range(n)]
     hosts = stage(ev.groupBy("__host", "__domain").agg(*sums("p", "h")), "hosts")

@@ -262,6 +262,26 @@ def test_language_held_out(spark):
     assert language.identify(df.limit(0), model, F.col("text"), none, none, none, keep=["k"]).count() == 0
 
 
+def test_language_few_labels(spark):
+    """Rows without a label take nothing from the sample, every labelled language is learned, and without labels all stay."""
+    from pyspark.sql import functions as F
+
+    assert language.quotas({"a": 3, "b": 1000, "c": 90}, 200) == {"a": 3, "c": 90, "b": 107}
+    words = {"en": "the house and the garden of that man", "de": "das Haus und der Garten von dem Mann", "it": "la casa e il giardino di questo uomo che parla"}
+    texts = [(k, lang, " ".join(random.Random(k).choices(words[lang].split(), k=30))) for k, lang in enumerate(["en", "de", "it"] * 400)]
+    rows = [(k, text, lang if k < 60 else None, None) for k, lang, text in texts]
+    docs = table(spark, rows)
+    model = language.train(docs.select(F.col("doc_id").alias("key"), "text", "lang"), rows=30)
+    assert model.languages == ("de", "en", "it")
+    none = F.lit(None).cast("string")
+    out = {r.doc_id: r for r in language.identify(docs, model, F.col("text"), none, none, none, keep=["doc_id"]).collect()}
+    assert all(out[k].accepted and out[k].language == lang for k, lang, _ in texts)
+    upper = language.train(docs.select(F.col("doc_id").alias("key"), "text", F.upper("lang").alias("lang")))
+    assert upper.languages == model.languages
+    assert corpus_pipeline.language_id(spark, docs, FOLDER).count() == len(rows)
+    assert corpus_pipeline.language_id(spark, docs.withColumn("lang", none), FOLDER).count() == len(rows)
+
+
 def test_page_evidence(spark):
     from pyspark.sql import functions as F
 
