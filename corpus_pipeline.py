@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiolume.llm.common import id_or_least, ship, table
+from regiolume.llm.common import BLANKS, id_or_least, ship, table
 from regiolume.llm.decontam import find_contamination
 from regiolume.llm.jaccard import jaccard_components
 from regiolume.llm.language import identify, train
@@ -39,19 +39,27 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that an earlier document has; ``n_chars`` follows the text."""
+    """Texts without the lines that an earlier document has; ``n_chars`` follows the text. Documents of which no word is left,
+    such as exact copies, leave the pipeline here."""
     ship(spark)
-    kept = dedup_lines(docs)
+    emptied = (F.col("n_dropped") > 0) & (F.btrim("text", F.lit(BLANKS)) == "")
+    kept = dedup_lines(docs).where(~emptied)
     columns = [F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
     return kept.select(columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by a similarity of 0.8 on shingles of five words, the document of the smallest id."""
+    """Of each group linked by a similarity of 0.8 on shingles of five words, the row of the smallest id.
+
+    Every row is a document of its own, whether it repeats another, shares its id or has none: rows are numbered in order
+    of id and text, and exactly one number of each group stays. Texts without words are linked with nothing."""
     ship(spark)
-    found = jaccard_components(docs, width=5, percent=80)
-    first = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(id_or_least("id").alias("__first"))
-    return docs.join(stage(first, "first"), id_or_least("doc_id") == F.col("__first"), "left_semi")
+    order = [id_or_least("doc_id"), F.xxhash64("text")]
+    ordered = docs.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = stage(ordered.withColumn("__key", F.monotonically_increasing_id()), "numbered")
+    found = jaccard_components(numbered, width=5, percent=80, id_col="__key")
+    first = stage(found.where("id = component_id").select(F.col("id").alias("__key")), "first")
+    return numbered.join(first, "__key", "left_semi").select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -312,6 +312,20 @@ def test_pipeline_stages(spark):
     assert packed.where("piece = 0").count() == len(rows)
 
 
+def test_pipeline_decides_by_row(spark):
+    """One row of each group stays, whatever ids the rows share; what line_dedup empties goes."""
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    rows = [(1, text(1)), (1, text(1)), (1, text(2)), (2, text(2) + " more"), (3, text(3)), (3, text(4)), (4, text(3)), (None, text(5)), (None, text(5)), (None, text(6)), (9, text(5))]
+    docs = table(spark, [(i, t, "en", "a") for i, t in rows])
+    kept = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    want = [(1, text(1)), (1, text(2)), (3, text(3)), (3, text(4)), (None, text(5)), (None, text(6))]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(want)
+    lines = [(1, text(1) + "\n\n" + text(2)), (2, text(2) + "\n \n" + text(1)), (3, text(3) + "\n" + text(1)), (4, ""), (5, None)]
+    left = corpus_pipeline.line_dedup(spark, table(spark, [(i, t, "en", "a") for i, t in lines]), FOLDER)
+    assert sorted(r.doc_id for r in left.collect()) == [1, 3, 4, 5]
+
+
 def test_registered(spark):
     names = list(entry.queries())
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
