@@ -114,3 +114,29 @@ with recursive d as (
 select d.doc_id, coalesce(any_value(n), 0) as n_shingles, min(root) as component_id
 from d left join sizes using (doc_id) join reach using (doc_id) group by d.doc_id
 """
+
+LEXICAL = r"""
+with d as (
+  select row_number() over () as r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\x{80}-\x{10FFFF}]+') as w from documents
+), b as (
+  select distinct item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\x{80}-\x{10FFFF}]+')) as term from benchmark
+), s as (
+  select count(*) as n_docs, sum(len(w))::bigint as n_all from d where len(w) > 0
+), tf as (
+  select r, term, count(*) as tf from (select r, unnest(w) as term from d) where term in (select term from b) group by all
+), terms as (
+  select term, cast(floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1))) as bigint) as weight
+  from tf, s group by term, n_docs
+), scored as (
+  select b.item_id, d.doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(w) * n_docs) // n_all))))::bigint as score
+  from b join tf using (term) join terms using (term) join d using (r), s group by b.item_id, r, d.doc_id
+), ranked as (
+  select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score
+  from scored where score > 0
+)
+select * from ranked where rank <= 10
+"""

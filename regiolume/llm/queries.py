@@ -17,6 +17,7 @@ from regiolume.llm.packing import id_lengths, pack_documents
 from regiolume.llm.repeats import remove_repeats
 from regiolume.llm.sharding import shuffle_into_shards
 from regiolume.llm.token_output import read_token_ids, write_token_ids
+from regiolume.llm.term_search import rank_documents
 from regiolume.llm.topk import exact_top_k
 
 
@@ -100,6 +101,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_conversations(events_of(number_copies(given.unionByName(planted)))))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_decontamination": op2_decontamination,
@@ -111,6 +116,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_language_id": op9_language_id,
     "op10_chat_formatting": op10_chat_formatting,
+    "op13_lexical_search": op13_lexical_search,
 }
 SQL = {
     "op1_top_k": oracles.TOP_K,
@@ -118,4 +124,5 @@ SQL = {
     "op5_jaccard_join": oracles.JACCARD,
     "op6_line_dedup": oracles.LINE_DEDUP,
     "op10_chat_formatting": oracles.CHAT,
+    "op13_lexical_search": oracles.LEXICAL,
 }
