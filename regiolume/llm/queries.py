@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from regiolume.llm import oracles
 from regiolume.llm.chat import digests, events_of, format_conversations, number_copies
 from regiolume.llm.common import table
+from regiolume.llm.curve_packing import pack_along_curve
 from regiolume.llm.decontam import find_contamination
 from regiolume.llm.jaccard import jaccard_components
 from regiolume.llm.language import identify, markup_language, markup_text, train, url_host, url_language
@@ -101,6 +102,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_conversations(events_of(number_copies(given.unionByName(planted)))))
 
 
+def op12_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_along_curve(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -116,6 +121,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_language_id": op9_language_id,
     "op10_chat_formatting": op10_chat_formatting,
+    "op12_curve_packing": op12_curve_packing,
     "op13_lexical_search": op13_lexical_search,
 }
 SQL = {
