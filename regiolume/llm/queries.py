@@ -20,6 +20,7 @@ from regiolume.llm.sharding import shuffle_into_shards
 from regiolume.llm.token_output import read_token_ids, write_token_ids
 from regiolume.llm.term_search import rank_documents
 from regiolume.llm.topk import exact_top_k
+from regiolume.llm.whitening import whiten
 
 
 def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +103,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_conversations(events_of(number_copies(given.unionByName(planted)))))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_along_curve(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -121,6 +126,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_language_id": op9_language_id,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_whitening": op11_whitening,
     "op12_curve_packing": op12_curve_packing,
     "op13_lexical_search": op13_lexical_search,
 }
