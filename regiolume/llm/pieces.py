@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -77,15 +78,24 @@ class PieceCoder:
             found = pa.nulls(len(pieces), pa.int32())
         if found.null_count:
             new = pieces.filter(found.is_null())
-            codes = [e.ids for e in self.tokenizer.encode_batch_fast(new.cast(pa.string()).to_pylist(), add_special_tokens=False)]
-            sizes = np.fromiter(map(len, codes), np.int64, len(codes))
+            sizes, ids = self._encoded(new.cast(pa.string()))
             places = pa.array(np.arange(len(self.known), len(self.known) + len(new)), pa.int32())
             found = pc.replace_with_mask(found, found.is_null(), places)
             self.known = pa.concat_arrays([self.known, new])
             self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for c in codes for i in c), np.int32, int(sizes.sum()))])
+            self.ids = np.concatenate([self.ids, ids])
         return found.to_numpy()
 
+    def _encoded(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids and ids, some pieces at a time: what the tokenizer gives back for one is large."""
+        sizes, ids = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+        for at in range(0, len(pieces), 16_384):
+            part = pieces.slice(at, 16_384).to_pylist()
+            codes = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, codes), np.int64, len(codes)))
+            ids.append(np.fromiter(chain.from_iterable(codes), np.int32, int(sizes[-1].sum())))
+        return np.concatenate(sizes), np.concatenate(ids)
+
     def _pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The place of every piece's ids, and how many pieces each row has."""
         cuts = cut_points(data, offsets)
