@@ -11,9 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiolume.llm.bytes_view import as_bytes, slices
 from regiolume.llm.common import BLANKS
-from regiolume.llm.token_output import piece_tokenizer
+from regiolume.llm.pieces import piece_coder
 from regiolume.session import stage
 
 CAPACITIES = (512, 1024, 2048, 4096)
@@ -89,11 +88,9 @@ def token_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def _counter(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = piece_tokenizer(path)
+        coder = piece_coder(path)
         for batch in batches:
-            data = slices(*as_bytes(batch.column("text")))
-            n = [tokenizer.lengths(part, offsets) + 1 for _, part, offsets in data]
-            sizes = pa.array(np.concatenate([np.empty(0, np.int64), *n]))
+            sizes = pa.array(coder.lengths(batch.column("text")) + 1)
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("mark"), sizes], ["id", "mark", "n_tokens"])
 
     return run
@@ -103,7 +100,7 @@ def id_lengths(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     """``id, mark`` (a hash of the text) and ``n_tokens``: the ids that ``write_token_ids`` writes for the text, with the end id.
 
     Each task encodes the texts as it reads them and keeps the lengths only. ``tokenizer`` is the path of a vocabulary file
-    that all executors have, of a kind that ``PieceTokenizer`` supports.
+    that all executors have, of a kind that ``PieceCoder`` supports.
     """
     whole = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     given = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(whole).alias("mark"), whole.alias("text"))

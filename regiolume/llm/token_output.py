@@ -7,13 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from regiolume.llm.bytes_view import as_bytes, slices, word_hashes, words
 from regiolume.llm.id_coder import BLOCK, decode, encode
+from regiolume.llm.pieces import piece_coder
 from regiolume.session import stage
 
 #: Ids that one frame gathers before it is coded; a document is never parted.
@@ -27,99 +26,11 @@ FRAME_TYPES = [
     pa.list_(pa.int32()), pa.list_(pa.int64()),
 ]
 FRAME_NAMES = ["part", "frame", "n_ids", "bits", "block", "doc_ids", "doc_tokens", "payload", "lengths", "checks"]
-#: Pieces of text are what stands between blanks and line ends: no token of the supported tokenizers spans those.
-_IN_PIECE = np.array([b not in (32, 10) for b in range(256)])
-_KNOWN_PIECES = 1_500_000
-
-
-class PieceTokenizer:
-    """Encodes texts by their pieces; pieces seen before are looked up, so that each is encoded once per worker.
-
-    This holds for tokenizers whose tokens never reach over a blank or a line end, and which drop both: then a text's ids
-    are the ids of its pieces one after another. The known pieces are forgotten when they become too many.
-    """
-
-    def __init__(self, path: str):
-        self.tokenizer = tokenizers.Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.hashes, self.at = np.empty(0, np.uint64), np.zeros(1, np.int64)
-        self.where, self.ids = np.empty(0, np.int64), np.empty(0, np.int32)
-
-    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        if len(self.hashes) + len(hashes) > _KNOWN_PIECES:
-            self.forget()
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        new = np.arange(len(self.at) - 1, len(self.at) - 1 + len(found))
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.int32, int(sizes.sum()))])
-        place = np.searchsorted(self.hashes, hashes)
-        self.hashes, self.where = np.insert(self.hashes, place, hashes), np.insert(self.where, place, new)
-
-    def _known(self, unique: np.ndarray, texts) -> np.ndarray:
-        """The places of pieces by their ascending hashes; ``texts`` gives the pieces that are new."""
-        while True:
-            place = np.searchsorted(self.hashes, unique)
-            known = np.zeros(len(unique), bool)
-            inside = place < len(self.hashes)
-            known[inside] = self.hashes[place[inside]] == unique[inside]
-            if known.all():
-                return self.where[place]
-            missing = np.flatnonzero(~known)
-            if len(unique) + len(self.hashes) > _KNOWN_PIECES:
-                self.forget()
-                missing = np.arange(len(unique))
-            self._learn(unique[missing], texts(missing))
-
-    @staticmethod
-    def _cut(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> list[str]:
-        raw = data.tobytes()
-        return [raw[starts[i] : ends[i]].decode() for i in at]
-
-    def lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """How many ids each row has, as ``encode`` counts them, without the ids; equal pieces are gathered in a hash table."""
-        starts, ends, row = words(data, offsets, _IN_PIECE)
-        coded = pa.array(word_hashes(data, starts, ends)).dictionary_encode()
-        hashes, index = coded.dictionary.to_numpy(), coded.indices.to_numpy()
-        order = np.argsort(hashes)
-
-        def texts(missing: np.ndarray) -> list[str]:
-            first = np.empty(len(hashes), np.int64)
-            first[index[::-1]] = np.arange(len(index))[::-1]
-            return self._cut(data, starts, ends, first[order[missing]])
-
-        piece = np.empty(len(hashes), np.int64)
-        piece[order] = self._known(hashes[order], texts)
-        size = (self.at[piece + 1] - self.at[piece])[index]
-        return np.bincount(row, weights=size, minlength=len(offsets) - 1).astype(np.int64)
-
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all rows one after another, and how many each row has."""
-        starts, ends, row = words(data, offsets, _IN_PIECE)
-        unique, first, index = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        piece = self._known(unique, lambda missing: self._cut(data, starts, ends, first[missing]))[index]
-        begin, size = self.at[piece], self.at[piece + 1] - self.at[piece]
-        total = np.cumsum(size)
-        source = np.repeat(begin - (total - size), size) + np.arange(total[-1] if len(total) else 0)
-        per_row = np.bincount(row, weights=size, minlength=len(offsets) - 1).astype(np.int64)
-        return self.ids[source], per_row
-
-
-_TOKENIZERS: dict[str, PieceTokenizer] = {}
-
-
-def piece_tokenizer(path: str) -> PieceTokenizer:
-    """The tokenizer of a vocabulary file, read once for each worker."""
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = PieceTokenizer(path)
-    return _TOKENIZERS[path]
 
 
 def _frames(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = piece_tokenizer(path)
+        coder = piece_coder(path)
         part, number = TaskContext.get().partitionId(), 0
         held: list[np.ndarray] = []
         docs: list[int | None] = []
@@ -137,8 +48,7 @@ def _frames(path: str, end_id: int):
 
         for batch in batches:
             names = batch.column("id").to_pylist()
-            for first, data, offsets in slices(*as_bytes(batch.column("text"))):
-                ids, n = tokenizer.encode(data, offsets)
+            for first, ids, n in coder.encode(batch.column("text")):
                 held.append(np.insert(ids, np.cumsum(n), end_id))
                 docs += names[first : first + len(n)]
                 sizes += (n + 1).tolist()
@@ -161,7 +71,7 @@ def write_token_ids(
     text). A task encodes its texts and codes some millions of ids at a time as one frame of independent blocks, see
     ``id_coder``; a frame is a row of a Parquet table in the shared folder, with its documents, block lengths
     and checksums. ``part`` and ``frame`` give the order. ``tokenizer`` is the path of a vocabulary file that all
-    executors have, of a kind that ``PieceTokenizer`` supports.
+    executors have, of a kind that ``PieceCoder`` supports.
 
     A NULL or empty text is its end id alone. Repeated rows are kept. An empty table has no frames.
     """

@@ -14,9 +14,9 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from regiolume.llm import chat, id_coder, language
 from regiolume.llm.sharding import shuffle_into_shards
-from regiolume.llm.token_output import PieceTokenizer, read_token_ids, write_token_ids
+from regiolume.llm.pieces import PieceCoder
+from regiolume.llm.token_output import read_token_ids, write_token_ids
 from regiolume.llm.topk import exact_top_k
-from regiolume.llm.bytes_view import as_bytes
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, shard string, slot string, id string"
 FOLDER = "/root/testdata/sf0.001"
@@ -106,17 +106,17 @@ def test_id_coder(block):
     assert id_coder.encode(np.empty(0, np.int64), 4) == (b"", [], [])
 
 
-def test_piece_tokenizer(monkeypatch):
+def test_piece_coder_forgets(monkeypatch):
     import pyarrow as pa
 
-    from regiolume.llm import token_output
+    from regiolume.llm import pieces as module
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    plain, pieces = Tokenizer.from_file(path), PieceTokenizer(path)
+    plain, pieces = Tokenizer.from_file(path), PieceCoder(path)
     texts = [t or "" for _, t, *_ in awkward()] + ["<|endoftext|> a\tb\r\n  c\xa0d é", "\n", " x "]
     for most in (10**6, 40):  # the second forgets all the time
-        monkeypatch.setattr(token_output, "_KNOWN_PIECES", most)
-        ids, n = pieces.encode(*as_bytes(pa.array(texts)))
+        monkeypatch.setattr(module, "KNOWN_PIECES", most)
+        ((_, ids, n),) = pieces.encode(pa.array(texts))
         ends = np.cumsum(n)
         for t, a, b in zip(texts, ends - n, ends, strict=True):
             assert ids[a:b].tolist() == plain.encode(t, add_special_tokens=False).ids
