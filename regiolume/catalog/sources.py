@@ -124,6 +124,39 @@ def src_tabs(t: Tables):
     )
 
 
+@query(
+    "src_headers_differ",
+    """select c_nationkey::varchar as tab, c_custkey as id,
+              case when c_nationkey % 3 <> 2 then c_acctbal end as balance,
+              c_mktsegment || ', "' || c_nationkey || '"' as segment,
+              row_number() over (partition by c_nationkey order by c_custkey)::bigint as pos from customer""",
+)
+def src_headers_differ(t: Tables):
+    """A file for each nation: columns in another order in some, one missing in others, titles above all."""
+    folder = scratch_folder(t.spark, "headed")
+    layout = F.col("c_nationkey") % 3
+    segment = F.concat(F.lit('"'), "c_mktsegment", F.lit(', ""'), "c_nationkey", F.lit('"""'))
+    by_layout = lambda a, b, c: F.when(layout == 0, a).when(layout == 1, b).otherwise(c)
+    line = by_layout(
+        F.concat_ws(",", "c_custkey", segment, "c_acctbal"), F.concat_ws(",", "c_acctbal", "c_custkey", segment),
+        F.concat_ws(",", segment, "c_custkey"),
+    )
+    body = t.customer.select(F.col("c_nationkey").alias("tab"), (F.col("c_custkey") + 10).alias("at"), line.alias("line"))
+    heads = t.customer.select("c_nationkey").distinct().select(
+        F.col("c_nationkey").alias("tab"),
+        F.posexplode(F.array(
+            F.concat(F.lit("Nation "), "c_nationkey"), F.lit(",,"),
+            by_layout(F.lit("Id,Segment Name,Balance"), F.lit('BALANCE,"ID",Segment  Name'), F.lit("segment name,id")),
+        )).alias("at", "line"),
+    )
+    both = heads.unionByName(body).repartition("tab").sortWithinPartitions("tab", "at")
+    both.select("tab", "line").write.partitionBy("tab").text(folder)
+    return sources.read_headed(
+        t.spark, folder, {"Id": "int", "Segment.Name": "string", "Balance": "double"}, skip=2, tag="tab",
+        tag_value=F.regexp_extract("file", r"tab=(\d+)", 1),
+    ).select("tab", F.col("Id").alias("id"), F.col("`Segment.Name`").alias("segment"), F.col("Balance").alias("balance"), "pos")
+
+
 @query(
     "text_report_table",
     """select c_custkey as id, (c_custkey * 1000)::bigint as claims, (c_custkey % 2)::int as block from customer""",

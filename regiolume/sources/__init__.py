@@ -8,9 +8,11 @@ from regiolume.sources.delimited import (
     text_schema,
 )
 from regiolume.sources.lines import (
+    header_rows,
     numbered_lines,
     parse_lines,
     read_below_titles,
+    read_headed,
     read_header,
     read_tabs,
     report_blocks,
@@ -19,7 +21,7 @@ from regiolume.sources.sinks import write_csv, write_report
 from regiolume.sources.tables import inline_lookup, read_table
 
 __all__ = [
-    "inline_lookup", "lower_names", "numbered_lines", "parse_lines", "read_below_titles",
-    "read_csv", "read_delimited", "read_header", "read_named", "read_table", "read_tabs", "read_tagged",
+    "header_rows", "inline_lookup", "lower_names", "numbered_lines", "parse_lines", "read_below_titles",
+    "read_csv", "read_delimited", "read_headed", "read_header", "read_named", "read_table", "read_tabs", "read_tagged",
     "rename_by_position", "report_blocks", "text_schema", "write_csv", "write_report",
 ]
