@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from regiolume.catalog.aggregates import NATION_SALES_SQL, as_double, nation_sales
 from regiolume.catalog.registry import Tables, query
 from regiolume.functions.numbers import money, ratio
-from regiolume.operators import aggregate, filters, joins, series, topk
+from regiolume.operators import aggregate, filters, joins, ranges, series, topk
 from regiolume.operators.series import Event
 
 def order_month():
@@ -228,6 +230,56 @@ def forward_fill(t: Tables):
     )
 
 
+EVENT_KEY_SQL = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || lpad(event_id::varchar, 12, '0')"
+
+
+@query(
+    "delta_long",
+    """select event_id, value, value - lag(value) over (order by ts, event_id) as delta,
+              value - lag(value) over (partition by event_type order by ts, event_id) as delta_type from events""",
+)
+def delta_long(t: Tables):
+    """All events are one series, and one for each type, in the order of time: cut into blocks, no series in one task."""
+    rows = t.events.select("event_id", "event_type", F.struct("ts", "event_id").alias("at"), "value")
+    one = series.delta_prev(rows, "value", [], "at", block_rows=500)
+    both = series.delta_prev(one, "value", ["event_type"], "at", "delta_type", block_rows=500)
+    return both.select("event_id", "value", "delta", "delta_type")
+
+
+@query(
+    "delta_long_month",
+    """with d as (select o_orderpriority, o_orderdate::date as day, sum(o_totalprice::decimal(18,2)) as amount from orders group by 1, 2)
+       select o_orderpriority, day,
+              (amount - lag(amount) over (partition by o_orderpriority, month(day) order by day))::double as delta,
+              case when day = date '2000-07-03'
+                   then (amount - lag(amount) over (partition by o_orderpriority order by day))::double end as target from d""",
+)
+def delta_long_month(t: Tables):
+    """Daily sums against the day before in the same month of any year, and one target day's change, in blocks."""
+    rows = t.orders.groupBy("o_orderpriority", F.col("o_orderdate").cast("date").alias("day")).agg(
+        F.sum(money("o_totalprice")).alias("amount")
+    )
+    rows = joins.sized(rows)
+    month = series.delta_same_month(rows, "amount", ["o_orderpriority"], "day", block_rows=1000)
+    day = datetime.date(2000, 7, 3)
+    both = series.delta_target(month, "amount", ["o_orderpriority"], "day", day, "target", block_rows=1000)
+    return as_double(both.drop("amount"), "delta", "target")
+
+
+@query(
+    "forward_fill_long",
+    f"""with s as (select event_id, {EVENT_KEY_SQL} as key, case when event_id % 997 = 5 then event_type end as label from events)
+       select event_id, key, last_value(label ignore nulls) over (order by key rows between unbounded preceding and current row) as label
+       from s""",
+)
+def forward_fill_long(t: Tables):
+    """One series ordered by text, a label on one row of a thousand: runs without a label reach over several blocks."""
+    key = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lpad(F.col("event_id").cast("string"), 12, "0"))
+    label = F.when(F.col("event_id") % 997 == 5, F.col("event_type"))
+    rows = t.events.select("event_id", key.alias("key"), label.alias("label"))
+    return ranges.fill_forward(rows, "label", "key", rows=500)
+
+
 INDEX_SQL = """
   with base as (select event_type, max(value) as base from events where ts < timestamp '2024-01-08' group by 1),
   r as (select event_id, event_type, ts::date as day, value / nullif(base, 0) as ratio from events left join base using (event_type))"""

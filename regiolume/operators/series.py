@@ -1,8 +1,8 @@
 """Operators over time series. Every window is partitioned by series.
 
 The delta, event and recovery operators expect one row per series and period, as the aggregates
-before them produce: a series is then as long as the calendar, however many facts lie behind it.
-``forward_fill`` works on raw rows and can cut long series into blocks.
+before them produce: a series is then as long as the calendar, however many facts lie behind it. For series
+of raw rows the deltas have ``block_rows``; they and ``forward_fill`` cut such series into blocks.
 """
 
 from __future__ import annotations
@@ -13,36 +13,54 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampType
 
 from regiolume.functions.dates import years_between
 from regiolume.functions.numbers import pct_change, ratio
+from regiolume.operators.ranges import fill_forward, previous_value
 from regiolume.operators.reshape import pivot_periods
 
 
+def _before(
+    df: DataFrame, value: str, series: Sequence[str | Column], period: str | Column, block_rows: int | None
+) -> DataFrame:
+    """The value of the row before as ``__before``; with ``block_rows`` series are cut into blocks instead of standing in
+    one task each."""
+    if block_rows is None:
+        return df.withColumn("__before", F.lag(value).over(Window.partitionBy(*series).orderBy(period)))
+    if not isinstance(period, str):
+        raise ValueError("a long series is ordered by a column")
+    names = [c if isinstance(c, str) else f"__series_{i}" for i, c in enumerate(series)]
+    keyed = df.withColumns({n: c for n, c in zip(names, series, strict=True) if not isinstance(c, str)})
+    return previous_value(keyed, value, period, names, "__before", block_rows).select(*df.columns, "__before")
+
+
 def delta_prev(
-    df: DataFrame, value: str, series: Sequence[str], period: str | Column, name: str = "delta"
+    df: DataFrame, value: str, series: Sequence[str], period: str | Column, name: str = "delta",
+    block_rows: int | None = None,
 ) -> DataFrame:
-    """Change against the previous period of the same series; NULL for its first period."""
-    before = F.lag(value).over(Window.partitionBy(*series).orderBy(period))
-    return df.withColumn(name, F.col(value) - before)
+    """Change against the previous period of the same series; NULL for its first period. ``block_rows`` is for
+    series of raw rows that one task should not hold: they are cut into blocks of about so many rows, see ``ranges``."""
+    out = _before(df, value, series, period, block_rows)
+    return out.withColumn(name, F.col(value) - F.col("__before")).drop("__before")
 
 
 def delta_same_month(
-    df: DataFrame, value: str, series: Sequence[str], period: str, month: int | None = None, name: str = "delta"
+    df: DataFrame, value: str, series: Sequence[str], period: str, month: int | None = None, name: str = "delta",
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Change against the same month of the previous year present; ``month`` keeps one month only."""
     if month is not None:
         df = df.filter(F.month(period) == month)
-    before = F.lag(value).over(Window.partitionBy(*series, F.month(period)).orderBy(period))
-    return df.withColumn(name, F.col(value) - before)
+    out = _before(df, value, [*series, F.month(period)], period, block_rows)
+    return out.withColumn(name, F.col(value) - F.col("__before")).drop("__before")
 
 
 def delta_target(
-    df: DataFrame, value: str, series: Sequence[str], period: str, target: Any, name: str = "delta"
+    df: DataFrame, value: str, series: Sequence[str], period: str, target: Any, name: str = "delta",
+    block_rows: int | None = None,
 ) -> DataFrame:
     """The change is kept for the target period only; all other rows hold NULL."""
-    out = delta_prev(df, value, series, period, name)
+    out = delta_prev(df, value, series, period, name, block_rows)
     return out.withColumn(name, F.when(F.col(period) == F.lit(target), F.col(name)))
 
 
@@ -102,10 +120,6 @@ def class_growth(
     ).withColumn(name, F.col("last") - F.col("first"))
 
 
-#: Length of the pieces that a long series is filled in.
-BLOCK = 100_000
-
-
 def forward_fill(
     df: DataFrame,
     c: str,
@@ -115,19 +129,12 @@ def forward_fill(
 ) -> DataFrame:
     """Fill missing values of a column with the last filled one before them.
 
-    ``block`` cuts a series into pieces that follow each other in the order. Each piece is filled on its own; what a
-    piece inherits comes from one row per earlier piece. By default a piece is ``BLOCK`` numbers of the order, or a year of
-    it; only a series ordered by text stays in one piece.
+    Series of any length and order are cut into blocks of about equal size, see ``ranges``. ``block`` names the pieces
+    instead, where the rows have some that follow each other in the order: each piece is filled on its own and what it
+    inherits comes from one row per earlier piece.
     """
     if block is None:
-        kind = df.schema[order].dataType
-        if isinstance(kind, NumericType):
-            block = F.floor(F.col(order) / BLOCK)
-        elif isinstance(kind, (DateType, TimestampType)):
-            block = F.year(order)
-    if block is None:
-        w = Window.partitionBy(*series).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(c, F.last(c, True).over(w))
+        return fill_forward(df, c, order, series)
     keyed = df.withColumn("__block", block)
     tails = keyed.groupBy(*series, "__block").agg(
         F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias("__tail")
