@@ -178,6 +178,41 @@ def median_price(t: Tables):
     return quantile.exact_quantile(rows, ["yr", "o_orderpriority"], "o_totalprice", 0.5, "median_price")
 
 
+def _quantiles_sql(value: str, keys: str, source: str, kind: str) -> str:
+    """Quartiles and median of exact numbers: neighbours by rank, mixed as decimals."""
+
+    def at(name: str, a: int) -> str:
+        lo, hi = f"max(v) filter (r = ((n - 1) * {a}) // 100)", f"max(v) filter (r = ((n - 1) * {a} + 99) // 100)"
+        return f"({lo} + ({hi} - {lo}) * (any_value((n - 1) * {a} % 100)::decimal(4,0) * 0.01))::{kind}::varchar as {name}"
+
+    return f"""
+        with x as (select {keys}, {value} as v, row_number() over (partition by {keys} order by {value}) - 1 as r,
+                          count(*) over (partition by {keys}) as n from {source} where {value} is not null)
+        select {keys}, {at('q1', 25)}, {at('median', 50)}, {at('q3', 75)} from x group by {keys}"""
+
+
+@query(
+    "quartiles_decimal",
+    _quantiles_sql("o_totalprice::decimal(18,2)", "o_orderpriority", "orders", "decimal(24,4)"),
+)
+def quartiles_decimal(t: Tables):
+    """Quartiles and median of a decimal column from one scan, as decimals."""
+    rows = t.orders.select("o_orderpriority", numbers.money("o_totalprice").alias("price"))
+    found = quantile.exact_quantiles(rows, ["o_orderpriority"], "price", {"q1": 0.25, "median": 0.5, "q3": 0.75}, rows=700)
+    return project.across(found, ["q1", "median", "q3"], lambda c: c.cast("string"))
+
+
+@query(
+    "quartiles_whole",
+    _quantiles_sql("(l_orderkey + 9007199254740993)::decimal(20,0)", "l_returnflag", "lineitem", "decimal(22,2)"),
+)
+def quartiles_whole(t: Tables):
+    """Whole numbers that doubles would round: beyond 2**53 every unit counts."""
+    rows = t.lineitem.select("l_returnflag", (F.col("l_orderkey").cast("long") + 9_007_199_254_740_993).alias("key"))
+    found = quantile.exact_quantiles(rows, ["l_returnflag"], "key", {"q1": 0.25, "median": 0.5, "q3": 0.75}, rows=700)
+    return project.across(found, ["q1", "median", "q3"], lambda c: c.cast("string"))
+
+
 @query(
     "unique_transactions",
     """select any_value(event_id) as event_id, ts::date as day, user_id, event_type from events

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, IntegralType
 
 from regiolume.operators.joins import left_join
+from regiolume.operators.ranges import BLOCK_ROWS, range_block
+from regiolume.session import stage
 
 # Buckets per unit of log1p(|value|): neighbours differ by about half a per mille.
 RESOLUTION = 2000
@@ -32,10 +36,12 @@ def exact_quantile(
     are counted first, spread by (group, value); a histogram over fixed monotone buckets, at most a
     few ten thousand rows per group, tells which bucket holds the wanted ranks. That bucket is cut again into
     ``PIECES`` of equal width between its own smallest and largest value, and only the values of the wanted
-    piece are put in order. Missing values and NaN are left out; a group without values has no row. Values
-    are doubles: whole numbers beyond 2**53 lose their last digits.
+    piece are put in order. Missing values and NaN are left out; a group without values has no row. Whole numbers
+    and decimals keep their type, see ``exact_quantiles``.
     """
     keys = list(keys)
+    if not isinstance(df.schema[value].dataType, (DoubleType, FloatType)):
+        return exact_quantiles(df, keys, value, {name: q})
     v = F.col(value).cast("double")
     counts = (
         df.filter(F.col(value).isNotNull() & ~F.isnan(v))
@@ -88,6 +94,82 @@ def exact_quantile(
     return picked.select(*keys, mixed.alias(name))
 
 
+def _as_exact(value: str, kind: DataType) -> Column:
+    """A value in the form that is counted and mixed: whole numbers as decimals, everything else as it is."""
+    return F.col(value).cast("decimal(20,0)") if isinstance(kind, IntegralType) else F.col(value)
+
+
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float | str], rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """Several exact quantiles per group (``{column: q}``) from one scan of the rows, in the type of the value.
+
+    Equal values are counted first, spread by group and value, and the counts are written once. They are cut into blocks of
+    neighbouring values, about equally large whatever their distribution; the counts of the blocks tell which few
+    hold a wanted rank of any quantile, and only those are put in order.
+
+    The rank (n - 1) q lies between two values: whole numbers and decimals are mixed as decimals, exactly, with as many
+    more digits as q has; doubles as doubles; dates, times and texts give the lower value. Missing values and NaN are left
+    out; a group without values has no row.
+    """
+    keys, kind = list(keys), df.schema[value].dataType
+    present = F.col(value).isNotNull()
+    if isinstance(kind, (DoubleType, FloatType)):
+        present = present & ~F.isnan(value)
+    counts = stage(
+        df.filter(present).groupBy(*keys, _as_exact(value, kind).alias("__v")).agg(F.count(F.lit(1)).alias("__n")), "counts"
+    )
+    kind = counts.schema["__v"].dataType
+    exact = {name: Decimal(str(q)) for name, q in quantiles.items()}
+    digits = max([0, *(-q.as_tuple().exponent for q in exact.values())])
+    one = 10**digits
+    asked = F.array(*[F.struct(F.lit(name).alias("q"), F.lit(int(q * one)).cast("long").alias("a")) for name, q in exact.items()])
+
+    counts = counts.withColumn("__b", range_block(counts, [*keys, "__v"], rows))
+    group = Window.partitionBy(*keys)
+    blocks = counts.groupBy(*keys, "__b").agg(F.sum("__n").alias("__bn"))
+    blocks = blocks.withColumn("__before", F.sum("__bn").over(group.orderBy("__b")) - F.col("__bn"))
+    blocks = blocks.withColumn("__scaled", F.sum("__bn").over(group) - 1).select("*", F.explode(asked).alias("__q"))
+    scaled = F.col("__scaled") * F.col("__q.a")
+    low, rest = F.expr(f"(__scaled * __q.a) div {one}"), F.pmod(scaled, F.lit(one))
+    blocks = blocks.select(
+        *keys, "__b", "__bn", "__before", F.struct(
+            F.col("__q.q").alias("q"), low.alias("lo"), (low + (rest > 0).cast("long")).alias("hi"), rest.alias("rest")
+        ).alias("__rank"),
+    )
+    held = (F.col("__before") <= F.col("__rank.hi")) & (F.col("__before") + F.col("__bn") > F.col("__rank.lo"))
+    wanted = blocks.filter(held).groupBy(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)], F.col("__b").alias("__bucket")).agg(
+        F.max("__before").alias("__start"), F.collect_list("__rank").alias("__ranks")
+    )
+    inner = counts.join(stage(wanted, "ranks"), _same(keys) & (F.col("__b") == F.col("__bucket")))
+    ordered = Window.partitionBy(*keys, "__b").orderBy("__v")
+    placed = inner.withColumn("__upto", F.col("__start") + F.sum("__n").over(ordered))
+    inside = lambda r: (F.col("__upto") - F.col("__n") <= r) & (r < F.col("__upto"))
+    found = placed.select(*keys, "__v", "__n", "__upto", F.explode("__ranks").alias("__r")).filter(
+        inside(F.col("__r.lo")) | inside(F.col("__r.hi"))
+    )
+
+    def at(name: str, rank: str) -> Column:
+        return F.max(F.when((F.col("__r.q") == name) & inside(F.col(f"__r.{rank}")), F.col("__v")))
+
+    columns = {}
+    for i, name in enumerate(exact):
+        columns |= {f"__lo{i}": at(name, "lo"), f"__hi{i}": at(name, "hi"), f"__f{i}": F.max(F.when(F.col("__r.q") == name, F.col("__r.rest")))}
+    picked = found.groupBy(*keys).agg(*[c.alias(n) for n, c in columns.items()])
+
+    def mixed(i: int) -> Column:
+        lo, hi, rest = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__f{i}")
+        if isinstance(kind, DecimalType):
+            more = min(digits, 38 - kind.precision)
+            part = rest.cast(f"decimal({digits + 1},0)") * F.lit(Decimal(1).scaleb(-digits))
+            return (lo + (hi - lo) * part).cast(f"decimal({kind.precision + more},{kind.scale + more})")
+        if isinstance(kind, (DoubleType, FloatType)):
+            return lo * (1 - rest / one) + hi * (rest / one)
+        return lo
+
+    return picked.select(*keys, *[mixed(i).alias(name) for i, name in enumerate(exact)])
+
+
 def exact_median(
     df: DataFrame, keys: Sequence[str], value: str, name: str = "median", is_strict: bool = False
 ) -> DataFrame:
