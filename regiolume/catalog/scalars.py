@@ -131,6 +131,43 @@ def wrap_label(t: Tables):
     )
 
 
+def _balanced_sql(label: str, width: int) -> str:
+    """Every way to break a label of a few words; the one with the least squared room."""
+    line = "array_to_string(w[i + 1 : j], ' ')"
+    return f"""
+      select p_partkey, txt, row_number() over (partition by p_partkey order by cost, lines, starts) as choice from (
+        with recursive s as (
+          select p_partkey, string_split({label}, ' ') as w, 0::bigint as i, 0::bigint as cost, 0 as lines, []::bigint[] as starts, '' as txt from part
+          union all
+          select p_partkey, w, j, cost + case when j = len(w) then 0 else greatest({width} - length({line}), 0) ** 2 end::bigint,
+                 lines + 1, list_prepend(i, starts), txt || case when i > 0 then chr(10) else '' end || {line}
+          from s, unnest(range(i + 1, len(w) + 1)) as t(j) where length({line}) <= {width} or j = i + 1)
+        select * from s where i = len(w))"""
+
+
+@query(
+    "wrap_balanced",
+    f"""with a as ({_balanced_sql("p_name", 10)}), b as ({_balanced_sql("(p_name || ' ' || p_type || ' ' || p_brand || ' of size ' || p_size)", 16)})
+       select p_partkey, a.txt as narrow, b.txt as wide from a join b using (p_partkey) where a.choice = 1 and b.choice = 1""",
+)
+def wrap_balanced(t: Tables):
+    """Labels broken so that their lines are even."""
+    label = F.concat_ws(" ", "p_name", "p_type", "p_brand", F.lit("of size"), "p_size")
+    return t.part.select(
+        "p_partkey", text.wrap_balanced("p_name", 10).alias("narrow"), text.wrap_balanced(label, 16).alias("wide")
+    )
+
+
+@query(
+    "exact_map",
+    """select n_nationkey, case n_name when 'NATION_1' then 'one' when 'NATION_2' then 'two' else 'other' end as label from nation""",
+)
+def exact_map(t: Tables):
+    return t.nation.select(
+        "n_nationkey", recode.exact_map("n_name", {"NATION_1": "one", "NATION_2": "two"}, "other").alias("label")
+    )
+
+
 @query(
     "format_label",
     """select o_orderkey, '$' || format('{:,}', round_even(o_totalprice, -2)::bigint) as price,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -87,6 +87,53 @@ def wrap_text(c: ColumnLike, width: int) -> Column:
     return F.aggregate(rest, F.get(words, F.lit(0)), add)
 
 
+def _given(value: Column, body: Callable[[Column], Column]) -> Column:
+    """An expression of a value that is worked out once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def wrap_balanced(c: ColumnLike, width: int) -> Column:
+    """Lines of at most ``width`` characters that are as even as can be.
+
+    Of all ways to break between words the one is taken whose lines but the last leave the least squared room; of equal
+    ones that with fewer lines, then that whose last line, next to last line and so on begin earlier. A word longer than
+    ``width`` is a line of its own. Blank runs count as one blank; NULL stays NULL, an empty text is empty.
+
+    For every number of leading words the best last break is kept (``best``), from one word to all; then the breaks are
+    followed back from the end. Labels are short, and the work grows with the square of their words.
+    """
+    words = F.split(F.trim(squeeze(c)), " ")
+    start = F.array(F.struct(F.lit(0).alias("cost"), F.lit(0).alias("lines"), F.lit(0).alias("at")))
+
+    def ends(w: Column) -> Column:
+        """Where each word would end in one long line, each with a blank behind it."""
+        return F.aggregate(w, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(x) + 1)))
+
+    def last_break(best: Column, upto: Column, i: Column) -> Column:
+        def ending(before: Column, j: Column) -> Column:
+            size = F.get(upto, i) - F.get(upto, j) - 1
+            room = F.when(i == F.size(upto) - 1, 0).otherwise(F.greatest(F.lit(width) - size, F.lit(0)))
+            step = F.struct((before["cost"] + room * room).alias("cost"), (before["lines"] + 1).alias("lines"), j.alias("at"))
+            return F.when((size <= width) | (i - j == 1), step)
+
+        return F.array_min(F.transform(best, ending))  # NULL is never the least
+
+    def breaks(upto: Column) -> Column:
+        steps = F.sequence(F.lit(1), F.size(upto) - 1)
+        return F.aggregate(steps, start, lambda best, i: F.concat(best, F.array(last_break(best, upto, i))))
+
+    def lines(w: Column, best: Column) -> Column:
+        def back(state: Column, _: Column) -> Column:
+            at = F.get(best, state["at"])["at"]
+            line = F.array_join(F.slice(w, at + 1, state["at"] - at), " ")
+            text = F.when(state["at"] == F.size(w), line).otherwise(F.concat(line, F.lit("\n"), state["text"]))
+            return F.when(state["at"] > 0, F.struct(at.alias("at"), text.alias("text"))).otherwise(state)
+
+        return F.aggregate(w, F.struct(F.size(w).alias("at"), F.lit("").alias("text")), back)["text"]
+
+    return _given(words, lambda w: _given(_given(ends(w), breaks), lambda best: lines(w, best)))
+
+
 def strip_part_suffix(c: ColumnLike) -> Column:
     """``Auburn (part)`` -> ``Auburn``: a place that lies in several areas."""
     return replace_first(c, r" \(part\)", "")

@@ -17,11 +17,11 @@ from regiolume.sources.lines import (
     read_tabs,
     report_blocks,
 )
-from regiolume.sources.sinks import write_csv, write_report
+from regiolume.sources.sinks import read_report, write_csv, write_report
 from regiolume.sources.tables import inline_lookup, read_table
 
 __all__ = [
     "header_rows", "inline_lookup", "lower_names", "numbered_lines", "parse_lines", "read_below_titles",
-    "read_csv", "read_delimited", "read_headed", "read_header", "read_named", "read_table", "read_tabs", "read_tagged",
+    "read_csv", "read_delimited", "read_headed", "read_header", "read_named", "read_report", "read_table", "read_tabs", "read_tagged",
     "rename_by_position", "report_blocks", "text_schema", "write_csv", "write_report",
 ]
