@@ -128,3 +128,40 @@ def join_unique_guard(t: Tables):
 def lookup_recode(t: Tables):
     rows = joins.lookup(t.orders, PRIORITY_CLASS, "o_orderpriority", "class", default="other")
     return rows.groupBy("class", F.year("o_orderdate").alias("yr")).agg(money_sum("o_totalprice").alias("amount"))
+
+
+FAN_OUT_SQL = """
+  l as (select nullif(o_custkey % 97, 5) as k, count(*) as l from orders group by 1),
+  r as (select nullif(l_suppkey % 89, 5) as k, count(*) as r from lineitem group by 1),
+  c as (select l.k, coalesce(l, 0) as l, coalesce(r, 0) as r, coalesce(l, 0) * coalesce(r, 0) as j
+        from l full join r on l.k is not distinct from r.k)"""
+
+
+def fan_out_sides(t: Tables):
+    orders = t.orders.select(null_if(F.col("o_custkey") % 97, 5).alias("k"), "o_orderkey")
+    return orders, t.lineitem.select(null_if(F.col("l_suppkey") % 89, 5).alias("s"), "l_linenumber")
+
+
+@query(
+    "join_fan_out",
+    f"""with {FAN_OUT_SQL}
+       select (select count(*) from orders)::bigint as left_rows, (select count(*) from lineitem)::bigint as right_rows,
+              (select count(*) from (select nullif(o_custkey % 97, 5) as k from orders) a
+                 join (select nullif(l_suppkey % 89, 5) as k from lineitem) b on a.k is not distinct from b.k)::bigint as inner_rows,
+              sum(case when j = 0 then l else j end)::bigint as left_join_rows, sum(case when j = 0 then l else 0 end)::bigint as unmatched_left,
+              count(*) filter (j > l) as keys, max(j)::bigint as largest from c""",
+)
+def join_fan_out(t: Tables):
+    """What a join will give, told from the counts of its keys; the SQL counts the joined rows themselves."""
+    out = joins.predict_join(*fan_out_sides(t), {"k": "s"})
+    return out.select(*[F.col(c).cast("bigint").alias(c) for c in out.columns])
+
+
+@query(
+    "join_worst_keys",
+    f"with {FAN_OUT_SQL} select k, l as left_rows, r as right_rows, j::bigint as joined_rows from c where j > 0 order by j desc, k nulls first limit 7",
+)
+def join_worst_keys(t: Tables):
+    """The keys that make most rows."""
+    out = joins.worst_keys(*fan_out_sides(t), {"k": "s"}, 7)
+    return out.withColumn("joined_rows", F.col("joined_rows").cast("bigint"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from regiolume.catalog.aggregates import NATION_SALES_SQL, as_double, nation_sales
 from regiolume.catalog.registry import Tables, query
 from regiolume.functions.numbers import money, ratio
-from regiolume.operators import aggregate, filters, joins, ranges, series, topk
+from regiolume.operators import aggregate, filters, joins, nearest, ranges, series, topk
 from regiolume.operators.series import Event
 
 def order_month():
@@ -208,6 +208,38 @@ def nearest_period(t: Tables):
     return series.nearest_period(past, "estimate", target)
 
 
+@query(
+    "nearest_other",
+    f"""with s as (select o_orderpriority, month, round_even(estimate::double, -4) as estimate from ({MONTHLY_PRIORITY_SQL})),
+            p as (select a.o_orderpriority, a.month, a.estimate, b.month as near_month, b.estimate as near_estimate,
+                         abs(a.estimate - b.estimate) as diff
+                  from s a join s b on a.o_orderpriority = b.o_orderpriority and a.month <> b.month)
+       select * from p qualify diff = min(diff) over (partition by o_orderpriority, month)""",
+)
+def nearest_other(t: Tables):
+    """Every month's most similar other months of the same priority, ties kept, in one plan."""
+    rows = monthly(t, "o_orderpriority").withColumn("estimate", F.bround(F.col("estimate").cast("double"), -4))
+    return nearest.nearest_other(joins.sized(rows), "estimate", "month", ["o_orderpriority"])
+
+
+@query(
+    "nearest_rows",
+    """with v as (select o_orderkey, floor(o_totalprice / 10) * 10 as price from orders),
+            t as (select c_custkey, floor(abs(c_acctbal) * 45 / 10) * 10 as price from customer),
+            d as (select c_custkey, t.price, (select max(v.price) from v where v.price <= t.price) as low,
+                         (select min(v.price) from v where v.price >= t.price) as high from t),
+            n as (select c_custkey, price, unnest(list_distinct(case when high is null or price - low < high - price then [low]
+                         when low is null or high - price < price - low then [high] else [low, high] end)) as near from d)
+       select c_custkey, n.price, o_orderkey as near_o_orderkey, v.price as near_price, abs(n.price - v.price) as diff
+       from n join v on n.near = v.price""",
+)
+def nearest_rows(t: Tables):
+    """A table of targets against a long table of values without keys: one merged order, cut into blocks."""
+    values = t.orders.select("o_orderkey", (F.floor(F.col("o_totalprice") / 10) * 10).cast("double").alias("price"))
+    targets = t.customer.select("c_custkey", (F.floor(F.abs("c_acctbal") * 45 / 10) * 10).cast("double").alias("price"))
+    return nearest.nearest_rows(values, targets, "price", rows=2000)
+
+
 @query(
     "forward_fill",
     """with s as (select o_orderkey, o_custkey,

@@ -104,6 +104,72 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 
 
+def key_counts(
+    left: DataFrame, right: DataFrame, on: str | Sequence[str] | Mapping[str, str], null_keys_match: bool = True
+) -> DataFrame:
+    """Each key of either side (by the left side's names) with ``left_rows``, ``right_rows`` and ``joined_rows``, what an
+    inner join makes of it.
+
+    Only keys and counts are joined, after each side has been counted in its map tasks: a key that holds a third of all
+    rows is one row here.
+    """
+    pairs = _pairs(on)
+    names = [f"__key_{i}" for i in range(len(pairs))]
+
+    def counted(df: DataFrame, keys, name: str) -> DataFrame:
+        return df.groupBy(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names, strict=True)]).agg(
+            F.count(F.lit(1)).alias("__n")
+        ).withColumn("__side", F.lit(name))
+
+    both = counted(left, pairs.keys(), "left").unionByName(counted(right, pairs.values(), "right"))
+    side = lambda name: F.coalesce(F.sum(F.when(F.col("__side") == name, F.col("__n"))), F.lit(0)).alias(f"{name}_rows")
+    counts = both.groupBy(*names).agg(side("left"), side("right"))
+    joined = F.col("left_rows").cast("decimal(38,0)") * F.col("right_rows")
+    if not null_keys_match:
+        filled = F.lit(True)
+        for n in names:
+            filled = filled & F.col(n).isNotNull()
+        joined = F.when(filled, joined).otherwise(0)
+    return counts.select(*[F.col(n).alias(k) for n, k in zip(names, pairs, strict=True)], "left_rows", "right_rows", joined.cast("decimal(38,0)").alias("joined_rows"))
+
+
+def predict_join(
+    left: DataFrame, right: DataFrame, on: str | Sequence[str] | Mapping[str, str], null_keys_match: bool = True
+) -> DataFrame:
+    """One row that tells, before a join runs, what it will give: ``left_rows, right_rows, inner_rows, left_join_rows``,
+    ``unmatched_left`` rows, the ``keys`` that fan out and the ``largest`` number of rows one key makes."""
+    counts = key_counts(left, right, on, null_keys_match)
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("decimal(38,0)").alias(name)
+    alone = F.when(F.col("joined_rows") == 0, F.col("left_rows")).otherwise(0)
+    return counts.agg(
+        total(F.col("left_rows"), "left_rows"), total(F.col("right_rows"), "right_rows"), total(F.col("joined_rows"), "inner_rows"),
+        total(F.col("joined_rows") + alone, "left_join_rows"), total(alone, "unmatched_left"),
+        F.count_if((F.col("joined_rows") > F.col("left_rows"))).alias("keys"),
+        F.coalesce(F.max("joined_rows"), F.lit(0)).cast("decimal(38,0)").alias("largest"),
+    )
+
+
+def worst_keys(
+    left: DataFrame, right: DataFrame, on: str | Sequence[str] | Mapping[str, str], n: int = 20, null_keys_match: bool = True
+) -> DataFrame:
+    """The ``n`` keys that make the most rows in a join, with the counts of both sides."""
+    keys = list(_pairs(on))
+    counts = key_counts(left, right, on, null_keys_match).filter("joined_rows > 0")
+    return counts.orderBy(F.desc("joined_rows"), *[F.asc_nulls_first(F.col(f"`{k}`")) for k in keys]).limit(n)
+
+
+def assert_fan_out(
+    left: DataFrame, right: DataFrame, on: str | Sequence[str] | Mapping[str, str], most: float = 1.0, null_keys_match: bool = True
+) -> DataFrame:
+    """The left table, or an error with the worst keys if a left join would make more than ``most`` rows of each of
+    its rows on average. Runs the two counts, not the join."""
+    found = predict_join(left, right, on, null_keys_match).first()
+    if found["left_join_rows"] > most * float(found["left_rows"]):
+        worst = [tuple(r) for r in worst_keys(left, right, on, 5, null_keys_match).collect()]
+        raise ValueError(f"{found['left_rows']} rows become {found['left_join_rows']}; the worst keys (left, right, joined rows): {worst}")
+    return left
+
+
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The table itself, or an error naming one repeated key. Runs one aggregation."""
     hit = duplicate_keys(df, keys).first()
