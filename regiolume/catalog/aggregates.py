@@ -97,6 +97,20 @@ def agg_sum_all(t: Tables):
     return as_double(out, "l_extendedprice", "l_discount")
 
 
+@query(
+    "agg_sum_when",
+    """select o_orderpriority, sum(case when o_orderstatus = 'F' then o_totalprice::decimal(18,2) end)::double as finished,
+              sum(case when o_totalprice > 400000 then o_totalprice::decimal(18,2) end)::double as large from orders group by 1""",
+)
+def agg_sum_when(t: Tables):
+    """Sums under a condition, missing where no row meets it."""
+    out = t.orders.groupBy("o_orderpriority").agg(
+        aggregate.sum_when(F.col("o_orderstatus") == "F", numbers.money("o_totalprice")).alias("finished"),
+        aggregate.sum_when(F.col("o_totalprice") > 400_000, numbers.money("o_totalprice")).alias("large"),
+    )
+    return as_double(out, "finished", "large")
+
+
 @query(
     "agg_count_nonnull",
     """select o_orderpriority, nullif(o_orderstatus, 'P') as status, count(case when o_totalprice > 200000 then 1 end) as n

@@ -246,6 +246,23 @@ def king(t: Tables, legacy: bool = False) -> DataFrame:
     return residential.king_sales(sales, condos, complexes, legacy=legacy)
 
 
+@query(
+    "job_king_buildings",
+    """with b as (select lpad((l_orderkey % 500)::varchar, 6, '0') as major, lpad((l_orderkey % 7)::varchar, 4, '0') as minor,
+                         l_linenumber % 4 as units, l_quantity % 9 as sqft, nullif((l_suppkey % 6) * 10, 50)::varchar as zip from lineitem)
+       select major, minor, max(units)::int as units, max(sqft)::double as sqft, max(zip) as zipcode from b
+       where units <> 0 and sqft <> 0 and (zip is null or zip <> '0') group by 1, 2""",
+)
+def job_king_buildings(t: Tables):
+    """Largest size, units and zip code of each parcel, from several buildings a parcel."""
+    buildings = t.lineitem.select(
+        F.concat(F.lpad(F.col("l_orderkey") % 500, 6, "0"), F.lit(" ")).alias("major"), F.lpad(F.col("l_orderkey") % 7, 4, "0").alias("minor"),
+        (F.col("l_linenumber") % 4).cast("int").alias("nbrlivingunits"), (F.col("l_quantity") % 9).cast("int").alias("sqfttotliving"),
+        F.nullif((F.col("l_suppkey") % 6 * 10).cast("string"), F.lit("50")).alias("zipcode"),
+    )
+    return residential.king_buildings(buildings).withColumn("sqft", F.col("sqft").cast("double"))
+
+
 def kitsap(t: Tables) -> DataFrame:
     """Two deliveries that overlap from 2017 to 2019."""
     rows = _sales_columns(t, 1).select(

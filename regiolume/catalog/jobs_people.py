@@ -9,6 +9,8 @@ from regiolume.catalog.registry import YEARS_SQL, Tables, query
 from regiolume.operators.setops import stack
 from regiolume.operators.totals import add_total, merge_buckets
 from regiolume.plans import claims, employment, population, rules, workforce
+from regiolume.session import scratch_folder
+from regiolume.sources import read_report, write_report
 
 
 def pick(index: Column, labels) -> Column:
@@ -322,6 +324,25 @@ def job_initial_claims(t: Tables):
     return claims.initial_claims(tabs, workforce.workforce(workforce_tables(t), QUARTER))
 
 
+@query(
+    "job_claim_titles",
+    f"""with {WORKFORCE_SQL},
+       i as ({_initial_sql('Gender', 1, 3)} union all {_initial_sql('Race', 3, 9)}
+             union all {_initial_sql('Age', 2, 9)} union all {_initial_sql('Education', 2, 11)}),
+       n as (select category, case category when 'Race' then {RACE_SQL} when 'Education' then {EDUCATION_SQL} else raw end as demographic,
+                    sum(n) as initial_claims
+             from i where raw not in ('Total, All Unduplicated Claimants', '<18', '<24') group by 1, 2)
+       select category, demographic, initial_claims,
+              replace(replace({wrap_sql('demographic', 10)}, 'Alone', ''), 'Latino', 'Latinx') as demographic_titles
+       from n where demographic <> 'Under age 24'""",
+)
+def job_claim_titles(t: Tables):
+    """Initial claims with a short title next to each label."""
+    tabs = {category: initial_tab(t, category) for category in INITIAL_LABELS}
+    rows = claims.initial_claims_raw(tabs, workforce.workforce(workforce_tables(t), QUARTER))
+    return claims.with_titles(rows).select("category", "demographic", "initial_claims", "demographic_titles")
+
+
 # Population ------------------------------------------------------------------------------------
 
 COUNTY_OF_REGION = (*rules.COUNTIES, "Skagit")
@@ -613,6 +634,53 @@ def job_place_table(t: Tables):
     return population.place_table(growth(t), 2020, 2021)
 
 
+@query(
+    "job_growth_report",
+    f"""with {GROWTH_SQL},
+       y as (select * from growth where year = 2021),
+       top as (select *, row_number() over (order by delta desc nulls last, place) as rank from y where level = 4),
+       by_county as (select *, row_number() over (partition by county_name order by delta desc nulls last, place) as rank
+                     from y where level = 4 and county_name is not null)
+       select 'county-growth' as sheet, replace(place, ' Total', '') as place, delta from y where level = 1
+       union all select 'incorporated-growth', replace(place, ' Total', ''), delta from y
+                 where place in ('Unincorporated Region Total', 'Incorporated Region Total')
+       union all select 'regional-geography-growth', regional_geography, sum(delta) from y where regional_geography is not null group by 2
+       union all select 'region-fastest-growing', place, delta from top where rank <= 10
+       union all select lower(split_part(county_name, ' ', 1)) || '-fastest-growing', place, delta from by_county where rank <= 10
+       union all select 'city-data', place, round_even(max(delta) filter (year = 2021), -1) from growth
+                 where level = 4 group by place, county_name having max(estimate) filter (year = 2020) is not null""",
+)
+def job_growth_report(t: Tables):
+    """The nine tables of the population report, written as one report and read back by its manifest."""
+    root = scratch_folder(t.spark, "growth-report")
+    write_report(population.growth_report(growth(t), 2021), root)
+    return stack(*[
+        df.select(F.lit(name).alias("sheet"), F.col("place" if "place" in df.columns else "regional_geography").alias("place"), "delta")
+        for name, df in read_report(t.spark, root).items()
+    ])
+
+
+@query(
+    "job_place_counts",
+    f"""with {GROWTH_SQL},
+       top as (select * from growth where year = 2021 and level = 4 order by delta desc nulls last, place limit 5)
+       select county_name, count(*) as places from top group by 1""",
+)
+def job_place_counts(t: Tables):
+    return population.counts_by_county(population.fastest_places(growth(t), 2021, n=5))
+
+
+@query(
+    "job_place_years",
+    f"""with {POPULATION_SQL}
+       select level, place, year::varchar as year, estimate, variable, list_position(['Place 7', 'Place 1', 'Region'], place)::int as place_in_order
+       from population where place in ('Place 7', 'Place 1', 'Region') and year in (2016, 2021)""",
+)
+def job_place_years(t: Tables):
+    people = population.population(population_table(t)).select("level", "place", "year", "estimate", "variable")
+    return population.place_years(people, "Total Population", ["Place 7", "Place 1", "Region"], [2016, 2021])
+
+
 def cities_table(t: Tables) -> DataFrame:
     key = F.col("n_nationkey") % 12
     return t.nation.select(

@@ -249,6 +249,22 @@ def job_volume_index(t: Tables):
     return travel.clipped_index(travel.highway_volumes(station_table(t), year=2024))
 
 
+@query(
+    "job_location_volumes",
+    f"""select string_split(event_type, 'e')[1] as highway, {COUNTY_SQL} as county, {STATION_SQL} as location, ts::date as date,
+              (event_id % 1000)::double as current, (user_id + 500)::double as baseline, (event_id % 1000)::double / (user_id + 500) as ratio
+       from events where event_id % 4 <> 0 and user_id % 5 <> 4""",
+)
+def job_location_volumes(t: Tables):
+    """The layout with named columns and the date inside a longer text."""
+    named = station_table(t).select(
+        F.col("Highway").alias("Highway1"), F.col("County").alias("Counties"), F.col("Location").alias("Traffic Count Locations"),
+        F.regexp_replace("Date", "^(...) ", "$1, ").alias("Day of 2020Date"), F.col("Measure").alias("Measure Names"),
+        F.col("Current_Volume").alias("Measure Values"), F.col("Baseline_Volume").alias("2019 Volume"),
+    )
+    return travel.location_volumes(named)
+
+
 def ferry_table(t: Tables):
     routes = F.array(*[F.lit(r) for r in (*rules.FERRY_ROUTES, "Somewhere else")])
     measure = F.element_at(

@@ -207,6 +207,31 @@ def job_weekly_claims(t: Tables):
     return claims.weekly_claims(sources.numbered_lines(t.spark, folder), first=0)
 
 
+@query("src_lower_names", "select r_regionkey as \"key\", r_name as name from region")
+def src_lower_names(t: Tables):
+    """Names of a file in capitals become small."""
+    folder = scratch_folder(t.spark, "capitals")
+    sources.write_csv(t.region.select(F.col("r_regionkey").alias("KEY"), F.col("r_name").alias("Name")), folder)
+    return sources.lower_names(sources.read_csv(t.spark, folder, t.region.selectExpr("r_regionkey as KEY", "r_name as Name").schema))
+
+
+@query(
+    "report_versions",
+    """select 1 as number, o_orderstatus as status, count(*) as n from orders group by 2
+       union all select 2, o_orderstatus, count(*) from orders where o_totalprice > 100000 group by 2""",
+)
+def report_versions(t: Tables):
+    """Two runs of a report below one root: the newest is read by default, the one before stays readable."""
+    root = scratch_folder(t.spark, "versions")
+    counts = lambda df: df.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"))
+    sources.write_report({"by-status": counts(t.orders)}, root)
+    sources.write_report({"by-status": counts(t.orders.filter("o_totalprice > 100000"))}, root)
+    first, newest = sources.read_report(t.spark, root, 1), sources.read_report(t.spark, root)
+    return setops.stack(*[
+        tables["by-status"].withColumn("number", F.lit(n)) for n, tables in ((1, first), (2, newest))
+    ])
+
+
 @query("src_table", "select c_custkey, c_mktsegment from customer")
 def src_table(t: Tables):
     """A table cut to the attribute columns asked for; the others are never read."""
