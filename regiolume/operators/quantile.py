@@ -110,7 +110,7 @@ def exact_quantiles(
 
     The rank (n - 1) q lies between two values: whole numbers and decimals are mixed as decimals, exactly, with as many
     more digits as q has; doubles as doubles; dates, times and texts give the lower value. Missing values and NaN are left
-    out; a group without values has no row.
+    out; a group without values has no row, and without keys an empty table has one row of NULL.
     """
     keys, kind = list(keys), df.schema[value].dataType
     present = F.col(value).isNotNull()

@@ -44,7 +44,7 @@ def write_report(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet
     spark, root = next(iter(tables.values())).sparkSession, root.rstrip("/")
     version = f"version-{uuid.uuid4().hex}"
     for name, df in tables.items():
-        df.write.mode("errorifexists").option("header", True).format(fmt).save(f"{root}/{version}/{name}")
+        df.write.mode("errorifexists").option("header", True).options(**QUOTED).format(fmt).save(f"{root}/{version}/{name}")
     held = {name: {"folder": f"{version}/{name}", "schema": df.schema.jsonValue()} for name, df in tables.items()}
     jvm_path, files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, _file_system(spark, root)
     aside = jvm_path(f"{root}/{version}/manifest.json")

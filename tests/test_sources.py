@@ -1,8 +1,10 @@
+import pathlib
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from regiolume import schema, sources
+from regiolume import schema, session, sources
 from regiolume.operators.topk import slice_rows
 from regiolume.plans import claims, residential
 
@@ -126,3 +128,85 @@ def test_headerless_extract(spark, tmp_path):
     got = sources.read_delimited(spark, path, schema.PIERCE_SALES_COLUMNS, "|", "ISO-8859-1")
     assert rows(got, "parcel_number", "sale_price", "grantee") == [("0100", "350000", "BUYER")]
     assert len(schema.PIERCE_IMPROVEMENT_COLUMNS) == 25
+
+
+def _put(folder, files):
+    folder.mkdir()
+    for name, body in files.items():
+        (folder / name).write_text(body, encoding="utf-8")
+    return str(folder)
+
+
+def test_numbers_do_not_depend_on_splits(spark, tmp_path):
+    bodies = {f"f{k}.txt": "\n".join(f"file {k} line {i}" for i in range(k * 40)) + "\n" for k in range(1, 5)}
+    folder = _put(tmp_path / "lines", bodies)
+    want = {(f"file {k} line {i}", i) for k in range(1, 5) for i in range(k * 40)}
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("37b", "100b", "1k", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            lines = sources.numbered_lines(spark, folder)
+            assert {(x.line, x.pos) for x in lines.collect()} == want
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100b")  # cut in another way than when counted
+        with pytest.raises(Exception, match="other splits"):
+            lines.filter("pos >= 0").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+
+
+def test_numbering_copies_no_text(spark, tmp_path):
+    folder = _put(tmp_path / "big", {"a.txt": "".join(f"{i:>200}\n" for i in range(5000))})
+    known = set(session._STAGED.get(spark.sparkContext.applicationId, []))
+    assert sources.numbered_lines(spark, folder).count() == 5000
+    new = set(session._STAGED[spark.sparkContext.applicationId]) - known
+    assert new and sum(f.stat().st_size for x in new for f in pathlib.Path(x).rglob("*.parquet")) < 20_000
+
+
+def test_headers_that_differ(spark, tmp_path):
+    folder = _put(tmp_path / "headed", {
+        "one.csv": 'title\n﻿Id,"Full, Name",Amount\n1,"a, ""b""",10\n,,\n2,x,oops\n',
+        "two.csv": "title\namount,ID\n30,3\n",
+        "three.csv": "title,,\nFULL  NAME,Id,id,\nignored,4,5,6\n",
+        "four.csv": "title only\n",
+    })
+    got = sources.read_headed(spark, folder, {"id": "int", "Full,.Name": "string", "amount": "double"}, skip=1, tag="from",
+                              tag_value=F.regexp_extract("file", r"(\w+)\.csv", 1))
+    want = {("one", 1, 1, 'a, "b"', 10.0), ("one", 3, 2, "x", None), ("two", 1, 3, None, 30.0), ("three", 1, 4, None, None)}
+    assert {tuple(x) for x in got.select("from", "pos", "id", "`Full,.Name`", "amount").collect()} == want
+    every = sources.read_headed(spark, folder, skip=1)
+    assert sorted(c.lower() for c in every.columns) == sorted(["file", "pos", "id", "full,.name", "amount", "full.name", "x4"])
+    assert sources.read_headed(spark, _put(tmp_path / "none", {"a.csv": "x\n"}), {"a": "int"}, skip=3).count() == 0
+
+
+def test_tabs_take_one_scan_whatever_their_number(spark, tmp_path):
+    jobs = []
+    for n in (2, 9):
+        tabs = {}
+        for k in range(n):
+            head = "Id,Value" if k % 2 else "Value,Id"
+            body = f"{k},v" if k % 2 else f"v,{k}"
+            tabs[f"tab {k}"] = _put(tmp_path / f"{n}-{k} with blank", {"a.csv": f"title\n{head}\n{body}\n"})
+        spark.sparkContext.setJobGroup(f"tabs-{n}", "")
+        got = sources.read_tabs(spark, tabs, 1, "tab").collect()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"tabs-{n}")))
+        assert {(x.tab, x.Id, x.Value) for x in got} == {(f"tab {k}", str(k), "v") for k in range(n)}
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]
+
+
+def test_a_broken_report_leaves_the_one_before(spark, tmp_path):
+    root = str(tmp_path / "book")
+    df = spark.createDataFrame([(1, 'say "a", b')], "k INT, v STRING")
+    with pytest.raises(FileNotFoundError):
+        sources.read_report(spark, root)
+    sources.write_report({"one": df, "two": df}, root, fmt="csv")
+    broken = df.select(F.raise_error(F.lit("broken")).cast("int").alias("k"))
+    with pytest.raises(Exception, match="broken"):
+        sources.write_report({"one": df.limit(0), "two": broken}, root)
+    held = sources.read_report(spark, root)
+    assert list(held) == ["one", "two"] and all(rows(x) == [(1, 'say "a", b')] for x in held.values())
+    sources.write_report({"one": df.limit(0)}, root)
+    assert list(sources.read_report(spark, root)) == ["one"] and sources.read_report(spark, root)["one"].count() == 0
+    assert list(sources.read_report(spark, root, 1)) == ["one", "two"]
+    with pytest.raises(FileNotFoundError):
+        sources.read_report(spark, root, 7)
