@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from regiolume.catalog.jobs_market import rent_table
 from regiolume.catalog.jobs_people import pick, sql_list, wrap_sql
 from regiolume.catalog.registry import YEARS_SQL, Tables, query
+from regiolume.functions import numbers
+from regiolume.operators import cube
+from regiolume.operators.setops import stack
 from regiolume.plans import views
+from regiolume.session import stage
 
 
 def digit(c: str, i: int = 1):
@@ -322,3 +326,66 @@ def view_home_sales(t: Tables):
 )
 def view_rents(t: Tables):
     return views.rents(rent_table(t), "Town 7")
+
+
+# One cube for several views ----------------------------------------------------------------------
+
+CUBE_SETS = {"month": ("topic", "geography", "variable", "date"), "year": ("topic", "variable", "year")}
+
+
+def cube_rows(t: Tables) -> DataFrame:
+    """The facts behind vehicle, airport and job views in one long table."""
+    parts = {"vehicles": VEHICLES, "airport": AIRPORT, "jobs": INDUSTRIES}
+    rows = [facts(t, names, area().alias("geography")).withColumn("topic", F.lit(topic)) for topic, names in parts.items()]
+    return stack(*rows).withColumn("year", F.year("date"))
+
+
+CUBE_SQL = f"""
+  with f as (select 'vehicles' as topic, * from ({facts_sql(VEHICLES, AREA_SQL + ' as geography')})
+             union all select 'airport', * from ({facts_sql(AIRPORT, AREA_SQL + ' as geography')})
+             union all select 'jobs', * from ({facts_sql(INDUSTRIES, AREA_SQL + ' as geography')}))"""
+
+
+@query(
+    "cube_views",
+    f"""{CUBE_SQL}
+  select 'vehicles' as view, strftime(date, '%Y-%m') as period, variable, estimate from f
+         where topic = 'vehicles' and geography = 'Region' and variable not like '%Total%' and variable not like '%Internal%'
+  union all select 'passengers', year(date)::varchar, variable, sum(estimate) from f where topic = 'airport' and variable like '%Passengers' group by 2, 3
+  union all select 'freight', year(date)::varchar, variable, sum(estimate) from f where topic = 'airport' and variable like '%Freight' group by 2, 3
+  union all select 'jobs', strftime(date, '%Y-%m'), variable, estimate from f where topic = 'jobs' and geography = 'Region' and variable = 'Construction'""",
+)
+def cube_views(t: Tables):
+    """Four views as look-ups of one cube, which is written once."""
+    made = stage(cube.build_cube(cube_rows(t), CUBE_SETS, "estimate"), "cube")
+    month, year = F.date_format("date", "yyyy-MM").alias("period"), F.col("year").cast("string").alias("period")
+    total = cube.strict_total().alias("estimate")
+
+    def view(name: str, rows: DataFrame, period) -> DataFrame:
+        return rows.select(F.lit(name).alias("view"), period, "variable", total)
+
+    by_month = lambda topic, **more: cube.look_up(made, "month", ["variable", "date"], {"topic": topic, "geography": "Region"} | more)
+    by_year = lambda names: cube.look_up(made, "year", ["variable", "year"], {"topic": "airport"}).filter(F.col("variable").isin(*names))
+    types = ~F.col("variable").rlike("Total") & ~F.col("variable").rlike("Internal")
+    return stack(
+        view("vehicles", by_month("vehicles").filter(types), month), view("passengers", by_year(views.PASSENGERS), year),
+        view("freight", by_year(views.FREIGHT), year), view("jobs", by_month("jobs", variable="Construction"), month),
+    )
+
+
+@query(
+    "cube_merged",
+    """select 'all' as set, null as o_orderpriority, null::int as yr, count(*) as n, max(o_totalprice) as most, sum(o_totalprice::decimal(18,2))::double as total, (sum(o_totalprice::decimal(18,2))::double / count(*)) as mean from orders
+       union all select 'priority', o_orderpriority, null, count(*), max(o_totalprice), sum(o_totalprice::decimal(18,2))::double, (sum(o_totalprice::decimal(18,2))::double / count(*)) from orders group by 2
+       union all select 'both', o_orderpriority, year(o_orderdate)::int, count(*), max(o_totalprice), sum(o_totalprice::decimal(18,2))::double, (sum(o_totalprice::decimal(18,2))::double / count(*)) from orders group by 2, 3""",
+)
+def cube_merged(t: Tables):
+    """The orders of the last year are merged into the cube of the others, which is not computed again."""
+    rows = t.orders.select("o_orderpriority", F.year("o_orderdate").alias("yr"), numbers.money("o_totalprice").alias("price"))
+    sets = {"all": (), "priority": ("o_orderpriority",), "both": ("o_orderpriority", "yr")}
+    old = stage(cube.build_cube(rows.filter("yr < 2001"), sets, "price"), "cube")
+    both = cube.merge_cubes(old, cube.build_cube(rows.filter("yr >= 2001"), sets, "price"))
+    return both.select(
+        "set", "o_orderpriority", "yr", "n", F.col("most").cast("double").alias("most"), F.col("total").cast("double").alias("total"),
+        cube.mean().alias("mean"),
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,9 @@ from regiolume.operators.series import Event
 from regiolume.operators.setops import stack
 from regiolume.plans import employment, forecast, headlines, market, population, residential, rules, tax, travel
 from regiolume.session import scratch_folder
-from regiolume.sources import write_report
+from regiolume.schema import ASSESSOR_LAYOUTS, PIERCE_SALES_COLUMNS
+from regiolume.sources import read_layout, write_report
+from regiolume.sources.delimited import QUOTED
 
 # Home sales and rents --------------------------------------------------------------------------
 
@@ -230,20 +234,63 @@ def _sales_columns(t: Tables, county: int) -> DataFrame:
     )
 
 
-def king(t: Tables, legacy: bool = False) -> DataFrame:
+def assessor_tables(t: Tables) -> dict[str, DataFrame]:
+    """The counties' tables as their deliveries hold them."""
+
     def parcel(c: str) -> list[Column]:
         return [F.lpad(F.col(c), 6, "0").alias("major"), F.lpad(F.col(c) % 100, 4, "0").alias("minor")]
 
-    sales = _sales_columns(t, 0).select(
-        *parcel("c"), F.date_format("day", "MM/dd/yyyy").alias("documentdate"), F.col("price").cast("double").alias("saleprice"),
-        F.col("buyer").alias("buyername"), (F.col("k") % 20).cast("int").alias("propertytype"),
-        (F.col("k") % 5 * 2).cast("int").alias("principaluse"),
+    king, kitsap, pierce, snohomish = (_sales_columns(t, i) for i in range(4))
+    two = kitsap.select(
+        F.col("c").cast("string").alias("p"), F.date_format("day", "M/d/yyyy").alias("d"), "price", F.year("day").alias("y")
     )
-    condos = t.customer.select(*parcel("c_custkey"), (F.col("c_custkey") % 28 / 4).cast("int").alias("unittype"))
-    complexes = t.customer.filter(F.col("c_custkey") % 8 == 0).select(
-        F.lpad("c_custkey", 6, "0").alias("major"), (F.col("c_custkey") % 5).cast("int").alias("constrclass")
+    return {
+        "king_sales": king.select(
+            *parcel("c"), F.date_format("day", "MM/dd/yyyy").alias("documentdate"), F.col("price").cast("double").alias("saleprice"),
+            F.col("buyer").alias("buyername"), (F.col("k") % 20).cast("int").alias("propertytype"),
+            (F.col("k") % 5 * 2).cast("int").alias("principaluse"),
+        ),
+        "king_condo_units": t.customer.select(*parcel("c_custkey"), (F.col("c_custkey") % 28 / 4).cast("int").alias("unittype")),
+        "king_condo_complexes": t.customer.filter(F.col("c_custkey") % 8 == 0).select(
+            F.lpad("c_custkey", 6, "0").alias("major"), (F.col("c_custkey") % 5).cast("int").alias("constrclass")
+        ),
+        # Two deliveries that overlap from 2017 to 2019.
+        "kitsap_sales_early": two.filter(F.col("y") <= 2019).select(
+            F.col("p").alias("acct_no"), F.col("d").alias("sale_dt"), F.col("price").cast("double").alias("price")
+        ),
+        "kitsap_sales_late": two.filter(F.col("y") >= 2017).select(
+            F.col("p").alias("tax parcel no."), F.col("d").alias("sale dt"), F.format_number("price", 0).alias("price")
+        ),
+        "kitsap_parcels": t.customer.filter(F.col("c_custkey") % 9 != 0).select(
+            F.col("c_custkey").cast("string").alias("acct_no"), (F.col("c_custkey") % 45 + 108).cast("int").alias("property_class")
+        ),
+        "pierce_sales": pierce.select(
+            F.col("c").cast("string").alias("parcel_number"), F.date_format("day", "MM/dd/yyyy").alias("sale_date"),
+            F.col("price").alias("sale_price"), F.col("buyer").alias("grantee"),
+        ),
+        "pierce_improvements": stack(*[
+            t.customer.select(
+                F.col("c_custkey").cast("string").alias("parcel_number"),
+                pick(F.col("c_custkey") % 3, ("Residential", "Out Building", "Commercial")).alias("property_type"),
+                pick((F.floor(F.col("c_custkey") / 4) + i) % 8, OCCUPANCIES).alias("occupancy_description"),
+            )
+            for i in (0, 2)
+        ]),
+        "snohomish_sales": snohomish.select(
+            F.col("c").cast("string").alias("parcel_id"), (F.col("k") % 50 + 100).cast("int").alias("prop_class"),
+            F.when(F.col("k") % 13 != 0, "1 MAIN ST").alias("propertystreet"), F.date_format("day", "M-d-yy").alias("sale_date"),
+            F.format_number("price", 0).alias("sale_price"), F.col("buyer").alias("ownername1"),
+        ),
+    }
+
+
+def sales_of(held: dict[str, DataFrame], legacy: bool = False) -> DataFrame:
+    return residential.regional_sales(
+        residential.king_sales(held["king_sales"], held["king_condo_units"], held["king_condo_complexes"], legacy=legacy),
+        residential.kitsap_sales(held["kitsap_sales_early"], held["kitsap_sales_late"], held["kitsap_parcels"]),
+        residential.pierce_sales(held["pierce_sales"], held["pierce_improvements"]),
+        residential.snohomish_sales(held["snohomish_sales"]),
     )
-    return residential.king_sales(sales, condos, complexes, legacy=legacy)
 
 
 @query(
@@ -263,48 +310,8 @@ def job_king_buildings(t: Tables):
     return residential.king_buildings(buildings).withColumn("sqft", F.col("sqft").cast("double"))
 
 
-def kitsap(t: Tables) -> DataFrame:
-    """Two deliveries that overlap from 2017 to 2019."""
-    rows = _sales_columns(t, 1).select(
-        F.col("c").cast("string").alias("p"), F.date_format("day", "M/d/yyyy").alias("d"), "price", F.year("day").alias("y")
-    )
-    early = rows.filter(F.col("y") <= 2019).select(F.col("p").alias("acct_no"), F.col("d").alias("sale_dt"), F.col("price").cast("double").alias("price"))
-    late = rows.filter(F.col("y") >= 2017).select(
-        F.col("p").alias("tax parcel no."), F.col("d").alias("sale dt"), F.format_number("price", 0).alias("price")
-    )
-    parcels = t.customer.filter(F.col("c_custkey") % 9 != 0).select(
-        F.col("c_custkey").cast("string").alias("acct_no"), (F.col("c_custkey") % 45 + 108).cast("int").alias("property_class")
-    )
-    return residential.kitsap_sales(early, late, parcels)
-
-
-def pierce(t: Tables) -> DataFrame:
-    sales = _sales_columns(t, 2).select(
-        F.col("c").cast("string").alias("parcel_number"), F.date_format("day", "MM/dd/yyyy").alias("sale_date"),
-        F.col("price").alias("sale_price"), F.col("buyer").alias("grantee"),
-    )
-    improvements = stack(*[
-        t.customer.select(
-            F.col("c_custkey").cast("string").alias("parcel_number"),
-            pick(F.col("c_custkey") % 3, ("Residential", "Out Building", "Commercial")).alias("property_type"),
-            pick((F.floor(F.col("c_custkey") / 4) + i) % 8, OCCUPANCIES).alias("occupancy_description"),
-        )
-        for i in (0, 2)
-    ])
-    return residential.pierce_sales(sales, improvements)
-
-
-def snohomish(t: Tables) -> DataFrame:
-    rows = _sales_columns(t, 3)
-    return residential.snohomish_sales(rows.select(
-        F.col("c").cast("string").alias("parcel_id"), (F.col("k") % 50 + 100).cast("int").alias("prop_class"),
-        F.when(F.col("k") % 13 != 0, "1 MAIN ST").alias("propertystreet"), F.date_format("day", "M-d-yy").alias("sale_date"),
-        F.format_number("price", 0).alias("sale_price"), F.col("buyer").alias("ownername1"),
-    ))
-
-
 def all_sales(t: Tables) -> DataFrame:
-    return residential.regional_sales(king(t), kitsap(t), pierce(t), snohomish(t))
+    return sales_of(assessor_tables(t))
 
 
 SALES_SQL = f"""
@@ -347,6 +354,51 @@ def job_residential_sales(t: Tables):
     return all_sales(t)
 
 
+def _deliver(df: DataFrame, name: str, folder: str) -> None:
+    """A table written in its delivery's layout: further columns, another order, names in capitals."""
+    layout = ASSESSOR_LAYOUTS[name]
+    if layout.order:
+        rows = df.select(*[F.col(c) if c in df.columns else F.lit("é").alias(c) for c in layout.order])
+    else:
+        rows = df.select(F.lit("unused, é").alias("Extra"), *[F.col(f"`{c}`").alias(c.upper()) for c in reversed(df.columns)])
+    rows.write.option("sep", layout.sep).option("encoding", layout.encoding).option("header", not layout.order).options(**QUOTED).csv(folder)
+
+
+def _delivered(t: Tables) -> dict[str, str]:
+    folders = {}
+    for name, df in assessor_tables(t).items():
+        folders[name] = scratch_folder(t.spark, name)
+        _deliver(df, name, folders[name])
+    return folders
+
+
+@query("job_residential_files", f"with {SALES_SQL} select * from sales")
+def job_residential_files(t: Tables):
+    """The same sales from files in the four counties' layouts: separators, encodings, headers or none."""
+    held = {name: read_layout(t.spark, folder, ASSESSOR_LAYOUTS[name])[0] for name, folder in _delivered(t).items()}
+    return sales_of(held)
+
+
+@query(
+    "src_rejected_lines",
+    """select case when o_orderkey % 7 = 0 then 'cells' when o_orderkey % 5 = 0 then 'key parcel_number' when o_orderkey % 3 = 0 then 'type sale_price'
+              else 'row' end as reason, count(*) as n, sum(o_orderkey)::bigint as keys from orders group by 1""",
+)
+def src_rejected_lines(t: Tables):
+    """Every line of a delivery is a row or in the table of rejected lines, with the reason."""
+    k = F.col("o_orderkey")
+    cells = {"parcel_number": F.when(k % 5 != 0, k.cast("string")), "etn": k.cast("string"), "sale_price": F.when(k % 3 == 0, "n/a").otherwise("1e3"),
+             "sale_date": F.lit("1/2/2020"), "grantee": F.lit("Müller, \"A\"")}
+    line = F.concat_ws("|", *[F.coalesce(cells.get(c, F.lit("")), F.lit("")) for c in PIERCE_SALES_COLUMNS])
+    folder = scratch_folder(t.spark, "rejects")
+    t.orders.select(F.when(k % 7 == 0, F.concat(line, F.lit("|more"))).otherwise(line)).write.option("encoding", "ISO-8859-1").text(folder)
+    layout = dataclasses.replace(ASSESSOR_LAYOUTS["pierce_sales"], columns=ASSESSOR_LAYOUTS["pierce_sales"].columns | {"etn": "bigint"}, encoding="UTF-8")
+    good, rejected = read_layout(t.spark, folder, layout)
+    etn = F.split("line", "\\|")[0].cast("bigint")
+    both = good.select(F.lit("row").alias("reason"), F.col("etn").alias("k")).unionByName(rejected.select("reason", etn.alias("k")))
+    return both.groupBy("reason").agg(F.count("*").alias("n"), F.sum("k").alias("keys"))
+
+
 @query(
     "job_sales_by_type",
     f"with {SALES_SQL} select year, housing_type, county, count(sale_price) as transactions from sales group by 1, 2, 3",

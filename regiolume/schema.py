@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regiolume.sources.layouts import Layout
+
 # One row per geography, variable and period; the form nearly every job ends in.
 INDICATOR = "geography STRING, variable STRING, period DATE, estimate DOUBLE"
 
@@ -60,6 +62,26 @@ PIERCE_IMPROVEMENT_COLUMNS = (
     "attached_garage", "detached_garage", "fireplaces", "basement_garage_door",
 )
 
+# How the deliveries are written.
+ASSESSOR_LAYOUTS = {
+    "king_sales": Layout(KING_SALES, encoding="ISO-8859-1", keys=("major", "minor")),
+    "king_buildings": Layout(KING_BUILDINGS, keys=("major", "minor")),
+    "king_condo_units": Layout(KING_CONDO_UNITS, keys=("major", "minor")),
+    "king_condo_complexes": Layout(KING_CONDO_COMPLEXES, keys=("major",)),
+    "kitsap_sales_early": Layout(KITSAP_SALES_EARLY, sep="\t", keys=("acct_no",)),
+    "kitsap_sales_late": Layout(KITSAP_SALES_LATE, keys=("tax parcel no.",)),
+    "kitsap_parcels": Layout(KITSAP_PARCELS, sep="\t", keys=("acct_no",)),
+    "pierce_sales": Layout(
+        {"parcel_number": "string", "sale_date": "string", "sale_price": "double", "grantee": "string"}, sep="|",
+        encoding="ISO-8859-1", order=PIERCE_SALES_COLUMNS, keys=("parcel_number",),
+    ),
+    "pierce_improvements": Layout(
+        {"parcel_number": "string", "property_type": "string", "occupancy_description": "string"}, sep="|",
+        encoding="ISO-8859-1", order=PIERCE_IMPROVEMENT_COLUMNS, keys=("parcel_number",),
+    ),
+    "snohomish_sales": Layout(SNOHOMISH_SALES, keys=("parcel_id",)),
+}
+
 # One schema for the four assessor layouts.
 REGIONAL_SALES = {
     "parcel_number": "string",
