@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +36,7 @@ def local_session(app: str, cores: int | str = 8, **extra: str) -> SparkSession:
 
 _LOCAL_ROOTS: dict[str, str] = {}
 _STAGED: dict[str, list[str]] = {}
+_FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
@@ -70,4 +72,17 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     executors, and Spark knows its size when it plans what comes after."""
     folder = scratch_folder(df.sparkSession, purpose)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    out = df.sparkSession.read.schema(df.schema).parquet(folder)
+    _FOLDERS[out] = folder
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more: what was made of them must be staged itself by then."""
+    for df in tables:
+        folder = _FOLDERS.pop(df, None)
+        if folder is not None:
+            spark = df.sparkSession
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            _STAGED[spark.sparkContext.applicationId].remove(folder)

@@ -150,3 +150,15 @@ def test_one_scan_for_the_share_by_hour(spark):
     assert "Join" not in plan
     unique = ENTRIES["unique_transactions"].run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in unique
+
+
+def test_discard_deletes_what_was_staged(spark):
+    import pathlib
+
+    from regiolume.session import _STAGED, discard, stage
+
+    kept, gone = stage(spark.range(5), "kept"), stage(spark.range(7), "gone")
+    folders = _STAGED[spark.sparkContext.applicationId][-2:]
+    discard(gone, spark.range(3))
+    discard(gone)
+    assert [pathlib.Path(f).exists() for f in folders] == [True, False] and kept.count() == 5
