@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiolume.session import stage
+from regiolume.session import discard, stage
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -25,13 +25,14 @@ def components(links: DataFrame) -> DataFrame:
     state = _state(edges)
     while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        hung = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        first = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        hung = both.where("v > u").join(first, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         hung = stage(hung, "hung")
         least = stage(hung.groupBy("u").agg(F.min("v").alias("m")), "least")
         met = hung.join(least, "u")
-        edges = met.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        old, edges = edges, met.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stage(edges.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        discard(old, first, hung, least)
         before, state = state, _state(edges)
         if state == before:
             break

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,17 +13,15 @@ from pyspark.sql import functions as F
 from regiolume.llm.bytes_view import LOWERED, as_bytes, mix, slices, word_hashes, words
 from regiolume.llm.common import id_or_least, release
 from regiolume.llm.components import components
-from regiolume.session import stage
+from regiolume.session import discard, stage
 
 #: Bits of the table that tells frequent shingles from rare ones, and the parts it is added up in.
 TABLE_BITS, TABLE_PARTS = 18, 16
-#: Pivot coordinates of a set: its shingles counted in so many fixed parts of all shingles.
-COORDINATES = 32
-#: Pivot documents that a region is joined with in one round.
-PIVOTS = 128
-MET = "a long, b long, wanted long, met long"
-#: Members of a large region that one share of it holds.
-SHARE = 4096
+#: Pivot coordinates of a set: its shingles counted in so many fixed parts of all shingles, coarse and fine.
+COORDINATES, FINE = 32, 256
+#: Pivot documents of a region, and members that are compared with each other in one block.
+CENTRES, SHARE = 2, 4096
+MET = "a long, b long, apart double, wanted long, met long"
 
 
 def shingle_sets(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -124,7 +123,8 @@ def wanted_meetings(n):
 
 def _place(width: int, percent: int, classes):
     """The regions of each document, and its pivot coordinates."""
-    names = ["id", "s1", "n", "regions", "coordinates"]
+    names = ["id", "s1", "n", "regions", "coordinates", "fine"]
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,11 +134,11 @@ def _place(width: int, percent: int, classes):
                 n = len(found)
                 order = np.lexsort((found, classes.value[(found >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]))
                 near = found[order[: n - -(-percent * n // 100) + int(wanted_meetings(n))]].view(np.int64)
-                parts = np.bincount((found % np.uint64(COORDINATES)).astype(np.int64), minlength=COORDINATES)
-                coordinates = np.minimum(parts, 65535).astype(np.uint16).tobytes()
-                rows.append((ids[row], _signature(found)[0], n, near, coordinates))
+                parts = np.bincount((found % np.uint64(FINE)).astype(np.int64), minlength=FINE)
+                coarse = parts.reshape(-1, COORDINATES).sum(axis=0).astype(np.int32)
+                fine = np.minimum(parts, 255).astype(np.uint8).tobytes()
+                rows.append((ids[row], _signature(found)[0], n, near, coarse, fine))
             if rows:
-                types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
                 columns = zip(zip(*rows, strict=True), types, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names)
 
@@ -167,90 +167,73 @@ def _wanted_texts(width: int):
 
 
 #: Pairs that a task holds at once.
-_AT_ONCE = 1 << 17
+_AT_ONCE = 1 << 16
+_MEMBER = ("rep", "n", "root", "share", "visits", "fine")
+_BLOCK = ("token", "cell", "one", "two")
 
 
-def _near_pairs(percent: int, a: tuple, b: tuple, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Of pairs of rows those whose sizes and coordinates differ by no more than the sets of a link can differ."""
-    na, nb = a[1][left], b[1][right]
-    good = (100 * na >= percent * nb) & (100 * nb >= percent * na)
+def _near_pairs(percent: int, rows: dict[str, np.ndarray], left: np.ndarray, right: np.ndarray, large: np.ndarray) -> np.ndarray:
+    """Of pairs of rows those of different components whose sizes and coordinates differ by no more than a link's sets can."""
+    n, root, visits = rows["n"], rows["root"], rows["visits"]
+    good = (root[left] != root[right]) & ~(visits[left] & visits[right]) & (rows["rep"][left] != rows["rep"][right])
+    good &= (100 * n[left] >= percent * n[right]) & (100 * n[right] >= percent * n[left])
     left, right = left[good], right[good]
-    apart = np.abs(a[2][left].astype(np.int32) - b[2][right]).sum(axis=1)
-    good = apart * (100 + percent) <= (a[1][left] + b[1][right]) * (100 - percent)
-    left, right = left[good], right[good]
-    x, y = a[0][left], b[0][right]
-    wanted = wanted_meetings(np.minimum(a[1][left], b[1][right]))
-    rows = np.stack([np.minimum(x, y), np.maximum(x, y), wanted], axis=1)[x != y]
-    found, met = np.unique(rows, axis=0, return_counts=True)
-    return np.concatenate([found, met[:, None]], axis=1)
-
-
-def _unpacked(rep: pa.Array, n: pa.Array, coordinates: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, sizes and coordinates of members as arrays."""
-    packed = np.frombuffer(b"".join(coordinates.to_pylist()), np.uint16).reshape(-1, COORDINATES)
-    return rep.to_numpy(zero_copy_only=False), n.to_numpy(zero_copy_only=False), packed
-
-
-def _met(percent: int, one: tuple, many: tuple, first: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Near pairs of each row of ``one`` with ``size`` rows of ``many`` from ``first`` on, a bounded number at once."""
-    total, at = np.concatenate(([0], np.cumsum(size))), 0
-    while at < len(size):
-        to = max(at + 1, int(np.searchsorted(total, total[at] + _AT_ONCE, side="right")) - 1)
-        left = np.repeat(np.arange(at, to), size[at:to])
-        right = first[left] + np.arange(len(left)) - (total[left] - total[at])
-        found = _near_pairs(percent, one, many, left, right)
-        if len(found):
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in found.T.copy()], ["a", "b", "wanted", "met"])
-        at = to
+    most = (n[left] + n[right]) * (100 - percent)
+    # Pivots are parts of all shingles: the difference of the counts in them is at most that of the sets.
+    for parts in ("coarse", "fine"):
+        apart = np.abs(rows[parts][left] - rows[parts][right]).sum(axis=1, dtype=np.int64)
+        good = apart * (100 + percent) <= most
+        left, right, most, apart = left[good], right[good], most[good], apart[good]
+    x, y = rows["rep"][left], rows["rep"][right]
+    wanted = wanted_meetings(np.minimum(n[left], n[right]))
+    met = np.where(large[left], wanted, 1)
+    share = (1000 * apart // np.maximum(1, n[left] + n[right])).astype(np.int64)
+    return np.stack([np.minimum(x, y), np.maximum(x, y), share, wanted, met], axis=1)
 
 
 def _within(percent: int):
-    """Near pairs of the members of each region; rows come sorted by region, and a region has few."""
-
-    def pairs(token: np.ndarray, members: tuple) -> Iterator[pa.RecordBatch]:
-        first = np.arange(1, len(token) + 1)
-        return _met(percent, members, members, first, np.searchsorted(token, token, side="right") - first)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, held = np.empty(0, np.int64), None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            new = _unpacked(*(batch.column(c) for c in _MEMBER))
-            token = np.concatenate([token, batch.column("token").to_numpy()])
-            held = new if held is None else tuple(np.concatenate(x) for x in zip(held, new, strict=True))
-            cut = int(np.searchsorted(token, token[-1], side="left"))  # the last region may go on
-            yield from pairs(token[:cut], tuple(x[:cut] for x in held))
-            token, held = token[cut:], tuple(x[cut:] for x in held)
-        if held is not None:
-            yield from pairs(token, held)
-
-    return run
-
-
-def _across(percent: int):
-    """Near pairs of the pivots and the members of each share of a region; rows come sorted by region, share and kind."""
-
-    def pairs(region: np.ndarray, kind: np.ndarray, rows: tuple) -> Iterator[pa.RecordBatch]:
-        begin = np.searchsorted(region, region, side="left")
-        pivots = np.searchsorted(region * 2 + kind, region * 2 + 1, side="left") - begin
-        return _met(percent, rows, rows, begin, np.where(kind == 1, pivots, 0))
+    """Near pairs of the members of each block; rows come sorted by block, and a block has few."""
+
+    def pairs(block: np.ndarray, rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        end = np.searchsorted(block, block, side="right")
+        first = np.arange(1, len(block) + 1)
+        size, total, at = end - first, np.concatenate(([0], np.cumsum(end - first))), 0
+        large = rows["large"]
+        while at < len(size):
+            to = max(at + 1, int(np.searchsorted(total, total[at] + _AT_ONCE, side="right")) - 1)
+            left = np.repeat(np.arange(at, to), size[at:to])
+            right = first[left] + np.arange(len(left)) - (total[left] - total[at])
+            # In a block of two shares only pairs across them are meant; the others have a block of their own.
+            meant = rows["same"][left] | (rows["share"][left] != rows["share"][right])
+            found = _near_pairs(percent, rows, left[meant], right[meant], large)
+            if len(found):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(found[:, 2] / 1000), pa.array(found[:, 3]), pa.array(found[:, 4])],
+                    ["a", "b", "apart", "wanted", "met"],
+                )
+            at = to
+
+    def unpack(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "n", "root", "share", "visits")}
+        fine = np.frombuffer(b"".join(batch.column("fine").to_pylist()), np.uint8).reshape(-1, FINE).astype(np.int16)
+        rows |= {"fine": fine, "coarse": fine.reshape(len(fine), -1, COORDINATES).sum(axis=1, dtype=np.int16)}
+        one, two = batch.column("one").to_numpy(), batch.column("two").to_numpy()
+        return rows | {"same": one == two, "large": batch.column("cell").to_numpy() >= 0}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, keys, kind = None, np.empty((0, 2), np.int64), np.empty(0, np.int64)
+        keys, held = np.empty((0, len(_BLOCK)), np.int64), None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            new = _unpacked(*(batch.column(c) for c in _MEMBER))
-            held = new if held is None else tuple(np.concatenate(x) for x in zip(held, new, strict=True))
-            keys = np.concatenate([keys, np.stack([batch.column(c).to_numpy() for c in ("token", "share")], axis=1)])
-            kind = np.concatenate([kind, batch.column("kind").to_numpy()])
-            region = np.cumsum(np.concatenate(([0], (keys[1:] != keys[:-1]).any(axis=1))))
-            cut = int(np.searchsorted(region, region[-1], side="left"))  # the last share may go on
-            yield from pairs(region[:cut], kind[:cut], tuple(x[:cut] for x in held))
-            held, keys, kind = tuple(x[cut:] for x in held), keys[cut:], kind[cut:]
+            new = unpack(batch)
+            held = new if held is None else {c: np.concatenate([v, new[c]]) for c, v in held.items()}
+            keys = np.concatenate([keys, np.stack([batch.column(c).to_numpy() for c in _BLOCK], axis=1)])
+            block = np.cumsum(np.concatenate(([0], (keys[1:] != keys[:-1]).any(axis=1))))
+            cut = int(np.searchsorted(block, block[-1], side="left"))  # the last block may go on
+            yield from pairs(block[:cut], {c: v[:cut] for c, v in held.items()})
+            keys, held = keys[cut:], {c: v[cut:] for c, v in held.items()}
         if held is not None:
-            yield from pairs(np.zeros(len(kind), np.int64), kind, held)
+            yield from pairs(np.zeros(len(keys), np.int64), held)
 
     return run
 
@@ -283,53 +266,105 @@ def _linked(width: int, percent: int):
 
 
 class _Join:
-    """What the rounds share: the texts of the representatives."""
-
-    def __init__(self, texts: DataFrame, marks: DataFrame, width: int, percent: int):
-        self.texts, self.marks, self.width, self.percent = texts, marks, width, percent
-
-    def load(self, reps: DataFrame) -> None:
-        wanted = stage(reps.join(self.marks, "rep"), "wanted")
+    """What the steps share: the texts of the representatives, members of regions, and the links found so far."""
+
+    def __init__(self, texts: DataFrame, marks: DataFrame, placed: DataFrame, members: DataFrame, width: int, percent: int):
+        self.texts, self.marks, self.placed, self.members = texts, marks, placed, members
+        self.width, self.percent = width, percent
+        self.links = None
+        self.roots = None
+
+    def verify(self, pairs: DataFrame) -> None:
+        """Compare the sets of pairs, and bring links and components up to date."""
+        spark = pairs.sparkSession
+        pairs = stage(pairs, "pairs")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+        wanted = stage(ends.join(self.marks, "rep"), "wanted")
         texts = self.texts.join(wanted, F.col("id") == F.col("rep")).select("id", "mark", "text")
-        self.packed = stage(texts.mapInArrow(_wanted_texts(self.width), "rep long, raw long, packed binary"), "compared")
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        side = lambda x: self.packed.select(
+        packed = stage(texts.mapInArrow(_wanted_texts(self.width), "rep long, raw long, packed binary"), "compared")
+        side = lambda x: packed.select(
             F.col("rep").alias(x), F.col("raw").alias(f"r{x}"), F.col("packed").alias(f"p{x}")
         )
         met = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ra", "rb", "pa", "pb")
-        return stage(met.mapInArrow(_linked(self.width, self.percent), "a long, b long"), "links")
-
-
-_MEMBER = ("rep", "n", "coordinates")
-
-
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of different components."""
-    root = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}"))
-    met = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left")
-    return met.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
-
-
-def _chosen(members: DataFrame) -> DataFrame:
-    """Each region's pivots: its smallest members."""
-    order = Window.partitionBy("token").orderBy("rep")
-    first = members.withColumn("k", F.row_number().over(order)).where(F.col("k") <= PIVOTS)
-    return stage(first.drop("k"), "pivots")
-
-
-def _with_pivots(members: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
-    """The near pairs of pivots and members of their regions.
-
-    A region is dealt to shares of about ``SHARE`` members by a hash; its pivots go to every share.
-    """
-    shares = F.ceil(F.col("size") / SHARE).cast("long")
-    every = F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)).alias("share")
-    pivots = chosen.select("token", every, F.lit(0).cast("long").alias("kind"), *_MEMBER)
-    own = F.pmod(F.xxhash64("rep"), shares).alias("share")
-    rows = members.select("token", own, F.lit(1).cast("long").alias("kind"), *_MEMBER).unionByName(pivots)
-    rows = rows.repartition("token", "share").sortWithinPartitions("token", "share", "kind")
-    return rows.mapInArrow(_across(percent), MET).select("a", "b").distinct()
+        found = met.mapInArrow(_linked(self.width, self.percent), "a long, b long")
+        # A component needs no more of the old links than each node's one to its root.
+        old = self.roots.select(F.col("node").alias("a"), F.col("root").alias("b")) if self.roots is not None else None
+        links = stage(found if old is None else found.unionByName(old), "links")
+        roots = stage(components(links), "roots")
+        discard(pairs, wanted, packed, links, *([self.roots] if self.roots is not None else []))
+        self.roots = roots
+        release(spark)
+
+    def stars(self) -> DataFrame:
+        """Each member of a region with the region's pivots, where they are near.
+
+        Pivots are the members closest to the mean of all coordinates: in a group of near copies the text that they are copies of.
+        """
+        at = [F.get("coordinates", F.lit(i)) for i in range(COORDINATES)]
+        mean = self.members.groupBy("token").agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(at)])
+        mean = stage(mean.select("token", F.array(*[F.col(f"m{i}") for i in range(COORDINATES)]).alias("mean")), "means")
+        apart = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y).cast("double")), F.lit(0.0), lambda s, d: s + d)
+        placed = self.members.join(mean, "token").withColumn("far", apart("coordinates", "mean"))
+        order = Window.partitionBy("token").orderBy("far", "rep")
+        chosen = placed.withColumn("k", F.row_number().over(order)).where(F.col("k") <= CENTRES)
+        chosen = stage(chosen.select("token", F.col("rep").alias("c"), F.col("n").alias("cn"), F.col("coordinates").alias("cc")), "centres")
+        met = self.members.join(chosen, "token").where("rep <> c")
+        near = (100 * F.least("n", "cn") >= self.percent * F.greatest("n", "cn")) & (
+            apart("coordinates", "cc") * (100 + self.percent) <= (F.col("n") + F.col("cn")) * (100 - self.percent)
+        )
+        return met.where(near).select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
+
+    def blocks(self) -> DataFrame | None:
+        """The members of regions that have several components, dealt to blocks; none where all regions have one."""
+        found = self.members.join(self.roots.withColumnRenamed("node", "rep"), "rep", "left")
+        found = found.select("token", "rep", "n", F.coalesce("root", "rep").alias("root"))
+        several = found.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("size"))
+        several = stage(several.where("x < y").select("token", "size"), "several")
+        if several.isEmpty():
+            discard(several)
+            return None
+        live = stage(found.join(several, "token"), "live")
+        discard(several)
+        zero = F.lit(0).cast("long")
+        small = live.where(F.col("size") <= SHARE).select(
+            "token", F.lit(-1).cast("long").alias("cell"), zero.alias("one"), zero.alias("two"),
+            "rep", "n", "root", zero.alias("share"), F.lit(False).alias("visits"),
+        )
+        # The empty set as pivot: sizes of a link differ by one class at most. Smaller sets visit the class above theirs.
+        step = math.log(100 / self.percent) * (1 + 1e-9) if self.percent < 100 else 1e-9
+        own = F.floor(F.log(F.col("n").cast("double")) / step) if self.percent < 100 else F.col("n")
+        cells = F.explode(F.array(
+            F.struct(own.alias("cell"), F.lit(False).alias("visits")), F.struct((own + 1).alias("cell"), F.lit(True).alias("visits"))
+        )).alias("at")
+        large = live.where(F.col("size") > SHARE).select("token", "rep", "n", "root", cells).select("token", "rep", "n", "root", "at.*")
+        sizes = large.groupBy("token", "cell").agg(F.ceil(F.count(F.lit(1)) / SHARE).alias("shares"), F.min("visits").alias("only"))
+        large = large.join(stage(sizes.where("not only").drop("only"), "cells"), ["token", "cell"])
+        large = large.withColumn("share", F.pmod(F.xxhash64("rep"), F.col("shares")))
+        other = F.explode(F.sequence(zero, F.col("shares") - 1)).alias("other")
+        large = large.select("*", other).select(
+            "token", "cell", F.least("share", "other").alias("one"), F.greatest("share", "other").alias("two"),
+            "rep", "n", "root", "share", "visits",
+        )
+        return small.unionByName(large).join(self.placed.select("rep", "fine"), "rep").select(*_BLOCK, *_MEMBER)
+
+    def near(self, best: bool) -> DataFrame | None:
+        """Near pairs of different components: all of them, or the closest of each two components."""
+        blocks = self.blocks()
+        if blocks is None:
+            return None
+        dealt = blocks.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
+        pairs = dealt.mapInArrow(_within(self.percent), MET).groupBy("a", "b").agg(
+            F.min("apart").alias("apart"), F.max("wanted").alias("wanted"), F.sum("met").alias("met")
+        )
+        # Linked sets that meet less often in small regions share a large one, where meeting once is enough.
+        pairs = pairs.where("met >= wanted").select("a", "b", "apart")
+        if not best:
+            return pairs.select("a", "b")
+        root = lambda x: self.roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}"))
+        met = stage(pairs, "near").join(root("a"), "a", "left").join(root("b"), "b", "left")
+        ra, rb = F.coalesce("ra", "a"), F.coalesce("rb", "b")
+        closest = met.groupBy(F.least(ra, rb), F.greatest(ra, rb)).agg(F.min(F.struct("apart", "a", "b")).alias("p"))
+        return closest.select("p.a", "p.b")
 
 
 def jaccard_components(
@@ -341,21 +376,23 @@ def jaccard_components(
     words the whole sequence is the one shingle; without words the set is empty and linked with nothing. Returns one row for
     each id: ``id, n_shingles, component_id``, the smallest id within reach of links.
 
-    The join is exact. Documents with equal sets are one class, joined by its smallest id.
+    The join is exact and ends after three comparisons, whatever the data. Documents with equal sets are one class, joined by its
+    smallest id.
 
     * Regions. The pivots of the partition are the sets of one shingle: a document is nearest to those it holds, and
       among them, in one order of all shingles (rare ones first, by hashed counts over all documents), its region is
       the first. A set within the wanted distance misses at most so many of its shingles, so the document is replicated to
       the regions of its first floor(n * (1 - t)) + m shingles: two linked documents meet in at least m of them, m being
       ``wanted_meetings``.
-    * Windows. In a region, pairs are dropped by the triangle inequality on the size of the symmetric difference, with
-      the empty set (sizes) and with the parts of a fixed partition of all shingles (counts in them) as pivots.
-    * Recursion. A region is joined with its first members as pivot documents, a bounded number; small
-      regions are finished by that. In larger ones the links found make components, the pivots leave, and the rest, if it is
-      of several components, is joined again with new pivots. Pairs inside a component need no check.
-
-    Whatever the size of a region, a round emits at most ``PIVOTS`` pairs for each member; adaptive execution
-    splits large regions. A NULL id counts as the smallest id and comes back NULL. Rows of one id are one
+    * Pivot documents. Every region takes the documents closest to its mean as pivots, and its members are compared with
+      these. Groups of copies become components by that, and regions of one component are done.
+    * Windows. In the other regions pairs of different components are dropped by the triangle inequality on the size of
+      the symmetric difference, with the empty set (sizes) and with the parts of fixed partitions of all shingles
+      (counts in them) as pivots. Regions of more than ``SHARE`` members join again by classes of size: a document
+      visits the class next to its own. What is then still larger is dealt to blocks.
+    * What is left is compared, first the closest pair of each two components, then, for the components that are still apart, all.
+
+    A NULL id counts as the smallest id and comes back NULL. Rows of one id are one
     document; if their texts differ, the set with the smallest signature stands for it. An empty table gives an empty one.
     """
     spark = docs.sparkSession
@@ -366,55 +403,33 @@ def jaccard_components(
     classes = per_id.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"))
     classes = stage(classes, "classes")
     shared = spark.sparkContext.broadcast(_frequency_classes(signed))
-    schema = "id long, s1 long, n long, regions array<long>, coordinates binary"
+    discard(signed)
+    schema = "id long, s1 long, n long, regions array<long>, coordinates array<int>, fine binary"
     placed = texts.mapInArrow(_place(width, percent, shared), schema)
     marks = classes.select("rep", F.col("s1").alias("mark"))
     placed = placed.join(marks, (F.col("id") == F.col("rep")) & (F.col("s1") == F.col("mark")))
-    placed = stage(placed.select("rep", "n", "regions", "coordinates"), "placed")
+    placed = stage(placed.select("rep", "n", "regions", "coordinates", "fine"), "placed")
     release(spark)
 
     members = placed.select("rep", F.explode("regions").alias("token"))
-    regions = members.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("a"), F.max("rep").alias("b"))
-    regions = stage(regions.where("a < b").select("token", "size"), "regions")
-    members = stage(members.join(regions, "token"), "members")
+    regions = members.groupBy("token").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
+    regions = stage(regions.where("a < b").select("token"), "regions")
+    members = members.join(regions, "token").join(placed.select("rep", "n", "coordinates"), "rep")
+    members = stage(members.select("token", "rep", "n", "coordinates"), "members")
+    discard(regions)
     release(spark)
-    members = members.join(placed.drop("regions"), "rep")
-    small = members.where(F.col("size") <= PIVOTS).select("token", *_MEMBER)
-    small = small.repartition("token").sortWithinPartitions("token")
-    near = small.mapInArrow(_within(percent), MET).groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("wanted").alias("wanted"))
-    # Linked documents that meet less often in small regions share a large one, whose rounds find them.
-    near = near.where("met >= wanted").select("a", "b")
-    members = stage(members.where(F.col("size") > PIVOTS), "large")
-    chosen = _chosen(members)
-    found = stage(near.unionByName(_with_pivots(members, chosen, percent)).distinct(), "candidates")
-    join = _Join(texts, marks, width, percent)
-    ends = found.select(F.explode(F.array("a", "b")).alias("rep"))
-    release(spark)
-    join.load(ends.unionByName(members.select("rep")).distinct())
-    # First each document with its smallest candidate; most other pairs are then of one component.
-    nearest = found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    release(spark)
-    links = join.links(nearest)
-    roots = stage(components(links), "roots")
-    release(spark)
-    links = links.unionByName(join.links(_apart(found, roots)))
-    roots = stage(components(links), "roots")
-
-    while True:
-        done = chosen.select("token", "rep")
-        members = stage(members.join(done, ["token", "rep"], "left_anti"), "rest")
-        met = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-        root = F.coalesce("root", "rep")
-        several = met.groupBy("token").agg(F.min(root).alias("x"), F.max(root).alias("y")).where("x < y")
-        members = stage(members.join(stage(several.select("token"), "several"), "token"), "rest")
-        if members.isEmpty():
+
+    join = _Join(texts, marks, placed, members, width, percent)
+    join.verify(join.stars())
+    for best in (True, False):
+        pairs = join.near(best)
+        if pairs is None:
             break
-        chosen = _chosen(members)
-        links = links.unionByName(join.links(_apart(_with_pivots(members, chosen, percent), roots)))
-        roots = stage(components(links), "roots")
+        join.verify(pairs)
 
-    reach = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    reach = classes.join(join.roots.withColumnRenamed("node", "rep"), "rep", "left")
     reach = stage(reach.select("s1", "s2", "n", F.coalesce("root", "rep").alias("component")), "reach")
+    discard(placed, members, classes, join.roots)
     out = per_id.join(reach, ["s1", "s2", "n"], "left")
     least = F.lit(-(2**63))
     given = lambda c: F.when(c != least, c)

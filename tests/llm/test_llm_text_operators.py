@@ -184,10 +184,10 @@ def test_jaccard(spark, width, percent):
 
 
 def test_jaccard_large_regions(spark, monkeypatch):
-    """A region larger than its pivots is joined in several rounds."""
+    """Regions larger than a block join by classes of size and blocks of shares."""
     from regiolume.llm import jaccard
 
-    monkeypatch.setattr(jaccard, "PIVOTS", 3)
+    monkeypatch.setattr(jaccard, "SHARE", 5)
     rows = []
     for group in range(3):
         base = words(60, 50 + group, 3)
