@@ -6,6 +6,8 @@ import re
 import tempfile
 import uuid
 import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,3 +88,15 @@ def discard(*tables: DataFrame) -> None:
             path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
             _STAGED[spark.sparkContext.applicationId].remove(folder)
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
+    """Within it, at most so many rows go to a Python worker at once: for rows that are large themselves."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
