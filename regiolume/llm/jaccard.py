@@ -11,16 +11,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiolume.llm.bytes_view import LOWERED, as_bytes, mix, slices, word_hashes, words
-from regiolume.llm.common import id_or_least, release
+from regiolume.llm.common import LEAST_ID, id_or_least, release
 from regiolume.llm.components import components
-from regiolume.session import discard, stage
+from regiolume.session import arrow_rows, discard, stage
 
 #: Bits of the table that tells frequent shingles from rare ones, and the parts it is added up in.
 TABLE_BITS, TABLE_PARTS = 18, 16
 #: Pivot coordinates of a set: its shingles counted in so many fixed parts of all shingles, coarse and fine.
 COORDINATES, FINE = 32, 256
-#: Pivot documents of a region, and members that are compared with each other in one block.
-CENTRES, SHARE = 2, 4096
+#: Pivot documents of a region, to how many of all its pivots a document is compared, and members that are compared
+#: with each other in one block.
+CENTRES, CLOSEST, SHARE = 2, 2, 4096
+#: Rows with the texts of a pair that a task gets at once.
+PAIR_ROWS = 512
 MET = "a long, b long, apart double, wanted long, met long"
 
 
@@ -151,13 +154,13 @@ def _wanted_texts(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd")
         for batch in batches:
-            ids, marks = batch.column("id").to_pylist(), batch.column("mark").to_pylist()
+            reps, marks = batch.column("rep").to_pylist(), batch.column("mark").to_pylist()
             texts = batch.column("text").cast(pa.binary())
             rows = []
             for row, found in shingle_sets(batch.column("text"), width):
                 if _signature(found)[0] == marks[row]:
                     text = texts[row].as_py()
-                    rows.append((ids[row], len(text), codec.compress(text, asbytes=True)))
+                    rows.append((reps[row], len(text), codec.compress(text, asbytes=True)))
             if rows:
                 types = (pa.int64(), pa.int64(), pa.binary())
                 columns = zip(zip(*rows, strict=True), types, strict=True)
@@ -268,8 +271,10 @@ def _linked(width: int, percent: int):
 class _Join:
     """What the steps share: the texts of the representatives, members of regions, and the links found so far."""
 
-    def __init__(self, texts: DataFrame, marks: DataFrame, placed: DataFrame, members: DataFrame, width: int, percent: int):
-        self.texts, self.marks, self.placed, self.members = texts, marks, placed, members
+    def __init__(
+        self, texts: DataFrame, marks: DataFrame, repeated: bool, placed: DataFrame, members: DataFrame, width: int, percent: int
+    ):
+        self.texts, self.marks, self.repeated, self.placed, self.members = texts, marks, repeated, placed, members
         self.width, self.percent = width, percent
         self.links = None
         self.roots = None
@@ -280,8 +285,9 @@ class _Join:
         pairs = stage(pairs, "pairs")
         ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
         wanted = stage(ends.join(self.marks, "rep"), "wanted")
-        texts = self.texts.join(wanted, F.col("id") == F.col("rep")).select("id", "mark", "text")
-        packed = stage(texts.mapInArrow(_wanted_texts(self.width), "rep long, raw long, packed binary"), "compared")
+        texts = self.texts.join(wanted, "id").select("rep", "mark", "text")
+        packed = texts.mapInArrow(_wanted_texts(self.width), "rep long, raw long, packed binary")
+        packed = stage(packed.dropDuplicates(["rep"]) if self.repeated else packed, "compared")
         side = lambda x: packed.select(
             F.col("rep").alias(x), F.col("raw").alias(f"r{x}"), F.col("packed").alias(f"p{x}")
         )
@@ -289,14 +295,15 @@ class _Join:
         found = met.mapInArrow(_linked(self.width, self.percent), "a long, b long")
         # A component needs no more of the old links than each node's one to its root.
         old = self.roots.select(F.col("node").alias("a"), F.col("root").alias("b")) if self.roots is not None else None
-        links = stage(found if old is None else found.unionByName(old), "links")
+        with arrow_rows(spark, PAIR_ROWS):  # a pair brings two whole texts
+            links = stage(found if old is None else found.unionByName(old), "links")
         roots = stage(components(links), "roots")
         discard(pairs, wanted, packed, links, *([self.roots] if self.roots is not None else []))
         self.roots = roots
         release(spark)
 
     def stars(self) -> DataFrame:
-        """Each member of a region with the region's pivots, where they are near.
+        """Each document with the closest of its regions' pivots, where they are near.
 
         Pivots are the members closest to the mean of all coordinates: in a group of near copies the text that they are copies of.
         """
@@ -310,9 +317,12 @@ class _Join:
         chosen = stage(chosen.select("token", F.col("rep").alias("c"), F.col("n").alias("cn"), F.col("coordinates").alias("cc")), "centres")
         met = self.members.join(chosen, "token").where("rep <> c")
         near = (100 * F.least("n", "cn") >= self.percent * F.greatest("n", "cn")) & (
-            apart("coordinates", "cc") * (100 + self.percent) <= (F.col("n") + F.col("cn")) * (100 - self.percent)
+            F.col("apart") * (100 + self.percent) <= (F.col("n") + F.col("cn")) * (100 - self.percent)
         )
-        return met.where(near).select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
+        met = met.withColumn("apart", apart("coordinates", "cc")).where(near).select("rep", "c", "apart").distinct()
+        order = Window.partitionBy("rep").orderBy("apart", "c")
+        met = met.withColumn("k", F.row_number().over(order)).where(F.col("k") <= CLOSEST)
+        return met.select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
 
     def blocks(self) -> DataFrame | None:
         """The members of regions that have several components, dealt to blocks; none where all regions have one."""
@@ -374,41 +384,40 @@ def jaccard_components(
 
     A document's set holds its distinct shingles of ``width`` words (runs without blanks, A-Z in lower case); with fewer
     words the whole sequence is the one shingle; without words the set is empty and linked with nothing. Returns one row for
-    each id: ``id, n_shingles, component_id``, the smallest id within reach of links.
-
-    The join is exact and ends after three comparisons, whatever the data. Documents with equal sets are one class, joined by its
-    smallest id.
-
-    * Regions. The pivots of the partition are the sets of one shingle: a document is nearest to those it holds, and
-      among them, in one order of all shingles (rare ones first, by hashed counts over all documents), its region is
-      the first. A set within the wanted distance misses at most so many of its shingles, so the document is replicated to
-      the regions of its first floor(n * (1 - t)) + m shingles: two linked documents meet in at least m of them, m being
-      ``wanted_meetings``.
-    * Pivot documents. Every region takes the documents closest to its mean as pivots, and its members are compared with
-      these. Groups of copies become components by that, and regions of one component are done.
+    each row: ``id, n_shingles, component_id``, the smallest id within reach of links.
+
+    The join is exact and ends after three comparisons, whatever the data. Documents with equal sets are one class, compared
+    once.
+
+    * Regions. This step is a prefix filter: a document comes to a region for each of its first floor(n * (1 - t)) + m shingles, in
+      one order of all shingles (rare ones first, by hashed counts over all documents). Two linked documents meet in at
+      least m regions, m being ``wanted_meetings``. As a metric join, the pivots are the sets of one shingle and the window
+      is what a set within the wanted distance can miss.
+    * Pivot documents. Every region takes the documents closest to its mean as pivots, and each document is compared with
+      the closest pivots of all its regions. Groups of copies become components by that, and regions of one component are done.
     * Windows. In the other regions pairs of different components are dropped by the triangle inequality on the size of
       the symmetric difference, with the empty set (sizes) and with the parts of fixed partitions of all shingles
       (counts in them) as pivots. Regions of more than ``SHARE`` members join again by classes of size: a document
       visits the class next to its own. What is then still larger is dealt to blocks.
     * What is left is compared, first the closest pair of each two components, then, for the components that are still apart, all.
 
-    A NULL id counts as the smallest id and comes back NULL. Rows of one id are one
-    document; if their texts differ, the set with the smallest signature stands for it. An empty table gives an empty one.
+    Every row is a document of its own, also where rows share an id: each has the size and the component of its own text.
+    A NULL id counts as the smallest id and comes back NULL. An empty table gives an empty one.
     """
     spark = docs.sparkSession
     texts = docs.select(id_or_least(id_col).alias("id"), F.col(f"`{text_col}`").alias("text"))
     signed = stage(texts.mapInArrow(_sign(width), SIGNED), "signatures")
-    per_id = signed.where("part is null").groupBy("id").agg(F.min(F.struct("s1", "s2", "n")).alias("s"))
-    per_id = stage(per_id.select("id", "s.*"), "documents")
-    classes = per_id.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"))
-    classes = stage(classes, "classes")
+    given = signed.where("part is null").select("id", "s1", "s2", "n")
+    classes = given.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("id").alias("first"))
+    classes = stage(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    repeated = not given.where("n > 0").groupBy("id", "s1").count().where("count > 1").isEmpty()
     shared = spark.sparkContext.broadcast(_frequency_classes(signed))
-    discard(signed)
     schema = "id long, s1 long, n long, regions array<long>, coordinates array<int>, fine binary"
     placed = texts.mapInArrow(_place(width, percent, shared), schema)
-    marks = classes.select("rep", F.col("s1").alias("mark"))
-    placed = placed.join(marks, (F.col("id") == F.col("rep")) & (F.col("s1") == F.col("mark")))
-    placed = stage(placed.select("rep", "n", "regions", "coordinates", "fine"), "placed")
+    marks = classes.select("rep", F.col("first").alias("id"), F.col("s1").alias("mark"))
+    placed = placed.join(marks.withColumnRenamed("mark", "s1"), ["id", "s1"])
+    placed = placed.select("rep", "n", "regions", "coordinates", "fine")
+    placed = stage(placed.dropDuplicates(["rep"]) if repeated else placed, "placed")
     release(spark)
 
     members = placed.select("rep", F.explode("regions").alias("token"))
@@ -419,7 +428,7 @@ def jaccard_components(
     discard(regions)
     release(spark)
 
-    join = _Join(texts, marks, placed, members, width, percent)
+    join = _Join(texts, marks, repeated, placed, members, width, percent)
     join.verify(join.stars())
     for best in (True, False):
         pairs = join.near(best)
@@ -428,12 +437,13 @@ def jaccard_components(
         join.verify(pairs)
 
     reach = classes.join(join.roots.withColumnRenamed("node", "rep"), "rep", "left")
-    reach = stage(reach.select("s1", "s2", "n", F.coalesce("root", "rep").alias("component")), "reach")
+    reach = stage(reach.select("s1", "s2", "n", "first", F.coalesce("root", "rep").alias("root")), "reach")
+    least = reach.groupBy("root").agg(F.min("first").alias("component"))
+    reach = stage(reach.join(least, "root").select("s1", "s2", "n", "component"), "components")
     discard(placed, members, classes, join.roots)
-    out = per_id.join(reach, ["s1", "s2", "n"], "left")
-    least = F.lit(-(2**63))
-    given = lambda c: F.when(c != least, c)
+    out = given.join(reach, ["s1", "s2", "n"], "left")
+    known = lambda c: F.nullif(c, F.lit(LEAST_ID))
     return out.select(
-        given(F.col("id")).alias("id"), F.col("n").alias("n_shingles"),
-        given(F.coalesce("component", "id")).alias("component_id"),
+        known(F.col("id")).alias("id"), F.col("n").alias("n_shingles"),
+        known(F.coalesce("component", "id")).alias("component_id"),
     )
