@@ -18,7 +18,7 @@ from regiolume.session import arrow_rows, discard, stage
 #: Bits of the table that tells frequent shingles from rare ones, and the parts it is added up in.
 TABLE_BITS, TABLE_PARTS = 18, 16
 #: Pivot coordinates of a set: its shingles counted in so many fixed parts of all shingles, coarse and fine.
-COORDINATES, FINE = 32, 256
+COORDINATES, FINE = 32, 128
 #: Pivot documents of a region, to how many of all its pivots a document is compared, and members that are compared
 #: with each other in one block.
 CENTRES, CLOSEST, SHARE = 2, 2, 4096
@@ -282,7 +282,7 @@ class _Join:
     def verify(self, pairs: DataFrame) -> None:
         """Compare the sets of pairs, and bring links and components up to date."""
         spark = pairs.sparkSession
-        pairs = stage(pairs, "pairs")
+        pairs = stage(pairs.select("a", "b"), "pairs")
         ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
         wanted = stage(ends.join(self.marks, "rep"), "wanted")
         texts = self.texts.join(wanted, "id").select("rep", "mark", "text")
@@ -305,24 +305,24 @@ class _Join:
     def stars(self) -> DataFrame:
         """Each document with the closest of its regions' pivots, where they are near.
 
-        Pivots are the members closest to the mean of all coordinates: in a group of near copies the text that they are copies of.
+        Pivots are the members that meet most others in all their regions: in a group of near copies the text that they are
+        copies of. The closest are those that a document meets most often.
         """
-        at = [F.get("coordinates", F.lit(i)) for i in range(COORDINATES)]
-        mean = self.members.groupBy("token").agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(at)])
-        mean = stage(mean.select("token", F.array(*[F.col(f"m{i}") for i in range(COORDINATES)]).alias("mean")), "means")
-        apart = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y).cast("double")), F.lit(0.0), lambda s, d: s + d)
-        placed = self.members.join(mean, "token").withColumn("far", apart("coordinates", "mean"))
-        order = Window.partitionBy("token").orderBy("far", "rep")
-        chosen = placed.withColumn("k", F.row_number().over(order)).where(F.col("k") <= CENTRES)
-        chosen = stage(chosen.select("token", F.col("rep").alias("c"), F.col("n").alias("cn"), F.col("coordinates").alias("cc")), "centres")
+        sizes = self.members.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
+        scores = self.members.join(sizes, "token").groupBy("rep").agg(F.sum("size").alias("score"))
+        order = Window.partitionBy("token").orderBy(F.desc("score"), "rep")
+        chosen = self.members.join(scores, "rep").withColumn("k", F.row_number().over(order)).where(F.col("k") <= CENTRES)
+        chosen = stage(chosen.select("token", F.col("rep").alias("c"), F.col("n").alias("cn")), "centres")
         met = self.members.join(chosen, "token").where("rep <> c")
-        near = (100 * F.least("n", "cn") >= self.percent * F.greatest("n", "cn")) & (
-            F.col("apart") * (100 + self.percent) <= (F.col("n") + F.col("cn")) * (100 - self.percent)
-        )
-        met = met.withColumn("apart", apart("coordinates", "cc")).where(near).select("rep", "c", "apart").distinct()
-        order = Window.partitionBy("rep").orderBy("apart", "c")
+        alike = 100 * F.least("n", "cn") >= self.percent * F.greatest("n", "cn")
+        met = met.where(alike).groupBy("rep", "c").agg(F.count(F.lit(1)).alias("met"))
+        order = Window.partitionBy("rep").orderBy(F.desc("met"), "c")
         met = met.withColumn("k", F.row_number().over(order)).where(F.col("k") <= CLOSEST)
-        return met.select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
+        pairs = stage(met.select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct(), "stars")
+        side = lambda x: self.placed.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("coordinates").alias(f"c{x}"))
+        apart = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, d: s + d)
+        pairs = pairs.join(side("a"), "a").join(side("b"), "b")
+        return pairs.where(apart * (100 + self.percent) <= (F.col("na") + F.col("nb")) * (100 - self.percent)).select("a", "b")
 
     def blocks(self) -> DataFrame | None:
         """The members of regions that have several components, dealt to blocks; none where all regions have one."""
@@ -357,8 +357,8 @@ class _Join:
         )
         return small.unionByName(large).join(self.placed.select("rep", "fine"), "rep").select(*_BLOCK, *_MEMBER)
 
-    def near(self, best: bool) -> DataFrame | None:
-        """Near pairs of different components: all of them, or the closest of each two components."""
+    def near(self) -> DataFrame | None:
+        """All near pairs of different components; none where all regions have one."""
         blocks = self.blocks()
         if blocks is None:
             return None
@@ -367,14 +367,14 @@ class _Join:
             F.min("apart").alias("apart"), F.max("wanted").alias("wanted"), F.sum("met").alias("met")
         )
         # Linked sets that meet less often in small regions share a large one, where meeting once is enough.
-        pairs = pairs.where("met >= wanted").select("a", "b", "apart")
-        if not best:
-            return pairs.select("a", "b")
+        return stage(pairs.where("met >= wanted").select("a", "b", "apart"), "near")
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """Those of the pairs that are still in different components, with these."""
         root = lambda x: self.roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}"))
-        met = stage(pairs, "near").join(root("a"), "a", "left").join(root("b"), "b", "left")
-        ra, rb = F.coalesce("ra", "a"), F.coalesce("rb", "b")
-        closest = met.groupBy(F.least(ra, rb), F.greatest(ra, rb)).agg(F.min(F.struct("apart", "a", "b")).alias("p"))
-        return closest.select("p.a", "p.b")
+        met = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left")
+        met = met.select("a", "b", "apart", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb"))
+        return met.where("ra <> rb")
 
 
 def jaccard_components(
@@ -420,21 +420,22 @@ def jaccard_components(
     placed = stage(placed.dropDuplicates(["rep"]) if repeated else placed, "placed")
     release(spark)
 
-    members = placed.select("rep", F.explode("regions").alias("token"))
+    members = placed.select("rep", "n", F.explode("regions").alias("token"))
     regions = members.groupBy("token").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
     regions = stage(regions.where("a < b").select("token"), "regions")
-    members = members.join(regions, "token").join(placed.select("rep", "n", "coordinates"), "rep")
-    members = stage(members.select("token", "rep", "n", "coordinates"), "members")
+    members = stage(members.join(regions, "token").select("token", "rep", "n"), "members")
     discard(regions)
     release(spark)
 
     join = _Join(texts, marks, repeated, placed, members, width, percent)
     join.verify(join.stars())
-    for best in (True, False):
-        pairs = join.near(best)
-        if pairs is None:
-            break
-        join.verify(pairs)
+    pairs = join.near()
+    if pairs is not None:
+        closest = join.apart(pairs).groupBy(F.least("ra", "rb"), F.greatest("ra", "rb")).agg(F.min(F.struct("apart", "a", "b")).alias("p"))
+        closest = stage(closest.select("p.a", "p.b"), "closest")
+        join.verify(closest)
+        join.verify(join.apart(pairs.join(closest, ["a", "b"], "left_anti")).select("a", "b"))
+        discard(pairs, closest)
 
     reach = classes.join(join.roots.withColumnRenamed("node", "rep"), "rep", "left")
     reach = stage(reach.select("s1", "s2", "n", "first", F.coalesce("root", "rep").alias("root")), "reach")
