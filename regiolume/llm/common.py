@@ -57,6 +57,14 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def inner_prefix(df: DataFrame) -> str:
+    """What names of inner columns begin with, so that none is a name of the table's."""
+    prefix = "__"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def replace_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns; those of the same name go, whatever their case."""
     gone = {name.lower() for name in columns}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from regiolume.llm.common import inner_prefix
+
 #: Bytes of words: digits, letters (A-Z become a-z) and everything beyond ASCII; all others part words.
 TO_WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -25,28 +28,29 @@ RESULT = T.StructType([
         T.StructField("start", T.LongType()), T.StructField("end", T.LongType())
     ]))),
 ])
-_AUTOMATA: dict[str, ahocorasick.Automaton | None] = {}
+#: What the workers hold: the automaton and the numbers of its words.
+Windows = tuple[ahocorasick.Automaton, dict[bytes, int]]
+_AUTOMATA: dict[str, Windows | None] = {}
 
 
-def build(items: list[tuple[int, bytes]], width: int) -> ahocorasick.Automaton | None:
-    """All windows of all items, each between spaces so that it begins and ends with whole words."""
-    windows: dict[str, tuple[int, set[int]]] = {}
+def build(items: list[tuple[int, bytes]], width: int) -> Windows | None:
+    """All windows of all items, over numbers of words: a window has no more nodes than words, however long these are."""
+    windows: dict[tuple[int, ...], set[int]] = {}
+    known: dict[bytes, int] = {}
     for item, text in items:
-        words = text.translate(TO_WORDS).decode("latin-1").split(" ")
-        words = [w for w in words if w]
+        words = [known.setdefault(w, len(known) + 1) for w in text.translate(TO_WORDS).split()]
         for i in range(max(1, len(words) - width + 1) if words else 0):
-            part = words[i : i + width]
-            windows.setdefault(f" {' '.join(part)} ", (len(part), set()))[1].add(item)
+            windows.setdefault(tuple(words[i : i + width]), set()).add(item)
     if not windows:
         return None
-    found = ahocorasick.Automaton()
-    for window, (n, ids) in windows.items():
-        found.add_word(window, (len(window), n, ids))
+    found = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    for window, ids in windows.items():
+        found.add_word(window, (len(window), ids))
     found.make_automaton()
-    return found
+    return found, known
 
 
-def _automaton(name: str, block, width: int) -> ahocorasick.Automaton | None:
+def _automaton(name: str, block, width: int) -> Windows | None:
     """Built once per Python worker and block."""
     if name not in _AUTOMATA:
         _AUTOMATA.clear()
@@ -54,21 +58,17 @@ def _automaton(name: str, block, width: int) -> ahocorasick.Automaton | None:
     return _AUTOMATA[name]
 
 
-def scan(text: bytes, automaton: ahocorasick.Automaton | None) -> tuple[int, list[tuple[int, int]], set[int]]:
+def scan(text: bytes, windows: Windows | None) -> tuple[int, list[tuple[int, int]], set[int]]:
     """Number of words, merged runs of hit words, items that occur."""
     words = text.translate(TO_WORDS).split()
-    if not words or automaton is None:
+    if not words or windows is None:
         return len(words), [], set()
-    joined = b" " + b" ".join(words) + b" "
+    automaton, known = windows
     found, items = [], set()
-    for end, (size, n, ids) in automaton.iter(joined.decode("latin-1")):
-        found.append((end - size + 1, n))
+    for end, (n, ids) in automaton.iter(tuple(map(known.get, words, repeat(0)))):
+        found.append((end - n + 1, end + 1))
         items |= ids
-    if not found:
-        return len(words), [], items
-    gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
-    first = np.searchsorted(gaps, [at for at, _ in found])
-    return len(words), merge((int(i), int(i) + n) for i, (_, n) in zip(first, found, strict=True)), items
+    return len(words), merge(found), items
 
 
 def merge(runs) -> list[tuple[int, int]]:
@@ -95,7 +95,7 @@ def find_contamination(
     docs: DataFrame,
     items: DataFrame,
     width: int = 10,
-    block_bytes: int = 8 << 20,
+    block_bytes: int = 4 << 20,
     keep: list[str] | None = None,
     text_col: str = "text",
     item_col: str = "item_id",
@@ -104,8 +104,8 @@ def find_contamination(
     """Find the windows of ``width`` words of test items in documents; a shorter item is one window.
 
     Words are runs of digits, letters and characters beyond ASCII, with A-Z in lower case. All windows make one
-    Aho-Corasick automaton, each text is normalised and scanned once, as it is read: no shuffle. Items are
-    broadcast in blocks of about ``block_bytes``, whatever their number: a larger set of items is
+    Aho-Corasick automaton over the numbers of their words, each text is normalised and scanned once, as it is read: no
+    shuffle. Items are broadcast in blocks of about ``block_bytes``, whatever their number: a larger set of items is
     dealt to blocks by a hash of the id, and the documents pass one automaton after another in the same task.
 
     Returns the columns ``keep`` of the documents (all, if not given) with ``n_words``, ``n_hit`` (words inside an
@@ -124,29 +124,29 @@ def find_contamination(
     kept = [c for c in (keep if keep is not None else docs.columns) if c.lower() not in own]
     wanted = list(dict.fromkeys([*kept, text_col]))
     out = docs.select([F.col(f"`{c}`") for c in wanted])
+    mark = inner_prefix(docs)
     carried = T.StructType([
-        T.StructField("__runs", T.ArrayType(T.ArrayType(T.LongType()))),
-        T.StructField("__items", T.ArrayType(T.LongType())),
+        T.StructField(f"{mark}runs", T.ArrayType(T.ArrayType(T.LongType()))),
+        T.StructField(f"{mark}items", T.ArrayType(T.LongType())),
     ])
     for i in range(n_blocks):
         rows = [(r["item"], bytes(r["words"])) for r in given.where(F.col("block") == i).collect()]
         block, last = spark.sparkContext.broadcast(rows), i == n_blocks - 1
         names = kept if last else wanted
         schema = T.StructType([docs.schema[c] for c in names] + (RESULT if last else carried).fields)
-        out = out.mapInArrow(_scanner(block, width, names, text_col, last), schema)
+        out = out.mapInArrow(_scanner(block, width, names, text_col, mark, i == 0, last), schema)
     return out
 
 
-def _scanner(block, width: int, names: list[str], text_col: str, last: bool):
+def _scanner(block, width: int, names: list[str], text_col: str, mark: str, first: bool, last: bool):
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(name, block, width)
         for batch in batches:
             texts = batch.column(text_col).cast(pa.binary()).to_pylist()
-            before = batch.schema.get_field_index("__runs") >= 0
-            runs = batch.column("__runs").to_pylist() if before else [[]] * len(texts)
-            ids = batch.column("__items").to_pylist() if before else [[]] * len(texts)
+            runs = [[]] * len(texts) if first else batch.column(f"{mark}runs").to_pylist()
+            ids = [[]] * len(texts) if first else batch.column(f"{mark}items").to_pylist()
             rows = []
             for text, old, old_ids in zip(texts, runs, ids, strict=True):
                 n, new, found = scan(text or b"", automaton)
@@ -166,7 +166,7 @@ def _scanner(block, width: int, names: list[str], text_col: str, last: bool):
                     pa.array([r[1] for r in rows], pa.list_(pa.list_(pa.int64()))),
                     pa.array([r[2] for r in rows], pa.list_(pa.int64())),
                 ]
-                added = ["__runs", "__items"]
+                added = [f"{mark}runs", f"{mark}items"]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], *result], [*names, *added])
 
     return run

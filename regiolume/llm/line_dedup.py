@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiolume.llm.common import BLANKS, ascii_lower, id_or_least, replace_columns
+from regiolume.llm.common import BLANKS, ascii_lower, id_or_least, inner_prefix
 from regiolume.session import stage
 
 
@@ -52,31 +52,34 @@ def dedup_lines(
         seen = once.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n"))
         shared = seen.where(F.col("n") >= min_docs).drop("n")
     shared = stage(shared, "shared-lines")
+    own = inner_prefix(docs)
+    doc, mark, gone, row, row_mark, parts, kept_text, n_lines, n_dropped = (
+        own + c for c in ("doc", "mark", "gone", "id", "text_mark", "lines", "kept", "n_lines", "n_dropped")
+    )
     dropped = (
         lines.join(shared, ["h1", "h2"])
         .where(F.col("doc") > F.col("first"))
         .groupBy("doc", "mark")
         .agg(F.collect_set("pos").alias("gone"))
-        .select(F.col("doc").alias("__doc"), F.col("mark").alias("__mark"), F.col("gone").alias("__gone"))
+        .select(F.col("doc").alias(doc), F.col("mark").alias(mark), F.col("gone").alias(gone))
     )
     whole = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    at = docs.select("*", id_or_least(id_col).alias("__id"), F.xxhash64(whole).alias("__text_mark"))
-    met = at.join(
-        dropped, (F.col("__id") == F.col("__doc")) & (F.col("__text_mark") == F.col("__mark")), "left"
-    ).withColumn("__lines", F.split(whole, "\n", -1))
-    n = F.size("__lines")
-    kept = F.array_except(F.sequence(F.lit(0), n - 1), F.col("__gone"))
-    text = F.when(F.col("__gone").isNull(), whole).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.element_at("__lines", i + 1)), "\n")
+    at = docs.select("*", id_or_least(id_col).alias(row), F.xxhash64(whole).alias(row_mark))
+    met = at.join(dropped, (F.col(row) == F.col(doc)) & (F.col(row_mark) == F.col(mark)), "left")
+    met = met.withColumn(parts, F.split(whole, "\n", -1))
+    n = F.size(parts)
+    kept = F.array_except(F.sequence(F.lit(0), n - 1), F.col(gone))
+    text = F.when(F.col(gone).isNull(), whole).otherwise(
+        F.array_join(F.transform(kept, lambda i: F.element_at(parts, i + 1)), "\n")
     )
     out = met.withColumns({
-        "__kept": text,
-        "__n_lines": n.cast("long"),
-        "__n_dropped": F.coalesce(F.size("__gone"), F.lit(0)).cast("long"),
+        kept_text: text,
+        n_lines: n.cast("long"),
+        n_dropped: F.coalesce(F.size(gone), F.lit(0)).cast("long"),
     })
-    own = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
+    given = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     return out.select(
-        *[F.col("__kept").alias(c) if c == text_col else F.col(f"`{c}`") for c in own],
-        F.col("__n_lines").alias("n_lines"),
-        F.col("__n_dropped").alias("n_dropped"),
+        *[F.col(kept_text).alias(c) if c == text_col else F.col(f"`{c}`") for c in given],
+        F.col(n_lines).alias("n_lines"),
+        F.col(n_dropped).alias("n_dropped"),
     )

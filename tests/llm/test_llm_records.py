@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -326,6 +327,17 @@ def test_pipeline_decides_by_row(spark):
     assert sorted(r.doc_id for r in left.collect()) == [1, 3, 4, 5]
 
 
+def test_pipeline_keeps_inner_names(spark):
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    names = ["__id", "__mark", "__key", "__runs", "__gone"]
+    docs = table(spark, [(k, text(k % 3), "en", "a") for k in range(6)])
+    docs = docs.withColumns({n: F.lit(n) for n in names})
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        out = function(spark, docs, FOLDER)
+        assert out.columns == docs.columns, name
+        assert out.count() and all(r[n] == n for r in out.collect() for n in names), name
+
+
 def test_registered(spark):
     names = list(entry.queries())
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names

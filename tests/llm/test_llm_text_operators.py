@@ -123,6 +123,34 @@ def test_decontamination(spark, block_bytes):
     assert none.where("n_hit > 0").count() == 0 and none.count() == len(rows)
 
 
+def test_automaton_is_small():
+    """Windows share no letters in memory: a window has no more nodes than words."""
+    from regiolume.llm.decontam import build
+
+    r = random.Random(5)
+    text = " ".join("".join(r.choices("abcdefghij", k=12)) for _ in range(20_000)).encode()
+    automaton, known = build([(1, text)], 10)
+    size = automaton.get_stats()
+    assert size["nodes_count"] <= 10 * 20_000 + 1 and len(known) <= 20_000
+    # A block of 4 MB with as many words of 5 letters: below 500 MB.
+    assert size["total_size"] / len(text) * (4 << 20) * 13 / 6 < 500e6
+
+
+def test_inner_names_as_columns(spark):
+    """Columns named as the inner ones of the operators stay as they are."""
+    names = ["__id", "__doc", "__mark", "__text_mark", "__gone", "__lines", "__kept", "__n_lines", "__n_dropped", "__runs", "__items", "__key"]
+    rows = [(1, "the same long line\nown"), (2, "the same long line\nother"), (None, None)]
+    docs = spark.createDataFrame([(*x, *names) for x in rows], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    out = dedup_lines(docs)
+    assert [r.text for r in out.orderBy("doc_id").collect()] == ["", "the same long line\nown", "other"]
+    assert all(r[n] == n for r in out.collect() for n in names)
+    items = spark.createDataFrame([(1, "same long"), (2, "other")], "item_id long, text string")
+    for block_bytes in (1 << 20, 20):
+        found = find_contamination(docs, items, block_bytes=block_bytes).orderBy("doc_id").collect()
+        assert [(r["items"], r.n_hit) for r in found] == [([], 0), ([1], 2), ([1, 2], 3)]
+        assert all(r[n] == n for r in found for n in names)
+
+
 def repeats_by_hand(rows, n=50):
     first = {}
     for i, t in rows:
