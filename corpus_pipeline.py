@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiolume.llm.common import BLANKS, id_or_least, ship, table
+from regiolume.llm.common import BLANKS, id_or_least, inner_prefix, ship, table
 from regiolume.llm.decontam import find_contamination
 from regiolume.llm.jaccard import jaccard_components
 from regiolume.llm.language import identify, train
@@ -24,17 +24,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     (text without letters, or in no language of the model) goes; the few rejected ids are staged, so that
     Spark knows their size when it joins. Where no document has a label there is nothing to learn from, and all stay."""
     ship(spark)
-    given = docs.select(
-        id_or_least("doc_id").alias("__id"), F.xxhash64("text").alias("__mark"), "text", "lang", "source"
-    )
-    model = train(given.select(F.col("__id").alias("key"), "text", "lang"))
+    own = inner_prefix(docs)
+    row, mark = f"{own}id", f"{own}mark"
+    given = docs.select(id_or_least("doc_id").alias(row), F.xxhash64("text").alias(mark), "text", "lang", "source")
+    model = train(given.select(F.col(row).alias("key"), "text", "lang"))
     if not model.languages:
         return docs
     found = identify(
-        given, model, F.col("text"), F.col("lang"), F.lit(None).cast("string"), F.col("source"), keep=["__id", "__mark"]
+        given, model, F.col("text"), F.col("lang"), F.lit(None).cast("string"), F.col("source"), keep=[row, mark]
     )
-    rejected = stage(found.where(~F.col("accepted")).select("__id", "__mark").distinct(), "rejected")
-    same = (id_or_least("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__mark"))
+    rejected = stage(found.where(~F.col("accepted")).select(row, mark).distinct(), "rejected")
+    same = (id_or_least("doc_id") == F.col(row)) & (F.xxhash64("text") == F.col(mark))
     return docs.join(rejected, same, "left_anti")
 
 
@@ -54,12 +54,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Every row is a document of its own, whether it repeats another, shares its id or has none: rows are numbered in order
     of id and text, and exactly one number of each group stays. Texts without words are linked with nothing."""
     ship(spark)
+    key = f"{inner_prefix(docs)}key"
     order = [id_or_least("doc_id"), F.xxhash64("text")]
     ordered = docs.repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = stage(ordered.withColumn("__key", F.monotonically_increasing_id()), "numbered")
-    found = jaccard_components(numbered, width=5, percent=80, id_col="__key")
-    first = stage(found.where("id = component_id").select(F.col("id").alias("__key")), "first")
-    return numbered.join(first, "__key", "left_semi").select([F.col(f"`{c}`") for c in docs.columns])
+    numbered = stage(ordered.withColumn(key, F.monotonically_increasing_id()), "numbered")
+    found = jaccard_components(numbered, width=5, percent=80, id_col=key)
+    first = stage(found.where("id = component_id").select(F.col("id").alias(key)), "first")
+    return numbered.join(first, key, "left_semi").select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
