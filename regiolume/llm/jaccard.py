@@ -18,7 +18,7 @@ from regiolume.session import arrow_rows, discard, stage
 #: Bits of the table that tells frequent shingles from rare ones, and the parts it is added up in.
 TABLE_BITS, TABLE_PARTS = 18, 16
 #: Pivot coordinates of a set: its shingles counted in so many fixed parts of all shingles, coarse and fine.
-COORDINATES, FINE = 32, 128
+COORDINATES, FINE = 32, 64
 #: Pivot documents of a region, to how many of all its pivots a document is compared, and members that are compared
 #: with each other in one block.
 CENTRES, CLOSEST, SHARE = 2, 2, 4096

@@ -330,7 +330,8 @@ def test_pipeline_decides_by_row(spark):
 def test_pipeline_keeps_inner_names(spark):
     text = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
     names = ["__id", "__mark", "__key", "__runs", "__gone"]
-    docs = table(spark, [(k, text(k % 3), "en", "a") for k in range(6)])
+    docs = table(spark, [(k or None, text(k % 3), "en", "a") for k in range(6)])
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect()} == {None, 1, 2}
     docs = docs.withColumns({n: F.lit(n) for n in names})
     for name, function in corpus_pipeline.STAGES[:-1]:
         out = function(spark, docs, FOLDER)
