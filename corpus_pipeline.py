@@ -51,15 +51,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by a similarity of 0.8 on shingles of five words, the row of the smallest id.
 
-    Every row is a document of its own, whether it repeats another, shares its id or has none: rows are numbered in order
-    of id and text, and exactly one number of each group stays. Texts without words are linked with nothing."""
+    Every row is a document of its own, whether it repeats another, shares its id or has none. Where ids are shared, rows are
+    numbered in order of id and text and written with their numbers, so that exactly one of each group stays; elsewhere
+    the ids are the numbers and nothing is copied. Texts without words are linked with nothing."""
     ship(spark)
     key = f"{inner_prefix(docs)}key"
-    order = [id_or_least("doc_id"), F.xxhash64("text")]
-    ordered = docs.repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = stage(ordered.withColumn(key, F.monotonically_increasing_id()), "numbered")
+    numbered = docs.withColumn(key, id_or_least("doc_id"))
+    if not numbered.groupBy(key).count().where("count > 1").isEmpty():
+        order = [id_or_least("doc_id"), F.xxhash64("text")]
+        ordered = docs.repartitionByRange(*order).sortWithinPartitions(*order)
+        numbered = stage(ordered.withColumn(key, F.monotonically_increasing_id()), "numbered")
     found = jaccard_components(numbered, width=5, percent=80, id_col=key)
-    first = stage(found.where("id = component_id").select(F.col("id").alias(key)), "first")
+    first = stage(found.where("id <=> component_id").select(id_or_least("id").alias(key)), "first")
     return numbered.join(first, key, "left_semi").select([F.col(f"`{c}`") for c in docs.columns])
 
 
