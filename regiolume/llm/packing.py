@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from regiolume.llm.common import BLANKS
 from regiolume.llm.pieces import piece_coder
-from regiolume.session import stage
+from regiolume.session import arrow_rows, stage
 
 CAPACITIES = (512, 1024, 2048, 4096)
+#: Rows that go to a Python worker at once while texts are encoded: on both sides of the pipe they are held whole.
+BATCH_ROWS = 2048
 RESULT = "id long, piece int, n_tokens long, bucket long, bin int, start int, capacity int"
 
 
@@ -129,7 +131,8 @@ def pack_documents(
     pieces = lengths.select("id", "mark", "n_tokens", piece.alias("piece", "at")).select(
         "id", "mark", "piece", F.least(F.lit(most).cast("long"), F.col("n_tokens") - F.col("at") * most).alias("n_tokens")
     )
-    pieces = stage(pieces, "pieces")
+    with arrow_rows(lengths.sparkSession, BATCH_ROWS):
+        pieces = stage(pieces, "pieces")
     buckets = max(1, math.ceil(pieces.count() / bucket_rows))
     dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("id", "mark", "piece"), F.lit(buckets)))
     return dealt.groupBy("bucket").applyInArrow(_packer({c: c + overhead for c in capacities}), RESULT)

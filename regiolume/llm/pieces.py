@@ -14,7 +14,7 @@ from regiolume.llm.bytes_view import as_bytes, slices
 
 #: Bytes of text that are cut into pieces at once, and bounds of what a worker remembers.
 SLICE_BYTES = 8 << 20
-KNOWN_PIECES, KNOWN_BYTES = 1_500_000, 64 << 20
+KNOWN_PIECES, KNOWN_BYTES = 800_000, 64 << 20
 
 # Kinds of bytes: 1 blank, 2 letter or digit, 3 mark, 4 beyond ASCII, 0 others. A bar may stand inside a special token.
 _BLANK, _WORD, _MARK, _HIGH = 1, 2, 3, 4

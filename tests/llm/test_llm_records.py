@@ -7,13 +7,15 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from regiolume.llm import chat, id_coder, language
+from regiolume.llm import chat, id_coder, language, pieces
+from regiolume.llm.packing import BATCH_ROWS, pack_documents
 from regiolume.llm.sharding import shuffle_into_shards
 from regiolume.llm.pieces import PieceCoder
 from regiolume.llm.token_output import read_token_ids, write_token_ids
@@ -220,6 +222,30 @@ def test_chat_counts_every_row(spark, tmp_path):
     assert [r.piece for r in pieces[2:]] == ["### user: zxzx</turn>\n"]
 
 
+def test_packing_bounds_batches(spark):
+    """Texts on their way to the encoder are many megabytes, so few rows go at once; the session's setting stays."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("id"), pa.array([batch.num_rows] * batch.num_rows)], ["id", "mark", "n_tokens"])
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rows = spark.range(5000, numPartitions=1).mapInArrow(sizes, "id long, mark long, n_tokens long")
+    got = pack_documents(rows, capacities=(8192,)).collect()
+    assert len(got) == 5000 and max(r.n_tokens for r in got) <= BATCH_ROWS
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_pieces_forget_before_a_million(monkeypatch):
+    """A worker holds at most 800,000 pieces, and ids do not change where they are forgotten."""
+    assert pieces.KNOWN_PIECES <= 800_000
+    texts = pa.array([f"{i} word{i}, {i % 7} end" for i in range(900)])
+    want = PieceCoder(public_tokenizers.path("word_bpe_49k.json")).lengths(texts).tolist()
+    monkeypatch.setattr(pieces, "KNOWN_PIECES", 50)
+    monkeypatch.setattr(pieces, "SLICE_BYTES", 256)
+    assert PieceCoder(public_tokenizers.path("word_bpe_49k.json")).lengths(texts).tolist() == want
+
+
 def test_packing_counts_ids(spark, tmp_path):
     """Sequences are packed by the ids of the vocabulary; a text without blanks is cut like any other."""
     from regiolume.llm.queries import op7_packing
