@@ -246,6 +246,24 @@ def test_pieces_forget_before_a_million(monkeypatch):
     assert PieceCoder(public_tokenizers.path("word_bpe_49k.json")).lengths(texts).tolist() == want
 
 
+def test_top_k_scores_many_pairs_at_once(monkeypatch):
+    """Pairs that the bounds leave in great number are one product of matrices, and only what reaches the threshold is ranked."""
+    from regiolume.llm import topk
+
+    r = np.random.default_rng(8)
+    q, v = r.integers(-300, 300, (30, 64)), r.integers(-300, 300, (500, 64))
+    ids, all_scores = np.arange(1000, 1500), q @ v.T
+    least = np.sort(all_scores, axis=1)[:, -3].astype(np.float64)
+    ranked, best = [], topk._best
+    monkeypatch.setattr(topk, "exact_scores", lambda a, b: pytest.fail("pair by pair") if len(a) else np.empty(0, np.int64))
+    monkeypatch.setattr(topk, "_best", lambda qi, *rest: ranked.append(len(qi)) or best(qi, *rest))
+    qi, found, scores = topk.search_block(np.arange(30), q, least, ids, v, 3, (32,))
+    assert sum(ranked) < 30 * 8
+    for i in range(30):
+        order = np.lexsort((ids, -all_scores[i]))[:3]
+        assert found[qi == i].tolist() == ids[order].tolist() and scores[qi == i].tolist() == all_scores[i][order].tolist()
+
+
 def test_packing_counts_ids(spark, tmp_path):
     """Sequences are packed by the ids of the vocabulary; a text without blanks is cut like any other."""
     from regiolume.llm.queries import op7_packing
