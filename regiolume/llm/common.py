@@ -18,6 +18,8 @@ LEAST_ID = -(2**63)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The white space of the contracts, ``[\x20\x09-\x0D]``.
 BLANKS = " \t\n\x0b\x0c\r"
+#: Rows that go to a Python worker at once with their texts: on both sides of the pipe they are held whole.
+BATCH_ROWS = 2048
 
 
 _SHIPPED: set[str] = set()

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiolume.llm.bytes_view import LOWERED, as_bytes, mix, slices, word_hashes, words
-from regiolume.llm.common import LEAST_ID, id_or_least, release
+from regiolume.llm.common import BATCH_ROWS, LEAST_ID, id_or_least, release
 from regiolume.llm.components import components
 from regiolume.session import arrow_rows, discard, stage
 
@@ -406,7 +406,8 @@ def jaccard_components(
     """
     spark = docs.sparkSession
     texts = docs.select(id_or_least(id_col).alias("id"), F.col(f"`{text_col}`").alias("text"))
-    signed = stage(texts.mapInArrow(_sign(width), SIGNED), "signatures")
+    with arrow_rows(spark, BATCH_ROWS):
+        signed = stage(texts.mapInArrow(_sign(width), SIGNED), "signatures")
     given = signed.where("part is null").select("id", "s1", "s2", "n")
     classes = given.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("id").alias("first"))
     classes = stage(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
@@ -417,7 +418,8 @@ def jaccard_components(
     marks = classes.select("rep", F.col("first").alias("id"), F.col("s1").alias("mark"))
     placed = placed.join(marks.withColumnRenamed("mark", "s1"), ["id", "s1"])
     placed = placed.select("rep", "n", "regions", "coordinates", "fine")
-    placed = stage(placed.dropDuplicates(["rep"]) if repeated else placed, "placed")
+    with arrow_rows(spark, BATCH_ROWS):
+        placed = stage(placed.dropDuplicates(["rep"]) if repeated else placed, "placed")
     release(spark)
 
     members = placed.select("rep", "n", F.explode("regions").alias("token"))

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regiolume.llm.bytes_view import LOWERED, as_bytes, slices
-from regiolume.session import stage
+from regiolume.llm.common import BATCH_ROWS
+from regiolume.session import arrow_rows, stage
 
 UNKNOWN = "und"
 #: Labels that name no language: the class of unknown text, and the codes of ``identify`` for other and missing labels.
@@ -84,9 +85,10 @@ def train(labelled: DataFrame, languages: tuple[str, ...] | None = None, rows: i
     counted = sample.select("text", "lang").mapInArrow(_counter(languages), "lang int, part int, counts binary")
     summed = counted.groupBy("lang", "part").applyInArrow(_adder, "lang int, part int, counts binary")
     counts = np.full((FEATURES, len(languages)), 0.5)
-    for r in summed.toLocalIterator():
-        part = np.frombuffer(r["counts"], np.int64)
-        counts[r["part"] * len(part) : (r["part"] + 1) * len(part), r["lang"]] += part
+    with arrow_rows(labelled.sparkSession, BATCH_ROWS):
+        for r in summed.toLocalIterator():
+            part = np.frombuffer(r["counts"], np.int64)
+            counts[r["part"] * len(part) : (r["part"] + 1) * len(part), r["lang"]] += part
     model = np.zeros((FEATURES + 1, len(languages) + 2), np.float32)  # the last row is text without letters
     model[:-1, : len(languages)] = np.log(counts / counts.sum(axis=0))
     model[:-1, -2] = -math.log(FEATURES)
@@ -240,7 +242,8 @@ def identify(
     fields = [given.schema[c] for c in names] + [T.StructField("__n", T.LongType())]
     fields += [T.StructField(f"__{kind}{i}", T.DoubleType()) for kind in "lp" for i in range(n)]
     shared = rows.sparkSession.sparkContext.broadcast(model.table)
-    ev = stage(given.mapInArrow(_scorer(names, shared), T.StructType(fields)), "language-evidence")
+    with arrow_rows(rows.sparkSession, BATCH_ROWS):
+        ev = stage(given.mapInArrow(_scorer(names, shared), T.StructType(fields)), "language-evidence")
     sums = lambda old, new: [F.sum(f"__{old}{i}").alias(f"__{new}{i}") for i in range(n)]
     hosts = stage(ev.groupBy("__host", "__domain").agg(*sums("p", "h")), "hosts")
     domains = hosts.groupBy("__domain").agg(*sums("h", "d"))

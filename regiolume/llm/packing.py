@@ -11,13 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiolume.llm.common import BLANKS
+from regiolume.llm.common import BATCH_ROWS, BLANKS
 from regiolume.llm.pieces import piece_coder
 from regiolume.session import arrow_rows, stage
 
 CAPACITIES = (512, 1024, 2048, 4096)
-#: Rows that go to a Python worker at once while texts are encoded: on both sides of the pipe they are held whole.
-BATCH_ROWS = 2048
 RESULT = "id long, piece int, n_tokens long, bucket long, bin int, start int, capacity int"
 
 

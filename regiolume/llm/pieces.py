@@ -13,11 +13,12 @@ import tokenizers
 from regiolume.llm.bytes_view import as_bytes, slices
 
 #: Bytes of text that are cut into pieces at once, and bounds of what a worker remembers.
-SLICE_BYTES = 8 << 20
-KNOWN_PIECES, KNOWN_BYTES = 800_000, 64 << 20
+SLICE_BYTES = 4 << 20
+KNOWN_PIECES, KNOWN_BYTES = 500_000, 64 << 20
 
-# Kinds of bytes: 1 blank, 2 letter or digit, 3 mark, 4 beyond ASCII, 0 others. A bar may stand inside a special token.
-_BLANK, _WORD, _MARK, _HIGH = 1, 2, 3, 4
+# Kinds of bytes: 1 blank, 2 letter or digit, 3 mark, 4 beyond ASCII, 5 bar, 0 others. A bar may stand inside a special
+# token, but no blank does.
+_BLANK, _WORD, _MARK, _HIGH, _BAR = 1, 2, 3, 4, 5
 
 
 def _kind(b: int) -> int:
@@ -25,12 +26,14 @@ def _kind(b: int) -> int:
         return _BLANK
     if b >= 128:
         return _HIGH
-    return _WORD if chr(b).isalnum() else _MARK if 33 <= b <= 126 and b != ord("|") else 0
+    if b == ord("|"):
+        return _BAR
+    return _WORD if chr(b).isalnum() else _MARK if 33 <= b <= 126 else 0
 
 
 _KIND = np.array([_kind(b) for b in range(256)], np.uint8)
 _CUT = np.zeros((8, 8), bool)
-for _pair in ((_WORD, _BLANK), (_MARK, _BLANK), (_WORD, _MARK)):
+for _pair in ((_WORD, _BLANK), (_MARK, _BLANK), (_BAR, _BLANK), (_WORD, _MARK)):
     _CUT[_pair] = True
 _CUT = _CUT.ravel()
 
@@ -54,28 +57,54 @@ def cut_points(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def _mark(tokenizer: tokenizers.Tokenizer) -> tuple[str, int] | None:
+    """A special token that parts texts wherever it stands, and its id."""
+    if tokenizer.truncation or tokenizer.padding:
+        return None
+    added = tokenizer.get_added_tokens_decoder().items()
+    plain = lambda t: t.special and not (t.normalized or t.lstrip or t.rstrip or t.single_word)
+    return next(((t.content, i) for i, t in added if plain(t)), None)
+
+
 class PieceCoder:
     """Encodes texts piece by piece with a tokenizer of the ``tokenizers`` library; equal pieces, compared byte by byte,
     are encoded once.
 
     For tokenizers whose tokens never reach from something visible into white space, nor from a letter or digit into a
-    mark: byte-level and word-end BPE with the usual patterns. What is known is forgotten when it becomes too much.
+    mark: byte-level and word-end BPE with the usual patterns. When too much is known, pieces that no later slice has had
+    are forgotten, and all if half of the room is not free then.
     """
 
     def __init__(self, path: str):
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
+        self.mark = _mark(self.tokenizer)
         self.forget()
 
     def forget(self) -> None:
         self.known = pa.array([], pa.binary())
         self.at, self.ids = np.zeros(1, np.int64), np.empty(0, np.int32)
+        self.again = np.empty(0, bool)
+
+    def _forget_rare(self) -> None:
+        """Keep the pieces that came again."""
+        kept = self.again
+        if kept.sum() > KNOWN_PIECES // 2:
+            self.forget()
+            return
+        sizes = np.diff(self.at)
+        self.known, self.ids = self.known.filter(pa.array(kept)), self.ids[np.repeat(kept, sizes)]
+        self.at = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes[kept])])
+        self.again = np.zeros(len(self.known), bool)
+        if self.known.nbytes > KNOWN_BYTES // 2:
+            self.forget()
 
     def _places(self, pieces: pa.Array) -> np.ndarray:
         """Where the ids of different pieces stand."""
         found = pc.index_in(pieces, value_set=self.known)
+        self.again[found.drop_null().to_numpy()] = True
         if found.null_count and len(self.known) + found.null_count > KNOWN_PIECES or self.known.nbytes > KNOWN_BYTES:
-            self.forget()
-            found = pa.nulls(len(pieces), pa.int32())
+            self._forget_rare()
+            found = pc.index_in(pieces, value_set=self.known)
         if found.null_count:
             new = pieces.filter(found.is_null())
             sizes, ids = self._encoded(new.cast(pa.string()))
@@ -84,18 +113,36 @@ class PieceCoder:
             self.known = pa.concat_arrays([self.known, new])
             self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
             self.ids = np.concatenate([self.ids, ids])
+            self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
         return found.to_numpy()
 
     def _encoded(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of ids and ids, some pieces at a time: what the tokenizer gives back for one is large."""
-        sizes, ids = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+        found = [(np.empty(0, np.int64), np.empty(0, np.int32))]
         for at in range(0, len(pieces), 16_384):
-            part = pieces.slice(at, 16_384).to_pylist()
-            codes = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            sizes.append(np.fromiter(map(len, codes), np.int64, len(codes)))
-            ids.append(np.fromiter(chain.from_iterable(codes), np.int32, int(sizes[-1].sum())))
+            part = pieces.slice(at, 16_384)
+            found.append(self._joined(part) or self._apart(part))
+        sizes, ids = zip(*found, strict=True)
         return np.concatenate(sizes), np.concatenate(ids)
 
+    def _joined(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
+        """Many pieces in one text, parted by a special token that the tokenizer never looks across: one result for each
+        text costs less than one for each piece. None where that token does not come back once for each piece."""
+        if self.mark is None or pc.any(pc.match_substring(pieces, self.mark[0])).as_py():
+            return None
+        text, mark = self.mark
+        ends = np.append(np.arange(0, len(pieces), 256), len(pieces)).astype(np.int32)
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), pieces), text).to_pylist()
+        codes = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array([*e.ids, mark], np.int32) for e in codes])
+        at = np.flatnonzero(ids == mark)
+        return (np.diff(at, prepend=-1) - 1, ids[ids != mark]) if len(at) == len(pieces) else None
+
+    def _apart(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        codes = [e.ids for e in self.tokenizer.encode_batch_fast(pieces.to_pylist(), add_special_tokens=False)]
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes))
+        return sizes, np.fromiter(chain.from_iterable(codes), np.int32, int(sizes.sum()))
+
     def _pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The place of every piece's ids, and how many pieces each row has."""
         cuts = cut_points(data, offsets)

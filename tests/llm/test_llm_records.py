@@ -246,6 +246,59 @@ def test_pieces_forget_before_a_million(monkeypatch):
     assert PieceCoder(public_tokenizers.path("word_bpe_49k.json")).lengths(texts).tolist() == want
 
 
+def test_pieces_keep_what_comes_again(monkeypatch):
+    """Pieces that every text has are encoded once, however many rare ones make the worker forget."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = pa.array([f"usual words here | in every text rare{i} seldom{i}" for i in range(400)])
+    seen, encoded = Counter(), PieceCoder._encoded
+    monkeypatch.setattr(pieces, "KNOWN_PIECES", 100)
+    monkeypatch.setattr(pieces, "SLICE_BYTES", 1024)
+    monkeypatch.setattr(PieceCoder, "_encoded", lambda self, new: seen.update(new.to_pylist()) or encoded(self, new))
+    plain, at = Tokenizer.from_file(path), 0
+    for first, ids, n in PieceCoder(path).encode(texts):
+        for t, a, b in zip(texts.slice(first, len(n)).to_pylist(), np.cumsum(n) - n, np.cumsum(n), strict=True):
+            assert ids[a:b].tolist() == plain.encode(t, add_special_tokens=False).ids
+        at += len(n)
+    assert at == 400
+    assert seen[" words"] == seen[" every"] == seen[" in"] == 1 and seen[" rare7"] == 1
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pieces_are_encoded_together(name, monkeypatch):
+    """One call of the tokenizer gives the ids of many pieces; a text that holds the special token itself is no exception."""
+    path = public_tokenizers.path(name)
+    coder, plain = PieceCoder(path), Tokenizer.from_file(path)
+    some = ["a", " b", "  ", "\n", "é", "'s", " <|endoftext", "|>", "<|", "日本", "Á", "x" * 500, " | y", "\x00"] * 40
+    for texts in (some, [*some, "a <|endoftext|> b"]):
+        sizes, ids = coder._encoded(pa.array(texts))
+        want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert sizes.tolist() == [*map(len, want)] and ids.tolist() == [i for w in want for i in w]
+    monkeypatch.setattr(PieceCoder, "_apart", lambda self, new: pytest.fail("one by one"))
+    coder._encoded(pa.array(some))
+
+
+def test_language_bounds_batches(spark, monkeypatch):
+    """Texts on their way to the scores are many megabytes, so few rows go at once; the session's setting stays."""
+    def scorer(names, model):
+        def run(batches):
+            for batch in batches:
+                n = batch.num_rows
+                extra = [pa.array([n] * n, pa.int64())] + [pa.array([1.0] * n)] * 4
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], *extra], [*names, "__n", "__l0", "__l1", "__p0", "__p1"])
+
+        return run
+
+    staged, before = [], spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    stage = language.stage
+    monkeypatch.setattr(language, "_scorer", scorer)
+    monkeypatch.setattr(language, "stage", lambda df, name: staged.append(stage(df, name)) or staged[-1])
+    rows = spark.range(5000, numPartitions=1).withColumn("text", F.lit("some text"))
+    none = F.lit(None).cast("string")
+    language.identify(rows, language.Model(("en",), np.zeros((language.FEATURES + 1, 3), np.float32)), F.col("text"), none, none, none, ["id"])
+    assert staged[0].agg(F.max("__n")).first()[0] <= 2048
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_top_k_scores_many_pairs_at_once(monkeypatch):
     """Pairs that the bounds leave in great number are one product of matrices, and only what reaches the threshold is ranked."""
     from regiolume.llm import topk
