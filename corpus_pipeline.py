@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiolume.llm.common import BLANKS, id_or_least, inner_prefix, ship, table
+from regiolume.llm.common import BLANKS, id_or_least, inner_prefix, may_be_in, ship, table
 from regiolume.llm.decontam import find_contamination
 from regiolume.llm.jaccard import jaccard_components
 from regiolume.llm.language import identify, train
@@ -62,8 +62,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         ordered = docs.repartitionByRange(*order).sortWithinPartitions(*order)
         numbered = stage(ordered.withColumn(key, F.monotonically_increasing_id()), "numbered")
     found = jaccard_components(numbered, width=5, percent=80, id_col=key)
-    first = stage(found.where("id <=> component_id").select(id_or_least("id").alias(key)), "first")
-    return numbered.join(first, key, "left_semi").select([F.col(f"`{c}`") for c in docs.columns])
+    copies = stage(found.where("not (id <=> component_id)").select(id_or_least("id").alias(key)), "copies")
+    # Most texts are no copies and stay where they are read.
+    mark = f"{key}_may_go"
+    marked = may_be_in(numbered, copies, key, mark)
+    kept = marked.where(~F.col(mark)).unionByName(marked.where(F.col(mark)).join(copies, key, "left_anti"))
+    return kept.select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

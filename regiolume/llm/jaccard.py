@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiolume.llm.bytes_view import LOWERED, as_bytes, mix, slices, word_hashes, words
-from regiolume.llm.common import BATCH_ROWS, LEAST_ID, id_or_least, release
+from regiolume.llm.common import BATCH_ROWS, LEAST_ID, id_or_least, may_be_in, release
 from regiolume.llm.components import components
 from regiolume.session import arrow_rows, discard, stage
 
@@ -285,7 +285,8 @@ class _Join:
         pairs = stage(pairs.select("a", "b"), "pairs")
         ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
         wanted = stage(ends.join(self.marks, "rep"), "wanted")
-        texts = self.texts.join(wanted, "id").select("rep", "mark", "text")
+        # Few texts are compared; most of the others stay where they are read.
+        texts = may_be_in(self.texts, wanted, "id", "wanted").where("wanted").join(wanted, "id").select("rep", "mark", "text")
         packed = texts.mapInArrow(_wanted_texts(self.width), "rep long, raw long, packed binary")
         packed = stage(packed.dropDuplicates(["rep"]) if self.repeated else packed, "compared")
         side = lambda x: packed.select(
@@ -308,8 +309,7 @@ class _Join:
         Pivots are the members that meet most others in all their regions: in a group of near copies the text that they are
         copies of. The closest are those that a document meets most often.
         """
-        sizes = self.members.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
-        scores = self.members.join(sizes, "token").groupBy("rep").agg(F.sum("size").alias("score"))
+        scores = self.members.groupBy("rep").agg(F.sum("size").alias("score"))
         order = Window.partitionBy("token").orderBy(F.desc("score"), "rep")
         chosen = self.members.join(scores, "rep").withColumn("k", F.row_number().over(order)).where(F.col("k") <= CENTRES)
         chosen = stage(chosen.select("token", F.col("rep").alias("c"), F.col("n").alias("cn")), "centres")
@@ -327,9 +327,9 @@ class _Join:
     def blocks(self) -> DataFrame | None:
         """The members of regions that have several components, dealt to blocks; none where all regions have one."""
         found = self.members.join(self.roots.withColumnRenamed("node", "rep"), "rep", "left")
-        found = found.select("token", "rep", "n", F.coalesce("root", "rep").alias("root"))
-        several = found.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("size"))
-        several = stage(several.where("x < y").select("token", "size"), "several")
+        found = found.select("token", "rep", "n", "size", F.coalesce("root", "rep").alias("root"))
+        several = found.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+        several = stage(several.where("x < y").select("token"), "several")
         if several.isEmpty():
             discard(several)
             return None
@@ -423,9 +423,9 @@ def jaccard_components(
     release(spark)
 
     members = placed.select("rep", "n", F.explode("regions").alias("token"))
-    regions = members.groupBy("token").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
-    regions = stage(regions.where("a < b").select("token"), "regions")
-    members = stage(members.join(regions, "token").select("token", "rep", "n"), "members")
+    regions = members.groupBy("token").agg(F.count(F.lit(1)).alias("size"))  # a class has a shingle once
+    regions = stage(regions.where("size > 1"), "regions")
+    members = stage(members.join(regions, "token").select("token", "rep", "n", "size"), "members")
     discard(regions)
     release(spark)
 

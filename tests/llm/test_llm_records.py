@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,6 +16,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 import corpus_pipeline
 from regiolume.llm import chat, id_coder, language, pieces
+from regiolume.llm.common import may_be_in
 from regiolume.llm.packing import BATCH_ROWS, pack_documents
 from regiolume.llm.sharding import shuffle_into_shards
 from regiolume.llm.pieces import PieceCoder
@@ -436,6 +438,35 @@ def test_pipeline_keeps_inner_names(spark):
         assert out.count() and all(r[n] == n for r in out.collect() for n in names), name
 
 
+def test_pipeline_moves_few_texts(spark):
+    """Copies go without a shuffle of the other texts, also where Spark may broadcast nothing by itself."""
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    docs = table(spark, [(None if k == 0 else k, text(k % 300), "en", "a") for k in range(310)])
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, -1)
+    try:
+        out = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"Exchange hashpartitioning\([^)]*key", plan)) == 2 and plan.count("bit_get") >= 2
+        assert sorted(r.doc_id or 0 for r in out.collect()) == list(range(300))
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_may_be_in(spark):
+    """All keys that the other table has are marked, few others, NULL and repeated ones among them."""
+    keys = [*range(0, 5000, 50), -(2**63), 2**63 - 1, None]
+    df = spark.createDataFrame([(k,) for k in [*range(5000), *keys]], "key long").withColumn("__bit", F.lit("x"))
+    other = spark.createDataFrame([(k,) for k in [*keys, *keys]], "key long")
+    out = may_be_in(df, other, "key", "here")
+    assert out.columns == ["key", "__bit", "here"] and out.count() == df.count()
+    marked = Counter(r.key for r in out.where("here").collect())
+    assert all(marked[k] == 1 + (k is not None and 0 <= k < 5000) for k in keys)
+    assert len(marked) < 2 * len(keys)
+    assert may_be_in(df, other.limit(0), "key", "here").where("here").count() == 0
+
+
 def test_registered(spark):
     names = list(entry.queries())
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
