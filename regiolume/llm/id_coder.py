@@ -6,8 +6,9 @@ grows with hits. Which of them is right, or none, is coded with probabilities mi
 that knows the confidences and one that knows the last outcomes; the mixing weight follows the model that does better.
 An id that none predicts is coded by its number of bits, with adaptive frequencies, and its lower bits as they are.
 
-All blocks of a frame advance by one id at a time as numpy arrays. All arithmetic is in whole numbers, so the decoder
-repeats the coder's steps exactly.
+All blocks of a frame advance by one id at a time as numpy arrays, and all of them do the same steps: what only
+concerns an id that none predicts is an empty step for the others. The last block is filled up with zeros. All
+arithmetic is in whole numbers, so the decoder repeats the coder's steps exactly.
 """
 
 from __future__ import annotations
@@ -19,23 +20,29 @@ import numpy as np
 BLOCK = 1024
 _SLOTS = 10  # bits of the prediction tables of a block
 _ONE = 12  # bits of a probability
-_BITS = np.array([int(i).bit_length() for i in range(1 << 15)], np.int32)
+_LEAST = 2  # of the frequency of a number of bits
 _TOP, _BOTTOM, _LOW = np.uint64(1 << 48), np.uint64(1 << 40), np.uint64((1 << 40) - 1)
-_SHIFT, _UNIT, _WORD = np.uint64(16), np.uint64(_ONE), np.uint64(48)
+_WORD = np.uint64(48)
+_U = [np.uint64(i) for i in range(65)]
 
 
-def _targets(n: int, least: int) -> np.ndarray:
-    """For each symbol the cumulative frequencies that learning it moves towards."""
-    after = np.arange(1, n) > np.arange(n)[:, None]
-    return (np.arange(1, n) * least + after * ((1 << _ONE) - n * least)).astype(np.int32)
+def _fields(*values: int) -> np.uint64:
+    """Numbers of at most 16 bits in one word, the first in the lowest bits."""
+    return np.uint64(sum(v << 16 * i for i, v in enumerate(values)))
 
 
-_OUTCOMES = _targets(4, 16)
+# The four outcomes part at three places; these and the end of all stand in the fields of a word, so that each step of a
+# model is one operation. What learning an outcome adds to each keeps them apart.
+_EVEN = _fields(1 << 10, 2 << 10, 3 << 10, 4 << 10)
+_LEARNT = np.array([_fields(*[k + 1 + 124 * (k >= outcome) for k in range(3)], 128) for outcome in range(4)])
+_UPPER, _PART = _fields(*[0x7FF] * 4), _fields(*[0xFFF] * 4)
+_EACH, _CARRY = _fields(1, 1, 1), _fields(*[1 << 15] * 3)
+_FIELD, _INNER = np.uint64(0xFFFF), np.uint64(0xFFF)
 
 
 def _bit_length(ids: np.ndarray) -> np.ndarray:
-    high = ids >> 15
-    return np.where(high > 0, _BITS[high] + 15, _BITS[ids & 0x7FFF])
+    """From the exponent of the floating-point number."""
+    return np.maximum((ids.astype(np.float64).view(np.int64) >> 52) - 1022, 0)
 
 
 class _Model:
@@ -43,119 +50,157 @@ class _Model:
 
     def __init__(self, blocks: int, bits: int):
         self.rows = np.arange(blocks, dtype=np.int64)
-        self.slot = [self.rows << _SLOTS, self.rows << _SLOTS]  # where the contexts of orders 2 and 1 are
-        self.words = [np.zeros(blocks << _SLOTS, np.int32) for _ in range(2)]
-        self.vote = np.zeros(blocks, np.int32)
-        self.hash = np.zeros(blocks, np.int64)
-        even = np.arange(1, 4, dtype=np.int32) << (_ONE - 2)
-        self.by_sure, self.by_past = np.tile(even, (blocks * 64, 1)), np.tile(even, (blocks * 16, 1))
-        self.weight, self.past = np.full(blocks, 128, np.int32), np.zeros(blocks, np.int64)
-        self.lengths = _targets(bits + 1, 2)
-        self.sizes = np.tile((np.arange(1, bits + 1) * ((1 << _ONE) // (bits + 1))).astype(np.int32), (blocks, 1))
-
-    def predict(self, m: int) -> tuple[list[np.ndarray], np.ndarray]:
-        """The words of the three predictions for the first m blocks, and where the four outcomes part."""
-        words = [self.words[0][self.slot[0][:m]], self.words[1][self.slot[1][:m]], self.vote[:m]]
-        sure = ((words[0] & 3) << 4) | ((words[1] & 3) << 2) | (words[2] & 3)
-        self.c1 = (self.rows[:m] << 6) + sure
-        self.c2 = (self.rows[:m] << 4) + self.past[:m]
-        self.p1, self.p2 = self.by_sure.take(self.c1, 0), self.by_past.take(self.c2, 0)
-        return words, self.p2 + (((self.p1 - self.p2) * self.weight[:m, None]) >> 8)
-
-    def learn(self, m: int, ids: np.ndarray, words: list[np.ndarray], outcome: np.ndarray) -> None:
-        goal = _OUTCOMES.take(outcome, 0)
-        miss1, miss2 = goal - self.p1, goal - self.p2
-        nearer = np.abs(miss2).sum(axis=1) - np.abs(miss1).sum(axis=1)
-        self.weight[:m] = np.clip(self.weight[:m] + np.sign(nearer) * 2, 16, 240)
-        self.by_sure[self.c1] = self.p1 + (miss1 >> 5)
-        self.by_past[self.c2] = self.p2 + (miss2 >> 5)
-        self.past[:m] = ((self.past[:m] << 2) | outcome) & 15
-        fresh = (ids << 2).astype(np.int32)
-        for k, word in enumerate(words):
-            sure = word & 3
-            new = np.where((word ^ fresh) < 4, word + (sure < 3), np.where(sure > 0, word - 1, fresh))
-            if k < 2:
-                self.words[k][self.slot[k][:m]] = new
-            else:
-                self.vote[:m] = new
-        hashed = (ids * 40_503) & 0xFFFFFF
-        base, low = self.rows[:m] << _SLOTS, (1 << _SLOTS) - 1
-        self.slot[0][:m] = base + (((hashed * 31 + self.hash[:m] * 17) >> 5) & low)
-        self.slot[1][:m] = base + ((hashed >> 5) & low)
-        self.hash[:m] = hashed
-
-    def learn_sizes(self, rows: np.ndarray, old: np.ndarray, bits: np.ndarray) -> None:
-        self.sizes[rows] = old + ((self.lengths.take(bits, 0) - old) >> 5)
-
-
-def _interval(ends: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and width of a symbol among the inner ends of all."""
-    flat, wide = ends.ravel(), ends.shape[1]
-    at = np.arange(len(symbol)) * wide + symbol
-    start = np.where(symbol > 0, flat.take(at - 1, mode="clip"), 0)
-    return start, np.where(symbol < wide, flat.take(at, mode="clip"), 1 << _ONE) - start
+        self.base = np.stack([self.rows, self.rows + blocks]) << _SLOTS
+        self.slots = self.base.copy()  # where the contexts of orders 2 and 1 are
+        self.table = np.zeros(2 * blocks << _SLOTS, np.int32)
+        self.words = np.zeros((3, blocks), np.int32)  # the predictions; the last is the vote
+        self.before = np.zeros(blocks, np.uint32)
+        self.sure, self.past = self.rows << 6, self.rows << 4
+        self.by_sure, self.by_past = np.full(blocks << 6, _EVEN), np.full(blocks << 4, _EVEN)
+        self.outcomes, self.weight = np.zeros(blocks, np.int64), np.full(blocks, 128, np.int16)
+        n = bits + 1
+        self.sizes = np.zeros((n + 1, blocks), np.int16)  # where the numbers of bits part
+        self.sizes[1:n] = np.arange(1, n, dtype=np.int16)[:, None] * ((1 << _ONE) // n)
+        self.sizes[n] = 1 << _ONE
+        self.flat, self.goal = self.sizes.reshape(-1), np.empty((bits, blocks), np.int16)
+        self.order = np.arange(1, n, dtype=np.int16)[:, None]
+        self.most = np.int16((1 << _ONE) - n * _LEAST)
+
+    def predict(self) -> np.ndarray:
+        """The places where the four outcomes part."""
+        self.table.take(self.slots, out=self.words[:2], mode="clip")
+        sure = self.words & 3
+        self.c1 = self.sure + ((sure[0] << 4) | (sure[1] << 2) | sure[2])
+        self.c2 = self.past + self.outcomes
+        self.p1, self.p2 = self.by_sure.take(self.c1), self.by_past.take(self.c2)
+        weight = (self.weight >> 4).astype(np.uint64)
+        return ((self.p1 * weight + self.p2 * (_U[16] - weight)) >> _U[4]) & _PART
+
+    def learn(self, ids: np.ndarray, right: np.ndarray, outcome: np.ndarray) -> None:
+        """``right``: which predictions were."""
+        shift = outcome.astype(np.uint64) << _U[4]
+        q1 = ((self.p1 - (self.p1 << _U[16])) >> shift) & _FIELD
+        q2 = ((self.p2 - (self.p2 << _U[16])) >> shift) & _FIELD
+        nearer = (q1 > q2).view(np.int8) - (q1 < q2).view(np.int8)
+        self.weight = np.minimum(np.maximum(self.weight + (nearer << 1), np.int16(16)), np.int16(240))
+        learnt = _LEARNT.take(outcome)
+        self.by_sure[self.c1] = self.p1 - ((self.p1 >> _U[5]) & _UPPER) + learnt
+        self.by_past[self.c2] = self.p2 - ((self.p2 >> _U[5]) & _UPPER) + learnt
+        self.outcomes = ((self.outcomes & 3) << 2) | outcome
+        words = self.words
+        kept = -(right | ((words & 3) > 0)).view(np.int8).astype(np.int32)
+        fresh, old = ids << 2, np.minimum(words + ((right.view(np.int8) << 1) - 1), words | 3)
+        new = fresh ^ ((fresh ^ old) & kept)
+        self.table[self.slots] = new[:2]
+        self.words[2] = new[2]
+        hashed = ids.view(np.uint32) * np.uint32(0x9E3779B1)
+        shift = np.uint32(32 - _SLOTS)
+        np.add(self.base[0], (hashed + self.before) >> shift, out=self.slots[0])
+        np.add(self.base[1], hashed >> shift, out=self.slots[1])
+        self.before = hashed * np.uint32(0x85EBCA6B)
+
+    def interval(self, missed: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width of the number of bits; everything where the id was predicted."""
+        at = size * len(self.rows) + self.rows
+        mask, whole = -missed.view(np.int8).astype(np.int16), np.int16(1 << _ONE)
+        start = self.flat.take(at)
+        width = ((self.flat.take(at + len(self.rows)) - start - whole) & mask) + whole
+        return (start & mask).astype(np.uint64), width.astype(np.uint64)
+
+    def size(self, target: np.ndarray) -> np.ndarray:
+        found = self.sizes[1:-1] <= target.astype(np.int16)
+        return np.add.reduce(found.view(np.uint8), axis=0, dtype=np.uint8)
+
+    def learn_sizes(self, missed: np.ndarray, size: np.ndarray) -> None:
+        inner, goal = self.sizes[1:-1], self.goal
+        np.subtract(size.astype(np.int16), self.order, out=goal)
+        goal >>= 15
+        goal &= self.most
+        goal += self.order * np.int16(_LEAST)
+        goal -= inner
+        goal >>= 5
+        goal &= -missed.view(np.int8).astype(np.int16)
+        inner += goal
+
+
+def _interval(ends: np.ndarray, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and width of an outcome."""
+    shift = outcome.astype(np.uint64) << _U[4]
+    start = ((ends << _U[16]) >> shift) & _INNER
+    return start, ((ends >> shift) - start) & _INNER
 
 
 class _Coder:
-    """Intervals of all blocks. A step narrows them up to three times and then moves finished bytes, two at once."""
+    """Intervals of all blocks. A step narrows them and then moves finished bytes, two at once."""
 
     def __init__(self, blocks: int, room: int, source: np.ndarray | None = None):
         self.low, self.range = np.zeros(blocks, np.uint64), np.full(blocks, 2**64 - 1, np.uint64)
-        self.pos = np.zeros(blocks, np.int64)
         self.decodes = source is not None
         self.words = source if self.decodes else np.zeros((blocks, room), np.uint16)
-        self.wide = self.words.shape[1]
         self.flat = self.words.reshape(-1)
-        self.base = np.arange(blocks) * self.wide
+        self.base = np.arange(blocks) * self.words.shape[1]
+        self.at = self.base.copy()
         if self.decodes:
             self.code = np.zeros(blocks, np.uint64)
             for i in range(4):
-                self.code = (self.code << _SHIFT) | self.words[:, i]
-            self.pos += 4
-
-    def target(self, rows) -> np.ndarray:
-        """Where the codes lie in the unit interval."""
-        found = (self.code[rows] - self.low[rows]) // (self.range[rows] >> _UNIT)
-        return np.minimum(found, (1 << _ONE) - 1).astype(np.int32)
-
-    def narrow(self, rows, start: np.ndarray, size: np.ndarray) -> None:
-        unit = self.range[rows] >> _UNIT
-        self.low[rows] += unit * start.astype(np.uint64)
-        self.range[rows] = unit * size.astype(np.uint64)
-
-    def write_bits(self, rows, value: np.ndarray, width: np.ndarray) -> None:
-        unit = self.range[rows] >> width.astype(np.uint64)
-        self.low[rows] += unit * value.astype(np.uint64)
-        self.range[rows] = unit
-
-    def read_bits(self, rows, width: np.ndarray) -> np.ndarray:
-        unit = self.range[rows] >> width.astype(np.uint64)
-        value = np.minimum((self.code[rows] - self.low[rows]) // unit, (np.uint64(1) << width.astype(np.uint64)) - np.uint64(1))
-        self.low[rows] += unit * value
-        self.range[rows] = unit
-        return value.astype(np.int64)
-
-    def move(self, m: int) -> None:
-        low, width = self.low, self.range
-        at = np.flatnonzero(((low[:m] ^ (low[:m] + width[:m])) < _TOP) | (width[:m] < _BOTTOM))
+                self.code = (self.code << _U[16]) | self.words[:, i]
+            self.at += 4
+
+    def target(self) -> np.ndarray:
+        """Where the codes lie in the unit interval, in steps of two probabilities."""
+        found = (self.code - self.low) // (self.range >> _U[2 * _ONE])
+        return np.minimum(found, np.uint64((1 << 2 * _ONE) - 1))
+
+    def narrow(self, start: np.ndarray, width: np.ndarray, inner: np.ndarray, inner_width: np.ndarray) -> None:
+        """To a part, and to a part of that."""
+        unit = self.range >> _U[2 * _ONE]
+        self.low += unit * ((start << _U[_ONE]) + width * inner)
+        self.range = unit * (width * inner_width)
+
+    def write_bits(self, value: np.ndarray, width: np.ndarray) -> None:
+        self.range >>= width
+        self.low += self.range * (value & ((_U[1] << width) - _U[1]))
+
+    def read_bits(self, width: np.ndarray) -> np.ndarray:
+        self.range >>= width
+        value = np.minimum((self.code - self.low) // self.range, (_U[1] << width) - _U[1])
+        self.low += self.range * value
+        return value
+
+    def move(self) -> None:
+        same = (self.low ^ (self.low + self.range)) < _TOP
+        small = self.range < _BOTTOM
+        at = np.flatnonzero(small > same)
+        if len(at):
+            self.range[at] = (~self.low[at] + _U[1]) & _LOW
+        moved = same | small
+        shift = moved.view(np.uint8).astype(np.uint64) << _U[4]
+        if self.decodes:
+            word = self.flat.take(self.at) * moved
+            self.code = (self.code << shift) | word
+        else:
+            self.flat[self.at] = (self.low >> _WORD).astype(np.uint16)  # again later, where nothing moved
+        self.low <<= shift
+        self.range <<= shift
+        self.at += moved
+        at = np.flatnonzero(((self.low ^ (self.low + self.range)) < _TOP) | (self.range < _BOTTOM))
         while len(at):
-            here, wide = low[at], width[at]
+            here, wide, place = self.low[at], self.range[at], self.at[at]
             same = (here ^ (here + wide)) < _TOP
-            wide = np.where(same, wide, (~here + np.uint64(1)) & _LOW)
-            place = self.base[at] + self.pos[at]
+            wide = np.where(same, wide, (~here + _U[1]) & _LOW)
             if self.decodes:
-                self.code[at] = (self.code[at] << _SHIFT) | self.flat[place]
+                self.code[at] = (self.code[at] << _U[16]) | self.flat[place]
             else:
                 self.flat[place] = (here >> _WORD).astype(np.uint16)
-            self.pos[at] += 1
-            here, wide = here << _SHIFT, wide << _SHIFT
-            low[at], width[at] = here, wide
+            self.at[at] = place + 1
+            here, wide = here << _U[16], wide << _U[16]
+            self.low[at], self.range[at] = here, wide
             at = at[((here ^ (here + wide)) < _TOP) | (wide < _BOTTOM)]
 
     def finish(self) -> None:
         for shift in (48, 32, 16, 0):
-            self.flat[self.base + self.pos] = (self.low >> np.uint64(shift)).astype(np.uint16)
-            self.pos += 1
+            self.flat[self.at] = (self.low >> _U[shift]).astype(np.uint16)
+            self.at += 1
 
 
 def encode(ids: np.ndarray, bits: int, block: int = BLOCK) -> tuple[bytes, list[int], list[int]]:
@@ -164,32 +209,32 @@ def encode(ids: np.ndarray, bits: int, block: int = BLOCK) -> tuple[bytes, list[
     if not n:
         return b"", [], []
     blocks, steps = -(-n // block), min(block, n)
-    grid = np.zeros(blocks * steps, np.int64)
+    grid = np.zeros(blocks * steps, np.int32)
     grid[:n] = ids
     grid = np.ascontiguousarray(grid.reshape(blocks, steps).T)
     model, coder = _Model(blocks, bits), _Coder(blocks, steps * 4 + 8)
-    for t in range(steps):
-        m = blocks if t < n - (blocks - 1) * block else blocks - 1
-        every, now = slice(0, m), grid[t, :m]
-        words, ends = model.predict(m)
-        a, b, c = ((w >> 2) == now for w in words)
-        outcome = np.where(a, 0, np.where(b, 1, np.where(c, 2, 3)))
-        coder.narrow(every, *_interval(ends, outcome))
-        new = np.flatnonzero(outcome == 3)
-        if len(new):
-            value, sizes = now[new], model.sizes[new]
-            size = _bit_length(value)
-            coder.narrow(new, *_interval(sizes, size))
-            model.learn_sizes(new, sizes, size)
-            rest = np.maximum(size - 1, 0)
-            coder.write_bits(new, value & ((1 << np.minimum(rest, 15)) - 1), np.minimum(rest, 15))
-            if (rest > 15).any():
-                coder.move(m)
-                coder.write_bits(new, (value >> 15) & ((1 << np.maximum(rest - 15, 0)) - 1), np.maximum(rest - 15, 0))
-        coder.move(m)
-        model.learn(m, now, words, outcome)
+    for now in grid:
+        ends = model.predict()
+        right = (model.words >> 2) == now
+        wrong = ~right
+        second = wrong[0] & wrong[1]
+        missed = second & wrong[2]
+        outcome = wrong[0].view(np.uint8) + second.view(np.uint8) + missed.view(np.uint8)
+        size = _bit_length(now)
+        coder.narrow(*_interval(ends, outcome), *model.interval(missed, size))
+        rest = (np.maximum(size - 1, 0) * missed).astype(np.uint64)
+        value = now.astype(np.uint64)
+        few = np.minimum(rest, _U[15])
+        coder.write_bits(value, few)
+        if bits > 16:
+            coder.move()
+            coder.write_bits(value >> few, rest - few)
+        coder.move()
+        model.learn(now, right, outcome)
+        model.learn_sizes(missed, size)
     coder.finish()
-    parts = [coder.words[i, : coder.pos[i]].astype("<u2").tobytes() for i in range(blocks)]
+    ends = coder.at - coder.base
+    parts = [coder.words[i, :end].astype("<u2").tobytes() for i, end in enumerate(ends.tolist())]
     return b"".join(parts), [len(p) for p in parts], [zlib.crc32(p) for p in parts]
 
 
@@ -206,27 +251,26 @@ def decode(payload: bytes, lengths: list[int], checks: list[int], n: int, bits:
         source[i, : size // 2] = np.frombuffer(part, "<u2")
         at += size
     model, coder = _Model(blocks, bits), _Coder(blocks, 0, source)
-    out = np.zeros((steps, blocks), np.int64)
-    for t in range(steps):
-        m = blocks if t < n - (blocks - 1) * block else blocks - 1
-        every = slice(0, m)
-        words, ends = model.predict(m)
-        outcome = (coder.target(every)[:, None] >= ends).sum(axis=1)
-        coder.narrow(every, *_interval(ends, outcome))
-        now = (np.where(outcome == 0, words[0], np.where(outcome == 1, words[1], words[2])) >> 2).astype(np.int64)
-        new = np.flatnonzero(outcome == 3)
-        if len(new):
-            sizes = model.sizes[new]
-            size = (coder.target(new)[:, None] >= sizes).sum(axis=1)
-            coder.narrow(new, *_interval(sizes, size))
-            model.learn_sizes(new, sizes, size)
-            rest = np.maximum(size - 1, 0)
-            value = coder.read_bits(new, np.minimum(rest, 15))
-            if (rest > 15).any():
-                coder.move(m)
-                value |= coder.read_bits(new, np.maximum(rest - 15, 0)) << 15
-            now[new] = np.where(size > 0, value | (1 << rest), 0)
-        coder.move(m)
-        out[t, :m] = now
-        model.learn(m, now, words, outcome)
+    out = np.zeros((steps, blocks), np.int32)
+    for now in out:
+        ends = model.predict()
+        target = coder.target()
+        passed = ((target >> _U[_ONE]) * _EACH + _CARRY - (ends & _fields(*[0xFFF] * 3))) & _CARRY
+        outcome = ((((passed >> _U[15]) * _EACH) >> _U[32]) & _U[3]).astype(np.uint8)
+        missed = outcome == 3
+        start, width = _interval(ends, outcome)
+        size = model.size((target - (start << _U[_ONE])) // width).astype(np.int64)
+        coder.narrow(start, width, *model.interval(missed, size))
+        rest = (np.maximum(size - 1, 0) * missed).astype(np.uint64)
+        few = np.minimum(rest, _U[15])
+        value = coder.read_bits(few)
+        if bits > 16:
+            coder.move()
+            value |= coder.read_bits(rest - few) << few
+        coder.move()
+        new = (value | ((size > 0).astype(np.uint64) << rest)).astype(np.int32)
+        known = model.words >> 2
+        now[:] = np.concatenate([known, new[None]]).reshape(-1).take(outcome * np.int64(blocks) + model.rows)
+        model.learn(now, known == now, outcome)
+        model.learn_sizes(missed, size)
     return out.T.reshape(-1)[:n]

@@ -15,8 +15,9 @@ from regiolume.llm.id_coder import BLOCK, decode, encode
 from regiolume.llm.pieces import piece_coder
 from regiolume.session import stage
 
-#: Ids that one frame gathers before it is coded; a document is never parted.
-FRAME_IDS = 4 << 20
+#: Ids that one frame gathers before it is coded; a document is never parted. Each step of the coder costs about the same
+#: for few blocks as for some thousand.
+FRAME_IDS = 8 << 20
 FRAME = (
     "part int, frame int, n_ids long, bits int, block int, doc_ids array<long>, doc_tokens array<long>, payload binary, "
     "lengths array<int>, checks array<long>"

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -470,3 +471,52 @@ def test_may_be_in(spark):
 def test_registered(spark):
     names = list(entry.queries())
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+
+
+def test_id_coder_at_its_edges():
+    """Least and greatest ids, the end of a frame that fills no block, and thousands of blocks at once."""
+    r = np.random.default_rng(9)
+    some = [np.zeros(3000, int), np.full(3000, (1 << 28) - 1), r.integers(0, 2, 3000) * ((1 << 28) - 1)]
+    some += [np.repeat(r.integers(0, 1 << 28, 100), 30), r.permutation(3000), r.zipf(1.3, 3000) % (1 << 16)]
+    for ids, bits, block in ((x, max(1, int(x.max()).bit_length()), b) for x in some for b in (512, 1024)):
+        payload, lengths, checks = id_coder.encode(ids, bits, block)
+        assert len(lengths) == -(-len(ids) // block)
+        assert (id_coder.decode(payload, lengths, checks, len(ids), bits, block) == ids).all()
+    ids = r.integers(0, 49_408, 8 * 5000 - 3)
+    assert (id_coder.decode(*id_coder.encode(ids, 16, 8), len(ids), 16, 8) == ids).all()
+
+
+def test_few_large_frames(spark, monkeypatch):
+    """Some million ids of a task are one frame: each step of the coder costs about the same for few blocks as for many."""
+    from regiolume.llm import token_output
+
+    seen = []
+    monkeypatch.setattr(token_output, "piece_coder", lambda path: Fixed())
+    monkeypatch.setattr(token_output, "encode", lambda ids, *_: seen.append(len(ids)) or (b"", [], []))
+    monkeypatch.setattr(token_output.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(["a", "b", "c"])], ["id", "text"])
+    assert sum(f.num_rows for f in token_output._frames("", 1)(iter([batch] * 3))) == 1
+    assert seen == [9 * 700_001]
+
+
+class Fixed:
+    """A tokenizer of long texts."""
+
+    def encode(self, column):
+        for i in range(len(column)):
+            yield i, np.full(700_000, 5, np.int32), np.array([700_000])
+
+
+def test_plain_pieces_skip_the_normalizer():
+    """ASCII without capitals is encoded without the steps that change nothing in it, with the ids of the whole tokenizer."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coder, plain, seen = PieceCoder(path), Tokenizer.from_file(path), []
+    parts = coder._in_parts
+    coder._in_parts = lambda new: seen.append((new.to_pylist(), coder.tokenizer.normalizer)) or parts(new)
+    texts = [" of", " Of", "\nof", " é", " É", "é", " a\t b", "don't", "<|endoftext|>", "x", " İ", "ΣΑΣ", "  x"]
+    sizes, ids = coder._encoded(pa.array(texts))
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert (sizes.tolist(), ids.tolist()) == ([*map(len, want)], [i for w in want for i in w])
+    (other, whole), (short, less) = seen
+    assert set(other) == {" Of", " é", " É", "é", " İ", "ΣΑΣ"} and set(short) == set(texts) - set(other)
+    assert "Lowercase" in str(whole) and "Lowercase" not in str(less) and "Lowercase" in str(coder.tokenizer.normalizer)
