@@ -201,6 +201,7 @@ class PieceCoder:
             piece, per_row = self._pieces(data, offsets)
             upto = np.concatenate([[0], np.cumsum((self.at[1:] - self.at[:-1])[piece])])
             out.append(np.diff(upto[np.concatenate([[0], np.cumsum(per_row)])]))
+        pa.default_memory_pool().release_unused()  # else a worker keeps some hundred MB that it no longer needs
         return np.concatenate(out)
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -209,6 +210,7 @@ class PieceCoder:
             piece, per_row = self._pieces(data, offsets)
             total, ids = _taken(self.at, self.ids, piece)
             yield first, ids, np.diff(total[np.concatenate([[0], np.cumsum(per_row)])])
+        pa.default_memory_pool().release_unused()
 
 
 _CODERS: dict[str, PieceCoder] = {}

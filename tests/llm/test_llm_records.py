@@ -1,8 +1,12 @@
 """Top-k search, sharding, token output, chat, language and the pipeline on awkward rows."""
 
 import hashlib
+import pathlib
 import random
 import re
+import subprocess
+import sys
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from types import SimpleNamespace
@@ -520,3 +524,28 @@ def test_plain_pieces_skip_the_normalizer():
     (other, whole), (short, less) = seen
     assert set(other) == {" Of", " é", " É", "é", " İ", "ΣΑΣ"} and set(short) == set(texts) - set(other)
     assert "Lowercase" in str(whole) and "Lowercase" not in str(less) and "Lowercase" in str(coder.tokenizer.normalizer)
+
+
+def test_workers_give_memory_back():
+    """What encoding took from Arrow's pool goes back: a worker lives through all stages, and its memory counts for each."""
+    code = (
+        "import sys, re, pathlib, pyarrow as pa, public_tokenizers; from regiolume.llm.pieces import PieceCoder\n"
+        "mb = lambda: int(re.search(r'VmRSS:\\s+(\\d+)', pathlib.Path('/proc/self/status').read_text())[1]) / 1024\n"
+        "texts = pa.array([' '.join(f'w{(i * 7 + k) % 5000}' for k in range(4000)) for i in range(300)])\n"
+        "coder = PieceCoder(public_tokenizers.path('word_bpe_49k.json'))\n"
+        "coder.lengths(texts); n = coder.lengths(texts); before = mb()\n"
+        "pa.default_memory_pool().release_unused(); print(before - mb())\n"
+    )
+    top = pathlib.Path(id_coder.__file__).resolve().parents[2]
+    out = subprocess.run([sys.executable, "-c", code], cwd=top, capture_output=True, text=True, check=True).stdout
+    assert float(out) < 10
+
+
+def test_scores_take_little_room():
+    """Scores of a megabyte of text at once took some hundred bytes for each of its bytes."""
+    column, model = pa.array(["abcdefgh" * 128] * 1024), np.zeros((language.FEATURES + 1, 8), np.float32)
+    tracemalloc.start()
+    language.text_scores(column, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
