@@ -7,6 +7,7 @@ import statistics
 import subprocess
 import sys
 
+import pyspark
 import pytest
 from conftest import rows
 
@@ -177,6 +178,64 @@ def test_cluster_on_one_machine(tmp_path, named):
     assert done.returncode == 0, done.stderr[-2000:]
 
 
+def test_cluster_folder_that_all_share(spark, tmp_path):
+    """Without a scheme or of ``file:`` it is taken once a table of many tasks comes back whole; one that can't be written is not."""
+
+    class As:
+        def __init__(self, real, **own):
+            self.__dict__ |= own | {"real": real}
+
+        def __getattr__(self, name):
+            return getattr(self.real, name)
+
+    def at(settings):
+        conf = type("F", (), {"get": lambda self, name, default: settings.get(name, default)})()
+        return session.scratch_folder(As(spark, conf=conf, sparkContext=As(spark.sparkContext, master="spark://host:7077")), "x")
+
+    assert at({"spark.checkpoint.dir": f"{tmp_path}"}).startswith(f"{tmp_path}/x-")
+    assert at({"spark.checkpoint.dir": f"file://{tmp_path}"}).startswith(f"file://{tmp_path}/x-")
+    assert not list(tmp_path.iterdir())
+    (tmp_path / "file").touch()
+    with pytest.raises(RuntimeError, match="scheme"):
+        at({"spark.checkpoint.dir": f"{tmp_path}/file/below"})
+
+
+JOINED = """
+import pathlib, sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+from regiolume import session
+from regiolume.catalog import ENTRIES
+settings = {{"spark.ui.enabled": "false", "spark.driver.host": "127.0.0.1", "spark.sql.shuffle.partitions": "2", "spark.executor.memory": "900m",
+    "spark.local.dir": "{folder}/local", "spark.sql.warehouse.dir": "{folder}/warehouse"}}
+settings |= {{"spark.checkpoint.dir": "{named}"}} if {named!r} else {{}}
+spark = SparkSession.builder.master("local-cluster[2,1,1200]").config(map=settings).getOrCreate()
+spark.sparkContext.master = "spark://127.0.0.1:7077"
+try:
+    assert ENTRIES["left_join_nullsafe"].run(spark, "/root/testdata/sf0.001").count() > 0
+    assert session.stage(spark.range(0, 50, 1, 10), "numbers").count() == 50
+    print("whole")
+except RuntimeError as e:
+    print(e)
+spark.stop()
+"""
+
+
+@pytest.mark.parametrize("named, said", [("{}/named", "whole"), ("", "whole"), ("/proc/self/cwd/kept", "set spark.checkpoint.dir to a folder, with its scheme")])
+def test_cluster_of_its_own(tmp_path, named, said):
+    """A folder that all executors see, without a scheme, or the warehouse; a folder that each process has for itself is refused."""
+    for folder in ("conf", "home/work", "cwd"):
+        (tmp_path / folder).mkdir(parents=True)
+    for p in pathlib.Path(pyspark.__file__).parent.iterdir():  # executors work in Spark's home, which may be read-only
+        if p.name not in ("conf", "work"):
+            (tmp_path / "home" / p.name).symlink_to(p)
+    code = JOINED.format(repo=str(pathlib.Path(__file__).resolve().parents[1]), folder=str(tmp_path), named=named.format(tmp_path))
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_GATEWAY", "SPARK_"))}
+    env |= {"SPARK_CONF_DIR": str(tmp_path / "conf"), "SPARK_HOME": str(tmp_path / "home")}
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, env=env, cwd=tmp_path / "cwd")
+    assert done.returncode == 0 and done.stdout.strip().startswith(said), (done.stdout[-500:], done.stderr[-2000:])
+
+
 def test_warehouse_of_a_cluster():
     """A warehouse that all machines reach serves; one on a machine's own disk does not."""
 
