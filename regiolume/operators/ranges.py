@@ -72,16 +72,31 @@ def _window(series: Sequence[str], *order: str):
     return Window.partitionBy(*[F.col(f"`{s}`") for s in series]).orderBy(*[F.asc_nulls_first(F.col(f"`{o}`")) for o in order])
 
 
-def _with_heads(df: DataFrame, order: Sequence[str], series: Sequence[str], rows: int, carried: Column, inherited) -> tuple[DataFrame, Window]:
+def _inherited(tails: DataFrame, series: Sequence[str], nearest: bool) -> DataFrame:
+    """What each block inherits, in ``__carried``: the ``__tail`` of the block before, or of the nearest that has one.
+
+    Without series the blocks, ``MOST_BOUNDS`` + 1 of them at most, are the entries of one array instead of a window's rows.
+    """
+    if series:
+        w = _window(series, "__block")
+        before = F.last("__tail", True).over(w.rowsBetween(Window.unboundedPreceding, -1)) if nearest else F.lag("__tail").over(w)
+        return tails.withColumn("__carried", before).drop("__tail")
+    entries = F.array_sort(F.collect_list(F.struct("__block", "__tail")), lambda a, b: a["__block"] - b["__block"])
+    some = F.filter("__entries", lambda e: e["__tail"].isNotNull()) if nearest else F.col("__entries")
+    found = tails.agg(entries.alias("__entries")).withColumn("__some", some).select("__some", F.explode("__entries.__block").alias("__block"))
+    earlier = F.filter("__some", lambda e: e["__block"] < F.col("__block"))
+    return found.select("__block", F.get(earlier, F.size(earlier) - 1)["__tail"].alias("__carried"))
+
+
+def _with_heads(df: DataFrame, order: Sequence[str], series: Sequence[str], rows: int, carried: Column, nearest: bool) -> tuple[DataFrame, Window]:
     """Rows with their block and, before each block of a series, one more row (``__real`` 0) with what it inherits.
 
-    ``carried`` is an aggregate over a block; ``inherited`` makes from it, over the blocks before, what the head row holds
-    in ``__carried``. Heads stand in front by ``__real``, so that no join is needed.
+    ``carried`` is an aggregate over a block; the head row holds in ``__carried`` that of the block before or, ``nearest``, of the
+    nearest that has one. Heads stand in front by ``__real``, so that no join is needed.
     """
     keyed = df.withColumn("__block", range_block(df, [*series, *order], rows))
     tails = keyed.groupBy(*[F.col(f"`{s}`") for s in series], "__block").agg(carried.alias("__tail"))
-    earlier = _window(series, "__block")
-    heads = tails.withColumn("__carried", inherited(F.col("__tail"), earlier)).drop("__tail").withColumn("__real", F.lit(0))
+    heads = _inherited(tails, series, nearest).withColumn("__real", F.lit(0))
     both = keyed.withColumn("__real", F.lit(1)).unionByName(heads, allowMissingColumns=True)
     return both, _window([*series, "__block"], "__real", *order)
 
@@ -95,8 +110,7 @@ def fill_forward(df: DataFrame, c: str, order: str | Sequence[str], series: Sequ
     order = [order] if isinstance(order, str) else list(order)
     some = F.when(F.col(f"`{c}`").isNotNull(), F.struct(*[F.col(f"`{o}`") for o in order]))
     both, inside = _with_heads(
-        df, order, series, rows, F.max_by(F.col(f"`{c}`"), some),
-        lambda tail, w: F.last(tail, True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+        df, order, series, rows, F.max_by(F.col(f"`{c}`"), some), nearest=True
     )
     own = F.coalesce(F.col(f"`{c}`"), F.col("__carried"))
     filled = F.last(own, True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
@@ -115,7 +129,7 @@ def previous_value(
     order = [order] if isinstance(order, str) else list(order)
     place = F.struct(*[F.col(f"`{o}`") for o in order])
     both, inside = _with_heads(
-        df, order, series, rows, F.max_by(F.struct(F.col(f"`{c}`").alias("v")), place), lambda tail, w: F.lag(tail).over(w)
+        df, order, series, rows, F.max_by(F.struct(F.col(f"`{c}`").alias("v")), place), nearest=False
     )
     value = F.when(F.col("__real") == 0, F.col("__carried.v")).otherwise(F.col(f"`{c}`"))
     out = both.withColumn("__value", value).withColumn("__before", F.lag("__value").over(inside)).filter("__real = 1")

@@ -3,6 +3,7 @@
 import datetime
 import itertools
 import random
+import re
 from collections import Counter, defaultdict
 from decimal import Decimal
 
@@ -218,3 +219,20 @@ def test_balanced_lines(spark):
         assert got == {x: balanced_by_hand(x, width) for x in labels}
     # Greedy lines leave a short last line before a long one; even lines do not.
     assert balanced_by_hand("aaa bb cc ddddd", 6) == "aaa\nbb cc\nddddd"
+
+
+@pytest.mark.parametrize("block_rows", [1, 7, 1000])
+def test_blocks_without_series(spark, block_rows):
+    """A long file without series: blocks hand on what was filled, also over blocks that hold nothing; no window over the file."""
+    values = [None, None, "a", None, "b"] + [None] * 30 + ["c", None, "d"] + [None] * 5
+    df = spark.createDataFrame([(i * 3, v) for i, v in enumerate(values)], "o int, v string").repartition(3)
+    filled, last = [], None
+    for v in values:
+        last = v or last
+        filled.append(last)
+    got = ranges.fill_forward(df, "v", "o", rows=block_rows)
+    assert [r.v for r in got.orderBy("o").collect()] == filled
+    before = ranges.previous_value(df, "v", "o", name="before", rows=block_rows)
+    assert [r.before for r in before.orderBy("o").collect()] == [None, *values[:-1]]
+    for plan in (x._jdf.queryExecution().executedPlan().toString() for x in (got, before)):
+        assert not re.search(r"Sort [^\n]*\n[^\n]*Exchange SinglePartition", plan)
